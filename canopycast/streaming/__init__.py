@@ -1,0 +1 @@
+"""Every source here is a finished dated table, so there is no streaming operator."""
