@@ -1,4 +1,4 @@
 """Registered queries over the test tables and the statements that check them."""
 
-from . import dataset_queries  # noqa: F401
+from . import dataset_queries, feature_queries, report_queries  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401
