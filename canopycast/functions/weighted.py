@@ -24,5 +24,5 @@ def slope_sql(x: str, n: str, total: str, where: str = "true") -> str:
 def correlation(n: Column, sx: Column, sy: Column, sxx: Column, syy: Column, sxy: Column) -> Column:
     """Pearson correlation from sums; NULL when a side is constant."""
     vx, vy = n * sxx - sx * sx, n * syy - sy * sy
-    r = (n * sxy - sx * sy) / F.sqrt(vx * vy)
+    r = (n * sxy - sx * sy) / F.sqrt(F.abs(vx)) / F.sqrt(F.abs(vy))
     return F.when((vx > 0) & (vy > 0), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
