@@ -138,15 +138,18 @@ def apply_vocab(df: DataFrame, vocab: DataFrame, columns: Sequence[str]) -> Data
 def one_hot(df: DataFrame, lists: Mapping[str, Sequence[str]], columns: Sequence[str]) -> DataFrame:
     """Replace each column by 0/1 columns, one per known value and one each for other and missing."""
     kept = [c for c in df.columns if c not in columns]
-    made = []
+    values = {c: [*lists.get(c, []), *[m for m in (OTHER, MISSING) if m not in lists.get(c, [])]] for c in columns}
+    # the place of the value in its list first, so that each 0/1 column compares one number
+    place = {}
     for c in columns:
-        values = [*lists.get(c, []), *[m for m in (OTHER, MISSING) if m not in lists.get(c, [])]]
+        other = values[c].index(OTHER)
         text = text_value(df, c)
-        known = F.when(text.isin(*values), text).otherwise(OTHER)
-        made += [(f"{c}_{v}", F.when(known == v, 1).otherwise(0)) for v in values]
+        place[f"_at_{c}"] = F.array_position(F.array(*[F.lit(v) for v in values[c]]), text) - 1
+        place[f"_at_{c}"] = F.when(text.isin(*values[c]), place[f"_at_{c}"]).otherwise(other)
+    made = [(f"{c}_{v}", f"CASE WHEN `_at_{c}` = {i} THEN 1 ELSE 0 END") for c in columns for i, v in enumerate(values[c])]
     names = feature_names([*kept, *[name for name, _ in made]])
-    columns_ = [F.col(f"`{c}`") for c in kept] + [column for _, column in made]
-    return df.select(*[column.alias(name) for column, name in zip(columns_, names)])
+    texts = [f"`{c}`" for c in kept] + [sql for _, sql in made]
+    return df.withColumns(place).select(*[F.expr(f"{sql} AS {name}") for sql, name in zip(texts, names)])
 
 
 def encoder_spec(
