@@ -266,7 +266,15 @@ def _(v):
     return parts(v).reports["feature_pruning_recommendations"]
 
 
-@query("feature_diagnostics")
+_REPORTS = {
+    "feature_missing_rate": "missing", "feature_stability_by_split": "stability", "feature_variance": "variances",
+    "feature_univariate_target_association": "assoc", "feature_correlation_pairs": "strong_pairs",
+    "feature_spearman_correlation_pairs": "rank_pairs WHERE abs_corr >= 0.9", "feature_correlation_clusters": "clusters",
+    "feature_interaction_candidates": "interactions", "feature_pruning_recommendations": "advice",
+}
+
+
+@query("feature_diagnostics", " UNION ALL ".join(f"SELECT '{name}' AS report, count(*) AS rows FROM {cte}" for name, cte in _REPORTS.items()))
 def _(v):
     """Write every report and count its rows from the files."""
     paths = plan.write(parts(v), staged_path(v.spark, "diagnostics"))

@@ -61,7 +61,7 @@ def long_rows(v: Views):
 
 @query("group_stats", _grouped(STATS), _doubles(STATS))
 def _(v):
-    return long_rows(v).groupBy(KEY).agg(*ft.group_stats(NUMERIC))
+    return long_rows(v).groupBy(KEY).agg(*ft.group_stats(NUMERIC), *ft.group_last(NUMERIC))
 
 
 @query("group_slope", _grouped(SLOPES), _doubles(SLOPES))

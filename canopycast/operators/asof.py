@@ -140,6 +140,15 @@ def climate_daily(raw: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
     )
 
 
+def dated_between(raw: DataFrame, date: str, cycles: DataFrame) -> DataFrame:
+    """Rows dated within the span of all cycles.
+
+    The two limits are scalar subqueries, which Spark turns into filters of the parquet scan.
+    """
+    first, last = cycles.agg(F.min(START)).scalar(), cycles.agg(F.max(AS_OF)).scalar()
+    return raw.where(F.col(date).cast("date").between(first, last))
+
+
 def join_daily(cycles: DataFrame, daily: DataFrame, matched: str) -> DataFrame:
     """Daily rows inside each cycle, with their age.
 
@@ -147,13 +156,9 @@ def join_daily(cycles: DataFrame, daily: DataFrame, matched: str) -> DataFrame:
     of rows on the daily side and a cycle at most ``max_age_days + 1`` rows in the result.
     """
     wanted = cycles.where(F.col(matched).isNotNull()).select(UID, START, AS_OF, "as_of_age_days", matched)
-    limits = cycles.agg(F.min(START).alias("first"), F.max(AS_OF).alias("last"))
-    inside = daily.where(
-        F.col("day").between(limits.select("first").scalar(), limits.select("last").scalar())
-    )
     return (
         wanted.join(
-            inside,
+            daily,
             (F.col(matched) == F.col("source_lote")) & F.col("day").between(F.col(START), F.col(AS_OF)),
         )
         .withColumn("age_days", F.datediff("day", START).cast("double"))

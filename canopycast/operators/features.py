@@ -123,18 +123,14 @@ def time_order(df: DataFrame, date: str, tiebreak: Sequence[str]) -> Column:
 
 
 def group_stats(columns: Sequence[str]) -> list[Column]:
-    """Mean, max, min, sample deviation, last value by time and count of each column."""
-    result = []
-    for c in columns:
-        result += [
-            F.expr(f"avg({c}) AS {c}_mean"),
-            F.expr(f"max({c}) AS {c}_max"),
-            F.expr(f"min({c}) AS {c}_min"),
-            F.expr(f"stddev_samp({c}) AS {c}_std"),
-            F.expr(f"max_by({c}, _order) FILTER (WHERE {c} IS NOT NULL) AS {c}_last"),
-            F.expr(f"count({c}) AS {c}_count"),
-        ]
-    return result
+    """Mean, max, min, sample deviation and count of each column."""
+    stats = {"mean": "avg", "max": "max", "min": "min", "std": "stddev_samp", "count": "count"}
+    return [F.expr(f"{fn}({c}) AS {c}_{name}") for c in columns for name, fn in stats.items()]
+
+
+def group_last(columns: Sequence[str]) -> list[Column]:
+    """Last value by time that is not NULL."""
+    return [F.expr(f"max_by({c}, _order) FILTER (WHERE {c} IS NOT NULL) AS {c}_last") for c in columns]
 
 
 def trend_columns(columns: Sequence[str]) -> list[str]:
@@ -182,7 +178,12 @@ def longitudinal_rows(df: DataFrame, target: str = TARGET, tiebreak: Sequence[st
 def aggregated_dataset(
     df: DataFrame, target: str = TARGET, tiebreak: Sequence[str] = (), roles: str = "strict"
 ) -> Matrix:
-    """Feature matrix from a table with one row per key and observation, in one shuffle."""
+    """Feature matrix from a table with one row per key and observation.
+
+    Numbers are folded by a hash aggregate. Text values, and last values under an order that is no
+    number, force a sort aggregate, so they get one of their own over their columns only. Both
+    combine before they shuffle and end partitioned by key, so joining them moves no row.
+    """
     rows = longitudinal_rows(df, target, tiebreak)
     numeric, _ = select_features(df, [target, *tiebreak], roles)
     trend = trend_columns(numeric)
@@ -191,11 +192,11 @@ def aggregated_dataset(
     static = [c for c in STATIC_COLUMNS if c in df.columns and c not in blocked]
     first = list(dict.fromkeys([target, "tc", LOT, SEASON, "area", *static]))
     first = [c for c in first if c in df.columns]
-    result = scrub(
-        rows.groupBy(KEY).agg(
-            *group_first(first), *group_stats(numeric), *group_slope(trend), *window_stats(windows)
-        )
-    )
+    numbers = [*group_stats(numeric), *group_slope(trend), *window_stats(windows)]
+    texts = group_first(first)
+    (numbers if isinstance(rows.schema["_order"].dataType, T.LongType) else texts).extend(group_last(numeric))
+    by_key = rows.groupBy(KEY)
+    result = scrub(by_key.agg(*texts).join(by_key.agg(*numbers), KEY))
     made = [c for c in result.columns if c not in (KEY, *first)]
     types = {f.name: f.dataType for f in result.schema.fields}
     features = [*static, *made]

@@ -67,8 +67,10 @@ def dataset(t: Tables, s: Settings = DEFAULTS, valid_only: bool = False) -> Data
     """The whole build. Extra columns at the end: ``cycle_uid`` and ``duplicate_key``."""
     spine = eligible_spine(t, s)
     # only ndvi has a gap output
-    optical = asof.join_daily(spine, asof.optical_daily(t.optical, ["ndvi"]), "stac_lote_matched")
-    climate = asof.join_daily(spine, asof.climate_daily(t.climate, s), "climate_lote_matched")
+    optical_days = asof.optical_daily(asof.dated_between(t.optical, "fecha", spine), ["ndvi"])
+    climate_days = asof.climate_daily(asof.dated_between(t.climate, "fecha_inicio", spine), s)
+    optical = asof.join_daily(spine, optical_days, "stac_lote_matched")
+    climate = asof.join_daily(spine, climate_days, "climate_lote_matched")
     rows = assemble(
         cycles.flag_duplicate_keys(spine),
         asof.optical_core(optical, s),
