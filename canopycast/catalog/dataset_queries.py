@@ -399,7 +399,7 @@ def _(v):
 
 @query(
     "dataset_build",
-    DATASET_SQL.replace(" FROM eligible", " FROM eligible", 1) + " WHERE asof_climate_coverage_ok",
+    f"SELECT * FROM ({DATASET_SQL}) WHERE asof_climate_coverage_ok",
     DATASET_DOUBLES,
 )
 def _(v):

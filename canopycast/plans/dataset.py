@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..config import LOT, Settings, dataset_output
 from ..functions.scalars import per_day
 from ..operators import asof, cycles, keys
-from ..sources.staging import staged
+from ..sources.staging import staged, staged_together
 
 DEFAULTS = Settings()
 
@@ -31,10 +31,15 @@ def build_spine(t: Tables, s: Settings = DEFAULTS) -> DataFrame:
     Closed cycles and source keys have several consumers each, so they are staged: both are small
     next to the series they come from.
     """
-    closed = staged(cycles.closed_cycles(cycles.production_rows(t.production, s), s), "closed")
+    ready = staged_together(
+        {
+            "closed": cycles.closed_cycles(cycles.production_rows(t.production, s), s),
+            "optical-keys": keys.dated_keys(t.optical, "lote", "fecha"),
+            "climate-keys": keys.dated_keys(t.climate, "cod_cg", "fecha_inicio"),
+        }
+    )
+    closed, optical_keys, climate_keys = ready["closed"], ready["optical-keys"], ready["climate-keys"]
     lots = keys.distinct_keys(t.production, "lote")
-    optical_keys = staged(keys.dated_keys(t.optical, "lote", "fecha"), "optical-keys")
-    climate_keys = staged(keys.dated_keys(t.climate, "cod_cg", "fecha_inicio"), "climate-keys")
     optical = keys.key_match(lots, optical_keys, "stac")
     if t.climate_lookup is None:
         climate = keys.key_match(lots, climate_keys, "climate")

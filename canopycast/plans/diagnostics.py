@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 
 from ..operators import diagnose as dg
 from ..sources.io import write_reports
-from ..sources.staging import staged
+from ..sources.staging import staged, staged_together
 
 
 class Diagnostics(NamedTuple):
@@ -27,14 +27,24 @@ def diagnose(
 ) -> Diagnostics:
     """Reports by name. Tables with one row per feature or pair are staged, as later reports join them."""
     matrix = staged(df.select(key, "split", target, *numeric, *categorical), "matrix")
-    missing = staged(dg.missing_rate(matrix, [*numeric, *categorical]), "missing")
-    stability = staged(dg.split_stability(matrix, numeric), "stability")
-    variance = staged(dg.feature_variance(matrix, numeric), "variance")
-    association = staged(dg.target_association(matrix, numeric, target), "association")
-    pairs = staged(dg.correlation_pairs(matrix, numeric, threshold), "pairs")
+    first = staged_together(
+        {
+            "missing": dg.missing_rate(matrix, [*numeric, *categorical]),
+            "stability": dg.split_stability(matrix, numeric),
+            "variance": dg.feature_variance(matrix, numeric),
+            "association": dg.target_association(matrix, numeric, target),
+            "pairs": dg.correlation_pairs(matrix, numeric, threshold),
+        }
+    )
+    missing, stability, variance, association, pairs = first.values()
     rank_pairs = dg.spearman_pairs(matrix, key, numeric, threshold)
-    clusters = staged(dg.correlation_clusters(pairs, missing, stability, association), "clusters")
-    interactions = staged(dg.interaction_candidates(matrix, target, association), "interactions")
+    later = staged_together(
+        {
+            "clusters": dg.correlation_clusters(pairs, missing, stability, association),
+            "interactions": dg.interaction_candidates(matrix, target, association),
+        }
+    )
+    clusters, interactions = later["clusters"], later["interactions"]
     sets = dg.feature_sets(missing, stability, variance, clusters, association, interactions)
     reports = {
         "feature_missing_rate": missing,

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 _DIR = "spark.checkpoint.dir"
@@ -34,3 +36,11 @@ def staged(df: DataFrame, name: str = "stage") -> DataFrame:
     path = staged_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def staged_together(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Stage tables that do not depend on each other as concurrent jobs."""
+    stage = inheritable_thread_target(next(iter(tables.values())).sparkSession)(staged)
+    with ThreadPoolExecutor(len(tables)) as pool:
+        jobs = {name: pool.submit(stage, df, name) for name, df in tables.items()}
+        return {name: job.result() for name, job in jobs.items()}
