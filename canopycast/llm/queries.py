@@ -37,3 +37,21 @@ def op7_token_files(spark, sf_dir):
     from .token_files import token_files
 
     return token_files(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
+
+
+@query
+def op8_byte_bpe(spark, sf_dir):
+    import public_tokenizers
+
+    from .byte_bpe import encode_documents
+
+    return encode_documents(documents(spark, sf_dir), vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, keep_ids=False).drop("ids")
+
+
+@query
+def op10_token_counts(spark, sf_dir):
+    import public_tokenizers
+
+    from .token_counts import token_counts
+
+    return token_counts(documents(spark, sf_dir), vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)

@@ -14,6 +14,10 @@ WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SEGMENT = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 
 
+#: Longer segments are encoded each time they occur.
+LONG = 64
+
+
 class Segments(dict):
     """From segment to what ``encode`` makes of it; emptied when it holds ``limit`` segments, so memory is bounded."""
 
@@ -23,9 +27,12 @@ class Segments(dict):
     def of(self, texts: list[str]) -> list[list]:
         """For each text the values of its segments."""
         split = [SEGMENT.findall(text) for text in texts]
-        new = list({s for segments in split for s in segments if s not in self})
-        if len(self) + len(new) > self.limit:
+        if len(self) > self.limit:
             self.clear()
-            new = list({s for segments in split for s in segments})
+        new = list({s for segments in split for s in segments if s not in self})
         self.update(zip(new, self.encode(new)))
-        return [list(map(self.__getitem__, segments)) for segments in split]
+        values = [list(map(self.__getitem__, segments)) for segments in split]
+        for s in new:
+            if len(s) > LONG:
+                del self[s]
+        return values
