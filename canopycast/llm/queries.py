@@ -55,3 +55,74 @@ def op10_token_counts(spark, sf_dir):
     from .token_counts import token_counts
 
     return token_counts(documents(spark, sf_dir), vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query
+def op6_imatch(spark, sf_dir):
+    from .imatch import fingerprints
+
+    return fingerprints(documents(spark, sf_dir))
+
+
+ORACLES["op6_imatch"] = r"""
+WITH every AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+n AS (SELECT count(*) AS n FROM every),
+d AS (SELECT doc_id, min(text) AS text FROM every WHERE doc_id IS NOT NULL GROUP BY doc_id),
+found AS (SELECT unnest(list_distinct(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'))) AS term FROM every),
+words AS (
+  SELECT term FROM found WHERE term <> '' GROUP BY term
+  HAVING count(*) * 500 >= (SELECT n FROM n) AND count(*) * 5 <= (SELECT n FROM n)
+),
+member AS (
+  SELECT k, term FROM words, range(32) AS r(k)
+  WHERE substr(md5(k || ':' || term), 1, 2) < CASE WHEN k % 2 = 0 THEN '04' ELSE '01' END
+),
+pair AS (
+  SELECT doc_id, text, length(text) AS n_chars,
+    coalesce(lag(doc_id) OVER (ORDER BY doc_id), max(doc_id) OVER ()) AS next_id,
+    coalesce(lag(text) OVER (ORDER BY doc_id), last_value(text) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS next_text
+  FROM d
+),
+e AS (
+  SELECT *, substr(text, 1, n_chars - n_chars // 3) || CASE WHEN n_chars < 3 THEN '' ELSE substr(next_text, 1, n_chars // 3) END AS edited FROM pair
+),
+side AS (SELECT doc_id, 'text' AS side, text AS body FROM e UNION ALL SELECT doc_id, 'edited', edited FROM e),
+own AS (SELECT doc_id, side, unnest(list_distinct(regexp_split_to_array(lower(body), '[^\p{L}\p{N}]+'))) AS term FROM side),
+hashes AS (
+  SELECT doc_id, side, k, substr(md5(string_agg(term, ' ' ORDER BY term)), 1, 8) AS h FROM own JOIN member USING (term) GROUP BY doc_id, side, k
+),
+written AS (
+  SELECT s.doc_id, s.side, s.body, list(h.h ORDER BY r.k) AS list,
+    CASE WHEN count(h.h) = 0 THEN '=' || sha256(any_value(s.body)) ELSE string_agg(coalesce(h.h, '--------'), '' ORDER BY r.k) END AS f
+  FROM side AS s CROSS JOIN range(32) AS r(k) LEFT JOIN hashes AS h ON h.doc_id = s.doc_id AND h.side = s.side AND h.k = r.k
+  GROUP BY s.doc_id, s.side, s.body
+),
+near AS (
+  SELECT a.doc_id, a.side AS a, b.doc_id AS other, b.side AS b,
+    sum((a.h = b.h)::INT)::DOUBLE AS equal, count(*) AS both
+  FROM hashes AS a JOIN hashes AS b ON a.k = b.k AND a.side = 'text'
+    JOIN e ON e.doc_id = a.doc_id AND (b.side = 'edited' AND b.doc_id = a.doc_id OR b.side = 'text' AND b.doc_id = e.next_id)
+  GROUP BY ALL
+),
+size AS (SELECT doc_id, side, count(*) AS m FROM hashes GROUP BY ALL)
+SELECT e.doc_id, e.n_chars, sha256(e.edited) AS edited_sha256, t.f AS fingerprint, u.f AS edited_fingerprint,
+  CASE WHEN coalesce(st.m, 0) + coalesce(su.m, 0) = 0 THEN (e.text = e.edited)::INT::DOUBLE
+    ELSE coalesce(nu.equal, 0) / (coalesce(st.m, 0) + coalesce(su.m, 0) - coalesce(nu.both, 0)) END AS near_edited,
+  CASE WHEN coalesce(st.m, 0) + coalesce(sn.m, 0) = 0 THEN (e.text = e.next_text)::INT::DOUBLE
+    ELSE coalesce(nn.equal, 0) / (coalesce(st.m, 0) + coalesce(sn.m, 0) - coalesce(nn.both, 0)) END AS near_next
+FROM e
+JOIN written AS t ON t.doc_id = e.doc_id AND t.side = 'text'
+JOIN written AS u ON u.doc_id = e.doc_id AND u.side = 'edited'
+LEFT JOIN size AS st ON st.doc_id = e.doc_id AND st.side = 'text'
+LEFT JOIN size AS su ON su.doc_id = e.doc_id AND su.side = 'edited'
+LEFT JOIN size AS sn ON sn.doc_id = e.next_id AND sn.side = 'text'
+LEFT JOIN near AS nu ON nu.doc_id = e.doc_id AND nu.b = 'edited'
+LEFT JOIN near AS nn ON nn.doc_id = e.doc_id AND nn.b = 'text'
+"""
+
+
+@query
+def op9_secret_scan(spark, sf_dir):
+    from .secrets import digests, scan
+
+    return digests(scan(documents(spark, sf_dir)))
