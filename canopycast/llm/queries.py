@@ -126,3 +126,13 @@ def op9_secret_scan(spark, sf_dir):
     from .secrets import digests, scan
 
     return digests(scan(documents(spark, sf_dir)))
+
+
+@query
+def op5_language_id(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from .language_id import held_out, identify, train
+
+    docs = documents(spark, sf_dir)
+    return identify(docs, train(docs)).withColumn("held_out", held_out(F.col("doc_id")))
