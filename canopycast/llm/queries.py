@@ -136,3 +136,10 @@ def op5_language_id(spark, sf_dir):
 
     docs = documents(spark, sf_dir)
     return identify(docs, train(docs)).withColumn("held_out", held_out(F.col("doc_id")))
+
+
+@query
+def op4_ngram_join(spark, sf_dir):
+    from .ngram_join import similar
+
+    return similar(documents(spark, sf_dir))
