@@ -143,3 +143,10 @@ def op4_ngram_join(spark, sf_dir):
     from .ngram_join import similar
 
     return similar(documents(spark, sf_dir))
+
+
+@query
+def op1_substring_dedup(spark, sf_dir):
+    from .substring_dedup import repeats
+
+    return repeats(documents(spark, sf_dir))
