@@ -150,3 +150,25 @@ def op1_substring_dedup(spark, sf_dir):
     from .substring_dedup import repeats
 
     return repeats(documents(spark, sf_dir))
+
+
+@query
+def op2_mtree_search(spark, sf_dir):
+    from .mtree import top_k
+
+    return top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+ORACLES["op2_mtree_search"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda x: x[1] * x[2]))::BIGINT AS score
+  FROM v AS q, v AS c WHERE q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+) WHERE rank <= 20
+"""

@@ -61,7 +61,7 @@ def begins(gram: np.ndarray) -> np.ndarray:
 
 def paragraphs(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The text's 5-grams; where its paragraphs begin; the hash of each paragraph's words."""
-    word = words(text)
+    word = words(text.lower())
     gram = grams(word, GRAM) if len(word) >= PARAGRAPH else word[:0]
     at = begins(gram)
     at = at[at + PARAGRAPH <= len(word)]
@@ -150,8 +150,8 @@ def _grams_of(docs: DataFrame, contents: DataFrame) -> DataFrame:
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, recall: float = RECALL) -> DataFrame:
     """Passages that occur in several documents: ``doc_id, start_word, end_word, component_id, kept_doc_id, removed``.
 
-    One row per stretch of words (from 0, end exclusive) of a document; ``removed`` is false where the first occurrence, by id
-    and place, stays. Overlapping paragraphs of one decision are one stretch. ``component_id`` is one of its paragraphs'
+    One row per stretch of words (from 0, end exclusive) of a document; ``removed`` is false in the document of least id, where
+    the passage stays, as often as it stands there. Overlapping paragraphs of one decision are one stretch. ``component_id`` is one of its paragraphs'
     components. Rows of one id are one document, rows without an id are left out; null, empty and texts below
     PARAGRAPH words have no paragraph. A document without a repeated passage has no row.
     """
@@ -167,7 +167,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per
     placed = staged(occurrences.join(label, "content", "left").select("doc_id", "at", F.coalesce("component", "content").alias("component")), "occurrences")
     # a component's occurrences are added up before they meet, however many there are
     first = placed.groupBy("component").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.max("doc_id").alias("last")).where("first.doc_id < last")
-    decided = placed.join(first, "component").withColumn("removed", F.struct("doc_id", "at") != F.col("first"))
+    decided = placed.join(first, "component").withColumn("removed", F.col("doc_id") != F.col("first.doc_id"))
     order = Window.partitionBy("doc_id", "removed").orderBy("at")
     gap = F.col("at") - F.lag("at").over(order) > SPREAD
     own = decided.withColumn("new", F.coalesce(gap, F.lit(True)).cast("int")).withColumn("stretch", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
