@@ -258,3 +258,16 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "lang_pred", "score", "entropy", "rejected"])
 
     return arrow_map(text_table(docs, id_col, text_col), run, "doc_id long, lang_pred string, score double, entropy double, rejected boolean")
+
+
+def accepted(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text the model does not reject, unchanged; without a learned language all rows stay."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        for batch in batches:
+            texts = [t or "" for t in batch.column(text_col).to_pylist()]
+            yield batch.filter(pa.array([not rejected for *_, rejected in own.predict(texts)], pa.bool_()))
+
+    return arrow_map(docs, run, docs.schema) if model.languages else docs

@@ -323,3 +323,17 @@ def similar(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str = "doc_i
     nodes = classes.join(whole, "node", "left").join(least, "component", "left").join(links, "node", "left")
     nodes = nodes.select("node", F.coalesce("component_id", "least").alias("component_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     return every.join(nodes, "node", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+
+def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with the row of least id of every group of linked documents; of rows with one id that of least text.
+
+    Documents without words, and rows without an id, stay.
+    """
+    groups = similar(docs, n, percent, id_col, text_col)
+    kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
+    own = F.col(f"`{id_col}`")
+    rows = docs.join(kept, own == F.col("_id"))
+    turn = F.row_number().over(Window.partitionBy("_id").orderBy(f"`{text_col}`"))
+    rows = rows.withColumn("_turn", turn).where("_turn = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return rows.union(docs.where(own.isNull()))
