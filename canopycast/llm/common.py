@@ -31,6 +31,14 @@ def text_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that the table does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 def running_total(df: DataFrame, order: str, value: str, out: str) -> DataFrame:
     """Add the total of ``value`` over all rows with a smaller ``order``, a whole number from 0.
 

@@ -21,10 +21,10 @@ from .common import arrow_map, text_table
 
 #: Characters of an n-gram: 16 bits each make up a 64-bit key.
 ORDER = 4
-#: Rows of each language that the model is fitted on and calibrated on, about: the bound of the samples.
-FIT_ROWS, CALIBRATION_ROWS = 1500, 1500
-#: Share of the calibration texts that the limit keeps, before the allowance for short texts, and the slack in nats.
-KEPT, SLACK = 0.999, 0.25
+#: Rows of each language in the sample, about: its bound. A third of them calibrate, the others fit.
+SAMPLE_ROWS = 3000
+#: Share of the calibration texts that the limit keeps; slack in nats; standard errors that short texts may exceed it by.
+KEPT, SLACK, ERRORS = 0.999, 0.25, 4
 #: Kneser-Ney discount.
 DISCOUNT = 0.75
 #: Characters scored at a time.
@@ -164,7 +164,7 @@ class Model:
         """Set the largest accepted entropy, and what short texts may exceed it by, from texts in the learned languages."""
         if len(entropy):
             self.limit = float(np.quantile(entropy, KEPT)) + SLACK
-            self.short = float(max(0.0, np.max((entropy - self.limit) * np.sqrt(size))))
+            self.short = ERRORS * float(np.std((entropy - np.average(entropy, weights=size)) * np.sqrt(size)))
 
     def predict(self, texts: list[str]) -> list[tuple[str, float, float | None, bool]]:
         """Language, score, entropy and whether rejected. Without a letter: und, 0, null, rejected."""
@@ -186,12 +186,13 @@ def held_out(doc_id: Column) -> Column:
 
 
 def _samples(docs: DataFrame) -> DataFrame:
-    """``lang, text, fit``: about FIT_ROWS + CALIBRATION_ROWS of each language's learnable rows, by a hash of the id."""
+    """``lang, text, fit``: about SAMPLE_ROWS of each language's learnable rows, by a hash of the id."""
     rows = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull())
     sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     share = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 30)) / (1 << 30) * F.col("n")
     rows = rows.join(F.broadcast(sizes), "lang").withColumn("turn", share)
-    return rows.where(F.col("turn") < FIT_ROWS + CALIBRATION_ROWS).select("lang", "text", (F.col("turn") < FIT_ROWS).alias("fit"))
+    fit = F.pmod(F.xxhash64("doc_id", F.lit(6)), F.lit(3)) > 0
+    return rows.where(F.col("turn") < SAMPLE_ROWS).select("lang", "text", fit.alias("fit"))
 
 
 def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

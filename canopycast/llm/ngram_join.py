@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..sources.staging import staged
-from .common import arrow_map, components, equal_runs, text_table
+from .common import arrow_map, components, equal_runs, fresh, text_table
 
 #: Rows of the sample that finds hot shingles, and the share of them that makes a shingle hot.
 SAMPLE, HOT = 4096, 0.01
@@ -331,9 +331,9 @@ def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "d
     Documents without words, and rows without an id, stay.
     """
     groups = similar(docs, n, percent, id_col, text_col)
-    kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
+    key, turn = fresh(docs, "_id"), fresh(docs, "_turn")
+    kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias(key)).distinct()
     own = F.col(f"`{id_col}`")
-    rows = docs.join(kept, own == F.col("_id"))
-    turn = F.row_number().over(Window.partitionBy("_id").orderBy(f"`{text_col}`"))
-    rows = rows.withColumn("_turn", turn).where("_turn = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
-    return rows.union(docs.where(own.isNull()))
+    order = Window.partitionBy(key).orderBy(f"`{text_col}`")
+    rows = docs.join(kept, own == F.col(key)).withColumn(turn, F.row_number().over(order)).where(F.col(turn) == 1)
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns]).union(docs.where(own.isNull()))

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..sources.staging import staged
-from .common import text_table
+from .common import fresh, text_table
 
 # The kinds in their order, with pattern, group that holds the value, and shortest value.
 BASE = [
@@ -118,32 +118,30 @@ def joined_spans(spans: Column) -> Column:
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with ``mark`` in place of every live span; copied examples stay. Overlapping spans become one mark.
 
-    Ids must be unique and not null where the text has a candidate; other columns are untouched.
+    Rows of one id must be equal; rows without an id, and all other columns, are untouched.
     """
-    live = scan(docs, id_col, text_col, owner_col).select("doc_id", F.filter("spans", lambda x: x["live"]).alias("_spans")).where(F.size("_spans") > 0)
+    key, found, clean = (fresh(docs, name) for name in ("_id", "_spans", "_clean"))
+    spans = scan(docs, id_col, text_col, owner_col).select(F.col("doc_id").alias(key), F.filter("spans", lambda x: x["live"]).alias(found))
+    spans = spans.where(F.size(found) > 0).groupBy(key).agg(F.first(found).alias(found))
+    last = lambda acc: F.try_element_at(acc, F.lit(-1))
+    part = lambda start, end: F.array(F.struct(start.alias("start"), end.alias("end")))
     merged = F.aggregate(
-        "_spans",
+        found,
         F.array().cast("array<struct<start:int,end:int>>"),
         lambda acc, x: F.when(
-            (F.size(acc) > 0) & (F.try_element_at(acc, F.lit(-1))["end"] > x["start"]),
-            F.concat(
-                F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))),
-                F.array(F.struct(F.try_element_at(acc, F.lit(-1))["start"].alias("start"), F.greatest(F.try_element_at(acc, F.lit(-1))["end"], x["end"]).alias("end"))),
-            ),
-        ).otherwise(F.concat(acc, F.array(F.struct(x["start"].alias("start"), x["end"].alias("end"))))),
+            (F.size(acc) > 0) & (last(acc)["end"] > x["start"]),
+            F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), part(last(acc)["start"], F.greatest(last(acc)["end"], x["end"]))),
+        ).otherwise(F.concat(acc, part(x["start"], x["end"]))),
     )
     text = F.col(f"`{text_col}`")
-    clean = F.aggregate(
+    masked = F.aggregate(
         merged,
         F.struct(F.lit("").alias("done"), F.lit(0).alias("at")),
         lambda acc, x: F.struct(F.concat(acc["done"], F.substring(text, acc["at"] + 1, x["start"] - acc["at"]), F.lit(mark)).alias("done"), x["end"].alias("at")),
         lambda acc: F.concat(acc["done"], F.substring(text, acc["at"] + 1, F.char_length(text))),
     )
-    spans = live.groupBy(F.col("doc_id").alias("_id")).agg(F.first("_spans").alias("_spans"))
-    out = docs.join(spans, docs[f"`{id_col}`"] == spans["_id"], "left")
-    return out.withColumn("_clean", F.when(F.col("_spans").isNull(), text).otherwise(clean)).select(
-        *[F.col("_clean").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
-    )
+    out = docs.join(spans, F.col(f"`{id_col}`") == F.col(key), "left").withColumn(clean, F.when(F.col(found).isNull(), text).otherwise(masked))
+    return out.select(*[F.col(clean).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
 
 
 def digests(spans: DataFrame) -> DataFrame:

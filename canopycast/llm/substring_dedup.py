@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..sources.staging import staged
-from .common import arrow_map, components, text_table
+from .common import arrow_map, components, fresh, text_table
 from .ngram_join import FILTER_BITS, SALTS, SAMPLE, HOT, grams, mixed, words
 
 #: Words of a paragraph, and how many 5-grams in a row have one that begins a paragraph.
@@ -195,13 +195,14 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Rows of which no word is left are dropped; rows without a removed stretch are untouched.
     """
-    found = repeats(docs, id_col, text_col).where("removed").groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list(F.struct("start_word", "end_word")).alias("_cuts"))
-    joined = docs.join(found, docs[f"`{id_col}`"] == found["_id"], "left").drop("_id")
-    schema = joined.drop("_cuts").schema
+    key, mark = fresh(docs, "_id"), fresh(docs, "_cuts")
+    stretches = F.collect_list(F.struct("start_word", "end_word"))  # of one document
+    found = repeats(docs, id_col, text_col).where("removed").groupBy(F.col("doc_id").alias(key)).agg(stretches.alias(mark))
+    joined = docs.join(found, F.col(f"`{id_col}`") == F.col(key), "left").drop(key)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cuts, texts = batch.column("_cuts").to_pylist(), batch.column(text_col).to_pylist()
+            cuts, texts = batch.column(mark).to_pylist(), batch.column(text_col).to_pylist()
             texts = [t if not c or t is None else cut(t, [(x["start_word"], x["end_word"]) for x in c]) for t, c in zip(texts, cuts)]
             keep = pa.array([not c or bool(t and t.strip()) for t, c in zip(texts, cuts)])
             columns = {}
@@ -210,8 +211,8 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     columns[name] = pa.array(texts, pa.string())
                 elif name == "n_chars" and text_col == "text":
                     columns[name] = pa.array([n if not c or t is None else len(t) for n, t, c in zip(batch.column(name).to_pylist(), texts, cuts)], batch.schema.field(name).type)
-                elif name != "_cuts":
+                elif name != mark:
                     columns[name] = batch.column(name)
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns)).filter(keep)
 
-    return arrow_map(joined, run, schema)
+    return arrow_map(joined, run, docs.schema)
