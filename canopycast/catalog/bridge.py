@@ -54,6 +54,19 @@ SELECT 'ST-' || cast(l_suppkey AS varchar(20)) AS cod_cg, cast(l_shipdate AS dat
 FROM {lineitem} GROUP BY l_suppkey, cast(l_shipdate AS date)
 """
 
+# Climate of each lot: a third spelled exactly, others shorter or longer, some in two ways, some missing.
+VIEWS["clima_lots"] = """
+SELECT CASE WHEN c_custkey % 13 = 0 AND l_linenumber % 2 = 0 THEN c_mktsegment || '-' || lpad(cast(c_custkey AS varchar(20)), 9, '0')
+            WHEN c_custkey % 3 = 0 THEN c_mktsegment || '-' || lpad(cast(c_custkey AS varchar(20)), 6, '0')
+            WHEN c_custkey % 3 = 1 THEN c_mktsegment || '-' || cast(c_custkey AS varchar(20))
+            ELSE c_mktsegment || '-' || lpad(cast(c_custkey AS varchar(20)), 8, '0') END AS cod_cg,
+       cast(l_shipdate AS date) AS fecha_inicio, sum(l_quantity) AS precipitacion_sum, max(l_tax) * 500.0 AS eto_sum,
+       max(l_quantity) * 4.0 AS radiacion_sum, max(l_discount) * 300.0 AS temperatura_mean, max(l_discount) * 330.0 AS temperatura_max,
+       max(l_discount) * 250.0 AS temperatura_min, max(l_tax) * 1000.0 AS humedad_relativa
+FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey JOIN {customer} ON o_custkey = c_custkey
+WHERE c_custkey % 7 <> 0 GROUP BY 1, 2
+"""
+
 VIEWS["clima_lookup"] = """
 SELECT c_mktsegment || '-' || lpad(cast(c_custkey AS varchar(20)), 6, '0') AS cod_cg,
        'ST-' || cast(c_custkey % (SELECT count(*) + 1 FROM {supplier}) AS varchar(20)) AS climate_lote_matched

@@ -9,9 +9,9 @@ from ..config import (
     Settings, dataset_output, optical_output,
 )
 from ..functions import scalars as sc
+from ..functions.weighted import slope_sql
 from ..operators import asof, cycles, keys
 from ..plans import dataset as plan
-from ..sources.staging import staged
 from . import oracle as o
 from .registry import Views, query
 
@@ -33,10 +33,14 @@ def stac_lookup(v: Views):
     )
 
 
-def spine(v: Views):
-    """Eligible closed cycles with their matches. Open cycles are too young here to be eligible."""
-    rows = cycles.closed_spine(closed(v))
-    return staged(cycles.eligible_cycles(rows.join(stac_lookup(v), "cod_cg", "left").join(v.clima_lookup, "cod_cg", "left"), S))
+def spine(v: Views, s: Settings = S):
+    """Eligible cycles with their matches. Open cycles are old enough under YOUNG only."""
+    return plan.eligible_spine(tables(v), s)
+
+
+def by_key(v: Views) -> plan.Tables:
+    """Tables whose climate keys are spelled like lots and matched by the build itself."""
+    return plan.Tables(v.productividad, v.stac_indices, v.clima_lots, v.enso)
 
 
 def optical_days(v: Views, eligible=None, gaps=OPTICAL_INDEXES):
@@ -269,16 +273,9 @@ def _(v):
 def _(v):
     joined = asof.interval_join(spine(v), v.stac_indices, "stac_lote_matched", "lote", "fecha")
     tall = asof.unpivot_indexes(asof.with_age(joined, "fecha", S), ["cycle_uid", "age_days"])
-    value, age = F.col("index_value"), F.col("age_days")
-
-    def over(where):
-        return F.regr_slope(F.when(where, value), age)
-
-    return tall.where(value.isNotNull()).groupBy("cycle_uid", "index_name").agg(
-        over(F.lit(True)).alias("slope_0_asof"),
-        over(age <= 180).alias("slope_0_180"),
-        over(age > 180).alias("slope_181_asof"),
-    )
+    spans = {"slope_0_asof": "true", "slope_0_180": "age_days <= 180", "slope_181_asof": "age_days > 180"}
+    slopes = [F.expr(slope_sql("age_days", "1", "index_value", where)).alias(name) for name, where in spans.items()]
+    return tall.where("index_value IS NOT NULL").groupBy("cycle_uid", "index_name").agg(*slopes)
 
 
 @query("pivot_core", "SELECT * FROM optical_wide", optical_output())
@@ -399,8 +396,41 @@ def _(v):
 
 @query(
     "dataset_build",
-    f"SELECT * FROM ({DATASET_SQL}) WHERE asof_climate_coverage_ok",
+    f"SELECT * FROM ({DATASET_SQL}) WHERE asof_valid",
     DATASET_DOUBLES,
 )
 def _(v):
-    return plan.dataset(tables(v), S).where("asof_climate_coverage_ok")
+    return plan.dataset(tables(v), S, valid_only=True)
+
+
+# ---------------------------------------------------------------- open cycles, and climate matched by key
+
+
+@query("series_features_open", o.varied(f"SELECT cycle_uid, index_name, {', '.join(_STATS)} FROM optical_series", "_young"), _STATS)
+def _(v):
+    days = asof.join_daily(spine(v, YOUNG), asof.optical_daily(v.stac_indices, OPTICAL_INDEXES), "stac_lote_matched")
+    return asof.series_features(days, YOUNG).select("cycle_uid", "index_name", *_STATS)
+
+
+@query("climate_core_open", o.varied("SELECT * FROM climate_wide", "_young"), _CLIMATE)
+def _(v):
+    eligible = spine(v, YOUNG)
+    core = asof.climate_core(climate_days(v, eligible), YOUNG)
+    return asof.fill_no_climate(eligible.select("cycle_uid").join(core, "cycle_uid", "left"))
+
+
+@query("key_match_climate", "SELECT * FROM climate_by_key")
+def _(v):
+    return keys.key_match(keys.distinct_keys(v.productividad, "lote"), keys.distinct_keys(v.clima_lots, "cod_cg"), "climate")
+
+
+@query("climate_core_by_key", o.varied("SELECT * FROM climate_wide", "_by_key"), _CLIMATE)
+def _(v):
+    eligible = plan.eligible_spine(by_key(v), S)
+    days = asof.join_daily(eligible, asof.climate_daily(v.clima_lots, S), "climate_lote_matched")
+    return asof.fill_no_climate(eligible.select("cycle_uid").join(asof.climate_core(days, S), "cycle_uid", "left"))
+
+
+@query("dataset_build_by_key", o.varied(DATASET_SQL, "_by_key"), DATASET_DOUBLES)
+def _(v):
+    return plan.dataset(by_key(v), S)

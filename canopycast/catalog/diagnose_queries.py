@@ -136,7 +136,7 @@ def _(v):
     ).limit(5)
 
 
-@query("stable_sample")
+@query("stable_sample", f"SELECT {KEY}, tch, ndvi_peak FROM feature_matrix ORDER BY md5('42:' || {KEY}), {KEY} LIMIT 500", ["tch", "ndvi_peak"])
 def _(v):
     return dg.stable_sample(v.feature_matrix.select(KEY, "tch", "ndvi_peak"), KEY, 500)
 

@@ -226,3 +226,30 @@ CTES["flags"] = """SELECT e.cycle_uid, ifnull(o.optical_obs_count_0_180, 0) >= 7
  o.optical_ndvi_peak_0_180 > 0.6 AND o.optical_ndvi_amplitude_0_180 > 0.4 AS asof_ndvi_shape_ok,
  o.optical_obs_count_0_180 >= 7 AND asof_optical_gap_ok AND asof_climate_coverage_ok AND asof_cycle_duration_ok AS asof_valid
 FROM eligible e LEFT JOIN optical_wide o USING (cycle_uid) LEFT JOIN climate_wide c USING (cycle_uid)"""
+
+
+def variant(suffix: str, swap: dict[str, str]) -> None:
+    """Copies, with ``suffix``, of every expression that reads the swapped ones, reading their replacements."""
+    names = dict(swap)
+    words = {name: set(re.findall(r"[a-z_][a-z_0-9]*", text)) for name, text in CTES.items()}
+    while more := {n: f"{n}{suffix}" for n, own in words.items() if n not in names and n not in swap.values() and own & names.keys()}:
+        names |= more
+    pattern = re.compile(r"\b(" + "|".join(names) + r")\b")
+    for name, new in names.items():
+        if name not in swap:
+            CTES[new] = pattern.sub(lambda m: names[m[1]], CTES[name])
+
+
+def varied(select: str, suffix: str) -> str:
+    """A select over the copies made by ``variant``."""
+    names = [n for n in CTES if f"{n}{suffix}" in CTES]
+    return re.sub(r"\b(" + "|".join(names) + r")\b", lambda m: f"{m[1]}{suffix}", select)
+
+
+# open cycles are old enough at 60 days
+variant("_young", {"eligible": "eligible_young"})
+# climate keys spelled like lots, matched as the optical ones are
+CTES["climate_keys"] = f"SELECT DISTINCT cod_cg AS source_lote, {canon('cod_cg')} AS canonical_lote_key FROM clima_lots"
+CTES["climate_unique"] = CTES["stac_unique"].replace("stac_keys", "climate_keys")
+CTES["climate_by_key"] = CTES["stac_lookup"].replace("stac_", "climate_")
+variant("_by_key", {"climate_given": "climate_by_key", "clima": "clima_lots"})

@@ -22,9 +22,7 @@ from .splits import MAIN_SPLITS
 # Thresholds of the reports.
 NEAR_ZERO_VARIANCE = 1e-8
 MIN_CORRELATION = 0.98
-MAX_FEATURES = 1200
 TOP_INTERACTIONS = 30
-STRONG_PAIRS = 100
 MIN_GAIN = 0.02
 HIGH_MISSING = 0.95
 UNSTABLE_SHIFT = 3.0
@@ -34,7 +32,11 @@ SCORE_WEIGHTS = {"association": 0.55, "missing": 0.20, "stability": 0.15, "cover
 
 BINS = 16
 COLUMNS_PER_AGG = 250
-PAIRS_PER_PASS = 2000
+
+
+def quoted(name: str) -> str:
+    """A column name within SQL text."""
+    return "`" + name.replace("`", "``") + "`"
 
 
 def wide_stats(df: DataFrame, keys: Sequence[str], columns: Sequence[str], stats: Mapping[str, str]) -> DataFrame:
@@ -46,13 +48,10 @@ def wide_stats(df: DataFrame, keys: Sequence[str], columns: Sequence[str], stats
     for start in range(0, len(columns), COLUMNS_PER_AGG):
         batch = columns[start : start + COLUMNS_PER_AGG]
         wide = df.groupBy(*keys).agg(
-            *[F.expr(sql.format(c=f"`{c}`")).alias(f"{name}__{i}") for i, c in enumerate(batch) for name, sql in stats.items()]
+            *[F.expr(sql.format(c=quoted(c))).alias(f"{name}__{i}") for i, c in enumerate(batch) for name, sql in stats.items()]
         )
-        structs = ", ".join(
-            "named_struct('feature', '{}', {})".format(c, ", ".join(f"'{name}', {name}__{i}" for name in stats))
-            for i, c in enumerate(batch)
-        )
-        parts.append(wide.select(*keys, F.expr(f"inline(array({structs}))")))
+        structs = [F.struct(F.lit(c).alias("feature"), *[F.col(f"{name}__{i}").alias(name) for name in stats]) for i, c in enumerate(batch)]
+        parts.append(wide.select(*keys, F.inline(F.array(*structs))))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -218,10 +217,10 @@ def target_association(df: DataFrame, numeric: Sequence[str], y: str, bins: int
     pearson = wide_stats(
         train, [], numeric,
         {
-            "valid_count": f"count(CASE WHEN {y} IS NOT NULL THEN {{c}} END)",
-            "_cov": f"covar_samp({{c}}, {y})",
-            "_sx": f"stddev_samp({{c}}) FILTER (WHERE {y} IS NOT NULL)",
-            "_sy": f"stddev_samp({y}) FILTER (WHERE {{c}} IS NOT NULL)",
+            "valid_count": f"count(CASE WHEN {quoted(y)} IS NOT NULL THEN {{c}} END)",
+            "_cov": f"covar_samp({{c}}, {quoted(y)})",
+            "_sx": f"stddev_samp({{c}}) FILTER (WHERE {quoted(y)} IS NOT NULL)",
+            "_sy": f"stddev_samp({quoted(y)}) FILTER (WHERE {{c}} IS NOT NULL)",
         },
     ).withColumn("pearson", F.try_divide("_cov", F.col("_sx") * F.col("_sy")))
     ranked = rank_target(value_pairs(train, numeric, y), ["feature"], "y")
@@ -256,15 +255,16 @@ def by_association(association: DataFrame) -> DataFrame:
     )
 
 
-def top_variance(df: DataFrame, numeric: Sequence[str], n: int = MAX_FEATURES) -> DataFrame:
-    """The features that vary most among training rows; constant ones are left out."""
+def top_variance(df: DataFrame, numeric: Sequence[str], n: int | None = None) -> DataFrame:
+    """The features that vary among training rows, those that vary most first; with ``n`` only so many."""
     rows = wide_stats(df.where(F.col("split") == "train"), [], numeric, {"variance": "var_samp({c})", "mean": "avg({c})"})
-    return rows.where(F.col("variance") > 0).orderBy(F.desc("variance"), "feature").limit(n)
+    rows = rows.where(F.col("variance") > 0).orderBy(F.desc("variance"), "feature")
+    return rows if n is None else rows.limit(n)
 
 
 def stable_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """The same ``n`` rows whatever the partitioning: the smallest hashes of the key."""
-    return df.orderBy(F.xxhash64(F.lit(seed), F.col(key)), F.col(key)).limit(n)
+    """The same ``n`` rows whatever the partitioning: the smallest md5 of seed and key."""
+    return df.orderBy(F.md5(F.concat_ws(":", F.lit(seed), F.col(key).cast("string"))), F.col(key)).limit(n)
 
 
 # ---------------------------------------------------------------- redundancy
@@ -273,8 +273,7 @@ def stable_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
 def pair_sums(df: DataFrame, columns: Sequence[str], centre: Sequence[float], scale: Sequence[float]) -> DataFrame:
     """Sums over the rows where both columns of a pair are present, for all pairs of columns.
 
-    Each task multiplies its rows as matrices and sends one row per pair; the number of tasks is
-    held to the number of cores, so partial sums stay few.
+    Each task multiplies its rows as matrices and sends one row per pair, whatever the number of rows.
     """
     width = len(columns)
     left, right = np.triu_indices(width, 1)
@@ -298,8 +297,7 @@ def pair_sums(df: DataFrame, columns: Sequence[str], centre: Sequence[float], sc
             }
         )
 
-    tasks = df.sparkSession.sparkContext.defaultParallelism
-    numbers = df.select(*[F.col(f"`{c}`").cast("double") for c in columns]).coalesce(tasks)
+    numbers = df.select(*[F.col(f"`{c}`").cast("double") for c in columns])
     sums = numbers.mapInPandas(multiply, "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double")
     total = sums.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
     names = F.array(*[F.lit(c) for c in columns])
@@ -309,7 +307,7 @@ def pair_sums(df: DataFrame, columns: Sequence[str], centre: Sequence[float], sc
     )
 
 
-def _chosen(df: DataFrame, numeric: Sequence[str], max_features: int) -> list[tuple[str, float, float]]:
+def _chosen(df: DataFrame, numeric: Sequence[str], max_features: int | None) -> list[tuple[str, float, float]]:
     """Name, mean and deviation of the features to pair: one number set per column on the driver."""
     rows = top_variance(df, numeric, max_features).collect()
     return [(r["feature"], r["mean"], r["variance"] ** 0.5) for r in rows]
@@ -323,7 +321,7 @@ _EMPTY_PAIRS = "feature_a string, feature_b string, abs_corr double"
 
 
 def correlation_pairs(
-    df: DataFrame, numeric: Sequence[str], threshold: float = MIN_CORRELATION, max_features: int = MAX_FEATURES
+    df: DataFrame, numeric: Sequence[str], threshold: float = MIN_CORRELATION, max_features: int | None = None
 ) -> DataFrame:
     """Pairs of features whose absolute Pearson correlation reaches the threshold on training rows."""
     chosen = _chosen(df, numeric, max_features)
@@ -334,7 +332,7 @@ def correlation_pairs(
 
 
 def spearman_pairs(
-    df: DataFrame, key: str, numeric: Sequence[str], threshold: float = MIN_CORRELATION, max_features: int = MAX_FEATURES
+    df: DataFrame, key: str, numeric: Sequence[str], threshold: float = MIN_CORRELATION, max_features: int | None = None
 ) -> DataFrame:
     """Pairs of features whose absolute Spearman correlation reaches the threshold.
 
@@ -362,21 +360,28 @@ def spearman_pairs(
 
     sizes = F.create_map(*[F.lit(x) for c in chosen for x in (c, float(present[c]))])
     together = (F.col("n") == sizes[F.col("feature_a")]) & (F.col("n") == sizes[F.col("feature_b")])
+    # pairs with gaps in different rows: one feature is ranked again on the rows where the other is present
+    apart = staged(pairs.where(~together & (F.col("n") > 1)).select("feature_a", "feature_b"), "apart")
+    names = set()
+    for side in ("feature_a", "feature_b"):
+        names |= {r[0] for r in apart.select(side).distinct().collect()}  # at most one row per feature
     result = _strong(pairs.where(together), threshold)
-    again = [(r["feature_a"], r["feature_b"]) for r in pairs.where(~together & (F.col("n") > 1)).select("feature_a", "feature_b").collect()]
-    for start in range(0, len(again), PAIRS_PER_PASS):
-        batch = again[start : start + PAIRS_PER_PASS]
-        structs = ", ".join(
-            f"named_struct('feature_a', '{a}', 'feature_b', '{b}', 'x', `{a}`, 'y', `{b}`)" for a, b in batch
-        )
-        keys = ["feature_a", "feature_b"]
-        rows = train.select(F.expr(f"inline(array({structs}))")).where(F.col("x").isNotNull() & F.col("y").isNotNull())
-        joint = rows.groupBy(*keys, "x", "y").agg(F.count(F.lit(1)).alias("n"))
-        ranked = rank_correlation(rank_target(joint, keys, "y"), keys, "x")
-        result = result.unionByName(_strong(ranked.withColumnRenamed("spearman", "corr"), threshold))
+    for name in sorted(names):
+        own = train.where(F.col(quoted(name)).isNotNull())
+        others = [c for c in chosen if c != name and c in names]
+        result = result.unionByName(_strong(_ranked_on(own, key, name, others, apart), threshold))
     return result
 
 
+def _ranked_on(rows: DataFrame, key: str, name: str, others: Sequence[str], wanted: DataFrame) -> DataFrame:
+    """Spearman correlation of ``name`` with each later one of ``others``, over the rows where both are present."""
+    pair = wanted.where(F.col("feature_a") == name).select(F.col("feature_b").alias("feature"))
+    tall = rows.select(F.col(quoted(name)).alias("y"), *[F.col(quoted(c)) for c in others]).unpivot(["y"], list(others), "feature", "x")
+    joint = tall.where(F.col("x").isNotNull()).join(pair, "feature").groupBy("feature", "x", "y").agg(F.count(F.lit(1)).alias("n"))
+    found = rank_correlation(rank_target(joint, ["feature"], "y"), ["feature"], "x")
+    return found.select(F.lit(name).alias("feature_a"), F.col("feature").alias("feature_b"), F.col("spearman").alias("corr"))
+
+
 def minmax_score(df: DataFrame, column: str, higher_is_better: bool = True) -> Column:
     """Column scaled to 0-1 over a table with one row per feature; missing values and constants are 0."""
     low, high = df.agg(F.min(column)).scalar(), df.agg(F.max(column)).scalar()
@@ -423,7 +428,7 @@ def correlation_clusters(
         "coverage": minmax_score(evidence, "non_null_count"),
     }
     score = reduce(lambda a, b: a + b, [F.lit(SCORE_WEIGHTS[name]) * part for name, part in parts.items()])
-    # one row per feature from here on, at most MAX_FEATURES
+    # one row per feature from here on
     roots = members.agg(F.array_sort(F.collect_set("root")).alias("roots")).select(
         F.posexplode("roots").alias("place", "root")
     )
@@ -496,15 +501,17 @@ def interaction_candidates(
     # the target is ranked once: every product has a value in every row
     ranked = rank_target(rows.withColumns({"n": F.lit(1), "_all": F.lit(0)}), ["_all"], "y")
 
-    def unit(c: str) -> str:
+    def unit(c: str) -> Column:
         mean, sd = scale[c]
-        return f"((`{c}` - {mean!r}D) / {sd!r}D)"
-
-    structs = ", ".join(
-        f"named_struct('feature_a', '{a}', 'feature_b', '{b}', 'x', round({unit(a)} * {unit(b)}, {digits}))"
-        for a, b in combinations(usable, 2)
-    )
-    products = ranked.select("ry", "n", F.expr(f"inline(array({structs}))"))
+        return (F.col(quoted(c)) - F.lit(float(mean))) / F.lit(float(sd))
+
+    products = ranked.select(
+        "ry", "n",
+        F.inline(F.array(*[
+            F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.round(unit(a) * unit(b), digits).alias("x"))
+            for a, b in combinations(usable, 2)
+        ])),
+    )
     found = rank_correlation(products, ["feature_a", "feature_b"], "x")
     best = F.create_map(*[F.lit(x) for c in usable for x in (c, float(single[c] or 0.0))])
     alone = F.greatest(best[F.col("feature_a")], best[F.col("feature_b")])
@@ -545,9 +552,7 @@ def feature_sets(
     association: DataFrame, interactions: DataFrame,
 ) -> DataFrame:
     """All evidence of each feature, with one boolean per test."""
-    strong = interactions.where(F.col("interaction_gain") > MIN_GAIN).orderBy(
-        F.desc("interaction_gain"), F.desc("interaction_spearman_abs"), "feature_a", "feature_b"
-    ).limit(STRONG_PAIRS)
+    strong = interactions.where(F.col("interaction_gain") > MIN_GAIN)
     involved = strong.select(F.col("feature_a").alias("feature")).unionByName(
         strong.select(F.col("feature_b").alias("feature"))
     ).distinct().withColumn("interaction", F.lit(True))

@@ -9,6 +9,7 @@ from dataclasses import asdict, dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..functions.names import feature_names
+from ..sources.staging import staged
 
 # Markers, the column always dropped, and the rule of each column.
 OTHER = "__OTHER__"
@@ -24,8 +25,8 @@ RULES = {
 }
 # models that take text columns as they are
 NATIVE_MODELS = ("boosted_native",)
-# More columns than this are no table; larger vocabularies are applied by a join instead of a list.
-MAX_LIST = 10_000
+#: A value with at least this share of a column's counted rows is spread over SALTS parts when it meets the vocabulary.
+HOT_SHARE, SALTS = 0.01, 32
 
 
 @dataclass
@@ -38,9 +39,9 @@ class EncoderSpec:
     dropped: list[str] = field(default_factory=list)
 
 
-def resolve_mode(mode: str | None, one_hot: bool | None = None) -> str:
-    """Encoding mode; without one, ``native`` if one-hot columns are refused, else ``controlled``."""
-    found = mode.lower() if mode else ("native" if one_hot is False else "controlled")
+def resolve_mode(mode: str | None) -> str:
+    """Encoding mode in lower case; ``controlled`` without one."""
+    found = mode.lower() if mode else "controlled"
     if found not in MODES:
         raise ValueError(f"unknown encoding mode {mode!r}, expected one of {MODES}")
     return found
@@ -106,32 +107,35 @@ def fit_vocab(train: DataFrame, columns: Sequence[str], rules: Mapping[str, dict
 
 
 def vocab_lists(vocab: DataFrame) -> dict[str, list[str]]:
-    """Sorted values of each column, for a vocabulary small enough to become columns."""
-    rows = vocab.select("feature", "category").limit(MAX_LIST + 1).collect()
-    if len(rows) > MAX_LIST:
-        raise ValueError(f"more than {MAX_LIST} categories cannot become columns; use a stricter rule")
+    """Sorted values of each column, as one-hot columns need them: one entry per column that will be made."""
     lists: dict[str, list[str]] = {}
-    for row in rows:
+    for row in vocab.select("feature", "category").collect():
         lists.setdefault(row["feature"], []).append(row["category"])
     return {feature: sorted(values) for feature, values in lists.items()}
 
 
 def apply_vocab(df: DataFrame, vocab: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Replace values outside the vocabulary by a marker; missing values keep theirs."""
-    sizes = {r["feature"]: r["count"] for r in vocab.groupBy("feature").count().collect()}
-    short = [c for c in columns if sizes.get(c, 0) <= MAX_LIST]
-    known: dict[str, list[str]] = {c: [] for c in short}
-    for row in vocab.where(F.col("feature").isin(*short)).collect() if short else []:
-        known[row["feature"]].append(row["category"])
+    """Replace values outside the vocabulary by a marker; missing values keep theirs.
+
+    Every column is joined with its vocabulary, whatever its size. Missing values take no part in the join, and the
+    frequent ones, known from the counts, are spread over several parts.
+    """
+    vocab = staged(vocab, "vocabulary")
+    total = Window.partitionBy("feature")
+    parts = F.when(F.col("n") >= HOT_SHARE * F.sum("n").over(total), SALTS).otherwise(1)
+    known = vocab.withColumn("_parts", parts).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+    # at most 1 / HOT_SHARE values a column
+    hot: dict[str, list[str]] = {c: [] for c in columns}
+    for row in known.where("_parts > 1 AND _salt = 0").where(F.col("feature").isin(*columns)).collect():
+        hot[row["feature"]].append(row["category"])
     result = df.withColumns({c: text_value(df, c) for c in columns})
-    result = result.withColumns(
-        {c: F.when(F.col(c).isin(*known[c], MISSING), F.col(c)).otherwise(OTHER) for c in short}
-    )
-    for c in [c for c in columns if c not in short]:
-        values = vocab.where(F.col("feature") == c).select(F.col("category").alias("_known"))
-        joined = result.join(values, F.col(c) == F.col("_known"), "left")
+    for c in columns:
+        values = known.where(F.col("feature") == c).select(F.col("category").alias("_known"), "_salt")
+        salt = F.when(F.col(c).isin(*hot[c]), F.floor(F.rand(seed=7) * SALTS)).otherwise(0).cast("int")
+        rows = result.withColumns({"_value": F.when(F.col(c) != MISSING, F.col(c)), "_at": salt})
+        joined = rows.join(values, (F.col("_value") == F.col("_known")) & (F.col("_at") == F.col("_salt")), "left")
         value = F.when(F.col("_known").isNotNull() | (F.col(c) == MISSING), F.col(c)).otherwise(OTHER)
-        result = joined.withColumn(c, value).drop("_known")
+        result = joined.withColumn(c, value).drop("_known", "_salt", "_value", "_at")
     return result
 
 

@@ -14,12 +14,12 @@ from pyspark.ml import Model
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..config import KEY, SEASON
 from ..sources.staging import staged, staged_path
 from . import reports
-from .diagnose import column_medians, stable_sample
+from .diagnose import column_medians
 from .ranks import exact_quantiles, join_null_safe
 from .splits import fold_table
 
@@ -27,7 +27,8 @@ FEATURES, PREDICTION = "_features", "pred_tch"
 MODELS = ("ridge", "forest", "boosted")
 ALPHAS = {"pred_tch_p10": 0.10, "pred_tch_p50": 0.50, "pred_tch_p90": 0.90}
 SEED = 42
-NORMAL_EQUATION_COLUMNS = 4096
+#: Of Spark's trees.
+MAX_DEPTH = 30
 
 # Search ranges (low, high, scale) of each model.
 SPACES = {
@@ -59,26 +60,34 @@ def vectors(df: DataFrame, features: Sequence[str], medians: Mapping[str, float]
     return VectorAssembler(inputCols=list(features), outputCol=FEATURES).transform(median_impute(df, medians))
 
 
-def build_model(kind: str, params: Mapping, target: str, rows: int = 0, deviation: float = 0.0, width: int = 0):
-    """Unfitted regressor. Ridge needs the number of rows and the population deviation of the target."""
+def build_model(kind: str, params: Mapping, target: str, rows: int = 0, deviation: float = 0.0):
+    """Unfitted regressor. Ridge needs the number of rows and the population deviation of the target.
+
+    Ridge takes ``solver`` from the parameters: ``normal``, the default, holds one number per pair of columns on the driver
+    and Spark refuses more than 4096 columns; ``l-bfgs`` takes any number.
+    """
     common = {"featuresCol": FEATURES, "labelCol": target, "predictionCol": PREDICTION}
     if kind == "ridge":
-        normal = width <= NORMAL_EQUATION_COLUMNS
+        solver = params.get("solver", "normal")
+        if solver not in ("normal", "l-bfgs"):
+            raise ValueError(f"unknown ridge solver {solver!r}")
         # Spark divides the label by its deviation: the population one in the normal equation
-        scale = deviation if normal or rows < 2 else deviation * math.sqrt(rows / (rows - 1))
+        scale = deviation if solver == "normal" or rows < 2 else deviation * math.sqrt(rows / (rows - 1))
         return LinearRegression(
-            **common, elasticNetParam=0.0, standardization=False, solver="normal" if normal else "l-bfgs",
+            **common, elasticNetParam=0.0, standardization=False, solver=solver,
             regParam=float(params.get("alpha", 1.0)) / max(rows, 1) * scale,
         )
-    leaf = int(params.get("min_samples_leaf", 1))
+    leaf, depth = int(params.get("min_samples_leaf", 1)), int(params.get("max_depth", 12 if kind == "forest" else 5))
+    if depth > MAX_DEPTH:
+        raise ValueError(f"max_depth is at most {MAX_DEPTH}, not {depth}")
     if kind == "forest":
         return RandomForestRegressor(
-            **common, numTrees=int(params.get("n_estimators", 100)), maxDepth=min(30, int(params.get("max_depth", 12))),
+            **common, numTrees=int(params.get("n_estimators", 100)), maxDepth=depth,
             minInstancesPerNode=leaf, featureSubsetStrategy="all", seed=SEED,
         )
     if kind == "boosted":
         return GBTRegressor(
-            **common, maxIter=int(params.get("n_estimators", 100)), maxDepth=int(params.get("max_depth", 5)),
+            **common, maxIter=int(params.get("n_estimators", 100)), maxDepth=depth,
             stepSize=float(params.get("learning_rate", 0.1)), subsamplingRate=float(params.get("subsample", 1.0)),
             minInstancesPerNode=leaf, seed=SEED,
         )
@@ -97,7 +106,7 @@ def fit_model(
     gaps = [c for c in features if c not in set(complete)]
     medians = column_medians(rows, gaps) if gaps else {}
     stats = rows.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(target).alias("sd")).first()
-    estimator = build_model(kind, params or {}, target, stats["n"], stats["sd"] or 0.0, len(features))
+    estimator = build_model(kind, params or {}, target, stats["n"], stats["sd"] or 0.0)
     model = estimator.fit(vectors(rows, features, medians).select(FEATURES, target))
     return Fitted(kind, model, list(features), medians)
 
@@ -126,58 +135,42 @@ def load_model(spark: SparkSession, path: str) -> Fitted:
 # ---------------------------------------------------------------- intervals
 
 
-def forest_trees(model: Model) -> list[tuple[np.ndarray, ...]]:
-    """Split feature, threshold, children and prediction of the nodes of each tree.
+LEAVES = "_leaves"
 
-    The size of a forest depends on its parameters, not on the data that was read.
-    """
+
+def forest_leaves(model: Model) -> DataFrame:
+    """(tree, leaf, prediction) of a fitted forest; ``leaf`` is the number that Spark's leaf column holds."""
     spark = SparkSession.active()
     path = staged_path(spark, "forest")
     model.write().save(path)
-    node = F.col("nodeData")
-    rows = spark.read.parquet(f"{path}/data").select(
-        F.col("treeID").alias("tree"), node["id"].alias("id"), node["prediction"].alias("prediction"),
-        node["leftChild"].alias("left"), node["rightChild"].alias("right"),
-        node["split"]["featureIndex"].alias("feature"),
-        F.get(node["split"]["leftCategoriesOrThreshold"], F.lit(0)).alias("threshold"),
-    ).toPandas()
-    trees = []
-    for _, nodes in rows.groupby("tree"):
-        nodes = nodes.sort_values("id")
-        trees.append(
-            (
-                nodes["feature"].to_numpy(), nodes["threshold"].fillna(0.0).to_numpy(), nodes["left"].to_numpy(),
-                nodes["right"].to_numpy(), nodes["prediction"].to_numpy(),
-            )
-        )
-    return trees
+    nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*")
+    # Spark numbers the leaves of a tree in the order of a walk from the left, as its node ids run
+    order = Window.partitionBy("treeID").orderBy("id")
+    leaves = nodes.where("leftChild < 0").withColumn("leaf", (F.row_number().over(order) - 1).cast("double"))
+    return leaves.select(F.col("treeID").alias("tree"), "leaf", "prediction")
 
 
 def forest_quantiles(fitted: Fitted, df: DataFrame, alphas: Mapping[str, float] = ALPHAS) -> DataFrame:
-    """Quantiles over the predictions of the trees, linearly interpolated."""
+    """Quantiles over the predictions of the trees, linearly interpolated.
+
+    Spark says which leaf of each tree a row falls into; the leaves' predictions come from a join.
+    """
     if fitted.kind != "forest":
         raise ValueError("tree quantiles need a forest")
-    trees = SparkSession.active().sparkContext.broadcast(forest_trees(fitted.model))
-    shares = list(alphas.values())
-
-    @F.pandas_udf("array<double>")
-    def spread(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            x = np.stack(batch.to_numpy()) if len(batch) else np.zeros((0, 0))
-            found = np.empty((len(batch), len(trees.value)))
-            for place, (feature, threshold, left, right, prediction) in enumerate(trees.value):
-                node = np.zeros(len(batch), dtype=int)
-                moving = np.flatnonzero(left[node] >= 0)
-                while len(moving):
-                    at = node[moving]
-                    node[moving] = np.where(x[moving, feature[at]] <= threshold[at], left[at], right[at])
-                    moving = moving[left[node[moving]] >= 0]
-                found[:, place] = prediction[node]
-            yield pd.Series(list(np.quantile(found, shares, axis=1).T)) if len(batch) else pd.Series([], dtype=object)
-
-    rows = vectors(df, fitted.features, fitted.medians)
-    rows = rows.withColumn("_q", spread(vector_to_array(FEATURES))).drop(FEATURES)
-    return rows.withColumns({name: F.get("_q", F.lit(i)) for i, name in enumerate(alphas)}).drop("_q")
+    leaves = staged(forest_leaves(fitted.model), "leaves")
+    rows = fitted.model.transform(vectors(df, fitted.features, fitted.medians), {fitted.model.leafCol: LEAVES}).drop(FEATURES, PREDICTION)
+    rows = staged(rows.withColumn("_row", F.monotonically_increasing_id()).withColumn(LEAVES, vector_to_array(LEAVES)), "leaves-of-rows")
+    each = rows.select("_row", F.posexplode(LEAVES).alias("tree", "leaf"))
+    found = each.join(leaves, ["tree", "leaf"]).groupBy("_row").agg(F.sort_array(F.collect_list("prediction")).alias("_p"))
+    size = F.size("_p")
+
+    def at(alpha: float) -> Column:
+        place = (size - 1) * F.lit(float(alpha))
+        low, high = F.get("_p", F.floor(place).cast("int")), F.get("_p", F.ceil(place).cast("int"))
+        return low + (high - low) * (place - F.floor(place))
+
+    spread = found.select("_row", *[at(a).alias(name) for name, a in alphas.items()])
+    return rows.drop(LEAVES).join(spread, "_row").drop("_row")
 
 
 def interval_forecast(
@@ -281,32 +274,29 @@ def search_params(
         trials,
         "trial int, params string, objective string, mean_rmse double, mean_r2 double, std_r2 double, mean_abs_pct_diff double, score double",
     )
+    scored = [row for row in trials if row[-1] is not None]
+    if not scored:
+        raise ValueError("no candidate has a score")
     pick = max if mode == "walk_forward_r2" else min
-    best = pick(trials, key=lambda row: row[-1])
+    best = pick(scored, key=lambda row: row[-1])
     return json.loads(best[1]), table
 
 
 # ---------------------------------------------------------------- importance
 
 
-def permutation_importance(
-    fitted: Fitted, df: DataFrame, key: str = KEY, target: str = "tch", max_rows: int = 5000, seed: int = SEED
-) -> DataFrame:
-    """Rise of the error when one feature is taken from another row, for every feature in one job.
+def permutation_importance(fitted: Fitted, df: DataFrame, key: str = KEY, target: str = "tch", seed: int = SEED) -> DataFrame:
+    """Rise of the error when one feature is taken from another row, over all rows with a target, in one job.
 
-    Works on a fixed sample of at most ``max_rows`` rows.
+    The other row is the next one in the order of a hash of the key; the last row takes the first.
     """
-    sample = stable_sample(df.where(F.col(target).isNotNull()), key, max_rows, seed)
-    rows = vectors(sample, fitted.features, fitted.medians).select(
-        F.col(key).alias("_key"), F.col(target).alias("_y"), vector_to_array(FEATURES).alias("_x")
-    )
-    # places run over the sample only
-    by_hash = Window.partitionBy(F.lit(0)).orderBy(F.xxhash64(F.lit(seed + 1), "_key"), "_key")
-    by_other = Window.partitionBy(F.lit(0)).orderBy(F.xxhash64(F.lit(seed + 2), "_key"), "_key")
-    rows = staged(rows.withColumns({"_place": F.row_number().over(by_hash), "_mate": F.row_number().over(by_other)}), "importance")
-    mates = rows.select(F.col("_place").alias("_mate"), F.col("_x").alias("_other"))
+    rows = vectors(df.where(F.col(target).isNotNull()), fitted.features, fitted.medians)
+    rows = rows.select(F.col(key).alias("_key"), F.col(target).alias("_y"), vector_to_array(FEATURES).alias("_x"))
+    rows = staged(hash_place(rows, "_key", seed), "importance")
+    total = rows.count()
+    mates = rows.select(F.pmod(F.col("_place") - 1, F.lit(max(total, 1))).alias("_place"), F.col("_x").alias("_other"))
     width = len(fitted.features)
-    trials = rows.join(mates, "_mate").withColumn("_f", F.explode(F.sequence(F.lit(-1), F.lit(width - 1))))
+    trials = rows.join(mates, "_place").withColumn("_f", F.explode(F.sequence(F.lit(-1), F.lit(width - 1))))
     mixed = F.transform("_x", lambda x, i: F.when(i == F.col("_f"), F.get("_other", i)).otherwise(x))
     scored = fitted.model.transform(trials.withColumn(FEATURES, array_to_vector(mixed)))
     error = F.col(PREDICTION) - F.col("_y")
@@ -316,3 +306,17 @@ def permutation_importance(
     return errors.where("_f >= 0").select(
         F.get(names, F.col("_f")).alias("feature"), (F.col("rmse") - base).alias("rmse_increase")
     )
+
+
+def hash_place(rows: DataFrame, key: str, seed: int) -> DataFrame:
+    """Add ``_place``: the place of each row, from 0, when ordered by md5 of seed and key, then key.
+
+    Rows are counted within parts of even size that the first digits of the hash give.
+    """
+    mark = F.md5(F.concat_ws(":", F.lit(seed), F.col(key).cast("string")))
+    parted = rows.withColumn("_mark", mark).withColumn("_part", F.substring("_mark", 1, 3))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per part, 4096 at most
+    parts = parted.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    parts = parts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy("_mark", key)) - 1
+    return parted.withColumn("_in", inside).join(parts, "_part").withColumn("_place", F.col("_in") + F.col("_base")).drop("_mark", "_part", "_in", "_base")

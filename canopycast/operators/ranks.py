@@ -8,14 +8,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..sources.staging import staged
 
-# A window of one group is sorted by one task. Below this estimate of the input that is harmless;
-# above it groups are cut into value ranges first.
-DIRECT_BYTES = 256 * 1024 * 1024
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Spark's own size estimate of a DataFrame, the one that decides automatic broadcasts."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+#: Value ranges per group. Their limits are estimates of even cuts; results do not depend on them.
+RANGES = 64
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -25,37 +19,31 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str
     return left.join(other, on, how).drop(*[f"_right_{k}" for k in keys])
 
 
-def running_counts(
-    counts: DataFrame, keys: list[str], value: str, n: str = "n", direct_bytes: int = DIRECT_BYTES
-) -> DataFrame:
+def running_counts(counts: DataFrame, keys: list[str], value: str, n: str = "n") -> DataFrame:
     """Add ``before``: how many rows of the group have a smaller value.
 
-    ``counts`` has one row per group and distinct value. Large inputs are sorted into value ranges
-    of even size; each range counts on its own and is shifted by the total of the ranges below.
+    ``counts`` has one row per group and distinct numeric value. Each group is cut into value ranges; each range counts
+    on its own and is shifted by the total of the ranges below, so no task sorts a whole group.
     """
-    before = (Window.unboundedPreceding, -1)
-    if estimated_bytes(counts) <= direct_bytes:
-        window = Window.partitionBy(*keys).orderBy(value).rowsBetween(*before)
-        return counts.withColumn("before", F.coalesce(F.sum(n).over(window), F.lit(0)))
-    # staged, because a second sampling of the ranges could cut elsewhere
-    ranges = staged(
-        counts.repartitionByRange(*keys, value).withColumn("_range", F.spark_partition_id()), "ranges"
-    )
-    totals = ranges.groupBy(*keys, "_range").agg(F.sum(n).alias("_total"))
-    lower = Window.partitionBy(*keys).orderBy("_range").rowsBetween(*before)
+    cuts = [i / RANGES for i in range(1, RANGES)]
+    limits = counts.groupBy(*keys).agg(F.percentile_approx(value, cuts).alias("_limits"))
+    # written once: both uses below must see the same limits, and there is one row per group
+    limits = staged(limits, "limits")
+    rows = join_null_safe(counts, limits, keys) if keys else counts.withColumn("_limits", limits.scalar())
+    rows = rows.withColumn("_range", F.size(F.filter("_limits", lambda x: x < F.col(value)))).drop("_limits")
+    lower = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = rows.groupBy(*keys, "_range").agg(F.sum(n).alias("_total"))
     totals = totals.withColumn("_shift", F.coalesce(F.sum("_total").over(lower), F.lit(0))).drop("_total")
-    inside = Window.partitionBy(*keys, "_range").orderBy(value).rowsBetween(*before)
-    rows = ranges.withColumn("_inside", F.coalesce(F.sum(n).over(inside), F.lit(0)))
+    inside = Window.partitionBy(*keys, "_range").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("_inside", F.coalesce(F.sum(n).over(inside), F.lit(0)))
     joined = join_null_safe(rows, totals, [*keys, "_range"])
     return joined.select(*counts.columns, (F.col("_inside") + F.col("_shift")).alias("before"))
 
 
-def average_ranks(
-    rows: DataFrame, keys: list[str], value: str, direct_bytes: int = DIRECT_BYTES
-) -> DataFrame:
+def average_ranks(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Average rank of each distinct value in its group, with the number of rows that have it."""
     counts = rows.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
-    ranked = running_counts(counts, keys, value, direct_bytes=direct_bytes)
+    ranked = running_counts(counts, keys, value)
     return ranked.select(*keys, value, "n", (F.col("before") + (F.col("n") + 1) / 2).alias("avg_rank"))
 
 
@@ -65,14 +53,13 @@ def exact_quantiles(
     value: str,
     probabilities: dict[str, float],
     n: str = "n",
-    direct_bytes: int = DIRECT_BYTES,
 ) -> DataFrame:
     """Exact quantiles per group with linear interpolation; one column per name in ``probabilities``.
 
     ``counts`` has one row per group and distinct value, without NULL values.
     """
     totals = counts.groupBy(*keys).agg(F.sum(n).alias("_rows"))
-    ranked = running_counts(counts, keys, value, n, direct_bytes)
+    ranked = running_counts(counts, keys, value, n)
     rows = join_null_safe(ranked, totals, keys) if keys else ranked.withColumn("_rows", totals.scalar())
 
     columns, wanted = [], F.lit(False)

@@ -19,7 +19,7 @@ def test_vocabulary_sees_training_rows_only(rows, monkeypatch):
     assert [tuple(r) for r in vocab.collect()] == [("c", "a", 2)]
     want = ["__MISSING__", "__OTHER__", "__OTHER__", "__OTHER__", "a", "a"]
     assert sorted(r["c"] for r in enc.apply_vocab(rows, vocab, ["c"]).collect()) == want
-    monkeypatch.setattr(enc, "MAX_LIST", 0)
+    monkeypatch.setattr(enc, "HOT_SHARE", 2.0)
     assert sorted(r["c"] for r in enc.apply_vocab(rows, vocab, ["c"]).collect()) == want
 
 
@@ -49,7 +49,7 @@ def test_modes(rows):
         enc.resolve_mode("other")
     with pytest.raises(ValueError):
         enc.check_mode("native", "ridge")
-    assert enc.resolve_mode(None, False) == "native" and enc.resolve_mode(None) == "controlled"
+    assert enc.resolve_mode("Native") == "native" and enc.resolve_mode(None) == "controlled"
     df = rows.withColumns({"flag": F.col("c") == "a", "prod_finca": F.lit("x")})
     spec = enc.encoder_spec(["c", "flag", "prod_finca"], "native")
     out = enc.encode(df, spec, keep=["split"])

@@ -34,7 +34,7 @@ def test_forest_quantiles_come_from_the_trees(rows):
 
 def test_importance_finds_the_strong_feature(rows):
     fitted = models.fit_model(rows, ["u", "v", "w"], "tch", "ridge", {"alpha": 0.1})
-    found = {r["feature"]: r["rmse_increase"] for r in models.permutation_importance(fitted, rows, max_rows=200).collect()}
+    found = {r["feature"]: r["rmse_increase"] for r in models.permutation_importance(fitted, rows).collect()}
     assert found["u"] > found["v"] > found["w"] > 0
 
 
@@ -47,6 +47,8 @@ def test_rows_without_target_are_scored_and_models_reload(spark, rows, tmp_path)
     assert models.score_rows(again, open_rows).agg(F.sum("pred_tch")).first()[0] == pytest.approx(first)
     with pytest.raises(ValueError):
         models.build_model("other", {}, "tch")
+    with pytest.raises(ValueError, match="max_depth"):
+        models.build_model("forest", {"max_depth": 99}, "tch")
 
 
 def test_interval_by_season(spark):

@@ -80,10 +80,11 @@ def values(spark):
     return pdf, spark.createDataFrame(pdf)
 
 
-@pytest.mark.parametrize("limit", [0, ranks.DIRECT_BYTES])
-def test_average_ranks(values, limit):
+@pytest.mark.parametrize("pieces", [2, 64])
+def test_average_ranks(values, pieces, monkeypatch):
+    monkeypatch.setattr(ranks, "RANGES", pieces)
     pdf, df = values
-    found = ranks.average_ranks(df, ["g"], "v", direct_bytes=limit).toPandas()
+    found = ranks.average_ranks(df, ["g"], "v").toPandas()
     pdf = pdf.assign(g=pdf["g"].fillna("-"))
     pdf["r"] = pdf.groupby("g")["v"].rank()
     want = pdf.groupby(["g", "v"])["r"].agg(["first", "size"])
@@ -91,13 +92,23 @@ def test_average_ranks(values, limit):
     assert np.allclose(found["avg_rank"], want["first"]) and (found["n"] == want["size"]).all()
 
 
-@pytest.mark.parametrize("limit", [0, ranks.DIRECT_BYTES])
-def test_exact_quantiles(values, limit):
+@pytest.mark.parametrize("pieces", [2, 64])
+def test_exact_quantiles(values, pieces, monkeypatch):
+    monkeypatch.setattr(ranks, "RANGES", pieces)
     pdf, df = values
     counts = df.groupBy("g", "v").agg(F.count("*").alias("n"))
-    found = ranks.exact_quantiles(counts, ["g"], "v", {"low": 0.1, "mid": 0.5, "high": 0.9}, direct_bytes=limit).collect()
+    found = ranks.exact_quantiles(counts, ["g"], "v", {"low": 0.1, "mid": 0.5, "high": 0.9}).collect()
     for r in found:
         mine = pdf["v"][pdf["g"].isna() if r["g"] is None else pdf["g"] == r["g"]]
         assert (r["low"], r["mid"], r["high"]) == pytest.approx(tuple(np.quantile(mine, [0.1, 0.5, 0.9])))
-    total = ranks.exact_quantiles(df.groupBy("v").agg(F.count("*").alias("n")), [], "v", {"mid": 0.5}, direct_bytes=limit).first()
+    total = ranks.exact_quantiles(df.groupBy("v").agg(F.count("*").alias("n")), [], "v", {"mid": 0.5}).first()
     assert total["mid"] == pdf["v"].median()
+
+
+def test_ranks_of_skewed_and_constant_groups(spark):
+    rng = np.random.default_rng(3)
+    skewed = np.concatenate([rng.exponential(1, 3000), [1e9] * 5, rng.normal(1e-9, 1e-12, 500)])
+    pdf = pd.concat([pd.DataFrame({"g": "skew", "v": skewed}), pd.DataFrame({"g": "one", "v": [4.5] * 700}), pd.DataFrame({"g": "few", "v": [1.0, 2.0]})])
+    found = ranks.average_ranks(spark.createDataFrame(pdf), ["g"], "v").toPandas().set_index(["g", "v"]).sort_index()
+    pdf["r"] = pdf.groupby("g")["v"].rank()
+    assert np.allclose(found["avg_rank"], pdf.groupby(["g", "v"])["r"].first())
