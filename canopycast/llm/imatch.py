@@ -42,8 +42,10 @@ def lexicon(docs: DataFrame, rarest: int = RAREST, commonest: int = COMMONEST, s
     # at most COUNT_BUCKETS rows
     heavy = staged(each.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") * rarest >= n).select("bucket"), "heavy")
     counts = each.join(F.broadcast(heavy), "bucket").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    # written before the subsets are worked out, so that this is done once per term and not once per occurrence
+    words = staged(counts.where((F.col("df") * rarest >= n) & (F.col("df") * commonest <= n)), "lexicon")
     member = F.filter(F.sequence(F.lit(0), F.lit(subsets - 1)), lambda k: F.substring(F.md5(F.concat_ws(":", k, "term")), 1, 2) < F.when(k % 2 == 0, below[0]).otherwise(below[1]))
-    return counts.where((F.col("df") * rarest >= n) & (F.col("df") * commonest <= n)).withColumn("subsets", member)
+    return words.withColumn("subsets", member)
 
 
 def lexicon_table(words: DataFrame) -> Column:
