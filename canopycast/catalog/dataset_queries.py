@@ -48,9 +48,10 @@ def optical_days(v: Views, eligible=None, gaps=OPTICAL_INDEXES):
     return asof.join_daily(eligible, asof.optical_daily(v.stac_indices, gaps), "stac_lote_matched")
 
 
-def climate_days(v: Views, eligible=None):
-    eligible = spine(v) if eligible is None else eligible
-    return asof.join_daily(eligible, asof.climate_daily(v.clima, S), "climate_lote_matched")
+def climate(v: Views, eligible, raw=None, s: Settings = S):
+    """Climate features of every eligible cycle, those without climate rows included."""
+    core = asof.climate_features(eligible, asof.climate_daily(v.clima if raw is None else raw, s), s)
+    return asof.fill_no_climate(eligible.select("cycle_uid").join(core, "cycle_uid", "left"))
 
 
 # ---------------------------------------------------------------- scalars
@@ -158,7 +159,7 @@ _RATES = [f"climate_{n}_per_day_0_asof" for n in ("precip", "eto", "rad", "water
 )
 def _(v):
     eligible = spine(v)
-    rows = asof.fill_no_climate(eligible.join(asof.climate_core(climate_days(v, eligible), S), "cycle_uid", "left"))
+    rows = eligible.join(climate(v, eligible), "cycle_uid")
     return rows.select(
         "cycle_uid",
         *[sc.per_day(F.col(r.replace("per_day", "acc")), F.col("as_of_age_days")).alias(r) for r in _RATES],
@@ -293,9 +294,7 @@ _CLIMATE = [c for c in CLIMATE_OUTPUT if "per_day" not in c]
 
 @query("climate_core", "SELECT * FROM climate_wide", _CLIMATE)
 def _(v):
-    eligible = spine(v)
-    rows = eligible.select("cycle_uid").join(asof.climate_core(climate_days(v, eligible), S), "cycle_uid", "left")
-    return asof.fill_no_climate(rows)
+    return climate(v, spine(v))
 
 
 @query("enso_core", "SELECT * FROM ocean_wide", list(OCEAN_OUTPUT))
@@ -414,9 +413,7 @@ def _(v):
 
 @query("climate_core_open", o.varied("SELECT * FROM climate_wide", "_young"), _CLIMATE)
 def _(v):
-    eligible = spine(v, YOUNG)
-    core = asof.climate_core(climate_days(v, eligible), YOUNG)
-    return asof.fill_no_climate(eligible.select("cycle_uid").join(core, "cycle_uid", "left"))
+    return climate(v, spine(v, YOUNG), s=YOUNG)
 
 
 @query("key_match_climate", "SELECT * FROM climate_by_key")
@@ -426,9 +423,7 @@ def _(v):
 
 @query("climate_core_by_key", o.varied("SELECT * FROM climate_wide", "_by_key"), _CLIMATE)
 def _(v):
-    eligible = plan.eligible_spine(by_key(v), S)
-    days = asof.join_daily(eligible, asof.climate_daily(v.clima_lots, S), "climate_lote_matched")
-    return asof.fill_no_climate(eligible.select("cycle_uid").join(asof.climate_core(days, S), "cycle_uid", "left"))
+    return climate(v, plan.eligible_spine(by_key(v), S), v.clima_lots)
 
 
 @query("dataset_build_by_key", o.varied(DATASET_SQL, "_by_key"), DATASET_DOUBLES)

@@ -7,7 +7,7 @@ or a window, and distinct-day counts become plain counts.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -40,11 +40,13 @@ def interval_join(
     day = F.unix_date(F.col(date))
     rows = series.where(F.col(date).isNotNull()).withColumn("_bucket", F.floor(day / bucket_days))
     first, last = (F.floor(F.unix_date(F.col(c)) / bucket_days) for c in (START, AS_OF))
+    carried = [c for c in cycles.columns if c not in series.columns or c == series_key]
     wanted = cycles.select(
-        F.col(UID).alias("_uid"),
         F.col(cycle_key).alias("_key"),
         F.col(START).alias("_start"),
         F.col(AS_OF).alias("_as_of"),
+        F.col(UID).alias("_uid"),
+        *([F.struct(*carried).alias("_cycle")] if how == "inner" else []),
         F.explode(F.sequence(first, last)).alias("_cycle_bucket"),
     )
     matched = wanted.join(
@@ -52,9 +54,11 @@ def interval_join(
         (F.col("_key") == F.col(series_key))
         & (F.col("_cycle_bucket") == F.col("_bucket"))
         & F.col(date).between(F.col("_start"), F.col("_as_of")),
-    ).drop("_key", "_start", "_as_of", "_cycle_bucket", "_bucket", series_key)
-    kept = cycles.drop(*[c for c in matched.columns if c in cycles.columns])
-    return kept.join(matched, F.col(UID) == F.col("_uid"), how).drop("_uid")
+    )
+    values = [F.col(c) for c in series.columns if c != series_key]
+    if how == "inner":
+        return matched.select("_cycle.*", *values)
+    return cycles.select(*carried).join(matched.select("_uid", *values), F.col(UID) == F.col("_uid"), how).drop("_uid")
 
 
 def with_age(rows: DataFrame, date: str, s: Settings = DEFAULTS) -> DataFrame:
@@ -149,23 +153,43 @@ def dated_between(raw: DataFrame, date: str, cycles: DataFrame) -> DataFrame:
     return raw.where(F.col(date).cast("date").between(first, last))
 
 
+#: Days of a time bucket, half of the shorter age span.
+DAY_BUCKET = 64
+
+
 def join_daily(cycles: DataFrame, daily: DataFrame, matched: str) -> DataFrame:
     """Daily rows inside each cycle, with their age.
 
-    Eligible cycles of a lot do not overlap and days are distinct, so a key has a bounded number
-    of rows on the daily side and a cycle at most ``max_age_days + 1`` rows in the result.
+    Key and time bucket are the equi-join key, so the cycles of a key with a long history, such as a shared station,
+    spread over its buckets, and each meets the days near it only.
     """
+    first, last = (F.floor(F.unix_date(F.col(c)) / DAY_BUCKET) for c in (START, AS_OF))
     wanted = cycles.where(F.col(matched).isNotNull()).select(UID, START, AS_OF, "as_of_age_days", matched)
+    wanted = wanted.withColumn("_cycle_bucket", F.explode(F.sequence(first, last)))
+    rows = daily.withColumn("_bucket", F.floor(F.unix_date("day") / DAY_BUCKET))
     return (
         wanted.join(
-            daily,
-            (F.col(matched) == F.col("source_lote")) & F.col("day").between(F.col(START), F.col(AS_OF)),
+            rows,
+            (F.col(matched) == F.col("source_lote"))
+            & (F.col("_cycle_bucket") == F.col("_bucket"))
+            & F.col("day").between(F.col(START), F.col(AS_OF)),
         )
         .withColumn("age_days", F.datediff("day", START).cast("double"))
-        .drop(matched, "source_lote")
+        .drop(matched, "source_lote", "_bucket", "_cycle_bucket")
     )
 
 
+def per_window(cycles: DataFrame, matched: str, core: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Features of each cycle that depend on its matched key and two dates only.
+
+    ``core`` sees every distinct window once, so a station that many cycles share costs no more than its windows, which
+    the calendar bounds. Cycles without a match have no row.
+    """
+    own = cycles.where(F.col(matched).isNotNull()).withColumn("_window", F.concat_ws("|", matched, START, AS_OF))
+    windows = own.groupBy(F.col("_window").alias(UID)).agg(*[F.first(c).alias(c) for c in (START, AS_OF, "as_of_age_days", matched)])
+    return own.select(UID, "_window").join(core(windows).withColumnRenamed(UID, "_window"), "_window").drop("_window")
+
+
 # ---------------------------------------------------------------- optical features
 
 
@@ -300,6 +324,11 @@ def climate_core(joined: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
     return joined.groupBy(UID).agg(*[F.expr(f"{sql} AS climate_{name}") for name, sql in stats.items()])
 
 
+def climate_features(cycles: DataFrame, daily: DataFrame, s: Settings = DEFAULTS, matched: str = "climate_lote_matched") -> DataFrame:
+    """Climate features of each matched cycle, worked out once per distinct station and dates."""
+    return per_window(cycles, matched, lambda windows: climate_core(join_daily(windows, daily, matched), s))
+
+
 def fill_no_climate(rows: DataFrame) -> DataFrame:
     """Values of a cycle without climate rows: counts 0 and degree days 0, the rest stays NULL."""
     zero = [f"climate_pentad_count_{span}" for span in ("0_asof", "0_180", "181_asof")]

@@ -47,23 +47,21 @@ def previous_closing(rows: DataFrame, tiebreak: str = "cod_cg_zafra_original") -
     others to the shared day. The window runs over the distinct days of a lot, whose number is
     bounded by the calendar, never over its rows.
     """
-    order = F.struct(F.col(tiebreak), F.xxhash64(*rows.columns))
-    days = rows.groupBy(LOT, CLOSING).agg(F.min(order).alias("_first"))
+    place = F.row_number().over(Window.partitionBy(LOT, CLOSING).orderBy(tiebreak, F.xxhash64(*rows.columns)))
+    days = rows.select(LOT, CLOSING).distinct()
     days = days.withColumn("_earlier", F.lag(CLOSING).over(Window.partitionBy(LOT).orderBy(CLOSING)))
     return (
-        rows.withColumn("_order", order)
+        rows.withColumn("_place", place)
         .join(days, [LOT, CLOSING])
-        .withColumn(
-            "previous_fecha_cierre",
-            F.when(F.col("_order") == F.col("_first"), F.col("_earlier")).otherwise(F.col(CLOSING)),
-        )
-        .drop("_order", "_first", "_earlier")
+        .withColumn("previous_fecha_cierre", F.when(F.col("_place") == 1, F.col("_earlier")).otherwise(F.col(CLOSING)))
+        .drop("_place", "_earlier")
     )
 
 
-def closed_cycles(production: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
-    """One row per closed cycle. Exact copies of a production record count once."""
-    rows = previous_closing(production.where(F.col(CLOSING).isNotNull()).dropDuplicates())
+def closed_cycles(production: DataFrame, s: Settings = DEFAULTS, drop_copies: bool = False) -> DataFrame:
+    """One row per production record with a closing date; with ``drop_copies`` exact copies count once."""
+    rows = production.where(F.col(CLOSING).isNotNull())
+    rows = previous_closing(rows.dropDuplicates() if drop_copies else rows)
     rows = rows.withColumn(
         "fecha_inicio_baseline", baseline_start(F.col(CLOSING), F.col("prod_edad_meses"), s.days_per_month)
     ).withColumn(

@@ -75,11 +75,10 @@ def dataset(t: Tables, s: Settings = DEFAULTS, valid_only: bool = False) -> Data
     optical_days = asof.optical_daily(asof.dated_between(t.optical, "fecha", spine), ["ndvi"])
     climate_days = asof.climate_daily(asof.dated_between(t.climate, "fecha_inicio", spine), s)
     optical = asof.join_daily(spine, optical_days, "stac_lote_matched")
-    climate = asof.join_daily(spine, climate_days, "climate_lote_matched")
     rows = assemble(
         cycles.flag_duplicate_keys(spine),
         asof.optical_core(optical, s),
-        asof.climate_core(climate, s),
+        asof.climate_features(spine, climate_days, s),
         asof.ocean_core(spine, t.ocean, s),
         s,
     )

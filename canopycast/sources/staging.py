@@ -1,4 +1,7 @@
-"""Staged tables in the shared folder, which outlive the executors that wrote them."""
+"""Staged tables in the shared folder, which outlive the executors that wrote them.
+
+They last until ``release`` is called, which whoever started the session does when its results are written.
+"""
 
 from __future__ import annotations
 
@@ -30,6 +33,15 @@ def staged_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
+def release(spark: SparkSession) -> None:
+    """Remove everything this application has staged. DataFrames that read staged tables end with it."""
+    from pyarrow import fs
+
+    filesystem, path = fs.FileSystem.from_uri(f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
+    if filesystem.get_file_info(path).type != fs.FileType.NotFound:
+        filesystem.delete_dir(path)
+
+
 def staged(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write the rows once and read them back, so several consumers share one computation."""
     spark = df.sparkSession

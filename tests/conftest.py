@@ -12,4 +12,7 @@ def spark():
 
     spark = session(threads=8, partitions=4)
     yield spark
+    from canopycast.sources.staging import release
+
+    release(spark)
     spark.stop()

@@ -123,3 +123,21 @@ def test_ocean_range_has_both_ends(spark):
     assert row["enso_month_count_asof"] == 4.0
     assert row["enso_oni_precycle_mean"] == -90.5 and row["enso_oni_asof_mean"] == 100.0
     assert row["enso_oni_abs_max_asof"] == 200.0
+
+
+def test_one_station_for_most_cycles(spark):
+    """Windows that many cycles share are worked out once; results are those of the plain join."""
+    days = "sequence(date '2020-01-01', date '2021-12-31', interval 5 days)"
+    raw = spark.sql(
+        f"SELECT s AS cod_cg, explode({days}) AS fecha_inicio, 1.5D AS precipitacion_sum, 0.5D AS eto_sum, 2D AS radiacion_sum,"
+        " 20D AS temperatura_mean, 25D AS temperatura_max, 15D AS temperatura_min, 60D AS humedad_relativa FROM values ('hot'), ('cold') AS t(s)"
+    )
+    cycles = spark.range(900).selectExpr(
+        "concat('c', id) AS cycle_uid", "CASE WHEN id % 30 = 0 THEN 'cold' WHEN id % 31 = 0 THEN NULL ELSE 'hot' END AS climate_lote_matched",
+        "date_add(date '2020-02-01', cast(id % 7 AS int)) AS fecha_inicio_ciclo", "date_add(date '2020-12-01', cast(id % 5 AS int)) AS as_of_date",
+    ).withColumn("as_of_age_days", F.datediff("as_of_date", "fecha_inicio_ciclo").cast("double"))
+    daily = asof.climate_daily(raw)
+    got = asof.climate_features(cycles, daily).toPandas().set_index("cycle_uid").sort_index()
+    want = asof.climate_core(asof.join_daily(cycles, daily, "climate_lote_matched")).toPandas().set_index("cycle_uid").sort_index()
+    assert len(got) == cycles.where("climate_lote_matched IS NOT NULL").count()
+    assert ((got[want.columns] - want).abs().fillna(0) < 1e-9).all().all()

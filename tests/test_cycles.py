@@ -40,7 +40,9 @@ def test_previous_closing_with_ties_and_copies(spark):
             ("L-1", "low", "2024-03-01", 12.0, 19.9),
         ],
     )
-    rows = cycles.closed_cycles(cycles.production_rows(raw)).collect()
+    every = sorted((r["cod_cg_zafra_original"], r["previous_fecha_cierre"]) for r in cycles.closed_cycles(cycles.production_rows(raw)).where("cod_cg_zafra_original <> 'k1'").collect())
+    assert every == [("k2", dt.date(2022, 1, 10)), ("k2", dt.date(2023, 2, 1)), ("k3", dt.date(2023, 2, 1)), ("k4", dt.date(2023, 2, 1))]
+    rows = cycles.closed_cycles(cycles.production_rows(raw), drop_copies=True).collect()
     found = {r["cod_cg_zafra_original"]: r["previous_fecha_cierre"] for r in rows}
     assert len(rows) == 4
     assert found == {
