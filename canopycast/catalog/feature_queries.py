@@ -105,6 +105,21 @@ def _(v):
     return ft.feature_table(v.feature_matrix, order_by=["cod_cg"]).df
 
 
+_REPEATED = f"SELECT * EXCLUDE ({KEY}), cod_cg || ':' || zafra_norm AS {KEY} FROM feature_matrix WHERE tch IS NOT NULL"
+
+
+@query(
+    "feature_table_first",
+    f"SELECT {', '.join([KEY, 'cod_cg', 'zafra_norm', 'area', 'tch', *TABLE_NUMBERS, *TABLE_TEXT])} FROM ({_REPEATED})"
+    f" QUALIFY row_number() OVER (PARTITION BY {KEY} ORDER BY tch, ndvi_peak, trend) = 1",
+    ["area", "tch", *TABLE_NUMBERS],
+)
+def _(v):
+    """Several orders of a customer and season share a key: the first by a total order stays."""
+    rows = v.feature_matrix.withColumn(KEY, F.concat_ws(":", "cod_cg", "zafra_norm"))
+    return ft.feature_table(rows, order_by=["tch", "ndvi_peak", "trend"]).df
+
+
 @query(
     "light_features",
     f"""SELECT {KEY}, stac_ndvi_promedio_late_mean - stac_ndvi_promedio_early_mean AS stac_ndvi_promedio_late_minus_early_mean,
@@ -223,11 +238,16 @@ def _(v):
     return enc.one_hot(v.feature_matrix.select(KEY, "prod_ingenio"), lists, ["prod_ingenio"])
 
 
+_MODE_COLUMNS = [KEY, "ndvi_peak", "prod_variedad", "prod_variedad_V1", "prod_variedad_MISSING", "prod_variedad_OTHER"]
+
+
 @query(
     "encode_modes",
-    f"""SELECT 'native' AS mode, {KEY}, ndvi_peak, ifnull(prod_variedad, '__MISSING__') AS prod_variedad, NULL AS prod_ingenio_OTHER FROM feature_matrix
-    UNION ALL SELECT 'none', {KEY}, ndvi_peak, NULL, NULL FROM feature_matrix
-    UNION ALL SELECT 'controlled', {KEY}, ndvi_peak, NULL, 0 FROM feature_matrix""",
+    f"""SELECT 'native' AS mode, {KEY}, ndvi_peak, ifnull(prod_variedad, '__MISSING__') AS prod_variedad, NULL AS "prod_variedad_V1",
+    NULL AS "prod_variedad_MISSING", NULL AS "prod_variedad_OTHER" FROM feature_matrix
+    UNION ALL SELECT 'none', {KEY}, ndvi_peak, NULL, NULL, NULL, NULL FROM feature_matrix
+    UNION ALL SELECT 'controlled', {KEY}, ndvi_peak, NULL, ({_known('prod_variedad')} = 'V1')::INTEGER,
+    ({_known('prod_variedad')} = '__MISSING__')::INTEGER, ({_known('prod_variedad')} = '__OTHER__')::INTEGER FROM feature_matrix""",
     ["ndvi_peak"],
 )
 def _(v):
@@ -237,8 +257,7 @@ def _(v):
     for mode in ("native", "none", "controlled"):
         spec = enc.encoder_spec(names, mode)
         part = enc.encode(rows, spec, vocab(v) if mode == "controlled" else None)
-        kept = [c for c in (KEY, "ndvi_peak", "prod_variedad", "prod_ingenio_OTHER") if c in part.columns]
-        part = part.select(F.lit(mode).alias("mode"), *kept)
+        part = part.select(F.lit(mode).alias("mode"), *[c for c in _MODE_COLUMNS if c in part.columns])
         result = part if result is None else result.unionByName(part, allowMissingColumns=True)
     return result
 
