@@ -24,7 +24,7 @@ RULES = {
     "prod_codigo_zae": {"strategy": "min_count", "min_count": 30},
 }
 # models that take text columns as they are
-NATIVE_MODELS = ("boosted_native",)
+NATIVE_MODELS = ("forest", "boosted")
 #: A value with at least this share of a column's counted rows is spread over SALTS parts when it meets the vocabulary.
 HOT_SHARE, SALTS = 0.01, 32
 

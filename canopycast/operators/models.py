@@ -11,15 +11,16 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.ml import Model
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..config import KEY, SEASON
 from ..sources.staging import staged, staged_path
 from . import reports
 from .diagnose import column_medians
+from .encode import check_mode
 from .ranks import exact_quantiles, join_null_safe
 from .splits import fold_table
 
@@ -49,6 +50,10 @@ class Fitted:
     model: Model
     features: list[str]
     medians: dict[str, float]
+    indexer: StringIndexerModel | None = None
+
+    def vectors(self, df: DataFrame) -> DataFrame:
+        return vectors(df, self.features, self.medians, self.indexer)
 
 
 def median_impute(df: DataFrame, medians: Mapping[str, float]) -> DataFrame:
@@ -56,8 +61,17 @@ def median_impute(df: DataFrame, medians: Mapping[str, float]) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(float(m))) for c, m in medians.items()})
 
 
-def vectors(df: DataFrame, features: Sequence[str], medians: Mapping[str, float]) -> DataFrame:
-    return VectorAssembler(inputCols=list(features), outputCol=FEATURES).transform(median_impute(df, medians))
+def index_column(name: str) -> str:
+    return f"_index_{name}"
+
+
+def vectors(df: DataFrame, features: Sequence[str], medians: Mapping[str, float], indexer: StringIndexerModel | None = None) -> DataFrame:
+    """Assembled features. With an indexer text features enter as category numbers, marked as categories for trees."""
+    texts = indexer.getInputCols() if indexer else []
+    rows = median_impute(df, medians)
+    rows = indexer.transform(rows) if indexer else rows
+    inputs = [index_column(c) if c in texts else c for c in features]
+    return VectorAssembler(inputCols=inputs, outputCol=FEATURES).transform(rows).drop(*map(index_column, texts))
 
 
 def build_model(kind: str, params: Mapping, target: str, rows: int = 0, deviation: float = 0.0):
@@ -100,27 +114,38 @@ def fit_model(
 ) -> Fitted:
     """Fit on rows with a target. Missing features take the median of the training rows.
 
-    ``complete`` names features that are never missing, such as 0/1 columns.
+    ``complete`` names features that are never missing, such as 0/1 columns. Trees take text features as categories; values
+    not seen in training share one more category.
     """
     rows = train.where(F.col(target).isNotNull())
-    gaps = [c for c in features if c not in set(complete)]
+    texts = [c for c in features if isinstance(rows.schema[c].dataType, T.StringType)]
+    if texts:
+        check_mode("native", kind)
+    gaps = [c for c in features if c not in {*complete, *texts}]
     medians = column_medians(rows, gaps) if gaps else {}
     stats = rows.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(target).alias("sd")).first()
     estimator = build_model(kind, params or {}, target, stats["n"], stats["sd"] or 0.0)
-    model = estimator.fit(vectors(rows, features, medians).select(FEATURES, target))
-    return Fitted(kind, model, list(features), medians)
+    indexer = None
+    if texts:
+        indexer = StringIndexer(inputCols=texts, outputCols=[index_column(c) for c in texts], handleInvalid="keep").fit(rows)
+        # a tree needs a bin for every category
+        estimator = estimator.setMaxBins(max(estimator.getMaxBins(), *[len(labels) + 1 for labels in indexer.labelsArray]))
+    model = estimator.fit(vectors(rows, features, medians, indexer).select(FEATURES, target))
+    return Fitted(kind, model, list(features), medians, indexer)
 
 
 def score_rows(fitted: Fitted, df: DataFrame, target: str = "tch") -> DataFrame:
     """Predictions of every row in one pass, with ``actual_tch``; rows without target are scored too."""
-    rows = fitted.model.transform(vectors(df, fitted.features, fitted.medians)).drop(FEATURES)
+    rows = fitted.model.transform(fitted.vectors(df)).drop(FEATURES)
     return rows.withColumnRenamed(target, "actual_tch")
 
 
 def save_model(fitted: Fitted, path: str) -> None:
     fitted.model.write().overwrite().save(f"{path}/model")
     spark = SparkSession.active()
-    text = json.dumps({"kind": fitted.kind, "features": fitted.features, "medians": fitted.medians})
+    if fitted.indexer:
+        fitted.indexer.write().overwrite().save(f"{path}/categories")
+    text = json.dumps({"kind": fitted.kind, "features": fitted.features, "medians": fitted.medians, "categories": bool(fitted.indexer)})
     spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/inputs")
 
 
@@ -129,7 +154,8 @@ def load_model(spark: SparkSession, path: str) -> Fitted:
 
     found = json.loads(spark.read.text(f"{path}/inputs").first()["value"])
     reader = dict(zip(MODELS, (LinearRegressionModel, RandomForestRegressionModel, GBTRegressionModel)))
-    return Fitted(found["kind"], reader[found["kind"]].load(f"{path}/model"), found["features"], found["medians"])
+    indexer = StringIndexerModel.load(f"{path}/categories") if found.get("categories") else None
+    return Fitted(found["kind"], reader[found["kind"]].load(f"{path}/model"), found["features"], found["medians"], indexer)
 
 
 # ---------------------------------------------------------------- intervals
@@ -158,7 +184,7 @@ def forest_quantiles(fitted: Fitted, df: DataFrame, alphas: Mapping[str, float]
     if fitted.kind != "forest":
         raise ValueError("tree quantiles need a forest")
     leaves = staged(forest_leaves(fitted.model), "leaves")
-    rows = fitted.model.transform(vectors(df, fitted.features, fitted.medians), {fitted.model.leafCol: LEAVES}).drop(FEATURES, PREDICTION)
+    rows = fitted.model.transform(fitted.vectors(df), {fitted.model.leafCol: LEAVES}).drop(FEATURES, PREDICTION)
     rows = staged(rows.withColumn("_row", F.monotonically_increasing_id()).withColumn(LEAVES, vector_to_array(LEAVES)), "leaves-of-rows")
     each = rows.select("_row", F.posexplode(LEAVES).alias("tree", "leaf"))
     found = each.join(leaves, ["tree", "leaf"]).groupBy("_row").agg(F.sort_array(F.collect_list("prediction")).alias("_p"))
@@ -290,7 +316,7 @@ def permutation_importance(fitted: Fitted, df: DataFrame, key: str = KEY, target
 
     The other row is the next one in the order of a hash of the key; the last row takes the first.
     """
-    rows = vectors(df.where(F.col(target).isNotNull()), fitted.features, fitted.medians)
+    rows = fitted.vectors(df.where(F.col(target).isNotNull()))
     rows = rows.select(F.col(key).alias("_key"), F.col(target).alias("_y"), vector_to_array(FEATURES).alias("_x"))
     rows = staged(hash_place(rows, "_key", seed), "importance")
     total = rows.count()

@@ -14,6 +14,7 @@ from ..operators.features import Matrix
 from ..operators.ranks import join_null_safe
 from ..sources.io import write_reports
 from ..sources.staging import staged
+from . import diagnostics
 
 
 @dataclass(frozen=True)
@@ -38,6 +39,8 @@ class Options:
     quantiles: bool = True
     importance: bool = False
     min_rows: int = 30
+    # report on the features too, next to the model
+    diagnostics: bool = False
 
 
 @dataclass(frozen=True)
@@ -50,14 +53,26 @@ class Run:
     reports: dict[str, DataFrame]
 
 
+def split_rows(matrix: Matrix, o: Options) -> DataFrame:
+    """The columns that are used, with the split of each row, staged."""
+    used = list(dict.fromkeys([KEY, SEASON, *matrix.metadata, o.target, *matrix.numeric, *matrix.categorical]))
+    df = splits.temporal_split(matrix.df, o.train, o.validation, o.test, o.external)
+    return staged(df.select(*[c for c in used if c in df.columns], "split"), "matrix")
+
+
+def diagnose_features(matrix: Matrix, options: Options = Options(), df: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Feature reports before any encoding; a step of its own, or part of a run with ``diagnostics``."""
+    df = split_rows(matrix, options) if df is None else df
+    return diagnostics.diagnose(df, KEY, options.target, matrix.numeric, matrix.categorical).reports
+
+
 def train(matrix: Matrix, options: Options = Options()) -> Run:
     """Fit on the training split and report every split, the external seasons included."""
     o = options
     enc.check_mode(enc.resolve_mode(o.mode), o.kind)
     if o.walk_forward:
         reports.resolve_objective(o.objective, True)
-    df = splits.temporal_split(matrix.df, o.train, o.validation, o.test, o.external)
-    df = staged(df, "matrix")
+    df = split_rows(matrix, o)
     rows = splits.require_splits(df)
 
     spec = enc.encoder_spec(matrix.categorical, o.mode)
@@ -99,6 +114,8 @@ def train(matrix: Matrix, options: Options = Options()) -> Run:
     found = make_reports(predictions, o)
     if trials is not None:
         found["search_trials"] = trials
+    if o.diagnostics:
+        found |= diagnose_features(matrix, o, df)
     if o.quantiles:
         found |= quantile_reports(fitted, encoded, predictions, found["metrics_by_zafra"], o)
     found["metrics_by_zafra_aggregate"] = reports.aggregate_season_metrics(found["metrics_by_zafra"])

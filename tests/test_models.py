@@ -56,3 +56,33 @@ def test_interval_by_season(spark):
     df = spark.createDataFrame(data, "split string, zafra_norm string, actual_tch double, pred_tch double")
     row = models.interval_forecast(df, by=["zafra_norm"]).where("split = 'test'").first()
     assert (row["pred_tch_p10"], row["pred_tch_p50"], row["pred_tch_p90"]) == (101.0, 105.0, 109.0)
+
+
+def test_trees_take_categories(spark, tmp_path):
+    effect = {"a": 10.0, "b": 50.0, "c": 30.0}
+    data = [(f"k{i}", c, float(i % 7), effect[c] + i % 7) for i in range(300) for c in ["abc"[i % 3]]]
+    rows = spark.createDataFrame(data, "cod_cg_zafra string, soil string, u double, tch double")
+    fitted = models.fit_model(rows, ["soil", "u"], "tch", "forest", {"n_estimators": 5, "max_depth": 6})
+    new = spark.createDataFrame([("x", "a", 1.0, None), ("y", "b", 1.0, None), ("z", "never seen", 1.0, None)], rows.schema)
+    models.save_model(fitted, str(tmp_path))
+    for own in (fitted, models.load_model(spark, str(tmp_path))):
+        found = {r["cod_cg_zafra"]: r["pred_tch"] for r in models.score_rows(own, new).collect()}
+        assert abs(found["x"] - 11) < 3 and abs(found["y"] - 51) < 3 and found["z"] is not None
+    assert models.score_rows(fitted, new).columns == [*[c if c != "tch" else "actual_tch" for c in rows.columns], "pred_tch"]
+    assert models.forest_quantiles(fitted, new).count() == 3
+    with pytest.raises(ValueError, match="ridge"):
+        models.fit_model(rows, ["soil", "u"], "tch", "ridge")
+
+
+def test_feature_reports_before_encoding(spark):
+    from canopycast.operators.features import Matrix
+    from canopycast.plans import training
+
+    data = [(f"k{i}", f"{2000 + i % 4}_{2001 + i % 4}", float(i % 11), float(i % 5), "ab"[i % 2], float(i % 11) + 50) for i in range(200)]
+    df = spark.createDataFrame(data, "cod_cg_zafra string, zafra_norm string, u double, v double, soil string, tch double")
+    seasons = [f"{y}_{y + 1}" for y in range(2000, 2004)]
+    matrix = Matrix(df, ["u", "v"], ["soil"], ["cod_cg_zafra", "zafra_norm"])
+    options = training.Options(train=seasons[:2], validation=seasons[2:3], test=seasons[3:])
+    found = training.diagnose_features(matrix, options)
+    rows = {r["feature"]: r["target_association_score"] for r in found["feature_univariate_target_association"].collect()}
+    assert rows["u"] > 0.99 > rows["v"] and found["feature_missing_rate"].count() == 3
