@@ -188,8 +188,13 @@ def _families(exposed: DataFrame) -> DataFrame:
     heads = first.where("hot").select("turn", "token", "rep").distinct()
     heads = heads.withColumn("top", F.min("rep").over(Window.partitionBy("turn", "token"))).where("rep <> top")
     links = staged(links.union(heads.select("turn", F.col("rep").alias("a"), F.col("top").alias("b"))).distinct(), "prefix-links")
-    one, two = (components(links.where(F.col("turn") == turn)).withColumnRenamed("component", f"c{turn}") for turn in (1, 2))
-    return one.join(two, "node").select("node", F.xxhash64("c1", "c2").alias("family"))
+    # both orders at once: a node under an order is a node of its own
+    own = lambda c: F.xxhash64("turn", c)
+    label = components(links.select(own("a").alias("a"), own("b").alias("b")))
+    nodes = links.select("turn", F.col("a").alias("node")).union(links.select("turn", F.col("b").alias("node"))).distinct()
+    placed = nodes.withColumn("own", own("node")).join(label.withColumnRenamed("node", "own"), "own")
+    both = placed.groupBy("node").agg(*[F.max(F.when(F.col("turn") == turn, F.col("component"))).alias(f"c{turn}") for turn in (1, 2)])
+    return both.where("c1 IS NOT NULL AND c2 IS NOT NULL").select("node", F.xxhash64("c1", "c2").alias("family"))
 
 
 def _blocks(members: DataFrame, percent: int) -> DataFrame:
