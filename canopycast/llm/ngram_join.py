@@ -128,7 +128,8 @@ _TOKENS = "token long, node long, turn int, hot boolean, need int, cold int"
 
 def _prefix_rows(docs: DataFrame, n: int, percent: int, hot: np.ndarray) -> DataFrame:
     """The counted shingles of each set, and the later ones that its prefix reaches under either order."""
-    part = np.uint64(min(1.0, 2 * (1 - percent / 100)) * (2**64 - 1025))
+    # a tenth more of the shingles than a prefix holds, so that most sets fill theirs from counted ones
+    part = np.uint64(min(1.0, 1.1 - percent / 100) * (2**64 - 1025))
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(hot)
 
