@@ -3,8 +3,8 @@
 Passages repeat at any place of a text, so a paragraph here is a run of PARAGRAPH words that begins where the text itself
 says: at the least 5-gram hash of any SPREAD neighbouring ones. A passage of SPREAD - 1 + PARAGRAPH = 50 words or more has
 the same paragraphs wherever it stands. Paragraphs that share a band of their MinHash signature are compared by exact
-Jaccard similarity of their 5-grams, similar ones are joined into components, and of each component that occurs in several
-documents the first occurrence stays.
+Jaccard similarity of their 5-grams and similar ones joined into components. Of a component that occurs in several documents
+the paragraphs go that an earlier document has too.
 """
 
 from __future__ import annotations
@@ -107,11 +107,11 @@ def _hot_keys(docs: DataFrame, bands: int, rows: int) -> np.ndarray:
 def _candidates(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Paragraphs whose key occurs in several documents, ``doc_id, at, content``; and pairs ``a, b`` of contents to compare.
 
-    Each content is paired with the least one of its key, and with the one before it.
+    Each content is paired with the one that its key has in the first document, and with the one before it.
     """
     group = Window.partitionBy("key", "salt")
     marked = rows.select(
-        "*", F.min("content").over(group).alias("head"), F.lag("content").over(group.orderBy("content")).alias("previous"),
+        "*", F.min(F.struct("doc_id", "at", "content")).over(group)["content"].alias("head"), F.lag("content").over(group.orderBy("content")).alias("previous"),
         F.min("doc_id").over(group).alias("low"), F.max("doc_id").over(group).alias("high"),
     ).where("low < high OR salt > 0")
     marked = staged(marked.drop("low", "high"), "marked")
@@ -150,8 +150,9 @@ def _grams_of(docs: DataFrame, contents: DataFrame) -> DataFrame:
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, recall: float = RECALL) -> DataFrame:
     """Passages that occur in several documents: ``doc_id, start_word, end_word, component_id, kept_doc_id, removed``.
 
-    One row per stretch of words (from 0, end exclusive) of a document; ``removed`` is false in the document of least id, where
-    the passage stays, as often as it stands there. Overlapping paragraphs of one decision are one stretch. ``component_id`` is one of its paragraphs'
+    One row per stretch of words (from 0, end exclusive) of a document. Paragraphs of one component that reaches several
+    documents are repeats; ``removed`` are those that a document of smaller id has too, or one similar to it, so what goes has
+    its like in ``kept_doc_id`` at the time of the decision. Overlapping paragraphs of one decision are one stretch. ``component_id`` is one of its paragraphs'
     components. Rows of one id are one document, rows without an id are left out; null, empty and texts below
     PARAGRAPH words have no paragraph. A document without a repeated passage has no row.
     """
@@ -163,17 +164,24 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per
     both = pairs.join(gram.select(F.col("content").alias("a"), F.col("grams").alias("ga")), "a").join(gram.select(F.col("content").alias("b"), F.col("grams").alias("gb")), "b")
     shared = F.size(F.array_intersect("ga", "gb"))
     links = both.where(100 * shared >= percent * (F.size("ga") + F.size("gb") - shared)).select("a", "b")
+    links = staged(links, "paragraph-links")
     label = components(links).withColumnRenamed("node", "content")
-    placed = staged(occurrences.join(label, "content", "left").select("doc_id", "at", F.coalesce("component", "content").alias("component")), "occurrences")
-    # a component's occurrences are added up before they meet, however many there are
-    first = placed.groupBy("component").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.max("doc_id").alias("last")).where("first.doc_id < last")
-    decided = placed.join(first, "component").withColumn("removed", F.col("doc_id") != F.col("first.doc_id"))
+    # the first document of each content, and the first one that has it or one linked with it
+    own = staged(occurrences.groupBy("content").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")), "contents")
+    near = links.union(links.select("b", "a")).toDF("content", "other").join(own.select(F.col("content").alias("other"), F.col("low").alias("near")), "other")
+    near = near.groupBy("content").agg(F.min("near").alias("near"))
+    kept = own.join(label, "content", "left").join(near, "content", "left")
+    kept = kept.select("content", F.coalesce("component", "content").alias("component"), F.least("low", "near").alias("kept"), "low", "high")
+    # a component is reported if it reaches several documents; a paragraph goes only if an earlier document has it or one like it
+    reach = kept.groupBy("component").agg(F.min("low").alias("least"), F.max("high").alias("most")).where("least < most")
+    kept = staged(kept.join(reach, "component").select("content", "component", "kept"), "kept")
+    decided = occurrences.join(kept, "content").withColumn("removed", F.col("kept") < F.col("doc_id"))
     order = Window.partitionBy("doc_id", "removed").orderBy("at")
     gap = F.col("at") - F.lag("at").over(order) > SPREAD
     own = decided.withColumn("new", F.coalesce(gap, F.lit(True)).cast("int")).withColumn("stretch", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     return own.groupBy("doc_id", "removed", "stretch").agg(
         F.min("at").cast("long").alias("start_word"), (F.max("at") + PARAGRAPH).cast("long").alias("end_word"),
-        F.min("component").alias("component_id"), F.min("first.doc_id").alias("kept_doc_id"),
+        F.min("component").alias("component_id"), F.min("kept").alias("kept_doc_id"),
     ).select("doc_id", "start_word", "end_word", "component_id", "kept_doc_id", "removed")
 
 
