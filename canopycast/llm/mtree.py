@@ -23,7 +23,7 @@ from ..sources.staging import staged
 from .common import arrow_map, equal_runs
 
 #: Rows of the sample, routers among them, vectors of a subtree, entries of a page, queries of a block.
-SAMPLE, ROUTERS, SUBTREE, PAGE, BLOCK = 2048, 32, 4096, 64, 256
+SAMPLE, ROUTERS, SUBTREE, PAGE, BLOCK = 2048, 32, 4096, 256, 256
 #: Relative allowance for the rounding of distances.
 SLACK = 1e-7
 
