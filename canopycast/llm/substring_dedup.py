@@ -4,7 +4,7 @@ Passages repeat at any place of a text, so a paragraph here is a run of PARAGRAP
 says: at the least 5-gram hash of any SPREAD neighbouring ones. A passage of SPREAD - 1 + PARAGRAPH = 50 words or more has
 the same paragraphs wherever it stands. Paragraphs that share a band of their MinHash signature are compared by exact
 Jaccard similarity of their 5-grams and similar ones joined into components. Of a component that occurs in several documents
-the paragraphs go that an earlier document has too.
+the paragraphs of the first document stay and all others go.
 """
 
 from __future__ import annotations
@@ -151,8 +151,8 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per
     """Passages that occur in several documents: ``doc_id, start_word, end_word, component_id, kept_doc_id, removed``.
 
     One row per stretch of words (from 0, end exclusive) of a document. Paragraphs of one component that reaches several
-    documents are repeats; ``removed`` are those that a document of smaller id has too, or one similar to it, so what goes has
-    its like in ``kept_doc_id`` at the time of the decision. Overlapping paragraphs of one decision are one stretch. ``component_id`` is one of its paragraphs'
+    documents are repeats; ``removed`` are all but those in ``kept_doc_id``, the component's document of smallest id, also where
+    they are like it only through others between. Overlapping paragraphs of one decision are one stretch. ``component_id`` is one of its paragraphs'
     components. Rows of one id are one document, rows without an id are left out; null, empty and texts below
     PARAGRAPH words have no paragraph. A document without a repeated passage has no row.
     """
@@ -166,15 +166,12 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per
     links = both.where(100 * shared >= percent * (F.size("ga") + F.size("gb") - shared)).select("a", "b")
     links = staged(links, "paragraph-links")
     label = components(links).withColumnRenamed("node", "content")
-    # the first document of each content, and the first one that has it or one linked with it
-    own = staged(occurrences.groupBy("content").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")), "contents")
-    near = links.union(links.select("b", "a")).toDF("content", "other").join(own.select(F.col("content").alias("other"), F.col("low").alias("near")), "other")
-    near = near.groupBy("content").agg(F.min("near").alias("near"))
-    kept = own.join(label, "content", "left").join(near, "content", "left")
-    kept = kept.select("content", F.coalesce("component", "content").alias("component"), F.least("low", "near").alias("kept"), "low", "high")
-    # a component is reported if it reaches several documents; a paragraph goes only if an earlier document has it or one like it
-    reach = kept.groupBy("component").agg(F.min("low").alias("least"), F.max("high").alias("most")).where("least < most")
-    kept = staged(kept.join(reach, "component").select("content", "component", "kept"), "kept")
+    # the first document of each component keeps its paragraphs; components of one document are no repeats
+    own = occurrences.groupBy("content").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+    own = own.join(label.withColumn("linked", F.lit(True)), "content", "left").where("low < high OR linked")
+    own = staged(own.select("content", F.coalesce("component", "content").alias("component"), "low", "high"), "contents")
+    reach = own.groupBy("component").agg(F.min("low").alias("kept"), F.max("high").alias("most")).where("kept < most")
+    kept = staged(own.join(reach, "component").select("content", "component", "kept"), "kept")
     decided = occurrences.join(kept, "content").withColumn("removed", F.col("kept") < F.col("doc_id"))
     order = Window.partitionBy("doc_id", "removed").orderBy("at")
     gap = F.col("at") - F.lag("at").over(order) > SPREAD
