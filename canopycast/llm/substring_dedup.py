@@ -18,16 +18,20 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..sources.staging import staged
 from .common import arrow_map, components, fresh, text_table
-from .ngram_join import FILTER_BITS, SALTS, SAMPLE, HOT, grams, mixed, words
+from .ngram_join import FILTER_BITS, _blocks, _verify, grams, mixed, words
 
 #: Words of a paragraph, and how many 5-grams in a row have one that begins a paragraph.
 PARAGRAPH, SPREAD, GRAM = 24, 27, 5
 #: Least similarity, in percent, and the recall that the bands must have for it.
 PERCENT, RECALL = 80, 0.95
+#: Hashes of a band: so many that what shares a band key is mostly similar.
+ROWS = 4
 #: Words whose positions are handled at a time.
 STRETCH = 1 << 22
 #: Paragraphs that one task has sent and does not send again to be compared.
 SENT = 200_000
+_BASE = np.uint64(0xD1342543DE82EF95)
+_UNBASE = np.uint64(pow(int(_BASE), -1, 2**64))
 
 
 def tune_bands(percent: int = PERCENT, recall: float = RECALL, rows: int = 1) -> int:
@@ -59,92 +63,147 @@ def begins(gram: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate(found))
 
 
-def paragraphs(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The text's 5-grams; where its paragraphs begin; the hash of each paragraph's words."""
+def joined_hash(word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Running sums and powers from which ``run_hash`` has the hash of any run of words."""
+    power = np.full(len(word) + 1, _BASE)
+    power[0] = 1
+    total = np.zeros(len(word) + 1, np.uint64)
+    np.cumsum(word * np.cumprod(power)[:-1], out=total[1:])
+    power[1:] = _UNBASE
+    return total, np.cumprod(power)
+
+
+def run_hash(joined: tuple[np.ndarray, np.ndarray], low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Hash of the words from ``low`` to before ``high``, for whole arrays of places."""
+    total, back = joined
+    return mixed(mixed((total[high] - total[low]) * back[low], 11) + (high - low).astype(np.uint64), 11)
+
+
+def units(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray]]:
+    """The text's 5-grams; where its paragraphs begin, how many words they have, the hash of these; and ``joined_hash``."""
     word = words(text.lower())
-    gram = grams(word, GRAM) if len(word) >= PARAGRAPH else word[:0]
+    gram = grams(word, GRAM) if len(word) >= GRAM else word[:0]
     at = begins(gram)
     at = at[at + PARAGRAPH <= len(word)]
-    content = np.zeros(len(at), np.uint64)
-    for k in [*range(0, PARAGRAPH - GRAM, GRAM), PARAGRAPH - GRAM]:  # these 5-grams hold all its words
-        content = mixed(content * np.uint64(3) + gram[at + k], 11)
-    return gram, at, content
+    size = np.full(len(at), PARAGRAPH)
+    joined = joined_hash(word)
+    return gram, at, size, run_hash(joined, at, at + size), joined
 
 
-def _band_rows(docs: DataFrame, bands: int, hot: np.ndarray | None) -> DataFrame:
-    """``key, salt, doc_id, at, content``: a row for each paragraph and band. Hot keys are salted."""
-    shared = docs.sparkSession.sparkContext.broadcast(hot if hot is not None else np.zeros(0, np.uint64))
+def _least_in(x: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Minimum of x[low:high] for each of the ranges, none of them empty."""
+    out = np.zeros(len(low), np.uint64)
+    short = high - low == PARAGRAPH - GRAM + 1
+    if short.any():
+        out[short] = _least(x, PARAGRAPH - GRAM + 1)[low[short]]
+    if not short.all():
+        ends = np.stack([low[~short], high[~short]], 1).ravel()
+        out[~short] = np.minimum.reduceat(np.append(x, np.uint64(2**64 - 1)), ends)[::2]
+    return out
+
+
+def _unit_rows(docs: DataFrame) -> DataFrame:
+    """``content, doc_id, at, size``: a row for each paragraph."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent = shared.value
         for batch in batches:
-            rows: list[list[np.ndarray]] = [[] for _ in range(5)]
+            rows: list[list[np.ndarray]] = [[] for _ in range(4)]
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                gram, at, content = paragraphs(text)
-                if not len(at):
-                    continue
-                for band in range(bands):
-                    key = mixed(_least(mixed(gram, band + 1), PARAGRAPH - GRAM + 1)[at] + np.uint64(band), 13)
-                    place = np.minimum(np.searchsorted(frequent, key), max(0, len(frequent) - 1))
-                    salted = frequent[place] == key if len(frequent) else np.zeros(len(key), bool)
-                    for column, value in zip(rows, (key.view(np.int64), np.where(salted, 1 + doc_id % SALTS, 0), np.full(len(at), doc_id), at, content.view(np.int64))):
-                        column.append(value)
+                _, at, size, content, _ = units(text)
+                for column, value in zip(rows, (content.view(np.int64), np.full(len(at), doc_id, np.int64), at, size)):
+                    column.append(value)
             if rows[0]:
-                key, salt, doc_id, at, content = map(np.concatenate, rows)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(salt, pa.int32()), pa.array(doc_id, pa.int64()), pa.array(at, pa.int32()), pa.array(content)], ["key", "salt", "doc_id", "at", "content"])
+                content, doc_id, at, size = map(np.concatenate, rows)
+                yield pa.RecordBatch.from_arrays([pa.array(content), pa.array(doc_id), pa.array(at, pa.int32()), pa.array(size, pa.int32())], ["content", "doc_id", "at", "size"])
 
-    return arrow_map(docs, run, "key long, salt int, doc_id long, at int, content long")
+    return arrow_map(docs, run, "content long, doc_id long, at int, size int")
 
 
-def _hot_keys(docs: DataFrame, bands: int, rows: int) -> np.ndarray:
-    """Keys of at least HOT of the paragraphs' documents in a sample; they are only grouped in two steps."""
-    rate = min(1.0, SAMPLE / max(rows, 1))
-    sample = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(1 << 30)) < int(rate * (1 << 30)))
-    found = _band_rows(sample, bands, None).groupBy("key").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") >= max(8, int(HOT * rate * rows)))
-    return np.sort(found.select("key").toArrow().column("key").to_numpy().view(np.uint64))
+def _band_rows(docs: DataFrame, bands: int) -> DataFrame:
+    """``key, content``: a row for each paragraph and band; a content that a task has sent lately is not sent again."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        salt = mixed(np.arange(2 * bands * ROWS, dtype=np.uint64), 17) | np.uint64(1)
+        sent: set[int] = set()
+        for batch in batches:
+            parts: list[list[np.ndarray]] = [[] for _ in range(4)]
+            start = 0
+            for text in batch.column("text").to_pylist():
+                gram, at, size, content, _ = units(text)
+                if len(sent) > SENT:
+                    sent.clear()
+                new = np.array([len(sent) < (sent.add(c), len(sent))[1] for c in content.tolist()], bool)
+                if new.any():
+                    for column, value in zip(parts, (gram, start + at[new], start + at[new] + size[new] - GRAM + 1, content[new])):
+                        column.append(value)
+                    start += len(gram)
+            if not start:
+                continue
+            gram, low, high, content = map(np.concatenate, parts)
+            for band in range(bands):
+                key = np.full(len(low), band, np.uint64)
+                for k in range(2 * band * ROWS, 2 * (band + 1) * ROWS, 2):
+                    key = mixed(key * np.uint64(3) + _least_in((gram ^ salt[k]) * salt[k + 1], low, high), 13)
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(content.view(np.int64))], ["key", "content"])
+
+    return arrow_map(docs.select("text"), run, "key long, content long")
+
+
+def _families(rows: DataFrame) -> DataFrame:
+    """``family, node``: the contents of each band key that has several; keys with the same contents are one family."""
+    group = Window.partitionBy("key")
+    met = rows.withColumn("low", F.min("content").over(group)).withColumn("high", F.max("content").over(group)).where("low < high")
+    met = staged(met.select("key", "content").distinct(), "met")
+    alike = met.groupBy("key").agg(F.xxhash64(F.count(F.lit(1)), F.bit_xor(F.xxhash64("content")), F.sum(F.shiftright("content", 20))).alias("family"))
+    return met.join(alike, "key").select("family", F.col("content").alias("node")).distinct()
+
+
+def _bits(contents: DataFrame) -> np.ndarray:
+    """FILTER_BITS bits, set where a content falls."""
+    bit = F.pmod("content", F.lit(FILTER_BITS))
+    found = contents.groupBy(F.shiftright(bit, 5).alias("w")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(content, {FILTER_BITS}) & 31 AS int))")).alias("bits")).toArrow()
+    bits = np.zeros(FILTER_BITS // 32, np.uint32)
+    bits[found.column("w").to_numpy()] = found.column("bits").to_numpy().astype(np.uint32)
+    return bits
 
-def _candidates(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Paragraphs whose key occurs in several documents, ``doc_id, at, content``; and pairs ``a, b`` of contents to compare.
 
-    Each content is paired with the one that its key has in the first document, and with the one before it.
-    """
-    group = Window.partitionBy("key", "salt")
-    marked = rows.select(
-        "*", F.min(F.struct("doc_id", "at", "content")).over(group)["content"].alias("head"), F.lag("content").over(group.orderBy("content")).alias("previous"),
-        F.min("doc_id").over(group).alias("low"), F.max("doc_id").over(group).alias("high"),
-    ).where("low < high OR salt > 0")
-    marked = staged(marked.drop("low", "high"), "marked")
-    heads = marked.where("salt > 0").select("key", "head").distinct().withColumn("top", F.min("head").over(Window.partitionBy("key")))
-    pairs = marked.select(F.explode(F.array("head", "previous")).alias("a"), F.col("content").alias("b")).union(heads.select(F.col("head").alias("a"), F.col("top").alias("b")))
-    pairs = pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    return marked.select("doc_id", "at", "content").distinct(), staged(pairs, "paragraph-pairs")
+def _chosen(bits: np.ndarray, content: np.ndarray) -> np.ndarray:
+    place = content.view(np.int64) % FILTER_BITS
+    return (bits[place >> 5] >> (place & 31).astype(np.uint32) & 1).astype(bool)
 
 
 def _grams_of(docs: DataFrame, contents: DataFrame) -> DataFrame:
-    """``content, grams`` of the contents, and of a few others; several rows for a content are equal."""
-    bit = F.pmod("content", F.lit(FILTER_BITS))
-    found = contents.groupBy(F.shiftright(bit, 5).alias("w")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(content, {FILTER_BITS}) & 31 AS int))")).alias("bits")).toArrow()
-    bits = np.zeros(FILTER_BITS // 32, np.uint32)
-    bits[found.column("w").to_numpy()] = found.column("bits").to_numpy().astype(np.uint32)
-    shared = docs.sparkSession.sparkContext.broadcast(bits)
+    """``node, n, shingles`` of the contents, and of a few others."""
+    shared = docs.sparkSession.sparkContext.broadcast(_bits(contents))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[int] = set()
         for batch in batches:
-            rows: dict[int, list[int]] = {}
+            rows: dict[int, bytes] = {}
             for text in batch.column("text").to_pylist():
-                gram, at, content = paragraphs(text)
-                place = content.view(np.int64) % FILTER_BITS
-                for k in np.flatnonzero(shared.value[place >> 5] >> (place & 31).astype(np.uint32) & 1):
+                gram, at, size, content, _ = units(text)
+                for k in np.flatnonzero(_chosen(shared.value, content)):
                     if (c := int(content.view(np.int64)[k])) not in sent:
                         sent.add(c)
-                        rows[c] = np.unique(gram[at[k] : at[k] + PARAGRAPH - GRAM + 1]).view(np.int64).tolist()
+                        rows[c] = np.unique(gram[at[k] : at[k] + size[k] - GRAM + 1]).tobytes()
             if len(sent) > SENT:
                 sent.clear()
-            yield pa.RecordBatch.from_arrays([pa.array(list(rows), pa.int64()), pa.array(list(rows.values()), pa.list_(pa.int64()))], ["content", "grams"])
+            yield pa.RecordBatch.from_arrays([pa.array(list(rows), pa.int64()), pa.array([len(x) // 8 for x in rows.values()], pa.int64()), pa.array(list(rows.values()), pa.binary())], ["node", "n", "shingles"])
+
+    return arrow_map(docs.select("text"), run, "node long, n long, shingles binary").dropDuplicates(["node"])
 
-    return arrow_map(docs.select("text"), run, "content long, grams array<long>").dropDuplicates(["content"])
+
+def _alike(docs: DataFrame, bands: int, percent: int) -> DataFrame:
+    """``content, component`` of the contents that are similar to another one.
+
+    All contents of a band key are compared with one another, those of a large one block by block as in operator 4.
+    """
+    families = staged(_families(_band_rows(docs, bands).repartition("key")), "families")
+    gram = staged(_grams_of(docs, families.select(F.col("node").alias("content")).distinct()), "paragraph-grams")
+    members = families.join(gram.select("node", "n"), "node").withColumn("copies", F.lit(1).cast("long"))
+    pairs = _blocks(members, percent).join(gram.select("node", "shingles"), "node").repartition("key").sortWithinPartitions("key")
+    found = staged(arrow_map(pairs, _verify(percent), "node long, rep long, links long"), "paragraph-links")
+    return components(found.select(F.col("node").alias("a"), F.col("rep").alias("b"))).withColumnRenamed("node", "content")
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, recall: float = RECALL) -> DataFrame:
@@ -157,15 +216,8 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per
     PARAGRAPH words have no paragraph. A document without a repeated passage has no row.
     """
     rows = text_table(docs, id_col, text_col).where("doc_id IS NOT NULL")
-    bands = tune_bands(percent, recall)
-    occurrences, pairs = _candidates(_band_rows(rows, bands, _hot_keys(rows, bands, rows.count())))
-    gram = _grams_of(rows, pairs.select(F.col("a").alias("content")).union(pairs.select(F.col("b").alias("content"))))
-    gram = staged(gram, "paragraph-grams")
-    both = pairs.join(gram.select(F.col("content").alias("a"), F.col("grams").alias("ga")), "a").join(gram.select(F.col("content").alias("b"), F.col("grams").alias("gb")), "b")
-    shared = F.size(F.array_intersect("ga", "gb"))
-    links = both.where(100 * shared >= percent * (F.size("ga") + F.size("gb") - shared)).select("a", "b")
-    links = staged(links, "paragraph-links")
-    label = components(links).withColumnRenamed("node", "content")
+    label = _alike(rows, tune_bands(percent, recall, ROWS), percent)
+    occurrences = staged(_unit_rows(rows).distinct(), "paragraphs")
     # the first document of each component keeps its paragraphs; components of one document are no repeats
     own = occurrences.groupBy("content").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
     own = own.join(label.withColumn("linked", F.lit(True)), "content", "left").where("low < high OR linked")

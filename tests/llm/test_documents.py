@@ -275,6 +275,30 @@ def test_near_passages(spark):
     assert all(r["removed"] and r["kept_doc_id"] == 1 for r in got) and sum(r["end_word"] - r["start_word"] for r in got) > 200
 
 
+def test_families_under_one_phrase(spark, monkeypatch):
+    """Many families of similar paragraphs, all with one frequent phrase: the bands' recall holds, in small blocks too."""
+    monkeypatch.setattr(ngram_join, "BLOCK_DOCS", 5)
+    rng = random.Random(5)
+    phrase, texts = wordy(rng, 8), []
+    for _ in range(60):
+        w = wordy(rng, 120).split()
+        for k in range(4):
+            texts.append(" ".join([*w[:60], *phrase.split(), *w[60:], *wordy(rng, k).split()]))
+    # the paragraphs themselves against brute force
+    own = {}
+    for text in texts:
+        gram, at, size, content, _ = substring_dedup.units(text)
+        for a, n, c in zip(at, size, content.view(np.int64)):
+            own[int(c)] = set(gram[a : a + n - 4].tolist())
+    nodes = list(own)
+    links = {(a, b) for i, a in enumerate(nodes) for b in nodes[:i] if 100 * len(own[a] & own[b]) >= 80 * len(own[a] | own[b])}
+    docs = substring_dedup.text_table(table(spark, [(i, t, None, None) for i, t in enumerate(texts)]))
+    label = {r["content"]: r["component"] for r in substring_dedup._alike(docs, substring_dedup.tune_bands(80, 0.95, 4), 80).collect()}
+    assert len(links) > 20
+    assert sum(a in label and label.get(a) == label.get(b) for a, b in links) >= 0.95 * len(links)
+    assert set(label) <= {x for pair in links for x in pair}
+
+
 def test_repeats_odd_rows(odd):
     got = substring_dedup.repeats(odd).collect()
     assert {(r["doc_id"], r["removed"], r["kept_doc_id"]) for r in got} == {(4, False, 4), (5, True, 4)}
