@@ -1,8 +1,8 @@
 """Operator 1: substring dedup by MinHash banding of paragraphs.
 
-Passages repeat at any place of a text, so a paragraph here is a run of PARAGRAPH words that begins where the text itself
-says: at the least 5-gram hash of any SPREAD neighbouring ones. A passage of SPREAD - 1 + PARAGRAPH = 50 words or more has
-the same paragraphs wherever it stands. Paragraphs that share a band of their MinHash signature are compared by exact
+The paragraphs are the text's lines of GRAM words or more, whole. Passages repeat within lines and across them too, so a
+further net are windows of PARAGRAPH words that begin where the text itself says: at the least 5-gram hash of any SPREAD
+neighbouring ones. A passage of SPREAD - 1 + PARAGRAPH = 50 words or more has the same windows wherever it stands. Paragraphs that share a band of their MinHash signature are compared by exact
 Jaccard similarity of their 5-grams and similar ones joined into components. Of a component that occurs in several documents
 the paragraphs of the first document stay and all others go.
 """
@@ -11,16 +11,18 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..sources.staging import staged
 from .common import arrow_map, components, fresh, text_table
-from .ngram_join import FILTER_BITS, _blocks, _verify, grams, mixed, words
+from .ngram_join import FILTER_BITS, _blocks, _verify, grams, mixed
 
-#: Words of a paragraph, and how many 5-grams in a row have one that begins a paragraph.
+#: Words of a window, how many 5-grams in a row have one that begins a window, and words of the shortest line.
 PARAGRAPH, SPREAD, GRAM = 24, 27, 5
 #: Least similarity, in percent, and the recall that the bands must have for it.
 PERCENT, RECALL = 80, 0.95
@@ -80,12 +82,16 @@ def run_hash(joined: tuple[np.ndarray, np.ndarray], low: np.ndarray, high: np.nd
 
 
 def units(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray]]:
-    """The text's 5-grams; where its paragraphs begin, how many words they have, the hash of these; and ``joined_hash``."""
-    word = words(text.lower())
+    """The text's 5-grams; where its lines and windows begin, how many words they have, the hash of these; and ``joined_hash``."""
+    lines = [x.split() for x in re.split(b"[\r\n]+", text.lower().encode().lower())]
+    word = np.fromiter(map(xxhash.xxh3_64_intdigest, chain.from_iterable(lines)), np.uint64)  # those of words()
+    size = np.fromiter(map(len, lines), np.int64)
+    at = np.cumsum(size) - size
+    at, size = at[size >= GRAM], size[size >= GRAM]
     gram = grams(word, GRAM) if len(word) >= GRAM else word[:0]
-    at = begins(gram)
-    at = at[at + PARAGRAPH <= len(word)]
-    size = np.full(len(at), PARAGRAPH)
+    window = begins(gram)
+    window = window[window + PARAGRAPH <= len(word)]
+    at, size = np.concatenate([at, window]), np.concatenate([size, np.full(len(window), PARAGRAPH)])
     joined = joined_hash(word)
     return gram, at, size, run_hash(joined, at, at + size), joined
 
@@ -213,11 +219,11 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per
     documents are repeats; ``removed`` are all but those in ``kept_doc_id``, the component's document of smallest id, also where
     they are like it only through others between. Overlapping paragraphs of one decision are one stretch. ``component_id`` is one of its paragraphs'
     components. Rows of one id are one document, rows without an id are left out; null, empty and texts below
-    PARAGRAPH words have no paragraph. A document without a repeated passage has no row.
+    GRAM words have no paragraph. A document without a repeated passage has no row.
     """
     rows = text_table(docs, id_col, text_col).where("doc_id IS NOT NULL")
     label = _alike(rows, tune_bands(percent, recall, ROWS), percent)
-    occurrences = staged(_unit_rows(rows).distinct(), "paragraphs")
+    occurrences = staged(_unit_rows(rows), "paragraphs")
     # the first document of each component keeps its paragraphs; components of one document are no repeats
     own = occurrences.groupBy("content").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
     own = own.join(label.withColumn("linked", F.lit(True)), "content", "left").where("low < high OR linked")
@@ -226,10 +232,11 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per
     kept = staged(own.join(reach, "component").select("content", "component", "kept"), "kept")
     decided = occurrences.join(kept, "content").withColumn("removed", F.col("kept") < F.col("doc_id"))
     order = Window.partitionBy("doc_id", "removed").orderBy("at")
-    gap = F.col("at") - F.lag("at").over(order) > SPREAD
+    end = F.col("at") + F.col("size")
+    gap = F.col("at") > F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1)) + SPREAD - PARAGRAPH
     own = decided.withColumn("new", F.coalesce(gap, F.lit(True)).cast("int")).withColumn("stretch", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     return own.groupBy("doc_id", "removed", "stretch").agg(
-        F.min("at").cast("long").alias("start_word"), (F.max("at") + PARAGRAPH).cast("long").alias("end_word"),
+        F.min("at").cast("long").alias("start_word"), F.max(end).cast("long").alias("end_word"),
         F.min("component").alias("component_id"), F.min("kept").alias("kept_doc_id"),
     ).select("doc_id", "start_word", "end_word", "component_id", "kept_doc_id", "removed")
 

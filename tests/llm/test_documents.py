@@ -275,6 +275,29 @@ def test_near_passages(spark):
     assert all(r["removed"] and r["kept_doc_id"] == 1 for r in got) and sum(r["end_word"] - r["start_word"] for r in got) > 200
 
 
+def test_one_document_keeps_a_component(spark):
+    """Each of a chain is similar to the next only; of the whole chain the first document keeps its paragraph."""
+    w = wordy(random.Random(22), 80).split()
+    chain = [" ".join(w[k : k + 60]) for k in (0, 4, 8)]
+    docs = table(spark, list(zip((10, 20, 5), chain, "abc", "abc")))
+    rows = substring_dedup.repeats(docs).collect()
+    assert {(r["doc_id"], r["removed"]) for r in rows if r["kept_doc_id"] == 5} == {(10, True), (20, True), (5, False)}
+    assert [r["doc_id"] for r in substring_dedup.without_repeats(docs).collect()] == [5]
+
+
+def test_short_lines(spark):
+    """Whole lines of any length from five words, exact or with a word changed."""
+    rng = random.Random(9)
+    short, line = "one two three four five", wordy(rng, 57)
+    near = line.split()
+    near[30] = "changed"
+    own = [wordy(rng, 40) for _ in range(6)]
+    rows = [(1, f"{own[0]}\n{short}\n{own[1]}"), (2, f"{own[2]}\r\n{short}\r\n{own[3]}"), (3, f"{own[4]}\n{line}\n"), (4, f"{own[5]}\n{' '.join(near)}")]
+    docs = table(spark, [(i, t, None, None) for i, t in rows])
+    left = {r["doc_id"]: r["text"].split() for r in substring_dedup.without_repeats(docs).collect()}
+    assert left == {1: rows[0][1].split(), 2: f"{own[2]} {own[3]}".split(), 3: rows[2][1].split(), 4: own[5].split()}
+
+
 def test_families_under_one_phrase(spark, monkeypatch):
     """Many families of similar paragraphs, all with one frequent phrase: the bands' recall holds, in small blocks too."""
     monkeypatch.setattr(ngram_join, "BLOCK_DOCS", 5)
