@@ -28,6 +28,8 @@ PARAGRAPH, SPREAD, GRAM = 24, 27, 5
 PERCENT, RECALL = 80, 0.95
 #: Hashes of a band: so many that what shares a band key is mostly similar.
 ROWS = 4
+#: Words on either side that no other window or line can cover: of a match without a window, all but the shortest line.
+REACH = SPREAD + PARAGRAPH - 2 - GRAM
 #: Words whose positions are handled at a time.
 STRETCH = 1 << 22
 #: Paragraphs that one task has sent and does not send again to be compared.
@@ -212,12 +214,76 @@ def _alike(docs: DataFrame, bands: int, percent: int) -> DataFrame:
     return components(found.select(F.col("node").alias("a"), F.col("rep").alias("b"))).withColumnRenamed("node", "content")
 
 
+def _surroundings(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``content, doc_id, side, place, near`` of the wanted ``content, side``, and of a few others.
+
+    ``place`` is where the paragraph begins (side 0) or ends (side 1), ``near`` the hashes of the 1 to REACH words beyond.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast([_bits(wanted.where(F.col("side") == side)) for side in (0, 1)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        far = np.arange(1, REACH + 1)
+        for batch in batches:
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+                _, at, size, content, joined = units(text)
+                n = len(joined[0]) - 1
+                for side in (0, 1):
+                    place = at + size if side else at
+                    own = np.flatnonzero(_chosen(shared.value[side], content) & ((place < n) if side else (place > 0)))
+                    if not len(own):
+                        continue
+                    place = place[own]
+                    low, high = (place[:, None], place[:, None] + far) if side else (place[:, None] - far, place[:, None])
+                    there = (low >= 0) & (high <= n)
+                    low, high = np.broadcast_to(low, there.shape)[there], np.broadcast_to(high, there.shape)[there]
+                    ends = np.concatenate([[0], np.cumsum(there.sum(1))])
+                    near = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(run_hash(joined, low, high).view(np.int64)))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(content[own].view(np.int64)), pa.array(np.full(len(own), doc_id, np.int64)), pa.array(np.full(len(own), side), pa.int32()), pa.array(place, pa.int32()), near],
+                        ["content", "doc_id", "side", "place", "near"],
+                    )
+
+    return arrow_map(docs, run, "content long, doc_id long, side int, place int, near array<long>")
+
+
+def _further(docs: DataFrame, found: DataFrame, kept: DataFrame) -> DataFrame:
+    """``doc_id, side, place, more``: how many words beyond the ends of removed stretches agree with an earlier document.
+
+    The words beside a paragraph are held against those beside every paragraph of its component, so a match with any earlier
+    document is removed to its last word: all windows and lines within it are removed, and REACH covers what they leave.
+    """
+    ends = found.where("removed").select("component", F.explode(F.array(F.when(F.col("at") == F.col("first"), 0), F.when(F.col("end") == F.col("last"), 1))).alias("side"))
+    wanted = staged(kept.join(ends.where("side IS NOT NULL").distinct(), "component").select("content", "side", "component"), "ends")
+    beside = staged(_surroundings(docs, wanted).join(wanted, ["content", "side"]).drop("content"), "surroundings")
+    beside = beside.withColumn("next", F.xxhash64("component", "side", F.col("near")[0]))
+    several = beside.groupBy("next").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("next")
+    each = beside.join(several, "next").select("component", "doc_id", "side", "place", F.posexplode("near").alias("k", "h"))
+    each = staged(each.select("doc_id", "side", "place", (F.col("k") + 1).alias("k"), F.xxhash64("component", "side", "h").alias("h")), "beyond")
+    least = each.groupBy("h").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").drop("most")
+    return each.join(least, "h").where("least < doc_id").groupBy("doc_id", "side", "place").agg(F.max("k").alias("more"))
+
+
+def _stretches(runs: DataFrame) -> DataFrame:
+    """``runs`` (``doc_id, removed, at, end``) with ``first`` and ``last`` of those of one decision that overlap or touch."""
+    order = Window.partitionBy("doc_id", "removed").orderBy("at", "end")
+    new = F.col("at") > F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    own = runs.withColumn("new", F.coalesce(new, F.lit(True)).cast("int")).withColumn("stretch", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    stretch = Window.partitionBy("doc_id", "removed", "stretch")
+    return own.withColumn("first", F.min("at").over(stretch)).withColumn("last", F.max("end").over(stretch)).drop("new", "stretch")
+
+
+def _merged(found: DataFrame) -> DataFrame:
+    """One row for each stretch."""
+    return found.groupBy("doc_id", "removed", F.col("first").alias("at"), F.col("last").alias("end")).agg(F.min("component").alias("component"), F.min("kept").alias("kept"))
+
+
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, recall: float = RECALL) -> DataFrame:
     """Passages that occur in several documents: ``doc_id, start_word, end_word, component_id, kept_doc_id, removed``.
 
     One row per stretch of words (from 0, end exclusive) of a document. Paragraphs of one component that reaches several
     documents are repeats; ``removed`` are all but those in ``kept_doc_id``, the component's document of smallest id, also where
-    they are like it only through others between. Overlapping paragraphs of one decision are one stretch. ``component_id`` is one of its paragraphs'
+    they are like it only through others between. Paragraphs of one decision that overlap or touch are one
+    stretch, and a removed stretch goes on to the last word that agrees with an earlier document. ``component_id`` is one of its paragraphs'
     components. Rows of one id are one document, rows without an id are left out; null, empty and texts below
     GRAM words have no paragraph. A document without a repeated passage has no row.
     """
@@ -231,14 +297,19 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per
     reach = own.groupBy("component").agg(F.min("low").alias("kept"), F.max("high").alias("most")).where("kept < most")
     kept = staged(own.join(reach, "component").select("content", "component", "kept"), "kept")
     decided = occurrences.join(kept, "content").withColumn("removed", F.col("kept") < F.col("doc_id"))
-    order = Window.partitionBy("doc_id", "removed").orderBy("at")
-    end = F.col("at") + F.col("size")
-    gap = F.col("at") > F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1)) + SPREAD - PARAGRAPH
-    own = decided.withColumn("new", F.coalesce(gap, F.lit(True)).cast("int")).withColumn("stretch", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return own.groupBy("doc_id", "removed", "stretch").agg(
-        F.min("at").cast("long").alias("start_word"), F.max(end).cast("long").alias("end_word"),
-        F.min("component").alias("component_id"), F.min("kept").alias("kept_doc_id"),
-    ).select("doc_id", "start_word", "end_word", "component_id", "kept_doc_id", "removed")
+    decided = decided.select("doc_id", "removed", "at", (F.col("at") + F.col("size")).alias("end"), "component", "kept")
+    found = staged(_stretches(decided), "stretches")
+    more = staged(_further(rows, found, kept), "more")
+    grown = _merged(found)
+    for side, place in enumerate(("at", "end")):
+        own = more.where(F.col("side") == side).select("doc_id", F.lit(True).alias("removed"), F.col("place").alias(place), F.col("more").alias(f"more{side}"))
+        grown = grown.join(own, ["doc_id", "removed", place], "left")
+    at, end = F.col("at") - F.coalesce("more0", F.lit(0)), F.col("end") + F.coalesce("more1", F.lit(0))
+    grown = grown.select("doc_id", "removed", at.alias("at"), end.alias("end"), "component", "kept")
+    return _merged(_stretches(grown)).select(
+        "doc_id", F.col("at").cast("long").alias("start_word"), F.col("end").cast("long").alias("end_word"),
+        F.col("component").alias("component_id"), F.col("kept").alias("kept_doc_id"), "removed",
+    )
 
 
 _WORD = re.compile("[^\t-\r ]+")
