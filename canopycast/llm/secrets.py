@@ -19,9 +19,17 @@ BASE = [
     ("access", r"AKIA[A-Z0-9]+", 0, 16),
     ("hex", r"[0-9a-f]+", 0, 32),
 ]
+# A private key from its first line to its last, or as far as lines of base64 go; possessive, so that no text is too long.
+_KEY = r"[A-Z ]*PRIVATE KEY(?: BLOCK)?-----"
+_BREAK = r"(?:\s|\\[nrt])*+"
+_KEY_BLOCK = (
+    rf"-----BEGIN {_KEY}((?:[^-]++|-(?!----))*+(?=-----END {_KEY})"
+    rf"|(?:\s*+[A-Za-z][A-Za-z0-9-]*+:[^\r\n]*+(?=[\r\n]))*+(?:{_BREAK}[A-Za-z0-9+/=]{{16,}}+(?![A-Za-z0-9+/=.,;:!?-]))++"
+    rf"(?:{_BREAK}[A-Za-z0-9+/]*+={{1,2}}|\s*[\r\n]\s*[A-Za-z0-9+/]++(?=[ \t]*(?:[\r\n]|$)))?|)(?:-----END {_KEY})?"
+)
 # Further credential formats, reported only where ownership says they are not copied examples.
 MORE = [
-    ("key_block", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 20),
+    ("key_block", _KEY_BLOCK, 1, 20),
     ("code_host", r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 40),
     ("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 15),
     ("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 28),
@@ -31,6 +39,10 @@ MORE = [
 EXAMPLE_OWNERS = 3
 
 
+def key_body(value: Column) -> Column:
+    return F.regexp_replace(value, r"\\[nrt]|[^A-Za-z0-9+/=]", "")
+
+
 def _matches(text: Column, kind: str, pattern: str, group: int, least: int) -> Column:
     """Array of (start, end, kind, value) of the non-overlapping matches; code points, end exclusive.
 
@@ -41,6 +53,9 @@ def _matches(text: Column, kind: str, pattern: str, group: int, least: int) -> C
         pattern = f"[0-9a-f]{{{least},}}"
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
+    if kind == "key_block":
+        # the key itself, however its lines are broken; a first line without a key stands for itself
+        value = F.zip_with(whole, value, lambda w, v: F.when(F.char_length(key_body(v)) >= least, key_body(v)).otherwise(w))
     gaps = F.split(text, pattern, -1)
     rows = F.arrays_zip(whole.alias("w"), value.alias("v"), F.slice(gaps, 1, F.size(whole)).alias("g"))
     empty = F.array().cast("array<struct<start:int,end:int,kind:string,value:string>>")

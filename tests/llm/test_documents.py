@@ -118,6 +118,25 @@ def test_redact_joins_overlapping_spans(spark):
     assert secrets.redact(table(spark, [(1, text, None, "a")])).first()["text"] == "[SECRET] and [SECRET]"
 
 
+def test_key_blocks_are_told_by_their_keys(spark):
+    """Different keys of one type are live and go whole; one key at many owners, however broken into lines, is an example."""
+    rng = random.Random(4)
+    body = lambda n: ["".join(rng.choice("ABCDEFGHabcdefgh0123456789+/") for _ in range(64)) for _ in range(n)]
+    block = lambda lines, by="\n", kind="RSA PRIVATE KEY": by.join([f"-----BEGIN {kind}-----", *lines, f"-----END {kind}-----"])
+    rows = [(i, f"é my key\n{block([*body(20), 'abc='])}\nkeep this-text", "en", f"s{i}") for i in range(3)]
+    example = body(6)
+    rows += [(10 + i, f"see {block(example, by)} here", "en", f"s{i}") for i, by in enumerate(("\n", "\r\n", "\\n", "\n  "))]
+    rows += [(20, "\n".join(["cut -----BEGIN PRIVATE KEY-----", *body(3), "AbC1", "and then some prose"]), "en", "s1")]
+    rows += [(21, block(["Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,00", "", *body(2)]) + " x", "en", "s1")]
+    rows += [(22, block(body(2000)) + " - y " + block(body(1), kind="PGP PRIVATE KEY BLOCK"), "en", "s1"), (23, "-----BEGIN PRIVATE KEY----- " + "a-b " * 100_000, "en", "s1")]
+    docs = table(spark, rows)
+    clean = {r["doc_id"]: r["text"] for r in secrets.redact(docs).collect()}
+    assert all(clean[i] == "é my key\n[SECRET]\nkeep this-text" for i in range(3))
+    assert all(clean[i] == text for i, text, *_ in rows if 10 <= i < 20)
+    assert clean[20] == "cut [SECRET]\nand then some prose" and clean[21] == "[SECRET] x" and clean[22] == "[SECRET] - y [SECRET]"
+    assert clean[23] == "[SECRET] " + "a-b " * 100_000
+
+
 def test_secrets_odd_rows(odd):
     assert secrets.scan(odd).count() == odd.count() and secrets.scan(odd.limit(0)).collect() == [] and secrets.redact(odd.limit(0)).collect() == []
 
