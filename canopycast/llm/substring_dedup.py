@@ -27,7 +27,7 @@ PARAGRAPH, SPREAD, GRAM = 24, 27, 5
 #: Least similarity, in percent, and the recall that the bands must have for it.
 PERCENT, RECALL = 80, 0.95
 #: Hashes of a band: so many that what shares a band key is mostly similar.
-ROWS = 4
+ROWS = 3
 #: Words on either side that no other window or line can cover: of a match without a window, all but the shortest line.
 REACH = SPREAD + PARAGRAPH - 2 - GRAM
 #: Words whose positions are handled at a time.
@@ -128,39 +128,50 @@ def _unit_rows(docs: DataFrame) -> DataFrame:
 
 
 def _band_rows(docs: DataFrame, bands: int) -> DataFrame:
-    """``key, content``: a row for each paragraph and band; a content that a task has sent lately is not sent again."""
+    """``key, content, doc_id``: a row for each paragraph and band; a content is not sent again for a third document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         salt = mixed(np.arange(2 * bands * ROWS, dtype=np.uint64), 17) | np.uint64(1)
-        sent: set[int] = set()
+        sent: dict[int, int | None] = {}  # the document, or none after the second
+
+        def first(content: int, doc_id: int) -> bool:
+            if content not in sent:
+                sent[content] = doc_id
+            elif sent[content] in (None, doc_id):
+                return False
+            else:
+                sent[content] = None
+            return True
+
         for batch in batches:
-            parts: list[list[np.ndarray]] = [[] for _ in range(4)]
+            parts: list[list[np.ndarray]] = [[] for _ in range(5)]
             start = 0
-            for text in batch.column("text").to_pylist():
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 gram, at, size, content, _ = units(text)
                 if len(sent) > SENT:
                     sent.clear()
-                new = np.array([len(sent) < (sent.add(c), len(sent))[1] for c in content.tolist()], bool)
+                new = np.array([first(c, doc_id) for c in content.tolist()], bool)
                 if new.any():
-                    for column, value in zip(parts, (gram, start + at[new], start + at[new] + size[new] - GRAM + 1, content[new])):
+                    for column, value in zip(parts, (gram, start + at[new], start + at[new] + size[new] - GRAM + 1, content[new], np.full(int(new.sum()), doc_id, np.int64))):
                         column.append(value)
                     start += len(gram)
             if not start:
                 continue
-            gram, low, high, content = map(np.concatenate, parts)
+            gram, low, high, content, doc_id = map(np.concatenate, parts)
             for band in range(bands):
                 key = np.full(len(low), band, np.uint64)
                 for k in range(2 * band * ROWS, 2 * (band + 1) * ROWS, 2):
                     key = mixed(key * np.uint64(3) + _least_in((gram ^ salt[k]) * salt[k + 1], low, high), 13)
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(content.view(np.int64))], ["key", "content"])
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(content.view(np.int64)), pa.array(doc_id)], ["key", "content", "doc_id"])
 
-    return arrow_map(docs.select("text"), run, "key long, content long")
+    return arrow_map(docs, run, "key long, content long, doc_id long")
 
 
 def _families(rows: DataFrame) -> DataFrame:
-    """``family, node``: the contents of each band key that has several; keys with the same contents are one family."""
+    """``family, node``: the contents of each band key that has several, in several documents; keys with the same are one family."""
     group = Window.partitionBy("key")
-    met = rows.withColumn("low", F.min("content").over(group)).withColumn("high", F.max("content").over(group)).where("low < high")
+    reach = {name: f("content" if name[0] == "c" else "doc_id").over(group) for name, f in (("c0", F.min), ("c1", F.max), ("d0", F.min), ("d1", F.max))}
+    met = rows.withColumns(reach).where("c0 < c1 AND d0 < d1")
     met = staged(met.select("key", "content").distinct(), "met")
     alike = met.groupBy("key").agg(F.xxhash64(F.count(F.lit(1)), F.bit_xor(F.xxhash64("content")), F.sum(F.shiftright("content", 20))).alias("family"))
     return met.join(alike, "key").select("family", F.col("content").alias("node")).distinct()
@@ -328,7 +339,7 @@ def cut(text: str, stretches: list[tuple[int, int]]) -> str:
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with every removed stretch cut out of the text; the same columns, and ``n_chars`` kept right if there is one.
 
-    Rows of which no word is left are dropped; rows without a removed stretch are untouched.
+    A row of which no word is left stays, without a word; rows without a removed stretch are untouched.
     """
     key, mark = fresh(docs, "_id"), fresh(docs, "_cuts")
     stretches = F.collect_list(F.struct("start_word", "end_word"))  # of one document
@@ -339,7 +350,6 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         for batch in batches:
             cuts, texts = batch.column(mark).to_pylist(), batch.column(text_col).to_pylist()
             texts = [t if not c or t is None else cut(t, [(x["start_word"], x["end_word"]) for x in c]) for t, c in zip(texts, cuts)]
-            keep = pa.array([not c or bool(t and t.strip()) for t, c in zip(texts, cuts)])
             columns = {}
             for name in batch.schema.names:
                 if name == text_col:
@@ -348,6 +358,6 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     columns[name] = pa.array([n if not c or t is None else len(t) for n, t, c in zip(batch.column(name).to_pylist(), texts, cuts)], batch.schema.field(name).type)
                 elif name != mark:
                     columns[name] = batch.column(name)
-            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns)).filter(keep)
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     return arrow_map(joined, run, docs.schema)
