@@ -33,21 +33,34 @@ def staged_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
-def release(spark: SparkSession) -> None:
-    """Remove everything this application has staged. DataFrames that read staged tables end with it."""
+def remove(path: str) -> None:
+    """Remove a folder below the shared one, if it is there."""
     from pyarrow import fs
 
-    filesystem, path = fs.FileSystem.from_uri(f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
+    filesystem, path = fs.FileSystem.from_uri(path)
     if filesystem.get_file_info(path).type != fs.FileType.NotFound:
         filesystem.delete_dir(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Remove everything this application has staged. DataFrames that read staged tables end with it."""
+    remove(f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables made by ``staged`` whose last reader has run."""
+    for table in tables:
+        remove(table.staged_at)
+
+
 def staged(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write the rows once and read them back, so several consumers share one computation."""
     spark = df.sparkSession
     path = staged_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.staged_at = path
+    return table
 
 
 def staged_together(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
