@@ -172,3 +172,99 @@ SELECT query_id, rank::INT AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
 ) WHERE rank <= 20
 """
+
+
+@query
+def op11_token_alignment(spark, sf_dir):
+    from .alignment import alignment
+
+    return alignment(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
+@query
+def op12_spelling_variants(spark, sf_dir):
+    from .spelling import spelling_variants
+
+    return spelling_variants(documents(spark, sf_dir))
+
+
+# SQL has no CRC-32: the checksum is a sum (without carry) of what each byte adds at its distance from the end.
+ORACLES["op12_spelling_variants"] = r"""
+WITH RECURSIVE run AS (
+  SELECT doc_id, run, count(*) AS times FROM (
+    SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{00C0}-\x{00FF}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+    FROM documents
+  ) WHERE length(run) >= 7 GROUP BY ALL
+),
+message AS (SELECT *, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS m FROM run),
+size AS (SELECT max(length(m) // 2) AS longest FROM message),
+base AS (
+  SELECT v, list_reduce(list_prepend(v, range(8)), lambda c, i: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END)) AS c FROM range(256) AS r(v)
+),
+adds AS (
+  SELECT 0 AS d, v, c FROM base
+  UNION ALL SELECT d + 1, a.v, xor(a.c >> 8, b.c) FROM adds AS a JOIN base AS b ON b.v = a.c & 255 WHERE d < (SELECT longest FROM size)
+),
+zeros AS (
+  SELECT 0 AS len, 4294967295::BIGINT AS state
+  UNION ALL SELECT len + 1, xor(z.state >> 8, b.c) FROM zeros AS z JOIN base AS b ON b.v = z.state & 255 WHERE len < (SELECT longest FROM size)
+),
+byte AS (
+  SELECT m, length(m) // 2 AS len, i, ('0x' || substr(m, 2 * i - 1, 2))::BIGINT AS v
+  FROM (SELECT DISTINCT m, unnest(range(1, length(m) // 2 + 1)) AS i FROM message)
+),
+checksum AS (
+  SELECT m, xor(xor(bit_xor(c), any_value(state)), 4294967295) AS h
+  FROM byte JOIN adds ON adds.d = byte.len - byte.i AND adds.v = byte.v JOIN zeros ON zeros.len = byte.len GROUP BY m
+),
+word AS (
+  SELECT word, sum(times)::BIGINT AS n FROM (
+    SELECT times, CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word
+    FROM message JOIN checksum USING (m)
+  ) WHERE length(word) >= 7 GROUP BY word HAVING sum(times) >= 2
+),
+cut AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM word)),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM cut AS a JOIN cut AS b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cut AS a JOIN word AS b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM cut AS a JOIN word AS b ON a.rest = b.word
+),
+best AS (
+  SELECT word, count(*) AS n_near, arg_min(other, (-other_n, encode(other))) AS other, max(other_n) AS other_n FROM near GROUP BY word
+),
+formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 10 * w.n THEN other END AS form, CASE WHEN other_n >= 10 * w.n THEN other_n END AS form_n
+  FROM word AS w LEFT JOIN best USING (word)
+),
+chain AS (
+  SELECT word, word AS place, form AS next FROM formed
+  UNION ALL SELECT c.word, f.word, f.form FROM chain AS c JOIN formed AS f ON f.word = c.next
+)
+SELECT formed.*, chain.place AS root FROM formed JOIN chain ON chain.word = formed.word AND chain.next IS NULL
+"""
+
+
+@query
+def op13_line_dedup(spark, sf_dir):
+    from .line_dedup import deduplicated, digests
+
+    return digests(deduplicated(documents(spark, sf_dir)))
+
+
+ORACLES["op13_line_dedup"] = r"""
+WITH every AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents),
+line AS (
+  SELECT row, doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS place FROM every
+),
+keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM line
+),
+often AS (
+  SELECT key, max(doc_id) AS last FROM keyed WHERE length(key) >= 40 AND doc_id IS NOT NULL GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+),
+told AS (SELECT k.*, coalesce(doc_id < last, false) AS gone FROM keyed AS k LEFT JOIN often USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
+FROM told GROUP BY row, doc_id
+"""
