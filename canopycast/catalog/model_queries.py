@@ -66,11 +66,6 @@ def _(v):
     return _fit(v, "forest", n_estimators=20, max_depth=5)
 
 
-@query("fit_boosted")
-def _(v):
-    return _fit(v, "boosted", n_estimators=10, max_depth=4)
-
-
 @query("forest_quantiles")
 def _(v):
     fitted = models.fit_model(train_rows(v), FEATURES, "tch", "forest", {"n_estimators": 20, "max_depth": 5})

@@ -24,10 +24,13 @@ RULES = {
     "prod_codigo_zae": {"strategy": "min_count", "min_count": 30},
 }
 # models that take text columns as they are
-NATIVE_MODELS = ("forest", "boosted")
+NATIVE_MODELS = ("forest", "boosted", "leafwise", "ordered")
 #: A value with at least this share of a column's counted rows is spread over SALTS parts when it meets the vocabulary.
 HOT_SHARE, SALTS = 0.01, 32
 
+#: Rows of one part of the hash order of ``ordered_statistics``, and how many rows the mean of the target counts for.
+PART_ROWS, PRIOR_ROWS = 100_000, 1.0
+
 
 @dataclass
 class EncoderSpec:
@@ -179,6 +182,91 @@ def encode(df: DataFrame, spec: EncoderSpec, vocab: DataFrame | None = None, kee
     return rows.toDF(*feature_names(rows.columns))
 
 
+# ---------------------------------------------------------------- statistics of the target
+
+
+@dataclass(frozen=True)
+class Statistics:
+    """Sum of the target and rows of each category (``feature, category, total, n``), and the mean of the target."""
+
+    table: DataFrame
+    mean: float
+
+    def value(self, total: Column, n: Column) -> Column:
+        return (total + F.lit(PRIOR_ROWS * self.mean)) / (n + F.lit(PRIOR_ROWS))
+
+
+def _tall(df: DataFrame, columns: Sequence[str], *kept: Column) -> DataFrame:
+    texts = df.select(*kept, *[text_value(df, c).alias(f"_text_{c}") for c in columns])
+    names = [c for c in texts.columns if not c.startswith("_text_")]
+    tall = texts.unpivot(names, [f"_text_{c}" for c in columns], "feature", "category")
+    return tall.withColumn("feature", F.substring("feature", len("_text_") + 1, 1_000_000))
+
+
+def category_statistics(df: DataFrame, columns: Sequence[str], target: str) -> Statistics:
+    """Statistics of all rows with a target, staged. A missing text is a category of its own."""
+    rows = df.where(F.col(target).isNotNull())
+    mean = rows.agg(F.avg(target)).first()[0] or 0.0
+    tall = _tall(rows, columns, F.col(target).cast("double").alias("_y"))
+    sums = tall.groupBy("feature", "category").agg(F.sum("_y").alias("total"), F.count(F.lit(1)).alias("n"))
+    return Statistics(staged(sums, "statistics"), mean)
+
+
+def ordered_statistics(
+    df: DataFrame, columns: Sequence[str], target: str, key: str, found: Statistics, seed: int = 42, part_rows: int = PART_ROWS
+) -> DataFrame:
+    """Add ``_stat_<column>``: the category's statistic over the rows before this one, so that no row sees its own target.
+
+    Rows are ordered by md5 of seed and key, then by target. The order is cut into parts of even size by the first digits of
+    the hash. Each part of a category adds up on its own and takes the sums of the parts before it from a table of sums, so
+    that one category may hold all rows. Rows without a target get the statistic of the rows before them too.
+    """
+    rows = staged(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    parts = max(1, -(-rows.count() // part_rows))
+    mark = F.md5(F.concat_ws(":", F.lit(seed), F.col(key).cast("string")))
+    tall = _tall(rows, columns, F.col("_row"), mark.alias("_mark"), F.col(target).cast("double").alias("_y"))
+    place = F.floor(F.conv(F.substring("_mark", 1, 8), 16, 10).cast("long") * parts / F.lit(1 << 32))
+    tall = tall.withColumn("_part", place)
+    one = F.when(F.col("_y").isNotNull(), 1).otherwise(0)
+    before = (Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("feature", "category", "_part").orderBy("_mark", "_y").rowsBetween(*before)
+    tall = tall.withColumns({"_sum": F.coalesce(F.sum("_y").over(inside), F.lit(0.0)), "_n": F.coalesce(F.sum(one).over(inside), F.lit(0))})
+    lower = Window.partitionBy("feature", "category").orderBy("_part").rowsBetween(*before)  # at most as many rows as parts
+    sums = tall.groupBy("feature", "category", "_part").agg(F.sum("_y").alias("_s"), F.sum(one).alias("_c"))
+    sums = sums.select(
+        "feature", "category", "_part", F.coalesce(F.sum("_s").over(lower), F.lit(0.0)).alias("_sum0"), F.coalesce(F.sum("_c").over(lower), F.lit(0)).alias("_n0")
+    )
+    value = found.value(F.col("_sum") + F.col("_sum0"), F.col("_n") + F.col("_n0"))
+    each = tall.join(sums, ["feature", "category", "_part"]).select("_row", "feature", value.alias("_value"))
+    wide = each.groupBy("_row").agg(*[F.max(F.when(F.col("feature") == c, F.col("_value"))).alias(f"_stat_{c}") for c in columns])
+    return rows.join(wide, "_row").drop("_row")
+
+
+def apply_statistics(df: DataFrame, found: Statistics, columns: Sequence[str]) -> DataFrame:
+    """Add ``_stat_<column>``: the statistic of the category over all training rows; unknown ones get the mean.
+
+    Frequent categories (at least ``HOT_SHARE`` of the rows) are looked up in a map, the others in a join.
+    """
+    values = found.table.withColumn("_value", found.value(F.col("total"), F.col("n")))
+    share = F.col("n") >= HOT_SHARE * F.sum("n").over(Window.partitionBy("feature"))
+    values = values.withColumn("_hot", share)
+    hot: dict[str, dict[str, float]] = {c: {} for c in columns}
+    for r in values.where("_hot").where(F.col("feature").isin(*columns)).collect():  # at most 1 / HOT_SHARE a column
+        hot[r["feature"]][r["category"]] = r["_value"]
+    result = df
+    for c in columns:
+        text = text_value(df, c)
+        known = F.create_map(*[F.lit(x) for pair in hot[c].items() for x in pair]) if hot[c] else None
+        direct = known[text] if known is not None else F.lit(None).cast("double")
+        # what the map knows must match nothing in the join, and must not meet in one partition
+        away = F.concat(F.lit("\x00"), F.floor(F.rand(seed=7) * 4096).cast("string"))
+        result = result.withColumn("_direct", direct).withColumn("_text", F.when(F.col("_direct").isNull(), text).otherwise(away))
+        rare = values.where((F.col("feature") == c) & ~F.col("_hot")).select(F.col("category").alias("_text"), F.col("_value").alias("_rare"))
+        result = result.join(rare, "_text", "left").withColumn(f"_stat_{c}", F.coalesce("_direct", "_rare", F.lit(found.mean)))
+        result = result.drop("_text", "_direct", "_rare")
+    return result
+
+
 def save_state(spec: EncoderSpec, vocab: DataFrame, path: str) -> None:
     """Write the vocabulary as parquet and the rest as one JSON line."""
     vocab.write.mode("overwrite").parquet(f"{path}/vocabulary")

@@ -1,31 +1,32 @@
-"""Regressors on Spark ML: fit, score, intervals, parameter search and importance."""
+"""Regressors: fit, score, intervals, parameter search and importance."""
 
 from __future__ import annotations
 
 import json
 import math
 import random
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-import numpy as np
-import pandas as pd
 from pyspark.ml import Model
-from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..config import KEY, SEASON
 from ..sources.staging import staged, staged_path
-from . import reports
+from . import boosting, reports
 from .diagnose import column_medians
-from .encode import check_mode
+from .encode import Statistics, apply_statistics, category_statistics, check_mode, ordered_statistics
 from .ranks import exact_quantiles, join_null_safe
 from .splits import fold_table
 
 FEATURES, PREDICTION = "_features", "pred_tch"
-MODELS = ("ridge", "forest", "boosted")
+#: Boosted trees grown by levels, by leaves, and with random strength on text columns as they are.
+BOOSTED = ("boosted", "leafwise", "ordered")
+MODELS = ("ridge", "forest", *BOOSTED)
 ALPHAS = {"pred_tch_p10": 0.10, "pred_tch_p50": 0.50, "pred_tch_p90": 0.90}
 SEED = 42
 #: Of Spark's trees.
@@ -37,9 +38,26 @@ SPACES = {
     "forest": {"n_estimators": (200, 800, "int"), "max_depth": (3, 30, "int"), "min_samples_leaf": (1, 20, "int")},
     "boosted": {
         "n_estimators": (200, 1200, "int"), "max_depth": (3, 10, "int"), "learning_rate": (1e-3, 0.2, "log"),
-        "subsample": (0.6, 1.0, "real"), "min_samples_leaf": (1, 20, "int"),
+        "subsample": (0.6, 1.0, "real"), "colsample_bytree": (0.6, 1.0, "real"), "min_child_weight": (1.0, 20.0, "real"),
+        "reg_alpha": (1e-8, 10.0, "log"), "reg_lambda": (1e-4, 20.0, "log"),
     },
+    "leafwise": {
+        "n_estimators": (200, 1200, "int"), "num_leaves": (16, 256, "int"), "max_depth": (3, 12, "int"),
+        "learning_rate": (1e-3, 0.2, "log"), "subsample": (0.6, 1.0, "real"), "colsample_bytree": (0.6, 1.0, "real"),
+        "min_child_samples": (5, 100, "int"), "reg_alpha": (1e-8, 10.0, "log"), "reg_lambda": (1e-4, 20.0, "log"),
+    },
+    "ordered": {
+        "iterations": (300, 800, "int"), "depth": (3, 10, "int"), "learning_rate": (1e-3, 0.2, "log"),
+        "l2_leaf_reg": (1e-3, 20.0, "log"), "random_strength": (1e-3, 10.0, "log"),
+    },
+}
+DEFAULTS = {
+    "boosted": {"max_depth": 5, "learning_rate": 0.1},
+    "leafwise": {"max_depth": 12, "num_leaves": 31, "min_samples_leaf": 20, "reg_lambda": 0.0},
+    "ordered": {"max_depth": 6, "learning_rate": 0.03, "reg_lambda": 3.0, "random_strength": 1.0},
 }
+#: Parameters of the quantile trees of models that are not boosted themselves.
+QUANTILE_PARAMS = {"n_estimators": 300, "learning_rate": 0.05, "max_depth": 3, "reg_lambda": 0.0}
 
 
 @dataclass(frozen=True)
@@ -47,13 +65,15 @@ class Fitted:
     """A fitted regressor with the columns and fill values it needs."""
 
     kind: str
-    model: Model
+    model: Model | boosting.Boosted
     features: list[str]
     medians: dict[str, float]
-    indexer: StringIndexerModel | None = None
+    statistics: Statistics | None = None
+    texts: tuple[str, ...] = ()
 
     def vectors(self, df: DataFrame) -> DataFrame:
-        return vectors(df, self.features, self.medians, self.indexer)
+        rows = apply_statistics(df, self.statistics, self.texts) if self.texts else df
+        return vectors(rows, self.features, self.medians, self.texts)
 
 
 def median_impute(df: DataFrame, medians: Mapping[str, float]) -> DataFrame:
@@ -61,17 +81,11 @@ def median_impute(df: DataFrame, medians: Mapping[str, float]) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(float(m))) for c, m in medians.items()})
 
 
-def index_column(name: str) -> str:
-    return f"_index_{name}"
-
-
-def vectors(df: DataFrame, features: Sequence[str], medians: Mapping[str, float], indexer: StringIndexerModel | None = None) -> DataFrame:
-    """Assembled features. With an indexer text features enter as category numbers, marked as categories for trees."""
-    texts = indexer.getInputCols() if indexer else []
+def vectors(df: DataFrame, features: Sequence[str], medians: Mapping[str, float], texts: Sequence[str] = ()) -> DataFrame:
+    """Assembled features; what has no median and is missing becomes NaN. Text features enter by their statistics (``_stat_<column>``)."""
+    inputs = [f"_stat_{c}" if c in texts else c for c in features]
     rows = median_impute(df, medians)
-    rows = indexer.transform(rows) if indexer else rows
-    inputs = [index_column(c) if c in texts else c for c in features]
-    return VectorAssembler(inputCols=inputs, outputCol=FEATURES).transform(rows).drop(*map(index_column, texts))
+    return VectorAssembler(inputCols=inputs, outputCol=FEATURES, handleInvalid="keep").transform(rows).drop(*[f"_stat_{c}" for c in texts])
 
 
 def build_model(kind: str, params: Mapping, target: str, rows: int = 0, deviation: float = 0.0):
@@ -91,7 +105,7 @@ def build_model(kind: str, params: Mapping, target: str, rows: int = 0, deviatio
             **common, elasticNetParam=0.0, standardization=False, solver=solver,
             regParam=float(params.get("alpha", 1.0)) / max(rows, 1) * scale,
         )
-    leaf, depth = int(params.get("min_samples_leaf", 1)), int(params.get("max_depth", 12 if kind == "forest" else 5))
+    leaf, depth = int(params.get("min_samples_leaf", 1)), int(params.get("max_depth", 12))
     if depth > MAX_DEPTH:
         raise ValueError(f"max_depth is at most {MAX_DEPTH}, not {depth}")
     if kind == "forest":
@@ -99,12 +113,6 @@ def build_model(kind: str, params: Mapping, target: str, rows: int = 0, deviatio
             **common, numTrees=int(params.get("n_estimators", 100)), maxDepth=depth,
             minInstancesPerNode=leaf, featureSubsetStrategy="all", seed=SEED,
         )
-    if kind == "boosted":
-        return GBTRegressor(
-            **common, maxIter=int(params.get("n_estimators", 100)), maxDepth=depth,
-            stepSize=float(params.get("learning_rate", 0.1)), subsamplingRate=float(params.get("subsample", 1.0)),
-            minInstancesPerNode=leaf, seed=SEED,
-        )
     raise ValueError(f"unknown model {kind!r}, expected one of {MODELS}")
 
 
@@ -112,26 +120,45 @@ def fit_model(
     train: DataFrame, features: Sequence[str], target: str, kind: str, params: Mapping | None = None,
     complete: Sequence[str] = (),
 ) -> Fitted:
-    """Fit on rows with a target. Missing features take the median of the training rows.
+    """Fit on rows with a target.
 
-    ``complete`` names features that are never missing, such as 0/1 columns. Trees take text features as categories; values
-    not seen in training share one more category.
+    Ridge and forest take the median of the training rows for a missing feature; boosted trees send it to the better side.
+    ``complete`` names features that are never missing, such as 0/1 columns. Trees take text features by statistics of the
+    target: in training those of the rows before, in scoring those of all training rows.
     """
+    if kind in BOOSTED:
+        return fit_boosted(train, features, target, kind, [params or {}])[0]
     rows = train.where(F.col(target).isNotNull())
-    texts = [c for c in features if isinstance(rows.schema[c].dataType, T.StringType)]
-    if texts:
-        check_mode("native", kind)
+    rows, statistics, texts = _with_statistics(rows, features, target, kind)
     gaps = [c for c in features if c not in {*complete, *texts}]
     medians = column_medians(rows, gaps) if gaps else {}
     stats = rows.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(target).alias("sd")).first()
     estimator = build_model(kind, params or {}, target, stats["n"], stats["sd"] or 0.0)
-    indexer = None
-    if texts:
-        indexer = StringIndexer(inputCols=texts, outputCols=[index_column(c) for c in texts], handleInvalid="keep").fit(rows)
-        # a tree needs a bin for every category
-        estimator = estimator.setMaxBins(max(estimator.getMaxBins(), *[len(labels) + 1 for labels in indexer.labelsArray]))
-    model = estimator.fit(vectors(rows, features, medians, indexer).select(FEATURES, target))
-    return Fitted(kind, model, list(features), medians, indexer)
+    model = estimator.fit(vectors(rows, features, medians, texts).select(FEATURES, target))
+    return Fitted(kind, model, list(features), medians, statistics, texts)
+
+
+def _with_statistics(rows: DataFrame, features: Sequence[str], target: str, kind: str) -> tuple[DataFrame, Statistics | None, tuple[str, ...]]:
+    """Training rows with the ordered statistics of their text features."""
+    texts = tuple(c for c in features if isinstance(rows.schema[c].dataType, (T.StringType, T.BooleanType)))
+    if not texts:
+        return rows, None, texts
+    check_mode("native", kind)
+    found = category_statistics(rows, texts, target)
+    return staged(ordered_statistics(rows, texts, target, KEY, found, SEED), "statistics-of-rows"), found, texts
+
+
+def fit_boosted(train: DataFrame, features: Sequence[str], target: str, kind: str, params: Sequence[Mapping]) -> list[Fitted]:
+    """Boosted trees for each set of parameters, all on one binned table."""
+    rows, statistics, texts = _with_statistics(train.where(F.col(target).isNotNull()), features, target, kind)
+    columns = [f"_stat_{c}" if c in texts else c for c in features]
+    key = KEY if KEY in rows.columns else None
+    found = boosting.fit_boosted(rows, columns, target, [{"seed": SEED, **DEFAULTS[kind], **_named(p)} for p in params], key)
+    return [Fitted(kind, model, list(features), {}, statistics, texts) for model in found]
+
+
+def _named(params: Mapping) -> dict:
+    return {boosting.ALIASES.get(k, k): v for k, v in params.items()}
 
 
 def score_rows(fitted: Fitted, df: DataFrame, target: str = "tch") -> DataFrame:
@@ -141,21 +168,31 @@ def score_rows(fitted: Fitted, df: DataFrame, target: str = "tch") -> DataFrame:
 
 
 def save_model(fitted: Fitted, path: str) -> None:
-    fitted.model.write().overwrite().save(f"{path}/model")
     spark = SparkSession.active()
-    if fitted.indexer:
-        fitted.indexer.write().overwrite().save(f"{path}/categories")
-    text = json.dumps({"kind": fitted.kind, "features": fitted.features, "medians": fitted.medians, "categories": bool(fitted.indexer)})
-    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/inputs")
+    if fitted.kind in BOOSTED:
+        _one_text(spark, fitted.model.text(), f"{path}/model")
+    else:
+        fitted.model.write().overwrite().save(f"{path}/model")
+    if fitted.statistics:
+        fitted.statistics.table.write.mode("overwrite").parquet(f"{path}/statistics")
+    found = {"kind": fitted.kind, "features": fitted.features, "medians": fitted.medians, "texts": fitted.texts}
+    _one_text(spark, json.dumps(found | {"mean": fitted.statistics.mean if fitted.statistics else None}), f"{path}/inputs")
+
+
+def _one_text(spark: SparkSession, text: str, path: str) -> None:
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
 def load_model(spark: SparkSession, path: str) -> Fitted:
-    from pyspark.ml.regression import GBTRegressionModel, LinearRegressionModel, RandomForestRegressionModel
+    from pyspark.ml.regression import LinearRegressionModel, RandomForestRegressionModel
 
     found = json.loads(spark.read.text(f"{path}/inputs").first()["value"])
-    reader = dict(zip(MODELS, (LinearRegressionModel, RandomForestRegressionModel, GBTRegressionModel)))
-    indexer = StringIndexerModel.load(f"{path}/categories") if found.get("categories") else None
-    return Fitted(found["kind"], reader[found["kind"]].load(f"{path}/model"), found["features"], found["medians"], indexer)
+    if found["kind"] in BOOSTED:
+        model = boosting.Boosted.read(spark.read.text(f"{path}/model").first()["value"])
+    else:
+        model = {"ridge": LinearRegressionModel, "forest": RandomForestRegressionModel}[found["kind"]].load(f"{path}/model")
+    statistics = Statistics(spark.read.parquet(f"{path}/statistics"), found["mean"]) if found["texts"] else None
+    return Fitted(found["kind"], model, found["features"], found["medians"], statistics, tuple(found["texts"]))
 
 
 # ---------------------------------------------------------------- intervals
@@ -216,6 +253,34 @@ def interval_forecast(
     return rows.withColumns(made).drop(*[f"_{name}" for name in alphas])
 
 
+def fit_quantiles(
+    train: DataFrame, features: Sequence[str], target: str, kind: str, params: Mapping | None = None, alphas: Mapping[str, float] = ALPHAS
+) -> dict[str, Fitted]:
+    """One boosted model of the pinball loss per quantile. Their leaves hold exact quantiles, so widths differ by row.
+
+    Boosted kinds take the parameters of the model, others those of ``QUANTILE_PARAMS``.
+    """
+    given = dict(params or {}) if kind in BOOSTED else {**QUANTILE_PARAMS, **(params or {})}
+    sets = [{**given, "loss": "pinball", "alpha": a} for a in alphas.values()]
+    return dict(zip(alphas, fit_boosted(train, features, target, kind if kind in BOOSTED else "boosted", sets)))
+
+
+def quantile_forecast(fitted: Mapping[str, Fitted], df: DataFrame) -> DataFrame:
+    """Every row with the quantiles of ``fit_quantiles``. They are fitted apart, so they may cross (see ``crossings``)."""
+    first = next(iter(fitted.values()))
+    rows = first.vectors(df)
+    for name, one in fitted.items():
+        rows = one.model.transform(rows).withColumnRenamed(PREDICTION, name)
+    return rows.drop(FEATURES)
+
+
+def crossings(rows: DataFrame, by: Sequence[str] = ("split",), alphas: Mapping[str, float] = ALPHAS) -> DataFrame:
+    """Rows per group, and how many of them have a quantile above the next one."""
+    names = sorted(alphas, key=alphas.get)
+    crossed = reduce(lambda a, b: a | b, [F.col(low) > F.col(high) for low, high in zip(names, names[1:])])
+    return rows.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), F.sum(crossed.cast("long")).alias("crossed"))
+
+
 # ---------------------------------------------------------------- walk-forward and search
 
 
