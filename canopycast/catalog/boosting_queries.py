@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..config import KEY
-from ..operators import boosting, encode, models
+from ..operators import attribution, boosting, encode, models
 from . import oracle as o
 from .registry import Views, query
 
@@ -126,3 +126,40 @@ def _(v):
 def _(v):
     fitted = models.fit_quantiles(train_rows(v), COLUMNS, "tch", "boosted", {"n_estimators": 1, **SPLITS})
     return models.crossings(models.quantile_forecast(fitted, v.feature_matrix))
+
+
+# ---- attributions: a path of a tree of depth two has at most two features
+def _paths(here: str) -> str:
+    return f"""SELECT {SPLITS['learning_rate']} * w AS v, a.f AS f1, (CASE WHEN up = 1 THEN a.nl ELSE a.nr END) / a.n AS z1, a.bin AS c1, a.missing_left AS m1, up = 1 AS left1,
+ b.f AS f2, (CASE WHEN l.node = 2 * up + 1 THEN b.nl ELSE b.nr END) / b.n AS z2, b.bin AS c2, b.missing_left AS m2, l.node = 2 * up + 1 AS left2
+FROM (SELECT *, CASE WHEN node > 2 THEN (node - 1) // 2 ELSE node END AS up FROM {here}_leaf) l CROSS JOIN {here}_0_best a LEFT JOIN {here}_1_best b ON l.node > 2 AND b.node = up"""
+
+
+o.CTES["bt_paths"] = " UNION ALL ".join(_paths(f"bt_t{k}") for k in range(3))
+_PASS = "((CASE WHEN {b}.bin = 0 THEN m{k} ELSE {b}.bin <= c{k} END) = left{k})::INT"
+o.CTES["bt_passes"] = f"""SELECT x.r, p.*, {_PASS.format(b='x', k=1)} AS o1, {_PASS.format(b='y', k=2)} AS o2
+FROM bt_paths p JOIN bt_bins x ON x.f = f1 AND x.r > 0 LEFT JOIN bt_bins y ON y.f = f2 AND y.r = x.r"""
+o.CTES["bt_shares"] = f"""SELECT r, {', '.join(f'coalesce(sum(a) FILTER (f = {k}), 0) AS {c}' for k, c in enumerate(COLUMNS))} FROM (
+ SELECT r, f1 AS f, v * CASE WHEN f2 IS NULL THEN o1 - z1 WHEN f1 = f2 THEN o1 * o2 - z1 * z2 ELSE (o1 - z1) * (z2 + o2) / 2 END AS a FROM bt_passes
+ UNION ALL SELECT r, f2, v * (o2 - z2) * (z1 + o1) / 2 FROM bt_passes WHERE f1 <> f2) GROUP BY r"""
+
+
+def _three_trees(v: Views):
+    return models.fit_model(train_rows(v), COLUMNS, "tch", "boosted", {"n_estimators": 3, **SPLITS})
+
+
+@query("attributions", f"SELECT {KEY}, {', '.join(f's.{c}' for c in COLUMNS)} FROM bt_shares s JOIN bt_rows USING (r)", COLUMNS, 5)
+def _(v):
+    """How far each feature moves each row's prediction by the three trees of ``fit_boosted``."""
+    return attribution.attributions(_three_trees(v), v.feature_matrix)
+
+
+@query(
+    "mean_attributions",
+    " UNION ALL ".join(f"SELECT '{c}' AS feature, avg(abs({c})) AS mean_abs_attribution FROM bt_shares JOIN (SELECT r, split FROM bt_rows) USING (r) WHERE split = 'test'" for c in COLUMNS),
+    ["mean_abs_attribution"],
+    5,
+)
+def _(v):
+    rows = attribution.attributions(_three_trees(v), v.feature_matrix.where("split = 'test'"))
+    return attribution.mean_attributions(rows, COLUMNS)

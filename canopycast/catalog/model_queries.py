@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from ..config import KEY
-from ..operators import models, reports
+from ..operators import models, reports, search
 from ..operators.features import Matrix
+from ..operators.splits import fold_table
 from ..plans import training
 from . import oracle as o
 from .registry import Views, query
@@ -91,12 +94,33 @@ def _prepare(part, whole):
     return whole, _F2, []
 
 
-@query("search_params")
+# ridge with two features in every fold: medians, centred sums, coefficients and errors per fold and penalty
+_ALPHAS = (0.1, 1000.0, 1e6)
+_FOLDS = ", ".join(f"('{fold}', '{season}', '{role}')" for fold, season, role in fold_table(SEASONS))
+o.CTES["sp_rows"] = f"SELECT fold, role, tch, {', '.join(_F2)} FROM feature_matrix JOIN (VALUES {_FOLDS}) AS folds(fold, zafra_norm, role) USING (zafra_norm) WHERE tch IS NOT NULL"
+o.CTES["sp_median"] = f"SELECT fold, {', '.join(f'median({c}) AS {c}' for c in _F2)} FROM sp_rows WHERE role = 'train' GROUP BY fold"
+o.CTES["sp_full"] = f"SELECT fold, role, tch, {', '.join(f'coalesce(r.{c}, m.{c}) AS x{k}' for k, c in enumerate(_F2, 1))} FROM sp_rows r JOIN sp_median m USING (fold)"
+o.CTES["sp_sums"] = """SELECT fold, var_pop(x1) * count(*) AS s11, var_pop(x2) * count(*) AS s22, covar_pop(x1, x2) * count(*) AS s12, covar_pop(x1, tch) * count(*) AS s1y,
+ covar_pop(x2, tch) * count(*) AS s2y, avg(x1) AS m1, avg(x2) AS m2, avg(tch) AS my FROM sp_full WHERE role = 'train' GROUP BY fold"""
+o.CTES["sp_fit"] = f"""SELECT *, my - b1 * m1 - b2 * m2 AS b0 FROM (
+ SELECT *, ((s22 + a) * s1y - s12 * s2y) / ((s11 + a) * (s22 + a) - s12 * s12) AS b1, ((s11 + a) * s2y - s12 * s1y) / ((s11 + a) * (s22 + a) - s12 * s12) AS b2
+ FROM sp_sums, (VALUES {', '.join(f'({k}, {a})' for k, a in enumerate(_ALPHAS))}) AS alphas(trial, a))"""
+o.CTES["sp_errors"] = """SELECT trial, fold, sqrt(avg(power(p - tch, 2))) AS rmse, 1 - sum(power(p - tch, 2)) / (var_pop(tch) * count(*)) AS r2, (sum(p) - sum(tch)) / sum(tch) AS diff
+FROM (SELECT trial, fold, tch, b0 + b1 * x1 + b2 * x2 AS p FROM sp_full JOIN sp_fit USING (fold) WHERE role = 'validation') GROUP BY trial, fold"""
+
+
+@query(
+    "search_params",
+    f"""SELECT trial, CASE trial {' '.join(f"WHEN {k} THEN '{json.dumps({'alpha': a})}'" for k, a in enumerate(_ALPHAS))} END AS params, 'walk_forward_r2' AS objective,
+ count(*) AS folds, avg(rmse) AS mean_rmse, avg(r2) AS mean_r2, stddev_pop(r2) AS std_r2, avg(abs(diff)) * 100 AS mean_abs_pct_diff, avg(r2) - 0.5 * stddev_pop(r2) AS score
+FROM sp_errors GROUP BY trial""",
+    ["mean_rmse", "mean_r2", "std_r2", "mean_abs_pct_diff", "score"],
+    5,
+)
 def _(v):
+    """Three penalties in the walk-forward folds of all seasons."""
     rows = matrix(v).where("tch IS NOT NULL")
-    candidates = [{"alpha": 0.1}, {"alpha": 1e6}]
-    _, trials = models.search_params(rows, _prepare, "tch", "ridge", candidates, "walk_forward_r2", 0.5, SEASONS[:5])
-    return trials
+    return search.search(rows, _prepare, "tch", "ridge", [{"alpha": a} for a in _ALPHAS], "walk_forward_r2", 0.5, SEASONS)[1]
 
 
 def _rise(feature: str, x1: str, x2: str) -> str:

@@ -11,16 +11,14 @@ import heapq
 import json
 import math
 from collections.abc import Callable, Iterator, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, fields
 
 import numpy as np
 import pyarrow as pa
-from pyspark import inheritable_thread_target
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from ..sources.staging import discard, staged
+from ..sources.staging import discard, staged, together
 
 #: Range 0 holds missing values.
 MISSING = 0
@@ -546,20 +544,33 @@ def node_table(model: Boosted, spark: SparkSession | None = None) -> DataFrame:
     return (spark or SparkSession.active()).createDataFrame(model.nodes(), NODES)
 
 
-def fit_boosted(rows: DataFrame, columns: Sequence[str], target: str, params: Sequence[Mapping], key: str | None = None) -> list[Boosted]:
-    """Trees fitted on the rows with a target, once for each set of parameters, as concurrent jobs on one binned table.
+@dataclass(frozen=True)
+class Binned:
+    """The rows with a target as ranges of their columns; any number of fits read it."""
 
-    ``columns`` are numeric; missing values go to the better side of every split. The sets share ``max_bins``.
-    """
-    settings = [Settings.of(p) for p in params]
-    if len({s.max_bins for s in settings}) > 1:
-        raise ValueError("fits on one table need the same max_bins")
+    table: DataFrame
+    edges: list[np.ndarray]
+    bins: int
+
+
+def bin_rows(rows: DataFrame, columns: Sequence[str], target: str, bins: int = Settings.max_bins, key: str | None = None) -> Binned:
+    """Cut the numeric ``columns`` into ranges and write the rows with a target. Missing values go to the better side of every split."""
     rows = rows.where(F.col(target).isNotNull() & ~F.isnan(F.col(target).cast("double")))
-    edges = limits(rows, columns, settings[0].max_bins)
-    table = binned(rows, columns, target, edges, key)
-    fits = [Fit(table, len(columns), s) for s in settings]
-    with ThreadPoolExecutor(len(fits)) as pool:
-        run = inheritable_thread_target(rows.sparkSession)(Fit.run)
-        done = list(pool.map(run, fits))
-    discard(table)
-    return [Boosted(f.base, f.s.learning_rate, edges, f.trees) for f in done]
+    edges = limits(rows, columns, bins)
+    return Binned(binned(rows, columns, target, edges, key), edges, bins)
+
+
+def fit_binned(data: Binned, params: Mapping) -> Boosted:
+    settings = Settings.of(params)
+    if settings.max_bins != data.bins:
+        raise ValueError(f"the table has {data.bins} ranges a column, not max_bins={settings.max_bins}")
+    fit = Fit(data.table, len(data.edges), settings).run()
+    return Boosted(fit.base, settings.learning_rate, data.edges, fit.trees)
+
+
+def fit_boosted(rows: DataFrame, columns: Sequence[str], target: str, params: Sequence[Mapping], key: str | None = None) -> list[Boosted]:
+    """Trees for each set of parameters, as concurrent jobs on one binned table; the sets share ``max_bins``."""
+    data = bin_rows(rows, columns, target, Settings.of(params[0]).max_bins, key)
+    found = together(rows.sparkSession, [lambda p=p: fit_binned(data, p) for p in params])
+    discard(data.table)
+    return found

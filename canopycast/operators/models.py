@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 import math
-import random
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -15,13 +14,12 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
-from ..config import KEY, SEASON
-from ..sources.staging import staged, staged_path
-from . import boosting, reports
+from ..config import KEY
+from ..sources.staging import staged, staged_path, together
+from . import boosting
 from .diagnose import column_medians
 from .encode import Statistics, apply_statistics, category_statistics, check_mode, ordered_statistics
 from .ranks import exact_quantiles, join_null_safe
-from .splits import fold_table
 
 FEATURES, PREDICTION = "_features", "pred_tch"
 #: Boosted trees grown by levels, by leaves, and with random strength on text columns as they are.
@@ -116,6 +114,45 @@ def build_model(kind: str, params: Mapping, target: str, rows: int = 0, deviatio
     raise ValueError(f"unknown model {kind!r}, expected one of {MODELS}")
 
 
+@dataclass(frozen=True)
+class Prepared:
+    """Training rows as a kind of model reads them, written once for any number of fits."""
+
+    kind: str
+    features: list[str]
+    target: str
+    data: DataFrame | boosting.Binned
+    medians: dict[str, float]
+    statistics: Statistics | None
+    texts: tuple[str, ...]
+    rows: int = 0
+    deviation: float = 0.0
+
+
+def prepare_fit(
+    train: DataFrame, features: Sequence[str], target: str, kind: str, complete: Sequence[str] = (), max_bins: int = boosting.Settings.max_bins
+) -> Prepared:
+    """What does not depend on the parameters: medians, statistics of text features, ranges of boosted trees. Rows without a target are left out."""
+    rows, statistics, texts = _with_statistics(train.where(F.col(target).isNotNull()), features, target, kind)
+    if kind in BOOSTED:
+        columns = [f"_stat_{c}" if c in texts else c for c in features]
+        data = boosting.bin_rows(rows, columns, target, max_bins, KEY if KEY in rows.columns else None)
+        return Prepared(kind, list(features), target, data, {}, statistics, texts)
+    gaps = [c for c in features if c not in {*complete, *texts}]
+    medians = column_medians(rows, gaps) if gaps else {}
+    stats = rows.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(target).alias("sd")).first()
+    data = staged(vectors(rows, features, medians, texts).select(FEATURES, target), "vectors")
+    return Prepared(kind, list(features), target, data, medians, statistics, texts, stats["n"], stats["sd"] or 0.0)
+
+
+def fit_prepared(p: Prepared, params: Mapping | None = None) -> Fitted:
+    if p.kind in BOOSTED:
+        model = boosting.fit_binned(p.data, {"seed": SEED, **DEFAULTS[p.kind], **_named(params or {}), "max_bins": p.data.bins})
+    else:
+        model = build_model(p.kind, params or {}, p.target, p.rows, p.deviation).fit(p.data)
+    return Fitted(p.kind, model, p.features, p.medians, p.statistics, p.texts)
+
+
 def fit_model(
     train: DataFrame, features: Sequence[str], target: str, kind: str, params: Mapping | None = None,
     complete: Sequence[str] = (),
@@ -126,16 +163,7 @@ def fit_model(
     ``complete`` names features that are never missing, such as 0/1 columns. Trees take text features by statistics of the
     target: in training those of the rows before, in scoring those of all training rows.
     """
-    if kind in BOOSTED:
-        return fit_boosted(train, features, target, kind, [params or {}])[0]
-    rows = train.where(F.col(target).isNotNull())
-    rows, statistics, texts = _with_statistics(rows, features, target, kind)
-    gaps = [c for c in features if c not in {*complete, *texts}]
-    medians = column_medians(rows, gaps) if gaps else {}
-    stats = rows.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(target).alias("sd")).first()
-    estimator = build_model(kind, params or {}, target, stats["n"], stats["sd"] or 0.0)
-    model = estimator.fit(vectors(rows, features, medians, texts).select(FEATURES, target))
-    return Fitted(kind, model, list(features), medians, statistics, texts)
+    return fit_prepared(prepare_fit(train, features, target, kind, complete, int((params or {}).get("max_bins", boosting.Settings.max_bins))), params)
 
 
 def _with_statistics(rows: DataFrame, features: Sequence[str], target: str, kind: str) -> tuple[DataFrame, Statistics | None, tuple[str, ...]]:
@@ -148,15 +176,6 @@ def _with_statistics(rows: DataFrame, features: Sequence[str], target: str, kind
     return staged(ordered_statistics(rows, texts, target, KEY, found, SEED), "statistics-of-rows"), found, texts
 
 
-def fit_boosted(train: DataFrame, features: Sequence[str], target: str, kind: str, params: Sequence[Mapping]) -> list[Fitted]:
-    """Boosted trees for each set of parameters, all on one binned table."""
-    rows, statistics, texts = _with_statistics(train.where(F.col(target).isNotNull()), features, target, kind)
-    columns = [f"_stat_{c}" if c in texts else c for c in features]
-    key = KEY if KEY in rows.columns else None
-    found = boosting.fit_boosted(rows, columns, target, [{"seed": SEED, **DEFAULTS[kind], **_named(p)} for p in params], key)
-    return [Fitted(kind, model, list(features), {}, statistics, texts) for model in found]
-
-
 def _named(params: Mapping) -> dict:
     return {boosting.ALIASES.get(k, k): v for k, v in params.items()}
 
@@ -261,8 +280,9 @@ def fit_quantiles(
     Boosted kinds take the parameters of the model, others those of ``QUANTILE_PARAMS``.
     """
     given = dict(params or {}) if kind in BOOSTED else {**QUANTILE_PARAMS, **(params or {})}
-    sets = [{**given, "loss": "pinball", "alpha": a} for a in alphas.values()]
-    return dict(zip(alphas, fit_boosted(train, features, target, kind if kind in BOOSTED else "boosted", sets)))
+    data = prepare_fit(train, features, target, kind if kind in BOOSTED else "boosted", (), int(given.get("max_bins", boosting.Settings.max_bins)))
+    fits = [lambda a=a: fit_prepared(data, {**given, "loss": "pinball", "alpha": a}) for a in alphas.values()]
+    return dict(zip(alphas, together(train.sparkSession, fits)))
 
 
 def quantile_forecast(fitted: Mapping[str, Fitted], df: DataFrame) -> DataFrame:
@@ -281,98 +301,6 @@ def crossings(rows: DataFrame, by: Sequence[str] = ("split",), alphas: Mapping[s
     return rows.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), F.sum(crossed.cast("long")).alias("crossed"))
 
 
-# ---------------------------------------------------------------- walk-forward and search
-
-
-def walk_forward_predictions(
-    df: DataFrame, seasons: Sequence[str], prepare, target: str, kind: str, params: Mapping
-) -> DataFrame:
-    """Validation predictions of each fold, and its training rows without prediction.
-
-    ``prepare(train, rows)`` returns the encoded rows, their feature names and which of these are
-    never missing, so that vocabularies come from the training rows of the fold.
-    """
-    result = None
-    season = F.col(SEASON)
-    present = {r[SEASON] for r in df.where(season.isin(*seasons)).select(SEASON).distinct().collect()}
-    folds: dict[str, list[str]] = {}
-    for fold, name, role in fold_table(seasons):
-        folds.setdefault(fold, [])
-        if role == "train" and name in present:
-            folds[fold].append(name)
-    for fold, names in folds.items():
-        if fold not in present or not names:
-            continue
-        encoded, features, complete = prepare(df.where(season.isin(*names)), df.where(season.isin(fold, *names)))
-        train = encoded.where(season.isin(*names))
-        fitted = fit_model(train, features, target, kind, params, complete)
-        held = score_rows(fitted, encoded.where(season == fold), target)
-        columns = [KEY, SEASON, F.col("actual_tch")]
-        rows = held.select(*columns, PREDICTION, F.lit("validation").alias("role"))
-        base = train.select(KEY, SEASON, F.col(target).alias("actual_tch"), F.lit(None).cast("double").alias(PREDICTION), F.lit("train").alias("role"))
-        rows = rows.unionByName(base).withColumn("fold", F.lit(fold))
-        result = rows if result is None else result.unionByName(rows)
-    if result is None:
-        raise ValueError("no fold has both training and validation rows")
-    return result
-
-
-def sample_params(kind: str, trials: int, space: Mapping | None = None, seed: int = SEED) -> list[dict]:
-    """Random parameter sets from the search ranges of a model."""
-    source = random.Random(seed)
-    space = space or SPACES[kind]
-
-    def draw(low, high, scale):
-        if scale == "int":
-            return source.randint(low, high)
-        if scale == "log":
-            return math.exp(source.uniform(math.log(low), math.log(high)))
-        return source.uniform(low, high)
-
-    return [{name: draw(*limits) for name, limits in space.items()} for _ in range(trials)]
-
-
-def search_params(
-    df: DataFrame,
-    prepare,
-    target: str,
-    kind: str,
-    candidates: Sequence[Mapping],
-    objective: str = "auto",
-    penalty: float = 0.0,
-    seasons: Sequence[str] | None = None,
-) -> tuple[dict, DataFrame]:
-    """Best parameters and one row per trial.
-
-    With seasons every candidate is fitted in each walk-forward fold, otherwise once on the
-    training split and judged on the validation split.
-    """
-    mode = reports.resolve_objective(objective, seasons is not None)
-    spark, trials = df.sparkSession, []
-    for number, params in enumerate(candidates):
-        if seasons is not None:
-            rows = walk_forward_predictions(df, seasons, prepare, target, kind, params)
-        else:
-            train = F.col("split") == "train"
-            encoded, features, complete = prepare(df.where(train), df.where(F.col("split").isin("train", "validation")))
-            fitted = fit_model(encoded.where(train), features, target, kind, params, complete)
-            rows = score_rows(fitted, encoded, target).withColumns(
-                {"role": F.col("split"), "fold": F.lit("validation")}
-            )
-        score = reports.objective_score(reports.walk_forward_metrics(rows), mode, penalty).first()
-        trials.append((number, json.dumps(params, sort_keys=True), mode, *[score[c] for c in ("mean_rmse", "mean_r2", "std_r2", "mean_abs_pct_diff", "score")]))
-    table = spark.createDataFrame(
-        trials,
-        "trial int, params string, objective string, mean_rmse double, mean_r2 double, std_r2 double, mean_abs_pct_diff double, score double",
-    )
-    scored = [row for row in trials if row[-1] is not None]
-    if not scored:
-        raise ValueError("no candidate has a score")
-    pick = max if mode == "walk_forward_r2" else min
-    best = pick(scored, key=lambda row: row[-1])
-    return json.loads(best[1]), table
-
-
 # ---------------------------------------------------------------- importance
 
 

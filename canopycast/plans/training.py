@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..config import KEY, SEASON, TARGET
 from ..functions.names import feature_names
-from ..operators import encode as enc, models, reports, splits
+from ..operators import attribution, encode as enc, models, reports, search, splits
 from ..operators.features import Matrix
 from ..operators.ranks import join_null_safe
 from ..sources.io import write_reports
@@ -30,6 +30,9 @@ class Options:
     external: Sequence[str] = ()
     params: Mapping = field(default_factory=dict)
     trials: int = 0
+    trials_at_once: int = 4
+    # share of the trials of a round that go on to the next fold
+    keep_trials: float = 1.0
     objective: str = "auto"
     penalty: float = 0.0
     walk_forward: bool = False
@@ -37,7 +40,11 @@ class Options:
     fold_seasons: Sequence[str] | None = None
     refit_encoder: bool = True
     quantiles: bool = True
+    # "residuals" shifts the prediction by validation residuals, "pinball" fits boosted trees per quantile; a forest has its own
+    intervals: str = "residuals"
     importance: bool = False
+    # contribution of each feature to each prediction of the test rows, for tree models
+    attributions: bool = False
     min_rows: int = 30
     # report on the features too, next to the model
     diagnostics: bool = False
@@ -70,6 +77,8 @@ def train(matrix: Matrix, options: Options = Options()) -> Run:
     """Fit on the training split and report every split, the external seasons included."""
     o = options
     enc.check_mode(enc.resolve_mode(o.mode), o.kind)
+    if o.intervals not in ("residuals", "pinball"):
+        raise ValueError(f"unknown intervals {o.intervals!r}")
     if o.walk_forward:
         reports.resolve_objective(o.objective, True)
     df = split_rows(matrix, o)
@@ -99,9 +108,9 @@ def train(matrix: Matrix, options: Options = Options()) -> Run:
     seasons = list(o.fold_seasons or [*o.train, *o.validation])
     trials = None
     if o.trials:
-        params, trials = models.search_params(
-            df, prepare, o.target, o.kind, models.sample_params(o.kind, o.trials), o.objective, o.penalty,
-            seasons if o.walk_forward else None,
+        params, trials = search.search(
+            df, prepare, o.target, o.kind, o.trials, o.objective, o.penalty, seasons if o.walk_forward else None,
+            at_once=o.trials_at_once, keep=o.keep_trials,
         )
 
     encoded, features, complete = encode_rows(df, base_vocab)
@@ -120,12 +129,16 @@ def train(matrix: Matrix, options: Options = Options()) -> Run:
         found |= quantile_reports(fitted, encoded, predictions, found["metrics_by_zafra"], o)
     found["metrics_by_zafra_aggregate"] = reports.aggregate_season_metrics(found["metrics_by_zafra"])
     if o.walk_forward:
-        folds = models.walk_forward_predictions(df.where("split IS NULL OR split <> 'external'"), seasons, prepare, o.target, o.kind, params)
+        folds = search.walk_forward_predictions(df.where("split IS NULL OR split <> 'external'"), seasons, prepare, o.target, o.kind, params)
         found["walk_forward_metrics"] = reports.walk_forward_metrics(folds)
     if o.importance:
         found["feature_importance"] = models.permutation_importance(
             fitted, encoded.where(F.col("split") == "test"), target=o.target
         )
+    if o.attributions:
+        rows_of = staged(attribution.attributions(fitted, encoded.where(F.col("split") == "test"), KEY), "attributions")
+        found["attributions"] = rows_of
+        found["mean_attributions"] = attribution.mean_attributions(rows_of, features)
     return Run(fitted, spec, base_vocab, params, rows, found)
 
 
@@ -163,6 +176,10 @@ def quantile_reports(
     if fitted.kind == "forest":
         rows = models.forest_quantiles(fitted, encoded.where(F.col("split").isNotNull()))
         rows = rows.withColumnRenamed(o.target, "actual_tch")
+    elif o.intervals == "pinball":
+        train_rows = encoded.where(F.col("split") == "train")
+        models_of = models.fit_quantiles(train_rows, fitted.features, o.target, fitted.kind, o.params if fitted.kind in models.BOOSTED else None)
+        rows = models.quantile_forecast(models_of, encoded.where(F.col("split").isNotNull())).withColumnRenamed(o.target, "actual_tch")
     else:
         rows = models.interval_forecast(predictions)
     rows = staged(rows.select(*[c for c in names if c in rows.columns]), "quantiles")

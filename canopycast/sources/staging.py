@@ -7,12 +7,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 _DIR = "spark.checkpoint.dir"
+R = TypeVar("R")
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -63,9 +66,15 @@ def staged(df: DataFrame, name: str = "stage") -> DataFrame:
     return table
 
 
+def together(spark: SparkSession, jobs: list[Callable[[], R]], at_once: int = 8) -> list[R]:
+    """Results of functions that run Spark jobs of their own, several at a time, in order."""
+    if not jobs:
+        return []
+    with ThreadPoolExecutor(min(at_once, len(jobs))) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]]
+
+
 def staged_together(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Stage tables that do not depend on each other as concurrent jobs."""
-    stage = inheritable_thread_target(next(iter(tables.values())).sparkSession)(staged)
-    with ThreadPoolExecutor(len(tables)) as pool:
-        jobs = {name: pool.submit(stage, df, name) for name, df in tables.items()}
-        return {name: job.result() for name, job in jobs.items()}
+    spark = next(iter(tables.values())).sparkSession
+    return dict(zip(tables, together(spark, [lambda n=name, df=df: staged(df, n) for name, df in tables.items()], len(tables))))

@@ -199,3 +199,54 @@ def test_trees_take_text_columns(spark, tmp_path, kind):
     assert again.pred_tch.sum() == pytest.approx(got.pred_tch.sum())
     with pytest.raises(ValueError, match="text columns"):
         models.fit_model(df, ["x", "t"], "tch", "ridge")
+
+
+def slow_shares(nodes, base, x, width):
+    """Attributions by all sets of features; what is absent follows both branches with the shares of their rows."""
+    from itertools import combinations
+
+    by_tree = {}
+    for n in nodes:
+        by_tree.setdefault(n[0], {})[n[1]] = n
+
+    def value(tree, node, known):
+        _, _, column, threshold, missing_left, left, right, v, cover = tree[node]
+        if column is None:
+            return v
+        if column in known:
+            goes = missing_left if math.isnan(x[column]) else x[column] <= (math.inf if threshold is None else threshold)
+            return value(tree, left if goes else right, known)
+        return sum(tree[c][8] / cover * value(tree, c, known) for c in (left, right))
+
+    game = {}
+    for k in range(width + 1):
+        for known in combinations(range(width), k):
+            game[known] = base + sum(value(t, 0, known) for t in by_tree.values())
+    out = []
+    for i in range(width):
+        others = [j for j in range(width) if j != i]
+        out.append(sum(
+            math.factorial(k) * math.factorial(width - 1 - k) / math.factorial(width) * (game[tuple(sorted((*known, i)))] - game[known])
+            for k in range(width) for known in combinations(others, k)
+        ))
+    return out, game[()]
+
+
+@pytest.mark.parametrize("kind", ["boosted", "forest"])
+def test_attributions_are_those_of_all_sets_of_features(rows, kind):
+    from canopycast.operators import attribution
+
+    complete = rows if kind == "boosted" else rows.fillna(0.25, COLUMNS)
+    params = {"n_estimators": 4, "max_depth": 5, "learning_rate": 0.3, "min_samples_leaf": 5} if kind == "boosted" else {"n_estimators": 3, "max_depth": 4}
+    fitted = models.fit_model(complete.where("cod_cg_zafra <> 'nan'"), COLUMNS, "tch", kind, params)
+    got = {r.cod_cg_zafra: r for r in attribution.attributions(fitted, complete).collect()}
+    scored = models.score_rows(fitted, complete).collect()
+    nodes, mean = attribution.node_rows(fitted), attribution.expected(fitted)
+    for r in scored:
+        assert sum(got[r.cod_cg_zafra][c] for c in COLUMNS) + mean == pytest.approx(r.pred_tch)
+    base = fitted.model.base if kind == "boosted" else 0.0
+    for r in scored[:25]:
+        want, start = slow_shares(nodes, base, [math.nan if r[c] is None else r[c] for c in COLUMNS], 4)
+        assert [got[r.cod_cg_zafra][c] for c in COLUMNS] == pytest.approx(want, abs=1e-9) and start == pytest.approx(mean)
+    table = {r.feature: r.mean_abs_attribution for r in attribution.mean_attributions(attribution.attributions(fitted, complete), COLUMNS).collect()}
+    assert table["b"] > table["d"] and table["a"] == pytest.approx(np.mean([abs(r["a"]) for r in got.values()]))
