@@ -4,15 +4,17 @@ Two words are near if one inserted, deleted or replaced code point turns one int
 number of words that hold them. A word's prefix are its three rarest bigrams, its pivots two of them that don't overlap
 and are rarest together. One edit touches at most one of two disjoint pivots, so of two near words the one whose prefix
 ends earlier in the order has a pivot that the other has too, within its prefix. The edit lies on one side of that pivot.
-On the other side both words are equal, so the pivot has the same place counted from that end, and pivots meet prefixes
-only at the same place behind or before the same letters. What meets is verified.
+On the other side both words are equal, so the pivot has the same place counted from that end; and of the side with the edit
+the first or the last half is equal too. Pivots meet prefixes only at the same place with the same letters on the one side
+and one equal half on the other. What meets is verified.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,19 +28,17 @@ from .common import arrow_map, text_table
 LETTERS, LEAST, RATIO = 7, 2, 10
 #: One occurrence in ``EDITED`` loses a letter, told by its hash.
 EDITED = 31
-#: Words that one lookup key compares in one task; larger keys are dealt into blocks.
-BLOCK = 4096
 #: Distinct words whose occurrences a task adds up before it sends them.
 HELD = 500_000
 
 # The characters of a run, and the letters that become lower case.
 _RUN = re.compile("[A-Za-zÀ-ÿ]+")
-_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
+_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
 def occurrence(doc_id: int | None, run: str) -> str:
     """The word that a lower-cased run stands for: a fixed share of the occurrences lose the letter that their hash names."""
-    h = zlib.crc32(f"{doc_id}:{run}".encode())
+    h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
     if h % EDITED:
         return run
     at = h % len(run)
@@ -49,14 +49,14 @@ def words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lette
     """``word, n``: words of at least ``letters`` code points with at least ``least`` occurrences in all rows.
 
     Each task adds up what it reads before anything is shuffled. Null and empty texts have no words; equal rows each count.
-    The hash is taken over the id as decimal text, ``None`` for a null one.
+    The hash is taken over the id as decimal text, empty for a null one.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, int] = {}
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                for m in _RUN.finditer(text.translate(_LOWER) if not text.isascii() else text.lower()):
+                for m in _RUN.finditer(text.encode().translate(_LOWER).decode()):
                     run = m.group()
                     if len(run) < letters:
                         continue
@@ -105,50 +105,55 @@ def prefix_and_pivots(word: str, order: dict[str, int]) -> tuple[list[int], tupl
     return prefix, pair
 
 
-def lookup_keys(vocabulary: DataFrame, order: dict[str, int]) -> DataFrame:
-    """``key, pivot, last, word, n``: every word under the keys of its prefix bigrams, marked where the bigram is a pivot.
+def _halves(known: str, rest: str, side: int, lengths: Iterable[int]) -> set[int]:
+    """Hashes of the equal side with either half of the rest, cut as a rest of each length is: an edit leaves one half as it is."""
+    first, last = {m // 2 for m in lengths}, {m - m // 2 for m in lengths}
+    keys = {xxhash.xxh3_64_intdigest(f"{known}|{rest[:k]}", 2 * side) for k in first if k <= len(rest)}
+    return keys | {xxhash.xxh3_64_intdigest(f"{known}|{rest[len(rest) - k :]}", 2 * side + 1) for k in last if k <= len(rest)}
 
-    A key hashes the bigram with all letters before it, or with all letters after it and from the other end; ``last`` is the
-    place in the order where the word's prefix ends.
+
+def lookup_keys(vocabulary: DataFrame, order: dict[str, int], pivots: bool) -> DataFrame:
+    """``key, last, letters, word, n``: every word under the keys of its prefix bigrams, or of its pivots as they look for others.
+
+    ``last`` is the place in the order where the word's prefix ends, ``letters`` marks the bytes it has. Pivots ask for rests
+    that are as long as their own, or one letter shorter or longer.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, pivot, last, row = [], [], [], []
-            for k, word in enumerate(batch.column("word").to_pylist()):
+            keys, many, last, letters = [], [], [], []
+            for word in batch.column("word").to_pylist():
                 prefix, pair = prefix_and_pivots(word, order)
-                end = max(order[word[i : i + 2]] for i in prefix)
-                for i in prefix:
-                    keys += (xxhash.xxh3_64_intdigest(word[: i + 2], 1), xxhash.xxh3_64_intdigest(word[i:], 2))
-                    pivot += [i in pair] * 2
-                    last += [end] * 2
-                    row += [k] * 2
-            at = pa.array(row, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(pivot, pa.bool_()), pa.array(last, pa.int32()), batch.column("word").take(at), batch.column("n").take(at)],
-                ["key", "pivot", "last", "word", "n"],
-            )
-
-    return arrow_map(vocabulary.select("word", "n"), run, "key long, pivot boolean, last int, word string, n long")
-
-
-def near_pairs(vocabulary: DataFrame, least: int = LETTERS) -> DataFrame:
+                found: set[int] = set()
+                for i in pair if pivots else prefix:
+                    for side, known, rest in ((0, word[: i + 2], word[i + 2 :]), (1, word[i:], word[:i])):
+                        m = len(rest)
+                        found |= _halves(known, rest, side, range(max(m - 1, 0), m + 2) if pivots else (m,))
+                keys += found
+                many.append(len(found))
+                last.append(max(order[word[i : i + 2]] for i in prefix))
+                letters.append(reduce(lambda x, byte: x | 1 << byte % 31, word.encode(), 0))
+            at = pa.array(np.repeat(np.arange(batch.num_rows), many))
+            columns = [pa.array(last, pa.int32()), pa.array(letters, pa.int32()), batch.column("word"), batch.column("n")]
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(keys, np.uint64).view(np.int64)), *(c.take(at) for c in columns)], names)
+
+    schema = "key long, last int, letters int, word string, n long"
+    names = [x.split()[0] for x in schema.split(", ")]
+    return arrow_map(vocabulary.select("word", "n"), run, schema)
+
+
+def near_pairs(vocabulary: DataFrame) -> DataFrame:
     """``word, n, other, other_n``: every pair of near words of ``vocabulary`` (``word, n``), both ways.
 
-    Words need at least four code points, so that three bigrams exist. The bigrams' order reaches the driver and the tasks;
-    a key of more than ``BLOCK`` words is dealt into blocks, and its pivots go to each of them.
+    Words need at least four code points, so that three bigrams exist. The bigrams' order reaches the driver and the tasks. A
+    key joins words that share about three quarters of their letters; Spark splits partitions that are much larger than others.
     """
-    keys = staged(lookup_keys(vocabulary, gram_order(vocabulary)), "gram-keys")
-    large = keys.groupBy("key").agg(F.count("*").alias("many")).where(F.col("many") > BLOCK)
-    large = large.select("key", F.ceil(F.col("many") / BLOCK).cast("int").alias("blocks"))
-    dealt = keys.join(large, "key", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    held = dealt.withColumn("block", F.pmod(F.xxhash64("word"), F.col("blocks")).cast("int")).select(
-        "key", "block", F.col("word").alias("other"), F.col("n").alias("other_n"), F.col("last").alias("other_last")
-    )
-    asked = dealt.where("pivot").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("key", "block", "word", "n", "last")
-    near = (F.abs(F.length("word") - F.length("other")) <= 1) & (F.levenshtein("word", "other", 1) == 1)
-    met = asked.join(held, ["key", "block"]).where((F.col("last") <= F.col("other_last")) & (F.col("word") != F.col("other")) & near)
-    met = met.select("word", "n", "other", "other_n")
+    order = gram_order(vocabulary)
+    held = lookup_keys(vocabulary, order, False).toDF("key", "other_last", "other_letters", "other", "other_n")
+    # an edit takes at most two bytes and adds at most two, three together
+    alike = F.bit_count(F.col("letters").bitwiseXOR(F.col("other_letters"))) <= 3
+    near = (F.col("last") <= F.col("other_last")) & alike & (F.levenshtein("word", "other", 1) == 1)
+    met = lookup_keys(vocabulary, order, True).join(held, "key").where(near).select("word", "n", "other", "other_n")
     return met.union(met.select(F.col("other"), F.col("other_n"), F.col("word"), F.col("n"))).distinct()
 
 
@@ -159,13 +164,12 @@ def variants(vocabulary: DataFrame, pairs: DataFrame, ratio: int = RATIO) -> Dat
     A form occurs ``ratio`` times as often as its word, so a chain is at most as long as the largest count has digits
     (to that base), and doubling steps reach its end in the logarithm of that.
     """
-    # binary order of UTF-8 is code-point order
-    best = F.max_by(F.struct("other", "other_n"), F.struct("other_n", F.expr("transform(split(other, ''), c -> -ascii(c))")))
+    # strings compare by their UTF-8 bytes, which is code-point order
+    best = F.min(F.struct((-F.col("other_n")).alias("less"), "other"))
     near = pairs.groupBy("word").agg(F.count("*").alias("n_near"), best.alias("best"))
-    rows = vocabulary.join(near, "word", "left").select(
-        "word", "n", F.coalesce("n_near", F.lit(0)).alias("n_near"), F.when(F.col("best.other_n") >= ratio * F.col("n"), F.col("best")).alias("best")
-    )
-    rows = staged(rows.select("word", "n", "n_near", F.col("best.other").alias("form"), F.col("best.other_n").alias("form_n")), "forms")
+    rows = vocabulary.join(near, "word", "left").withColumn("best", F.when(-F.col("best.less") >= ratio * F.col("n"), F.col("best")))
+    rows = rows.select("word", "n", F.coalesce("n_near", F.lit(0)).alias("n_near"), F.col("best.other").alias("form"), (-F.col("best.less")).alias("form_n"))
+    rows = staged(rows, "forms")
     step = rows.where("form IS NOT NULL").select("word", F.col("form").alias("root"))
     most, longest = rows.agg(F.max("n")).first()[0] or 1, 1
     while longest < np.log(max(most, 2)) / np.log(ratio):
