@@ -122,7 +122,8 @@ def _(v):
 @query("binned_mutual_info", "SELECT * FROM info", ["mutual_info"])
 def _(v):
     train = matrix(v).where("split = 'train'")
-    return dg.binned_mutual_info(dg.rank_target(dg.value_pairs(train, NUMBERS, "tch"), ["feature"], "y"))
+    ranked = dg.rank_target(dg.value_pairs(train, NUMBERS, "tch"), ["feature"], "y")
+    return dg.binned_mutual_info(dg.ranked_values(ranked, ["feature"], "x", dg.BINS))
 
 
 @query(

@@ -290,13 +290,21 @@ def _(v):
     return v.spark.read.parquet(path)
 
 
-@query("sink_chunked", "SELECT cod_cg_zafra, split, pred_tch FROM predictions UNION ALL SELECT cod_cg_zafra, split, pred_tch FROM predictions WHERE split = 'test'", ["pred_tch"])
+@query(
+    "sink_chunked",
+    f"""SELECT {KEY}, split, pred_tch, CASE WHEN split = 'test' AND k IS NULL THEN t // 500 ELSE k // 500 END AS part FROM (
+ SELECT {KEY}, split, pred_tch, row_number() OVER (ORDER BY {KEY}) - 1 AS k, NULL AS t FROM predictions
+ UNION ALL SELECT {KEY}, split, pred_tch, NULL, row_number() OVER (ORDER BY {KEY}) - 1 FROM predictions WHERE split = 'test'
+) WHERE t IS NOT NULL OR k >= 500 * ceil((SELECT count(*) FROM predictions WHERE split = 'test') / 500)""",
+    ["pred_tch"],
+)
 def _(v):
+    """Rows with the number of their file, after a write that overwrites the first files and leaves the others."""
     folder, rows = staged_path(v.spark, "sink"), v.predictions.select(KEY, "split", "pred_tch")
-    for replace in (True, True):
-        path = io.write_chunked(rows, folder, "predictions", 500, replace)
-    io.write_chunked(rows.where("split = 'test'"), folder, "predictions", 500, replace=False)
-    return v.spark.read.parquet(path)
+    for _ in range(2):
+        path = io.write_chunked(rows, folder, "predictions", 500, order_by=[KEY])
+    io.write_chunked(rows.where("split = 'test'"), folder, "predictions", 500, replace=False, order_by=[KEY])
+    return v.spark.read.parquet(path).withColumn("part", F.regexp_extract("_metadata.file_name", "part-([0-9]+)", 1).cast("long"))
 
 
 @query(

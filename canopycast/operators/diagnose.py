@@ -147,27 +147,32 @@ def rank_target(rows: DataFrame, keys: list[str], y: str) -> DataFrame:
     return rows.join(ranked.join(totals, keys), [*keys, y])
 
 
-def rank_correlation(rows: DataFrame, keys: list[str], x: str) -> DataFrame:
-    """Spearman correlation of ``x`` with a target whose rank is ``ry``.
+def ranked_values(rows: DataFrame, keys: list[str], x: str, bins: int = 0) -> DataFrame:
+    """Sums over each group that Spearman's correlation of ``x`` with a target of rank ``ry`` needs, by rank bin of ``x``.
 
-    Grouped by value of ``x`` before ranking, the sums over ``ry`` are all that is needed of the
-    target, so no rank is joined back to the rows.
+    Grouped by value of ``x`` before ranking, sums over the target are all that is needed of it, so no rank is joined back to the
+    rows. With ``bins`` there is one row per group and bin, with the rows in each target bin; without, one per group.
     """
     n, ry = F.col("n"), F.col("ry")
-    by_value = rows.groupBy(*keys, x).agg(
-        F.sum(n).alias("n"), F.sum(n * ry).alias("_y"), F.sum(n * ry * ry).alias("_yy")
-    )
+    target = rank_bin(ry, F.col("rows_y"), bins) if bins else None
+    cells = [F.sum(F.when(target == b, n).otherwise(0)).alias(f"_b{b}") for b in range(bins)]
+    own = [*keys, "rows_y"] if bins else list(keys)
+    by_value = rows.groupBy(*own, x).agg(F.sum(n).alias("n"), F.sum(n * ry).alias("_y"), F.sum(n * ry * ry).alias("_yy"), *cells)
     rx = F.col("before") + (F.col("n") + 1) / 2
-    ranked = running_counts(by_value, keys, x).withColumn("rx", rx)
-    sums = ranked.groupBy(*keys).agg(
+    ranked = running_counts(by_value, own, x).withColumn("rx", rx)
+    at = [rank_bin(F.col("rx"), F.col("rows_y"), bins).alias("bx")] if bins else []
+    return ranked.groupBy(*own, *at).agg(
         F.sum(n).alias("n"), F.sum(n * F.col("rx")).alias("_x"), F.sum(n * F.col("rx") * F.col("rx")).alias("_xx"),
         F.sum(F.col("rx") * F.col("_y")).alias("_xy"), F.sum("_y").alias("_y"), F.sum("_yy").alias("_yy"),
-        F.count(F.lit(1)).alias("unique_count"),
-    )
-    return sums.select(
-        *keys, "n", "unique_count",
-        correlation(*[F.col(c) for c in ("n", "_x", "_y", "_xx", "_yy", "_xy")]).alias("spearman"),
-    )
+        F.count(F.lit(1)).alias("unique_count"), *[F.sum(f"_b{b}").alias(f"_b{b}") for b in range(bins)],
+    )
+
+
+def rank_correlation(sums: DataFrame, keys: list[str]) -> DataFrame:
+    """Spearman correlation of each group of :func:`ranked_values`."""
+    names = ("n", "_x", "_y", "_xx", "_yy", "_xy")
+    whole = sums.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in (*names, "unique_count")])
+    return whole.select(*keys, "n", "unique_count", correlation(*[F.col(c) for c in names]).alias("spearman"))
 
 
 def value_pairs(df: DataFrame, numeric: Sequence[str], y: str) -> DataFrame:
@@ -184,20 +189,8 @@ def rank_bin(rank: Column, rows: Column, bins: int) -> Column:
     return F.least(F.floor((rank - 0.5) * bins / rows), F.lit(bins - 1)).cast("int")
 
 
-def binned_mutual_info(ranked: DataFrame, bins: int = BINS) -> DataFrame:
-    """Mutual information of feature and target in nats, both cut into rank bins.
-
-    ``ranked`` comes from :func:`rank_target`. A nearest-neighbour estimator would need all
-    distances; counts of rank bins need two aggregations.
-    """
-    target = rank_bin(F.col("ry"), F.col("rows_y"), bins)
-    by_value = ranked.groupBy("feature", "x", "rows_y").agg(
-        F.sum("n").alias("n"),
-        *[F.sum(F.when(target == b, F.col("n")).otherwise(0)).alias(f"_b{b}") for b in range(bins)],
-    )
-    placed = running_counts(by_value, ["feature"], "x")
-    own = rank_bin(F.col("before") + (F.col("n") + 1) / 2, F.col("rows_y"), bins)
-    cells = placed.groupBy("feature", "rows_y", own.alias("bx")).agg(*[F.sum(f"_b{b}").alias(f"_b{b}") for b in range(bins)])
+def binned_mutual_info(cells: DataFrame, bins: int = BINS) -> DataFrame:
+    """Mutual information of feature and target in nats, both cut into rank bins, from :func:`ranked_values`."""
     cells = cells.select(
         "feature", "rows_y", "bx", F.posexplode(F.array(*[F.col(f"_b{b}") for b in range(bins)])).alias("by", "c")
     )
@@ -223,8 +216,9 @@ def target_association(df: DataFrame, numeric: Sequence[str], y: str, bins: int
             "_sy": f"stddev_samp({quoted(y)}) FILTER (WHERE {{c}} IS NOT NULL)",
         },
     ).withColumn("pearson", F.try_divide("_cov", F.col("_sx") * F.col("_sy")))
-    ranked = rank_target(value_pairs(train, numeric, y), ["feature"], "y")
-    spearman = rank_correlation(ranked, ["feature"], "x").drop("n")
+    # target and feature are ranked once each; what is left are rows by feature and rank bin
+    ranked = staged(ranked_values(rank_target(value_pairs(train, numeric, y), ["feature"], "y"), ["feature"], "x", bins), "ranked")
+    spearman = rank_correlation(ranked, ["feature"]).drop("n")
     joined = pearson.join(spearman, "feature", "left").join(binned_mutual_info(ranked, bins), "feature", "left")
     enough = (F.col("valid_count") >= 3) & (F.col("unique_count") > 1)
 
@@ -360,26 +354,25 @@ def spearman_pairs(
 
     sizes = F.create_map(*[F.lit(x) for c in chosen for x in (c, float(present[c]))])
     together = (F.col("n") == sizes[F.col("feature_a")]) & (F.col("n") == sizes[F.col("feature_b")])
-    # pairs with gaps in different rows: one feature is ranked again on the rows where the other is present
-    apart = staged(pairs.where(~together & (F.col("n") > 1)).select("feature_a", "feature_b"), "apart")
-    names = set()
-    for side in ("feature_a", "feature_b"):
-        names |= {r[0] for r in apart.select(side).distinct().collect()}  # at most one row per feature
-    result = _strong(pairs.where(together), threshold)
-    for name in sorted(names):
-        own = train.where(F.col(quoted(name)).isNotNull())
-        others = [c for c in chosen if c != name and c in names]
-        result = result.unionByName(_strong(_ranked_on(own, key, name, others, apart), threshold))
-    return result
-
-
-def _ranked_on(rows: DataFrame, key: str, name: str, others: Sequence[str], wanted: DataFrame) -> DataFrame:
-    """Spearman correlation of ``name`` with each later one of ``others``, over the rows where both are present."""
-    pair = wanted.where(F.col("feature_a") == name).select(F.col("feature_b").alias("feature"))
-    tall = rows.select(F.col(quoted(name)).alias("y"), *[F.col(quoted(c)) for c in others]).unpivot(["y"], list(others), "feature", "x")
-    joint = tall.where(F.col("x").isNotNull()).join(pair, "feature").groupBy("feature", "x", "y").agg(F.count(F.lit(1)).alias("n"))
-    found = rank_correlation(rank_target(joint, ["feature"], "y"), ["feature"], "x")
-    return found.select(F.lit(name).alias("feature_a"), F.col("feature").alias("feature_b"), F.col("spearman").alias("corr"))
+    # pairs with gaps in different rows are ranked again, each on the rows where both are present
+    apart = pairs.where(~together & (F.col("n") > 1)).select("feature_a", "feature_b")
+    return _strong(pairs.where(together), threshold).unionByName(_strong(_ranked_pairs(train, chosen, staged(apart, "apart")), threshold))
+
+
+def _ranked_pairs(rows: DataFrame, names: Sequence[str], pairs: DataFrame) -> DataFrame:
+    """Spearman correlation of the ``pairs`` (``feature_a, feature_b``) over the rows where both are present, all in one plan.
+
+    The list of pairs, at most the square of the number of columns, is one value that every row is held against.
+    """
+    index = F.create_map(*[F.lit(x) for k, c in enumerate(names) for x in (c, k)])
+    wanted = pairs.select(F.struct(index[F.col("feature_a")].alias("a"), index[F.col("feature_b")].alias("b")).alias("p"))
+    wanted = wanted.agg(F.sort_array(F.collect_list("p")).alias("pairs")).scalar()
+    values = rows.select(F.array(*[F.col(quoted(c)) for c in names]).alias("v"))
+    each = values.select("v", F.explode(wanted).alias("p")).select("p", F.get("v", F.col("p.a")).alias("y"), F.get("v", F.col("p.b")).alias("x"))
+    joint = each.where("x IS NOT NULL AND y IS NOT NULL").groupBy(F.col("p.a").alias("a"), F.col("p.b").alias("b"), "x", "y").agg(F.count(F.lit(1)).alias("n"))
+    found = rank_correlation(ranked_values(rank_target(joint, ["a", "b"], "y"), ["a", "b"], "x"), ["a", "b"])
+    name = F.array(*[F.lit(c) for c in names])
+    return found.select(F.get(name, F.col("a")).alias("feature_a"), F.get(name, F.col("b")).alias("feature_b"), F.col("spearman").alias("corr"))
 
 
 def minmax_score(df: DataFrame, column: str, higher_is_better: bool = True) -> Column:
@@ -467,8 +460,7 @@ def correlation_clusters(
 def column_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
     """Exact median of each column; columns without values get 0. One number per column."""
     tall = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], list(columns), "feature", "x")
-    counts = tall.where(F.col("x").isNotNull()).groupBy("feature", "x").agg(F.count(F.lit(1)).alias("n"))
-    found = exact_quantiles(counts, ["feature"], "x", {"median": 0.5}).collect()
+    found = exact_quantiles(tall, ["feature"], "x", {"median": 0.5}, ["feature"]).collect()
     return {c: 0.0 for c in columns} | {r["feature"]: r["median"] for r in found}
 
 
@@ -512,7 +504,7 @@ def interaction_candidates(
             for a, b in combinations(usable, 2)
         ])),
     )
-    found = rank_correlation(products, ["feature_a", "feature_b"], "x")
+    found = rank_correlation(ranked_values(products, ["feature_a", "feature_b"], "x"), ["feature_a", "feature_b"])
     best = F.create_map(*[F.lit(x) for c in usable for x in (c, float(single[c] or 0.0))])
     alone = F.greatest(best[F.col("feature_a")], best[F.col("feature_b")])
     size = F.coalesce(F.abs("spearman"), F.lit(0.0))

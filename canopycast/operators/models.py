@@ -261,8 +261,7 @@ def interval_forecast(
     """Prediction plus the quantiles of the residuals of one held-out split, overall or per key."""
     residual = F.col("actual_tch") - F.col(PREDICTION)
     held = predictions.where(F.col("split") == split).select(*by, residual.alias("_residual"))
-    counts = held.where(F.col("_residual").isNotNull()).groupBy(*by, "_residual").agg(F.count(F.lit(1)).alias("n"))
-    shifts = exact_quantiles(counts, list(by), "_residual", {f"_{name}": a for name, a in alphas.items()})
+    shifts = exact_quantiles(held, list(by), "_residual", {f"_{name}": a for name, a in alphas.items()})
     if by:
         rows = join_null_safe(predictions, shifts, list(by), "left")
     else:

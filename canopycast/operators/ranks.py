@@ -10,6 +10,8 @@ from ..sources.staging import staged
 
 #: Value ranges per group. Their limits are estimates of even cuts; results do not depend on them.
 RANGES = 64
+#: Parts of the range of all values in the first round of a quantile, and rows of a part that one task sorts.
+PARTS, SORTED = 4096, 200_000
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -48,28 +50,50 @@ def average_ranks(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
 
 
 def exact_quantiles(
-    counts: DataFrame,
+    rows: DataFrame,
     keys: list[str],
     value: str,
     probabilities: dict[str, float],
-    n: str = "n",
+    scale: list[str] = [],  # noqa: B006
 ) -> DataFrame:
     """Exact quantiles per group with linear interpolation; one column per name in ``probabilities``.
 
-    ``counts`` has one row per group and distinct value, without NULL values.
+    NULL values are left out. The values are counted in ``PARTS`` equal parts of their whole range, or of the range of those that
+    share the keys ``scale``. That tells in which parts the wanted places lie, and only rows of these parts are ranked. Parts of few
+    rows are sorted whole; larger ones, which many close values or far outliers make, are ranked by :func:`running_counts`.
     """
-    totals = counts.groupBy(*keys).agg(F.sum(n).alias("_rows"))
-    ranked = running_counts(counts, keys, value, n)
-    rows = join_null_safe(ranked, totals, keys) if keys else ranked.withColumn("_rows", totals.scalar())
-
-    columns, wanted = [], F.lit(False)
-    for name, p in probabilities.items():
-        place = (F.col("_rows") - 1) * F.lit(p)
-        hits = {}
-        for side, position in (("low", F.floor(place)), ("high", F.ceil(place))):
-            hit = (F.col("before") <= position) & (position < F.col("before") + F.col(n))
-            wanted = wanted | hit
-            hits[side] = F.max(F.when(hit, F.col(value)))
-        share = F.max(place - F.floor(place))
-        columns.append((hits["low"] + (hits["high"] - hits["low"]) * share).alias(name))
-    return rows.where(wanted).groupBy(*keys).agg(*columns)
+    rows = rows.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_value"))
+    # one row per scale; written once, as both passes below must cut alike
+    ranges = staged(rows.groupBy(*scale).agg(F.min("_value").alias("_low"), F.max("_value").alias("_high")), "ranges")
+    if scale:
+        rows = join_null_safe(rows, ranges, scale)
+    else:
+        rows = rows.withColumns({c: ranges.select(c).scalar() for c in ("_low", "_high")})
+    share = (F.col("_value") - F.col("_low")) / (F.col("_high") - F.col("_low"))
+    part = F.when((F.col("_high") > F.col("_low")) & (F.col("_high") - F.col("_low") < float("inf")), F.floor(share * PARTS)).otherwise(0)
+    rows = rows.select(*keys, "_value", F.least(part, F.lit(PARTS - 1)).cast("int").alias("_part"))
+
+    upto = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_here"))
+    counts = counts.select("*", F.coalesce(F.sum("_here").over(upto), F.lit(0)).alias("_below"), F.sum("_here").over(Window.partitionBy(*keys)).alias("_total"))
+    places = {name: (F.col("_total") - 1) * F.lit(p) for name, p in probabilities.items()}
+
+    def holds(position, before: str, many: str):  # noqa: ANN001, ANN202
+        return (F.col(before) <= position) & (position < F.col(before) + F.col(many))
+
+    sides = [f(place) for place in places.values() for f in (F.floor, F.ceil)]
+    # one row per group and wanted place; written once, as its size decides how it is joined and ranked
+    wanted = staged(counts.where(reduce(lambda a, b: a | b, [holds(x, "_below", "_here") for x in sides])), "wanted-parts")
+    left = join_null_safe(rows, wanted, [*keys, "_part"]).groupBy(*keys, "_part", "_below", "_total", "_value").agg(F.count(F.lit(1)).alias("_n"))
+    group = [*keys, "_part", "_below", "_total"]
+    if (wanted.agg(F.max("_here")).first()[0] or 0) <= SORTED:
+        inside = Window.partitionBy(*group).orderBy("_value").rowsBetween(Window.unboundedPreceding, -1)
+        ranked = left.withColumn("before", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+    else:
+        ranked = running_counts(left.select(*group, "_value", "_n"), group, "_value", "_n")
+    ranked = ranked.withColumn("_before", F.col("before") + F.col("_below"))
+    columns = []
+    for name, place in places.items():
+        ends = [F.max(F.when(holds(f(place), "_before", "_n"), F.col("_value"))) for f in (F.floor, F.ceil)]
+        columns.append((ends[0] + (ends[1] - ends[0]) * F.max(place - F.floor(place))).alias(name))
+    return ranked.groupBy(*keys).agg(*columns)

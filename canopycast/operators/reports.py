@@ -168,23 +168,22 @@ def error_summary(
     ).where(F.col("rows") >= min_rows).withColumn("grouping", label(F.col("_gid"))).drop("_gid")
     if exact:
         keys = ["grouping", *columns]
-        middle = grouped_medians(df, sets, columns, label, ["actual_tch", "pred_tch"])
+        middle = grouped_medians(df, groupings, columns, ["actual_tch", "pred_tch"])
         summary = ranks.join_null_safe(summary, middle, keys, "left")
     measures = [c for c in summary.columns if c not in columns and c != "grouping"]
     return summary.select("grouping", *columns, *measures)
 
 
-def grouped_medians(df: DataFrame, sets, columns: list[str], label, values: list[str]) -> DataFrame:
-    """Exact medians of several columns for several groupings."""
-    tall = df.select(*columns, *values).unpivot(columns, values, "_which", "_value")
-    tall = tall.where(F.col("_value").isNotNull())
-    counts = tall.groupingSets(
-        [[*group, "_which", "_value"] for group in sets], *columns, "_which", "_value"
-    ).agg(F.grouping_id().alias("_gid"), F.count(F.lit(1)).alias("n"))
-    # the two extra columns are in every grouping and add two zero bits at the end
-    counts = counts.withColumn("grouping", label(F.shiftright("_gid", 2))).drop("_gid")
+def grouped_medians(df: DataFrame, groupings: Sequence[tuple[str, Sequence[str]]], columns: list[str], values: list[str]) -> DataFrame:
+    """Exact medians of several columns for several groupings; a column that is not part of a grouping is NULL there."""
+    tall = df.select(*columns, *values).unpivot(columns, values, "_which", "_value").where(F.col("_value").isNotNull())
+    sets = [
+        F.struct(F.lit(name).alias("grouping"), *[(F.col(c) if c in group else F.lit(None).cast(df.schema[c].dataType)).alias(c) for c in columns])
+        for name, group in groupings
+    ]
+    each = tall.select(F.explode(F.array(*sets)).alias("_set"), "_which", "_value").select("_set.*", "_which", "_value")
     keys = ["grouping", *columns]
-    medians = ranks.exact_quantiles(counts, [*keys, "_which"], "_value", {"_median": 0.5})
+    medians = ranks.exact_quantiles(each, [*keys, "_which"], "_value", {"_median": 0.5}, ["_which"])
     return medians.groupBy(*keys).agg(
         *[F.max(F.when(F.col("_which") == v, F.col("_median"))).alias(f"{v}_median") for v in values]
     )
@@ -219,9 +218,8 @@ def interval_metrics(predictions: DataFrame) -> DataFrame:
         F.avg(F.abs(error)).alias("p50_mae"),
         rmse(error).alias("p50_rmse"),
     )
-    widths = predictions.select("split", (high - low).alias("_width")).where(F.col("_width").isNotNull())
-    counts = widths.groupBy("split", "_width").agg(F.count(F.lit(1)).alias("n"))
-    medians = ranks.exact_quantiles(counts, ["split"], "_width", {"p10_p90_width_median": 0.5})
+    widths = predictions.select("split", (high - low).alias("_width"))
+    medians = ranks.exact_quantiles(widths, ["split"], "_width", {"p10_p90_width_median": 0.5})
     return ranks.join_null_safe(summary, medians, ["split"], "left")
 
 
@@ -272,9 +270,7 @@ def season_metrics(predictions: DataFrame, exact: bool = True) -> DataFrame:
         F.when(F.count(F.lit(1)) >= 2, r2(F.col("actual_tch"), F.col("pred_tch"))).alias("r2"),
     )
     if exact:
-        middle = grouped_medians(
-            predictions, [keys], keys, lambda gid: F.lit("season"), ["actual_tch", "pred_tch"]
-        )
+        middle = grouped_medians(predictions, [("season", keys)], keys, ["actual_tch", "pred_tch"])
         summary = ranks.join_null_safe(summary, middle.drop("grouping"), keys, "left")
 
     def diff(name: str, left: str, right: str, share: str) -> dict[str, Column]:

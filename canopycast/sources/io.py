@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from .parts import write_parts
+
 
 def jdbc_options(
     url: str,
@@ -63,11 +65,13 @@ def write_dataset(df: DataFrame, folder: str, name: str) -> str:
     return path
 
 
-def write_chunked(df: DataFrame, folder: str, name: str, rows_per_file: int = 100_000, replace: bool = True) -> str:
-    """Write a dataset as files of at most ``rows_per_file`` rows; append unless ``replace``."""
+def write_chunked(df: DataFrame, folder: str, name: str, rows_per_file: int = 100_000, replace: bool = True, order_by: Sequence[str] = ()) -> str:
+    """Write a dataset as numbered files of ``rows_per_file`` rows, the last one shorter; the rows keep their order, or take that of ``order_by``.
+
+    ``replace`` removes what was there; without it files of the same number are overwritten and others stay.
+    """
     path = f"{folder}/datasets/{name}"
-    writer = df.write.option("maxRecordsPerFile", rows_per_file)
-    writer.mode("overwrite" if replace else "append").parquet(path)
+    write_parts(df.sparkSession, df, path, rows_per_file, replace, tuple(order_by))
     return path
 
 

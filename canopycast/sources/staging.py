@@ -51,9 +51,10 @@ def release(spark: SparkSession) -> None:
 
 
 def discard(*tables: DataFrame) -> None:
-    """Remove tables made by ``staged`` whose last reader has run."""
+    """Remove tables made by ``staged`` whose last reader has run; others stay."""
     for table in tables:
-        remove(table.staged_at)
+        if path := vars(table).get("staged_at"):
+            remove(path)
 
 
 def staged(df: DataFrame, name: str = "stage") -> DataFrame:

@@ -5,15 +5,37 @@ from pyspark.sql import functions as F
 from canopycast.sources import io, staging
 
 
-def test_chunks_hold_at_most_n_rows(spark, tmp_path):
-    df = spark.range(0, 2500, 1, 2)
-    path = io.write_chunked(df, str(tmp_path), "x", 400)
-    sizes = [pq.read_metadata(p).num_rows for p in (tmp_path / "datasets" / "x").glob("*.parquet")]
-    assert max(sizes) <= 400 and sum(sizes) == 2500
-    io.write_chunked(df, str(tmp_path), "x", 400, replace=False)
-    assert spark.read.parquet(path).count() == 5000
-    io.write_chunked(df, str(tmp_path), "x", 400)
-    assert spark.read.parquet(path).count() == 2500
+def files(path):
+    return {p.name: pq.read_table(p).column("id").to_pylist() for p in path.glob("*.parquet")}
+
+
+def test_parts_are_numbered_and_hold_n_rows_each(spark, tmp_path):
+    df, path = spark.range(0, 2500, 1, 7), tmp_path / "datasets" / "x"
+    assert io.write_chunked(df, str(tmp_path), "x", 400) == str(path)
+    want = {f"part-{k:05d}.parquet": list(range(400 * k, min(2500, 400 * (k + 1)))) for k in range(7)}
+    assert files(path) == want and sorted(p.name for p in path.iterdir()) == sorted(want)
+    # parts of the same name are overwritten, others stay
+    io.write_chunked(spark.range(10_000, 10_500), str(tmp_path), "x", 400, replace=False)
+    first = {"part-00000.parquet": list(range(10_000, 10_400)), "part-00001.parquet": list(range(10_400, 10_500))}
+    assert files(path) == want | first
+    io.write_chunked(spark.range(5).orderBy(F.desc("id")), str(tmp_path), "x", 3, order_by=["id"])
+    assert files(path) == {"part-00000.parquet": [0, 1, 2], "part-00001.parquet": [3, 4]}
+
+
+def test_a_failed_write_leaves_nothing(spark, tmp_path):
+    path = tmp_path / "datasets" / "x"
+    io.write_chunked(spark.range(1000), str(tmp_path), "x", 100)
+    before = files(path)
+    bad = spark.range(1000).repartition(8).withColumn("_part", F.floor(F.col("id") / 100))
+    broken = bad.select("id", F.when(F.col("id") < 990, F.col("_part")).otherwise(F.raise_error("no")).cast("long").alias("_part"))
+    with pytest.raises(Exception, match="no"):
+        broken.repartition("_part").write.format("numbered_parts").mode("overwrite").save(str(path))
+    assert files(path) == before and sorted(p.name for p in path.iterdir()) == sorted(before)
+
+
+def test_an_empty_table_has_no_parts(spark, tmp_path):
+    io.write_chunked(spark.range(0), str(tmp_path), "x", 100)
+    assert list((tmp_path / "datasets" / "x").iterdir()) == []
 
 
 def test_parquet_tree_unites_columns(spark, tmp_path):
