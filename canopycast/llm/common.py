@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from ..sources.staging import staged
+from ..sources.staging import discard, staged
 
 #: Rows and bytes that an Arrow batch holds at most, so a Python worker's memory doesn't depend on the table.
 BATCH_ROWS, BATCH_BYTES = 500, 16 * 1024 * 1024
@@ -61,7 +61,7 @@ def components(edges: DataFrame) -> DataFrame:
     """
     links = edges.where("a <> b").select("a", "b")
     links = staged(links.union(links.select(F.col("b"), F.col("a"))).distinct(), "links")
-    label, turn = None, 0
+    label, turn, steps = None, 0, []
     while not links.isEmpty():
         mark = lambda c: F.struct(F.xxhash64(F.lit(turn), c).alias("h"), c.alias("v"))
         best = links.groupBy("a").agg(F.min(mark(F.col("b"))).alias("m"))
@@ -69,7 +69,9 @@ def components(edges: DataFrame) -> DataFrame:
         ends = links.join(step.select(F.col("node").alias("a"), F.col("to").alias("x")), "a").join(
             step.select(F.col("node").alias("b"), F.col("to").alias("y")), "b"
         )
-        links = staged(ends.where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "links")
+        before, links = links, staged(ends.where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "links")
+        discard(before)
+        steps.append(step)
         if label is None:
             label = step
         else:
@@ -78,7 +80,9 @@ def components(edges: DataFrame) -> DataFrame:
         turn += 1
     if label is None:
         return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).limit(0)
-    return staged(label.select("node", F.col("to").alias("component")), "components")
+    found = staged(label.select("node", F.col("to").alias("component")), "components")
+    discard(links, *steps)
+    return found
 
 
 def equal_runs(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[tuple[object, pa.Table]]:

@@ -1,10 +1,16 @@
 """Operator 1: substring dedup by MinHash banding of paragraphs.
 
-The paragraphs are the text's lines of GRAM words or more, whole. Passages repeat within lines and across them too, so a
-further net are windows of PARAGRAPH words that begin where the text itself says: at the least 5-gram hash of any SPREAD
-neighbouring ones. A passage of SPREAD - 1 + PARAGRAPH = 50 words or more has the same windows wherever it stands. Paragraphs that share a band of their MinHash signature are compared by exact
-Jaccard similarity of their 5-grams and similar ones joined into components. Of a component that occurs in several documents
-the paragraphs of the first document stay and all others go.
+The paragraphs are the text's lines of GRAM words or more, whole. Those that share a band of their MinHash signature are
+compared by exact Jaccard similarity of their 5-grams, and similar ones are joined into components. Of a component that occurs in
+several documents the lines of the first document stay and all others go.
+
+Passages repeat within lines and across them too. A further net, for exact repeats, are windows of PARAGRAPH words that begin
+where the text itself says: at the least 5-gram hash of any SPREAD neighbouring ones. A passage of SPREAD - 1 + PARAGRAPH = 50
+words or more has the same windows wherever it stands. Windows that an earlier document has go too, and with them the words
+beside them as far as they agree with an earlier document.
+
+A text is read three times: for its paragraphs, for the 5-grams of lines that met and the words beside windows, and to cut it.
+A row is known by a hash of its id and text, so rows of one id may differ and equal rows are treated alike.
 """
 
 from __future__ import annotations
@@ -16,11 +22,11 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..sources.staging import staged
-from .common import arrow_map, components, fresh, text_table
-from .ngram_join import FILTER_BITS, _blocks, _verify, grams, mixed
+from ..sources.staging import discard, staged
+from .common import arrow_map, components, fresh
+from .ngram_join import _blocks, _verify, grams, mixed
 
 #: Words of a window, how many 5-grams in a row have one that begins a window, and words of the shortest line.
 PARAGRAPH, SPREAD, GRAM = 24, 27, 5
@@ -28,11 +34,13 @@ PARAGRAPH, SPREAD, GRAM = 24, 27, 5
 PERCENT, RECALL = 80, 0.95
 #: Hashes of a band: so many that what shares a band key is mostly similar.
 ROWS = 3
-#: Words on either side that no other window or line can cover: of a match without a window, all but the shortest line.
-REACH = SPREAD + PARAGRAPH - 2 - GRAM
+#: Words of a match beside a window that no other window may cover: a window begins in any SPREAD neighbouring places.
+REACH = SPREAD + PARAGRAPH - 2
+#: Where a row without an id stands: after all others, with all of its kind as one document.
+LAST = 2**63 - 1
 #: Words whose positions are handled at a time.
 STRETCH = 1 << 22
-#: Paragraphs that one task has sent and does not send again to be compared.
+#: Lines whose signature one task has sent and does not send again.
 SENT = 200_000
 _BASE = np.uint64(0xD1342543DE82EF95)
 _UNBASE = np.uint64(pow(int(_BASE), -1, 2**64))
@@ -83,242 +91,254 @@ def run_hash(joined: tuple[np.ndarray, np.ndarray], low: np.ndarray, high: np.nd
     return mixed(mixed((total[high] - total[low]) * back[low], 11) + (high - low).astype(np.uint64), 11)
 
 
-def units(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray]]:
-    """The text's 5-grams; where its lines and windows begin, how many words they have, the hash of these; and ``joined_hash``."""
-    lines = [x.split() for x in re.split(b"[\r\n]+", text.lower().encode().lower())]
-    word = np.fromiter(map(xxhash.xxh3_64_intdigest, chain.from_iterable(lines)), np.uint64)  # those of words()
+def words_of(text: str) -> list[list[bytes]]:
+    """The words of each line."""
+    return [x.split() for x in re.split(b"[\r\n]+", text.lower().encode().lower())]
+
+
+def hashes(lines: list[list[bytes]]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, chain.from_iterable(lines)), np.uint64)
+
+
+def units(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
+    """The text's 5-grams; where its lines and then its windows begin, how many words they have, the hash of these; and how many are lines."""
+    lines = words_of(text)
+    word = hashes(lines)
     size = np.fromiter(map(len, lines), np.int64)
     at = np.cumsum(size) - size
     at, size = at[size >= GRAM], size[size >= GRAM]
     gram = grams(word, GRAM) if len(word) >= GRAM else word[:0]
     window = begins(gram)
     window = window[window + PARAGRAPH <= len(word)]
+    n = len(at)
     at, size = np.concatenate([at, window]), np.concatenate([size, np.full(len(window), PARAGRAPH)])
     joined = joined_hash(word)
-    return gram, at, size, run_hash(joined, at, at + size), joined
+    return gram, at, size, run_hash(joined, at, at + size), n
 
 
-def _least_in(x: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    """Minimum of x[low:high] for each of the ranges, none of them empty."""
-    out = np.zeros(len(low), np.uint64)
-    short = high - low == PARAGRAPH - GRAM + 1
-    if short.any():
-        out[short] = _least(x, PARAGRAPH - GRAM + 1)[low[short]]
-    if not short.all():
-        ends = np.stack([low[~short], high[~short]], 1).ravel()
-        out[~short] = np.minimum.reduceat(np.append(x, np.uint64(2**64 - 1)), ends)[::2]
-    return out
+def signatures(gram: np.ndarray, low: np.ndarray, high: np.ndarray, bands: int) -> list[np.ndarray]:
+    """A key per band of every run ``low`` to ``high`` of the 5-grams: the least of ROWS hashes each."""
+    salt = mixed(np.arange(2 * bands * ROWS, dtype=np.uint64), 17) | np.uint64(1)
+    ends, keys = np.stack([low, high], 1).ravel(), []
+    for band in range(bands):
+        key = np.full(len(low), band, np.uint64)
+        for k in range(2 * band * ROWS, 2 * (band + 1) * ROWS, 2):
+            x = np.append((gram ^ salt[k]) * salt[k + 1], np.uint64(2**64 - 1))
+            key = mixed(key * np.uint64(3) + np.minimum.reduceat(x, ends)[::2], 13)
+        keys.append(key)
+    return keys
 
 
-def _unit_rows(docs: DataFrame) -> DataFrame:
-    """``content, doc_id, at, size``: a row for each paragraph."""
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``row, doc_id, text`` of rows with a text; ``row`` is the same for equal rows only."""
+    text = F.col(f"`{text_col}`").cast("string")
+    own = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST)).alias("doc_id"), text.alias("text")).where("text <> ''")
+    return own.select(row_key(F.col("doc_id"), F.col("text")).alias("row"), "doc_id", "text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows: list[list[np.ndarray]] = [[] for _ in range(4)]
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                _, at, size, content, _ = units(text)
-                for column, value in zip(rows, (content.view(np.int64), np.full(len(at), doc_id, np.int64), at, size)):
-                    column.append(value)
-            if rows[0]:
-                content, doc_id, at, size = map(np.concatenate, rows)
-                yield pa.RecordBatch.from_arrays([pa.array(content), pa.array(doc_id), pa.array(at, pa.int32()), pa.array(size, pa.int32())], ["content", "doc_id", "at", "size"])
 
-    return arrow_map(docs, run, "content long, doc_id long, at int, size int")
+def row_key(doc_id: Column, text: Column) -> Column:
+    return F.xxhash64(F.coalesce(doc_id.cast("long"), F.lit(LAST)), text.cast("string"))
 
 
-def _band_rows(docs: DataFrame, bands: int) -> DataFrame:
-    """``key, content, doc_id``: a row for each paragraph and band; a content is not sent again for a third document."""
+def _paragraphs(rows: DataFrame, bands: int) -> DataFrame:
+    """``row, doc_id, line, content, at, size`` and a key per band, ``b0`` and on, which a window and a line sent before do not have."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        salt = mixed(np.arange(2 * bands * ROWS, dtype=np.uint64), 17) | np.uint64(1)
-        sent: dict[int, int | None] = {}  # the document, or none after the second
-
-        def first(content: int, doc_id: int) -> bool:
-            if content not in sent:
-                sent[content] = doc_id
-            elif sent[content] in (None, doc_id):
-                return False
-            else:
-                sent[content] = None
-            return True
-
+        sent: set[int] = set()
         for batch in batches:
-            parts: list[list[np.ndarray]] = [[] for _ in range(5)]
-            start = 0
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                gram, at, size, content, _ = units(text)
+            parts: list[list[np.ndarray]] = [[] for _ in range(7 + bands)]
+            for row, doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("row", "doc_id", "text"))):
+                gram, at, size, content, n = units(text)
+                if not len(at):
+                    continue
                 if len(sent) > SENT:
                     sent.clear()
-                new = np.array([first(c, doc_id) for c in content.tolist()], bool)
+                new = np.zeros(len(at), bool)
+                for k, c in enumerate(content[:n].tolist()):
+                    if c not in sent:
+                        sent.add(c)
+                        new[k] = True
+                keys = np.zeros((bands, len(at)), np.uint64)
                 if new.any():
-                    for column, value in zip(parts, (gram, start + at[new], start + at[new] + size[new] - GRAM + 1, content[new], np.full(int(new.sum()), doc_id, np.int64))):
-                        column.append(value)
-                    start += len(gram)
-            if not start:
-                continue
-            gram, low, high, content, doc_id = map(np.concatenate, parts)
-            for band in range(bands):
-                key = np.full(len(low), band, np.uint64)
-                for k in range(2 * band * ROWS, 2 * (band + 1) * ROWS, 2):
-                    key = mixed(key * np.uint64(3) + _least_in((gram ^ salt[k]) * salt[k + 1], low, high), 13)
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(content.view(np.int64)), pa.array(doc_id)], ["key", "content", "doc_id"])
-
-    return arrow_map(docs, run, "key long, content long, doc_id long")
-
-
-def _families(rows: DataFrame) -> DataFrame:
-    """``family, node``: the contents of each band key that has several, in several documents; keys with the same are one family."""
-    group = Window.partitionBy("key")
-    reach = {name: f("content" if name[0] == "c" else "doc_id").over(group) for name, f in (("c0", F.min), ("c1", F.max), ("d0", F.min), ("d1", F.max))}
-    met = rows.withColumns(reach).where("c0 < c1 AND d0 < d1")
-    met = staged(met.select("key", "content").distinct(), "met")
-    alike = met.groupBy("key").agg(F.xxhash64(F.count(F.lit(1)), F.bit_xor(F.xxhash64("content")), F.sum(F.shiftright("content", 20))).alias("family"))
-    return met.join(alike, "key").select("family", F.col("content").alias("node")).distinct()
+                    keys[:, new] = signatures(gram, at[new], at[new] + size[new] - GRAM + 1, bands)
+                whole = np.full(len(at), row, np.int64), np.full(len(at), doc_id, np.int64), np.arange(len(at)) < n
+                for column, value in zip(parts, (*whole, content.view(np.int64), at, size, new, *keys.view(np.int64))):
+                    column.append(value)
+            if parts[0]:
+                row, doc_id, line, content, at, size, new, *keys = map(np.concatenate, parts)
+                columns = [pa.array(row), pa.array(doc_id), pa.array(line), pa.array(content), pa.array(at, pa.int32()), pa.array(size, pa.int32())]
+                yield pa.RecordBatch.from_arrays([*columns, *(pa.array(k, mask=~new) for k in keys)], names)
 
+    schema = "row long, doc_id long, line boolean, content long, at int, size int, " + ", ".join(f"b{k} long" for k in range(bands))
+    names = [x.split()[0] for x in schema.split(", ")]
+    return arrow_map(rows, run, schema)
 
-def _bits(contents: DataFrame) -> np.ndarray:
-    """FILTER_BITS bits, set where a content falls."""
-    bit = F.pmod("content", F.lit(FILTER_BITS))
-    found = contents.groupBy(F.shiftright(bit, 5).alias("w")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(content, {FILTER_BITS}) & 31 AS int))")).alias("bits")).toArrow()
-    bits = np.zeros(FILTER_BITS // 32, np.uint32)
-    bits[found.column("w").to_numpy()] = found.column("bits").to_numpy().astype(np.uint32)
-    return bits
 
+def _families(lines: DataFrame, bands: int) -> DataFrame:
+    """``family, node``: the contents of each band key that has several; keys with the same contents are one family."""
+    every = lines.groupBy("content").agg(*[F.max(f"b{k}").alias(f"b{k}") for k in range(bands)])
+    rows = every.select("content", F.explode(F.array(*[F.xxhash64(F.lit(k), F.col(f"b{k}")) for k in range(bands)])).alias("key"))
+    mark = F.xxhash64(F.count(F.lit(1)), F.bit_xor(F.xxhash64("content")), F.sum(F.shiftright("content", 20)))
+    keys = rows.groupBy("key").agg(mark.alias("family"), F.min("content").alias("least"), F.max("content").alias("most")).where("least < most")
+    return rows.join(keys.select("key", "family"), "key").select("family", F.col("content").alias("node")).distinct()
 
-def _chosen(bits: np.ndarray, content: np.ndarray) -> np.ndarray:
-    place = content.view(np.int64) % FILTER_BITS
-    return (bits[place >> 5] >> (place & 31).astype(np.uint32) & 1).astype(bool)
 
+def _looked_up(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``node, n, shingles`` of wanted lines and ``row, doc_id, content, side, place, near`` of wanted window ends.
 
-def _grams_of(docs: DataFrame, contents: DataFrame) -> DataFrame:
-    """``node, n, shingles`` of the contents, and of a few others."""
-    shared = docs.sparkSession.sparkContext.broadcast(_bits(contents))
+    ``wanted`` has ``row, content, at, size, side``: side -1 asks for the 5-grams of the line, 0 and 1 for the up to REACH words
+    before or after the window. Only texts with something wanted are taken apart.
+    """
+    asked = wanted.groupBy("row").agg(F.collect_list(F.struct("content", "at", "size", "side")).alias("asked"))
+    joined = rows.join(asked, "row")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sent: set[int] = set()
+        done: set[int] = set()  # equal rows are looked up once by a task
         for batch in batches:
-            rows: dict[int, bytes] = {}
-            for text in batch.column("text").to_pylist():
-                gram, at, size, content, _ = units(text)
-                for k in np.flatnonzero(_chosen(shared.value, content)):
-                    if (c := int(content.view(np.int64)[k])) not in sent:
-                        sent.add(c)
-                        rows[c] = np.unique(gram[at[k] : at[k] + size[k] - GRAM + 1]).tobytes()
-            if len(sent) > SENT:
-                sent.clear()
-            yield pa.RecordBatch.from_arrays([pa.array(list(rows), pa.int64()), pa.array([len(x) // 8 for x in rows.values()], pa.int64()), pa.array(list(rows.values()), pa.binary())], ["node", "n", "shingles"])
+            out: list[list] = [[] for _ in names]
+            for row, doc_id, text, asked in zip(*(batch.column(c).to_pylist() for c in ("row", "doc_id", "text", "asked"))):
+                if row in done:
+                    continue
+                if len(done) > SENT:
+                    done.clear()
+                done.add(row)
+                word = hashes(words_of(text))
+                for x in asked:
+                    low, high = x["at"], x["at"] + x["size"]
+                    if x["side"] < 0:
+                        gram = np.unique(grams(word[low:high], GRAM))
+                        values = x["content"], len(gram), gram.tobytes(), None, None, None, None, None, None
+                    else:
+                        beside = word[high : high + REACH] if x["side"] else word[max(0, low - REACH) : low][::-1]
+                        values = None, None, None, row, doc_id, x["content"], x["side"], high if x["side"] else low, beside.view(np.int64)
+                    for column, value in zip(out, values):
+                        column.append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, types)], names)
 
-    return arrow_map(docs.select("text"), run, "node long, n long, shingles binary").dropDuplicates(["node"])
+    schema = "node long, n long, shingles binary, row long, doc_id long, content long, side int, place int, near array<long>"
+    names = [x.split()[0] for x in schema.split(", ")]
+    types = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64())]
+    return arrow_map(joined, run, schema)
 
 
-def _alike(docs: DataFrame, bands: int, percent: int) -> DataFrame:
-    """``content, component`` of the contents that are similar to another one.
+def _line_links(families: DataFrame, gram: DataFrame, percent: int) -> DataFrame:
+    """``node, component`` of the lines that are similar to another one, whatever documents they stand in.
 
     All contents of a band key are compared with one another, those of a large one block by block as in operator 4.
     """
-    families = staged(_families(_band_rows(docs, bands).repartition("key")), "families")
-    gram = staged(_grams_of(docs, families.select(F.col("node").alias("content")).distinct()), "paragraph-grams")
     members = families.join(gram.select("node", "n"), "node").withColumn("copies", F.lit(1).cast("long"))
     pairs = _blocks(members, percent).join(gram.select("node", "shingles"), "node").repartition("key").sortWithinPartitions("key")
-    found = staged(arrow_map(pairs, _verify(percent), "node long, rep long, links long"), "paragraph-links")
-    return components(found.select(F.col("node").alias("a"), F.col("rep").alias("b"))).withColumnRenamed("node", "content")
+    found = staged(arrow_map(pairs, _verify(percent), "node long, rep long, links long"), "line-links")
+    label = components(found.select(F.col("node").alias("a"), F.col("rep").alias("b")))
+    discard(found)
+    return label
 
 
-def _surroundings(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``content, doc_id, side, place, near`` of the wanted ``content, side``, and of a few others.
+def _further(ends: DataFrame, beside: DataFrame) -> DataFrame:
+    """``row, side, place, more``: how many words beside an end agree with an earlier document that has the end's window.
 
-    ``place`` is where the paragraph begins (side 0) or ends (side 1), ``near`` the hashes of the 1 to REACH words beyond.
+    ``ends`` has ``row, doc_id, content, side, place``, ``beside`` the words beside all windows of these contents. A round looks for
+    the first document that agrees with one word more than found so far, and takes all that agrees with it. It is repeated
+    for the ends that have grown, as another document may agree further.
     """
-    shared = docs.sparkSession.sparkContext.broadcast([_bits(wanted.where(F.col("side") == side)) for side in (0, 1)])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        far = np.arange(1, REACH + 1)
-        for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                _, at, size, content, joined = units(text)
-                n = len(joined[0]) - 1
-                for side in (0, 1):
-                    place = at + size if side else at
-                    own = np.flatnonzero(_chosen(shared.value[side], content) & ((place < n) if side else (place > 0)))
-                    if not len(own):
-                        continue
-                    place = place[own]
-                    low, high = (place[:, None], place[:, None] + far) if side else (place[:, None] - far, place[:, None])
-                    there = (low >= 0) & (high <= n)
-                    low, high = np.broadcast_to(low, there.shape)[there], np.broadcast_to(high, there.shape)[there]
-                    ends = np.concatenate([[0], np.cumsum(there.sum(1))])
-                    near = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(run_hash(joined, low, high).view(np.int64)))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(content[own].view(np.int64)), pa.array(np.full(len(own), doc_id, np.int64)), pa.array(np.full(len(own), side), pa.int32()), pa.array(place, pa.int32()), near],
-                        ["content", "doc_id", "side", "place", "near"],
-                    )
-
-    return arrow_map(docs, run, "content long, doc_id long, side int, place int, near array<long>")
-
-
-def _further(docs: DataFrame, found: DataFrame, kept: DataFrame) -> DataFrame:
-    """``doc_id, side, place, more``: how many words beyond the ends of removed stretches agree with an earlier document.
-
-    The words beside a paragraph are held against those beside every paragraph of its component, so a match with any earlier
-    document is removed to its last word: all windows and lines within it are removed, and REACH covers what they leave.
-    """
-    ends = found.where("removed").select("component", F.explode(F.array(F.when(F.col("at") == F.col("first"), 0), F.when(F.col("end") == F.col("last"), 1))).alias("side"))
-    wanted = staged(kept.join(ends.where("side IS NOT NULL").distinct(), "component").select("content", "side", "component"), "ends")
-    beside = staged(_surroundings(docs, wanted).join(wanted, ["content", "side"]).drop("content"), "surroundings")
-    beside = beside.withColumn("next", F.xxhash64("component", "side", F.col("near")[0]))
-    several = beside.groupBy("next").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("next")
-    each = beside.join(several, "next").select("component", "doc_id", "side", "place", F.posexplode("near").alias("k", "h"))
-    each = staged(each.select("doc_id", "side", "place", (F.col("k") + 1).alias("k"), F.xxhash64("component", "side", "h").alias("h")), "beyond")
-    least = each.groupBy("h").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").drop("most")
-    return each.join(least, "h").where("least < doc_id").groupBy("doc_id", "side", "place").agg(F.max("k").alias("more"))
+    prefix = lambda length: F.xxhash64("content", "side", length, F.slice("near", 1, length))
+    own = ends.join(beside, ["row", "doc_id", "content", "side", "place"]).select("row", "doc_id", "content", "side", "place", "near", F.lit(0).alias("more"))
+    done, tables = [], []
+    while True:
+        lengths = own.select("content", "side", (F.col("more") + 1).alias("length")).distinct()
+        longer = beside.join(lengths, ["content", "side"]).where(F.size("near") >= F.col("length")).select("doc_id", prefix(F.col("length")).alias("h"), "near")
+        first = longer.groupBy("h").agg(F.min("doc_id").alias("first"), F.min_by("near", F.struct("doc_id", F.xxhash64("near"))).alias("other"))
+        asking = own.where(F.size("near") > F.col("more")).withColumn("h", prefix(F.col("more") + 1))
+        equal = F.zip_with(F.slice("near", 1, F.size("other")), F.slice("other", 1, F.size("near")), lambda x, y: x == y)
+        upto = F.array_position(equal, F.lit(False)).cast("int")
+        agreed = F.when(upto > 0, upto - 1).otherwise(F.size(equal))
+        grown = asking.join(first, "h").where("first < doc_id").withColumn("more", agreed).drop("h", "first", "other")
+        grown = staged(grown, "grown")
+        tables.append(grown)
+        if grown.isEmpty():
+            break
+        done.append(grown.select("row", "side", "place", "more"))
+        own = grown
+    if not done:
+        return tables[-1].select("row", "side", "place", "more")
+    found = done[0]
+    for more in done[1:]:
+        found = found.union(more)
+    return found.groupBy("row", "side", "place").agg(F.max("more").alias("more"))
 
 
 def _stretches(runs: DataFrame) -> DataFrame:
-    """``runs`` (``doc_id, removed, at, end``) with ``first`` and ``last`` of those of one decision that overlap or touch."""
-    order = Window.partitionBy("doc_id", "removed").orderBy("at", "end")
+    """``runs`` (``row, removed, at, end``) with ``first`` and ``last`` of those of one decision that overlap or touch."""
+    order = Window.partitionBy("row", "removed").orderBy("at", "end")
     new = F.col("at") > F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
     own = runs.withColumn("new", F.coalesce(new, F.lit(True)).cast("int")).withColumn("stretch", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    stretch = Window.partitionBy("doc_id", "removed", "stretch")
+    stretch = Window.partitionBy("row", "removed", "stretch")
     return own.withColumn("first", F.min("at").over(stretch)).withColumn("last", F.max("end").over(stretch)).drop("new", "stretch")
 
 
-def _merged(found: DataFrame) -> DataFrame:
-    """One row for each stretch."""
-    return found.groupBy("doc_id", "removed", F.col("first").alias("at"), F.col("last").alias("end")).agg(F.min("component").alias("component"), F.min("kept").alias("kept"))
+def stretches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, recall: float = RECALL) -> DataFrame:
+    """``row, doc_id, at, end, component, kept, removed``: the repeats of ``repeats``, by the row's hash; written to the shared folder."""
+    rows, bands = _rows(docs, id_col, text_col), tune_bands(percent, recall, ROWS)
+    every = staged(_paragraphs(rows, bands), "paragraphs")
+    window, line = every.where("NOT line"), every.where("line")
+
+    # windows that stand in several documents, and the ends of the stretches they make
+    several = window.groupBy("content").agg(F.min("doc_id").alias("kept"), F.max("doc_id").alias("most")).where("kept < most").select("content", "kept")
+    found = window.join(several, "content").select("row", "doc_id", "content", "at", (F.col("at") + F.col("size")).alias("end"), "kept", (F.col("kept") < F.col("doc_id")).alias("removed"))
+    found = staged(_stretches(found.distinct()), "windows")
+    sides = F.explode(F.array(F.when(F.col("at") == F.col("first"), 0), F.when(F.col("end") == F.col("last"), 1))).alias("side")
+    ends = found.where("removed").select("row", "doc_id", "content", "at", "end", sides).where("side IS NOT NULL")
+    ends = ends.select("row", "doc_id", "content", "side", F.when(F.col("side") == 0, F.col("at")).otherwise(F.col("end")).alias("place"))
+    ends = staged(ends, "ends")
+    beside = found.join(ends.select("content", "side").distinct(), "content").select("row", "content", "at", (F.col("end") - F.col("at")).alias("size"), "side")
+
+    # lines that share a band key, one place of each
+    families = staged(_families(line, bands), "families")
+    nodes = families.select(F.col("node").alias("content")).distinct()
+    one = F.min(F.struct("row", "at", "size"))
+    place = line.join(nodes, "content").groupBy("content").agg(one.alias("p")).select("p.row", "content", "p.at", "p.size", F.lit(-1).alias("side"))
+    looked_up = staged(_looked_up(rows, beside.unionByName(place)), "looked-up")
+    label = _line_links(families, looked_up.where("node IS NOT NULL").select("node", "n", "shingles").dropDuplicates(["node"]), percent)
+
+    # the first document of each component keeps its lines; components of one document are no repeats
+    own = line.groupBy("content").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).join(label.withColumnRenamed("node", "content"), "content", "left")
+    own = staged(own.where("low < high OR component IS NOT NULL").select("content", F.coalesce("component", "content").alias("component"), "low", "high"), "contents")
+    reach = own.groupBy("component").agg(F.min("low").alias("kept"), F.max("high").alias("most")).where("kept < most")
+    kept = own.join(reach, "component").select("content", "component", "kept")
+    lines = line.join(kept, "content").select(
+        "row", "doc_id", (F.col("kept") < F.col("doc_id")).alias("removed"), "at", (F.col("at") + F.col("size")).alias("end"), "component", "kept"
+    )
+
+    near = looked_up.where("node IS NULL").select("row", "doc_id", "content", "side", "place", "near").dropDuplicates(["row", "side", "place"])
+    more = _further(ends, near)
+    grown = found.select("row", "doc_id", "removed", "at", "end", F.col("content").alias("component"), "kept")
+    for side, at in enumerate(("at", "end")):
+        step = more.where(F.col("side") == side).select("row", F.lit(True).alias("removed"), F.col("place").alias(at), F.col("more").alias(f"more{side}"))
+        grown = grown.join(step, ["row", "removed", at], "left")
+    grown = grown.withColumns({"at": F.col("at") - F.coalesce("more0", F.lit(0)), "end": F.col("end") + F.coalesce("more1", F.lit(0))})
+    merged = _stretches(lines.unionByName(grown.select(*lines.columns)))
+    result = merged.groupBy("row", "removed", F.col("first").alias("at"), F.col("last").alias("end")).agg(
+        F.min("doc_id").alias("doc_id"), F.min("component").alias("component"), F.min("kept").alias("kept")
+    )
+    result = staged(result, "stretches")
+    discard(every, found, ends, families, looked_up, label, own)
+    return result
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, recall: float = RECALL) -> DataFrame:
     """Passages that occur in several documents: ``doc_id, start_word, end_word, component_id, kept_doc_id, removed``.
 
-    One row per stretch of words (from 0, end exclusive) of a document. Paragraphs of one component that reaches several
-    documents are repeats; ``removed`` are all but those in ``kept_doc_id``, the component's document of smallest id, also where
-    they are like it only through others between. Paragraphs of one decision that overlap or touch are one
-    stretch, and a removed stretch goes on to the last word that agrees with an earlier document. ``component_id`` is one of its paragraphs'
-    components. Rows of one id are one document, rows without an id are left out; null, empty and texts below
-    GRAM words have no paragraph. A document without a repeated passage has no row.
+    One row per stretch of words (from 0, end exclusive) of a row of ``docs``. ``removed`` are all but those in ``kept_doc_id``: of a
+    component of similar lines the document of smallest id, also where they are like it only through others between; of a
+    window of words the first document that has it. Stretches of one decision that overlap or touch are one. A
+    removed window goes on as far as the words beside it agree with an earlier document, so no word goes but those of lines that
+    are similar and of runs that an earlier document has. ``component_id`` is one of the stretch's components. Equal rows count once; rows of
+    one id are one document, and so are, after all others, the rows without an id. Null, empty and texts below GRAM words have no
+    paragraph. A row without a repeated passage is not listed.
     """
-    rows = text_table(docs, id_col, text_col).where("doc_id IS NOT NULL")
-    label = _alike(rows, tune_bands(percent, recall, ROWS), percent)
-    occurrences = staged(_unit_rows(rows), "paragraphs")
-    # the first document of each component keeps its paragraphs; components of one document are no repeats
-    own = occurrences.groupBy("content").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    own = own.join(label.withColumn("linked", F.lit(True)), "content", "left").where("low < high OR linked")
-    own = staged(own.select("content", F.coalesce("component", "content").alias("component"), "low", "high"), "contents")
-    reach = own.groupBy("component").agg(F.min("low").alias("kept"), F.max("high").alias("most")).where("kept < most")
-    kept = staged(own.join(reach, "component").select("content", "component", "kept"), "kept")
-    decided = occurrences.join(kept, "content").withColumn("removed", F.col("kept") < F.col("doc_id"))
-    decided = decided.select("doc_id", "removed", "at", (F.col("at") + F.col("size")).alias("end"), "component", "kept")
-    found = staged(_stretches(decided), "stretches")
-    more = staged(_further(rows, found, kept), "more")
-    grown = _merged(found)
-    for side, place in enumerate(("at", "end")):
-        own = more.where(F.col("side") == side).select("doc_id", F.lit(True).alias("removed"), F.col("place").alias(place), F.col("more").alias(f"more{side}"))
-        grown = grown.join(own, ["doc_id", "removed", place], "left")
-    at, end = F.col("at") - F.coalesce("more0", F.lit(0)), F.col("end") + F.coalesce("more1", F.lit(0))
-    grown = grown.select("doc_id", "removed", at.alias("at"), end.alias("end"), "component", "kept")
-    return _merged(_stretches(grown)).select(
-        "doc_id", F.col("at").cast("long").alias("start_word"), F.col("end").cast("long").alias("end_word"),
+    doc_id = F.when(F.col("doc_id") < LAST, F.col("doc_id")).alias("doc_id")
+    return stretches(docs, id_col, text_col, percent, recall).select(
+        doc_id, F.col("at").cast("long").alias("start_word"), F.col("end").cast("long").alias("end_word"),
         F.col("component").alias("component_id"), F.col("kept").alias("kept_doc_id"), "removed",
     )
 
@@ -341,10 +361,11 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     A row of which no word is left stays, without a word; rows without a removed stretch are untouched.
     """
-    key, mark = fresh(docs, "_id"), fresh(docs, "_cuts")
-    stretches = F.collect_list(F.struct("start_word", "end_word"))  # of one document
-    found = repeats(docs, id_col, text_col).where("removed").groupBy(F.col("doc_id").alias(key)).agg(stretches.alias(mark))
-    joined = docs.join(found, F.col(f"`{id_col}`") == F.col(key), "left").drop(key)
+    key, mark = fresh(docs, "_row"), fresh(docs, "_cuts")
+    places = F.collect_list(F.struct(F.col("at").alias("start_word"), F.col("end").alias("end_word")))  # of one row
+    found = stretches(docs, id_col, text_col).where("removed").groupBy(F.col("row").alias(key)).agg(places.alias(mark))
+    own = docs.withColumn(key, row_key(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")))
+    joined = own.join(found, key, "left").drop(key)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -278,8 +278,10 @@ def test_planted_passages(spark):
     assert {r["doc_id"] for r in found} == {i for own in planted.values() for i in own}
     left = {r["doc_id"]: r["text"] for r in substring_dedup.without_repeats(docs).collect()}
     for k, p in enumerate(passage):
-        whole = [i for i in planted[k] if " ".join(p.split()) in " ".join(left[i].split())]
-        assert set(whole) <= {min(planted[k])}
+        # a later passage may have been put into the middle of an earlier one, and its removal makes that one whole
+        stood = {i for i in planted[k] if p in " ".join(texts[i].split())}
+        assert {i for i in stood if p in " ".join(left[i].split())} <= {min(planted[k])}
+    assert sum(p in " ".join(texts[i].split()) for k, p in enumerate(passage) for i in planted[k]) > 15
     assert all(left[i] == texts[i] for i in range(40, 60))
 
 
@@ -318,23 +320,83 @@ def test_short_lines(spark):
 
 
 def test_matches_go_to_the_last_word(spark):
-    """Of passages of 50 words or more, anywhere in lines, no word stays in a later document, also if copies differ in length."""
+    """Of passages of 50 words or more, anywhere in lines, no word stays in a later document and no other word goes."""
     rng = random.Random(14)
     passage = [wordy(rng, n).split() for n in (50, 55, 70, 200)]
     words, left = {}, {}
     for i in range(40):
         a, b, p = wordy(rng, 30).split(), wordy(rng, 30).split(), passage[i % 4]
         p = p[-min(len(p), 52) :] if 4 <= i < 8 else p  # some hold the last part only
-        words[i], left[i] = [*a, *p, *b], (a, b) if i > 3 else ([*a, *p, *b], [])
+        words[i], left[i] = [*a, *p, *b], [*a, *b] if i > 3 else [*a, *p, *b]
     long = wordy(rng, 150).split()
     # of 102 the last part is in 101, of 103 all is in 102
     words |= {101: [*wordy(rng, 20).split(), *long[90:]], 102: [*wordy(rng, 20).split(), *long], 103: [*long, *wordy(rng, 20).split()]}
-    left |= {101: (words[101], []), 102: (words[102][:110], []), 103: ([], words[103][150:])}
+    left |= {101: words[101], 102: words[102][:110], 103: words[103][150:]}
+    # the first document that has the end of a passage has its beginning too, but a later one has more of what stands before
+    words |= {201: long[100:] + wordy(rng, 30).split(), 202: wordy(rng, 30).split() + long[60:]}
     docs = table(spark, [(i, " ".join(w), None, None) for i, w in words.items()])
     got = {r["doc_id"]: r["text"].split() for r in substring_dedup.without_repeats(docs).collect()}
-    # a window that reaches a word or two beyond the passage may be similar to one of another document
-    for i, (a, b) in left.items():
-        assert got[i] in [a[: len(a) - x] + b[y:] for x in range(4) for y in range(4)]
+    for i, own in left.items():
+        assert [w.lower() for w in got[i]] == [w.lower() for w in own], i
+    assert got[201] == words[201][50:] and got[202] == words[202][:30]
+
+
+def test_whole_result_against_brute_force(spark):
+    """Chains of similar lines, also within one document; what goes are similar lines and runs that an earlier document has."""
+    rng = random.Random(31)
+    texts = defaultdict(list)
+    for family in range(80):
+        w = wordy(rng, 23).split()
+        y, z = list(w), list(w)
+        y[1], z[1], z[21] = f"other{family}", f"other{family}", f"last{family}"
+        early, late = 1000 + family % 7, 2000 + family % 9
+        texts[early].append(z)
+        texts[late] += [w, wordy(rng, 9).split(), y]  # w is like y and y like z
+    for _ in range(30):
+        passage = wordy(rng, 60).split()
+        for i in rng.sample(sorted(texts), 3):
+            texts[i].append([*wordy(rng, 4).split(), *passage, *wordy(rng, 4).split()])
+    texts[1999] = [wordy(rng, 30).split()] * 3
+    docs = table(spark, [(i, "\n".join(map(" ".join, lines)), None, None) for i, lines in texts.items()])
+    removed = defaultdict(set)
+    for r in substring_dedup.repeats(docs).where("removed").collect():
+        removed[r["doc_id"]] |= set(range(r["start_word"], r["end_word"]))
+    # lines of similarity 0.8 or more, and their components
+    lines, at = [], {}
+    for i, own in texts.items():
+        place = 0
+        for line in own:
+            lines.append((i, place, [x.lower() for x in line]))
+            place += len(line)
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for *_, w in lines]
+    label = list(range(len(lines)))
+    for a in range(len(lines)):
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                old, new = label[a], label[b]
+                label = [new if x == old else x for x in label]
+    wanted, runs = defaultdict(set), defaultdict(list)
+    for i, own in texts.items():
+        words = [x.lower() for line in own for x in line]
+        for k in range(len(words) - 23):
+            runs[tuple(words[k : k + 24])].append((i, k))
+    for family in set(label):
+        own = [lines[k] for k in range(len(lines)) if label[k] == family]
+        for i, place, w in own:
+            if i > min(own)[0]:
+                wanted[i] |= set(range(place, place + len(w)))
+    repeated = defaultdict(set)
+    for places in runs.values():
+        for i, k in places:
+            if i > min(places)[0]:
+                repeated[i] |= set(range(k, k + 24))
+    assert not removed[1999]
+    for i in texts:
+        assert removed[i] <= wanted[i] | repeated[i]
+    every = sum(map(len, wanted.values()))
+    assert sum(len(wanted[i] & removed[i]) for i in texts) >= 0.95 * every and every > 3000
+    every = sum(len(repeated[i]) for i in texts)
+    assert sum(len(repeated[i] & removed[i]) for i in texts) >= 0.95 * every
 
 
 def test_families_under_one_phrase(spark, monkeypatch):
@@ -346,17 +408,21 @@ def test_families_under_one_phrase(spark, monkeypatch):
         w = wordy(rng, 120).split()
         for k in range(4):
             texts.append(" ".join([*w[:60], *phrase.split(), *w[60:], *wordy(rng, k).split()]))
-    # the paragraphs themselves against brute force
-    own, where = {}, defaultdict(set)
-    for i, text in enumerate(texts):
-        gram, at, size, content, _ = substring_dedup.units(text)
-        for a, n, c in zip(at, size, content.view(np.int64)):
-            own[int(c)] = set(gram[a : a + n - 4].tolist())
-            where[int(c)].add(i)
+    # the lines themselves against brute force
+    own = {}
+    for text in texts:
+        gram, at, size, content, n = substring_dedup.units(text)
+        for a, m, c in zip(at[:n], size[:n], content[:n].view(np.int64)):
+            own[int(c)] = set(gram[a : a + m - 4].tolist())
     nodes = list(own)
-    links = {(a, b) for i, a in enumerate(nodes) for b in nodes[:i] if 100 * len(own[a] & own[b]) >= 80 * len(own[a] | own[b]) and len(where[a] | where[b]) > 1}
-    docs = substring_dedup.text_table(table(spark, [(i, t, None, None) for i, t in enumerate(texts)]))
-    label = {r["content"]: r["component"] for r in substring_dedup._alike(docs, substring_dedup.tune_bands(80, 0.95, substring_dedup.ROWS), 80).collect()}
+    links = {(a, b) for i, a in enumerate(nodes) for b in nodes[:i] if 100 * len(own[a] & own[b]) >= 80 * len(own[a] | own[b])}
+    bands = substring_dedup.tune_bands(80, 0.95, substring_dedup.ROWS)
+    rows = substring_dedup._rows(table(spark, [(i, t, None, None) for i, t in enumerate(texts)]), "doc_id", "text")
+    lines = substring_dedup._paragraphs(rows, bands).where("line")
+    families = substring_dedup._families(lines, bands)
+    asked = lines.selectExpr("row", "content", "at", "size", "-1 AS side")
+    gram = substring_dedup._looked_up(rows, asked).where("node IS NOT NULL").select("node", "n", "shingles").dropDuplicates(["node"])
+    label = {r["node"]: r["component"] for r in substring_dedup._line_links(families, gram, 80).collect()}
     assert len(links) > 20
     assert sum(a in label and label.get(a) == label.get(b) for a, b in links) >= 0.95 * len(links)
     assert set(label) <= {x for pair in links for x in pair}
@@ -364,7 +430,8 @@ def test_families_under_one_phrase(spark, monkeypatch):
 
 def test_repeats_odd_rows(odd):
     got = substring_dedup.repeats(odd).collect()
-    assert {(r["doc_id"], r["removed"], r["kept_doc_id"]) for r in got} == {(4, False, 4), (5, True, 4)}
+    # the rows without an id come last
+    assert {(r["doc_id"], r["removed"], r["kept_doc_id"]) for r in got} == {(4, False, 4), (5, True, 4), (None, True, 4)}
     left = substring_dedup.without_repeats(odd)
     # what is left of 5 are the words outside its first and last paragraph
     assert left.columns == odd.columns and max(len(r["text"].split()) for r in left.where("doc_id = 5").collect()) < 60
