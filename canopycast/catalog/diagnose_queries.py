@@ -7,7 +7,7 @@ from itertools import combinations
 from pyspark.sql import functions as F
 
 from ..config import KEY
-from ..operators import diagnose as dg
+from ..operators import diagnose as dg, neighbours
 from ..plans import diagnostics as plan
 from ..sources.staging import staged_path
 from . import oracle as o
@@ -119,6 +119,12 @@ def _(v):
     return dg.target_association(matrix(v), NUMBERS, "tch")
 
 
+@query("neighbour_mutual_info")
+def _(v):
+    """By three nearest neighbours; distances of all pairs are beyond a statement, so the test compares it on a small table."""
+    return neighbours.neighbour_mutual_info(v.feature_matrix.where("split = 'train' AND tch IS NOT NULL"), NUMBERS, "tch")
+
+
 @query("binned_mutual_info", "SELECT * FROM info", ["mutual_info"])
 def _(v):
     train = matrix(v).where("split = 'train'")

@@ -20,10 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..config import KEY
 from ..sources.staging import staged_path
 
-from .models import BOOSTED, FEATURES, Fitted
-
-#: Nodes of a model that the tasks hold.
-MOST_NODES = 2_000_000
+from .models import BOOSTED, FEATURES, MOST_NODES, Fitted
 
 PATHS = "tree int, leaf int, value double, feature int, low double, high double, missing boolean, share double"
 

@@ -29,6 +29,8 @@ ALPHAS = {"pred_tch_p10": 0.10, "pred_tch_p50": 0.50, "pred_tch_p90": 0.90}
 SEED = 42
 #: Of Spark's trees.
 MAX_DEPTH = 30
+#: Nodes of a forest whose leaves go to every task.
+MOST_NODES = 2_000_000
 
 # Search ranges (low, high, scale) of each model.
 SPACES = {
@@ -232,26 +234,37 @@ def forest_leaves(model: Model) -> DataFrame:
     return leaves.select(F.col("treeID").alias("tree"), "leaf", "prediction")
 
 
-def forest_quantiles(fitted: Fitted, df: DataFrame, alphas: Mapping[str, float] = ALPHAS) -> DataFrame:
+def forest_quantiles(fitted: Fitted, df: DataFrame, alphas: Mapping[str, float] = ALPHAS, most_nodes: int = MOST_NODES) -> DataFrame:
     """Quantiles over the predictions of the trees, linearly interpolated.
 
-    Spark says which leaf of each tree a row falls into; the leaves' predictions come from a join.
+    Spark says which leaf of each tree a row falls into. The leaves' predictions are one value, a list per tree, that every row
+    is looked up in, so no row is shuffled. A forest of more than ``most_nodes`` nodes joins rows and leaves instead.
     """
     if fitted.kind != "forest":
         raise ValueError("tree quantiles need a forest")
     leaves = staged(forest_leaves(fitted.model), "leaves")
     rows = fitted.model.transform(fitted.vectors(df), {fitted.model.leafCol: LEAVES}).drop(FEATURES, PREDICTION)
-    rows = staged(rows.withColumn("_row", F.monotonically_increasing_id()).withColumn(LEAVES, vector_to_array(LEAVES)), "leaves-of-rows")
+    rows = rows.withColumn(LEAVES, vector_to_array(LEAVES))
+
+    def quantiles(sorted_values: str) -> dict[str, Column]:
+        size, found = F.size(sorted_values), {}
+        for name, alpha in alphas.items():
+            place = (size - 1) * F.lit(float(alpha))
+            low, high = F.get(sorted_values, F.floor(place).cast("int")), F.get(sorted_values, F.ceil(place).cast("int"))
+            found[name] = low + (high - low) * (place - F.floor(place))
+        return found
+
+    if fitted.model.totalNumNodes <= most_nodes:
+        by_leaf = F.transform(F.sort_array(F.collect_list(F.struct("leaf", "prediction"))), lambda x: x["prediction"])
+        trees = leaves.groupBy("tree").agg(by_leaf.alias("p"))
+        table = trees.agg(F.transform(F.sort_array(F.collect_list(F.struct("tree", "p"))), lambda x: x["p"]).alias("t")).scalar()
+        looked_up = F.transform(F.col(LEAVES), lambda leaf, tree: F.get(F.get(F.col("_table"), tree), leaf.cast("int")))
+        rows = rows.withColumn("_table", table).withColumn("_p", F.sort_array(looked_up))
+        return rows.withColumns(quantiles("_p")).drop("_p", "_table", LEAVES)
+    rows = staged(rows.withColumn("_row", F.monotonically_increasing_id()), "leaves-of-rows")
     each = rows.select("_row", F.posexplode(LEAVES).alias("tree", "leaf"))
     found = each.join(leaves, ["tree", "leaf"]).groupBy("_row").agg(F.sort_array(F.collect_list("prediction")).alias("_p"))
-    size = F.size("_p")
-
-    def at(alpha: float) -> Column:
-        place = (size - 1) * F.lit(float(alpha))
-        low, high = F.get("_p", F.floor(place).cast("int")), F.get("_p", F.ceil(place).cast("int"))
-        return low + (high - low) * (place - F.floor(place))
-
-    spread = found.select("_row", *[at(a).alias(name) for name, a in alphas.items()])
+    spread = found.select("_row", *[c.alias(name) for name, c in quantiles("_p").items()])
     return rows.drop(LEAVES).join(spread, "_row").drop("_row")
 
 

@@ -27,6 +27,8 @@ def test_forest_quantiles_come_from_the_trees(rows):
     features = ["u", "v", "w"]
     fitted = models.fit_model(rows, features, "tch", "forest", {"n_estimators": 7, "max_depth": 4})
     got = models.forest_quantiles(fitted, rows).orderBy("cod_cg_zafra").toPandas()
+    joined = models.forest_quantiles(fitted, rows, most_nodes=0).orderBy("cod_cg_zafra").toPandas()
+    assert np.allclose(got[list(models.ALPHAS)], joined[list(models.ALPHAS)]) and (got.pred_tch_p10 <= got.pred_tch_p50).all()
     vectors = models.vectors(rows, features, fitted.medians).orderBy("cod_cg_zafra").collect()
     each = np.array([[tree.predict(r["_features"]) for tree in fitted.model.trees] for r in vectors])
     assert np.allclose(got[list(models.ALPHAS)], np.quantile(each, [0.1, 0.5, 0.9], axis=1).T)
