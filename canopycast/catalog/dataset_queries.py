@@ -218,7 +218,8 @@ def _(v):
     return cycles.open_cycles(closed(v), _latest_sources(v), S)
 
 
-_OPTICAL_RAW = [f"{i}_promedio" for i in OPTICAL_INDEXES if i != "ndvi"]
+_OPTICAL_RAW = [f"{i}_promedio" for i in OPTICAL_INDEXES]
+_CLIMATE_RAW = ["precipitacion_sum", "eto_sum", "radiacion_sum", "temperatura_mean", "temperatura_max", "temperatura_min", "humedad_relativa"]
 
 
 @query(
@@ -233,14 +234,14 @@ def _(v):
 
 @query(
     "interval_join_left",
-    """SELECT e.cycle_uid, c.fecha_inicio, c.precipitacion_sum, c.eto_sum FROM eligible e
+    f"""SELECT e.cycle_uid, c.fecha_inicio, {', '.join(f'c.{m}' for m in _CLIMATE_RAW)} FROM eligible e
     LEFT JOIN clima c ON c.cod_cg = e.climate_lote_matched AND c.fecha_inicio BETWEEN e.fecha_inicio_ciclo AND e.as_of_date""",
-    ["precipitacion_sum", "eto_sum"],
+    _CLIMATE_RAW,
 )
 def _(v):
     climate = v.clima.withColumnRenamed("cod_cg", "station")
     joined = asof.interval_join(spine(v), climate, "climate_lote_matched", "station", "fecha_inicio", "left")
-    return joined.select("cycle_uid", "fecha_inicio", "precipitacion_sum", "eto_sum")
+    return joined.select("cycle_uid", "fecha_inicio", *_CLIMATE_RAW)
 
 
 @query(

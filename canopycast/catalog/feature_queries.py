@@ -225,17 +225,23 @@ def _(v):
     return enc.apply_vocab(v.feature_matrix.select(KEY, *ENCODED), vocab(v), ENCODED)
 
 
-_INGENIO = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW", "__OTHER__", "__MISSING__"]
-_INGENIO_SQL = ", ".join(
-    f"({_known('prod_ingenio')} = '{x}')::INTEGER AS {n}"
-    for x, n in zip(_INGENIO, feature_names([f"prod_ingenio_{x}" for x in _INGENIO]))
-)
+def _one_hot_name(c: str) -> str:
+    joined = f"'{c}_' || {_known(c)}"
+    return f"trim(regexp_replace(regexp_replace({joined}, '[^0-9A-Za-z_]+', '_', 'g'), '_+', '_', 'g'), '_')"
 
 
-@query("one_hot", f"SELECT {KEY}, {_INGENIO_SQL} FROM feature_matrix")
+@query(
+    "one_hot",
+    " UNION ALL ".join(f"SELECT {KEY}, {_one_hot_name(c)} AS name, 1 AS value FROM feature_matrix" for c in ENCODED)
+    + f" UNION ALL SELECT {KEY}, 'zeros', (SELECT count(*) FROM vocab) + {len(ENCODED)} FROM feature_matrix",
+)
 def _(v):
-    lists = enc.vocab_lists(vocab(v).where("feature = 'prod_ingenio'"))
-    return enc.one_hot(v.feature_matrix.select(KEY, "prod_ingenio"), lists, ["prod_ingenio"])
+    """Of all text columns, the 0/1 columns that are 1 by name, and how many are 0, for each row."""
+    encoded = enc.one_hot(v.feature_matrix.select(KEY, *ENCODED), enc.vocab_lists(vocab(v)), ENCODED)
+    made = [c for c in encoded.columns if c != KEY]
+    tall = encoded.unpivot([KEY], made, "name", "value").where("value = 1")
+    zeros = encoded.select(KEY, F.lit("zeros").alias("name"), sum(1 - F.col(c) for c in made).cast("int").alias("value"))
+    return tall.unionByName(zeros)
 
 
 _MODE_COLUMNS = [KEY, "ndvi_peak", "prod_variedad", "prod_variedad_V1", "prod_variedad_MISSING", "prod_variedad_OTHER"]
@@ -270,18 +276,25 @@ def _(v):
     return io.run_query(VIEWS["productividad"], {t: v.table(t) for t in tables_of("productividad")})
 
 
+_TREE = {
+    "region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey", "supplier": "s_suppkey", "part": "p_partkey", "orders": "o_orderkey",
+    "lineitem": "l_orderkey", "events": "event_id", "embeddings": "vec_id", "pages": "page_id", "benchmark": "item_id", "conversations": "conv_id",
+}
+
+
 @query(
     "src_parquet_tree",
-    """SELECT (SELECT count(*) FROM orders) + (SELECT count(*) FROM lineitem) + (SELECT count(*) FROM customer) AS rows,
-    (SELECT count(o_orderkey) FROM orders) AS orders, (SELECT count(l_orderkey) FROM lineitem) AS lines,
-    (SELECT sum(c_custkey) FROM customer) AS customers""",
+    "SELECT (SELECT count(*) FROM documents) + (SELECT count(*) FROM labels) + "
+    + " + ".join(f"(SELECT count(*) FROM {t})" for t in _TREE)
+    + " AS rows, "
+    + ", ".join(f"(SELECT sum({c}) FROM {t}) AS {c}" for t, c in _TREE.items() if c not in ("event_id",))
+    + ", (SELECT count(event_id) FROM events) AS events, (SELECT sum(doc_id) FROM documents) + (SELECT sum(doc_id) FROM labels) AS doc_id",
 )
 def _(v):
-    tree = io.read_parquet_tree(v.spark, v.sf_dir, "{orders,lineitem,customer}.parquet")
-    return tree.agg(
-        F.count(F.lit(1)).alias("rows"), F.count("o_orderkey").alias("orders"),
-        F.count("l_orderkey").alias("lines"), F.sum("c_custkey").alias("customers"),
-    )
+    """All files of the folder as one table, columns matched by name."""
+    tree = io.read_parquet_tree(v.spark, v.sf_dir)
+    keys = [c for c in [*_TREE.values(), "doc_id"] if c != "event_id"]
+    return tree.agg(F.count(F.lit(1)).alias("rows"), *[F.sum(c).alias(c) for c in keys], F.count("event_id").alias("events"))
 
 
 @query("sink_dataset", "SELECT * FROM enso", ["oni", "nino34", "soi"])

@@ -27,6 +27,8 @@ RULES = {
 NATIVE_MODELS = ("forest", "boosted", "leafwise", "ordered")
 #: A value with at least this share of a column's counted rows is spread over SALTS parts when it meets the vocabulary.
 HOT_SHARE, SALTS = 0.01, 32
+#: Values of a column that become one-hot columns.
+MOST_CATEGORIES = 2000
 
 #: Rows of one part of the hash order of ``ordered_statistics``, and how many rows the mean of the target counts for.
 PART_ROWS, PRIOR_ROWS = 100_000, 1.0
@@ -109,9 +111,12 @@ def fit_vocab(train: DataFrame, columns: Sequence[str], rules: Mapping[str, dict
     return result
 
 
-def vocab_lists(vocab: DataFrame) -> dict[str, list[str]]:
-    """Sorted values of each column, as one-hot columns need them: one entry per column that will be made."""
+def vocab_lists(vocab: DataFrame, most: int = MOST_CATEGORIES) -> dict[str, list[str]]:
+    """Sorted values of each column, as one-hot columns need them: one entry per column that will be made, at most ``most`` of a column."""
     lists: dict[str, list[str]] = {}
+    large = vocab.groupBy("feature").count().where(F.col("count") > most).orderBy("feature").first()
+    if large:
+        raise ValueError(f"column {large['feature']!r} has {large['count']} values, more than {most} one-hot columns; use a rule or mode 'native'")
     for row in vocab.select("feature", "category").collect():
         lists.setdefault(row["feature"], []).append(row["category"])
     return {feature: sorted(values) for feature, values in lists.items()}

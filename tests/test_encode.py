@@ -91,3 +91,10 @@ def test_feature_table_guards(spark):
     assert matrix.numeric == ["w_min", "w_max", "w_range"] and matrix.categorical == []
     assert ft.feature_table(df, roles="reference").categorical == ["cod_cg_zafra_original"]
     assert ft.feature_table(df, keep_unlabelled=True).df.count() == 2
+
+
+def test_a_column_of_many_values_is_refused_by_name(spark):
+    vocab = spark.createDataFrame([("note", f"v{i}", 1) for i in range(30)] + [("kind", "a", 30)], "feature string, category string, n long")
+    assert enc.vocab_lists(vocab)["kind"] == ["a"]
+    with pytest.raises(ValueError, match="'note' has 30 values"):
+        enc.vocab_lists(vocab, 20)
