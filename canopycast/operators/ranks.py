@@ -55,14 +55,16 @@ def exact_quantiles(
     value: str,
     probabilities: dict[str, float],
     scale: list[str] = [],  # noqa: B006
+    n: str = "n",
 ) -> DataFrame:
     """Exact quantiles per group with linear interpolation; one column per name in ``probabilities``.
 
-    NULL values are left out. The values are counted in ``PARTS`` equal parts of their whole range, or of the range of those that
+    ``rows`` hold one value each, or as many equal ones as their column ``n`` says. NULL values are left out. The values are counted in ``PARTS`` equal parts of their whole range, or of the range of those that
     share the keys ``scale``. That tells in which parts the wanted places lie, and only rows of these parts are ranked. Parts of few
     rows are sorted whole; larger ones, which many close values or far outliers make, are ranked by :func:`running_counts`.
     """
-    rows = rows.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_value"))
+    many = F.col(n) if n in rows.columns else F.lit(1)
+    rows = rows.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_value"), many.alias("_rows"))
     # one row per scale; written once, as both passes below must cut alike
     ranges = staged(rows.groupBy(*scale).agg(F.min("_value").alias("_low"), F.max("_value").alias("_high")), "ranges")
     if scale:
@@ -71,12 +73,12 @@ def exact_quantiles(
         rows = rows.withColumns({c: ranges.select(c).scalar() for c in ("_low", "_high")})
     share = (F.col("_value") - F.col("_low")) / (F.col("_high") - F.col("_low"))
     part = F.when((F.col("_high") > F.col("_low")) & (F.col("_high") - F.col("_low") < float("inf")), F.floor(share * PARTS)).otherwise(0)
-    rows = rows.select(*keys, "_value", F.least(part, F.lit(PARTS - 1)).cast("int").alias("_part"))
+    rows = rows.select(*keys, "_value", "_rows", F.least(part, F.lit(PARTS - 1)).cast("int").alias("_part"))
 
     upto = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    counts = rows.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_here"))
-    counts = counts.select("*", F.coalesce(F.sum("_here").over(upto), F.lit(0)).alias("_below"), F.sum("_here").over(Window.partitionBy(*keys)).alias("_total"))
-    places = {name: (F.col("_total") - 1) * F.lit(p) for name, p in probabilities.items()}
+    counts = rows.groupBy(*keys, "_part").agg(F.sum("_rows").alias("_here"))
+    counts = counts.select("*", F.coalesce(F.sum("_here").over(upto), F.lit(0)).alias("_below"), F.sum("_here").over(Window.partitionBy(*keys)).alias("_all"))
+    places = {name: (F.col("_all") - 1) * F.lit(p) for name, p in probabilities.items()}
 
     def holds(position, before: str, many: str):  # noqa: ANN001, ANN202
         return (F.col(before) <= position) & (position < F.col(before) + F.col(many))
@@ -84,8 +86,8 @@ def exact_quantiles(
     sides = [f(place) for place in places.values() for f in (F.floor, F.ceil)]
     # one row per group and wanted place; written once, as its size decides how it is joined and ranked
     wanted = staged(counts.where(reduce(lambda a, b: a | b, [holds(x, "_below", "_here") for x in sides])), "wanted-parts")
-    left = join_null_safe(rows, wanted, [*keys, "_part"]).groupBy(*keys, "_part", "_below", "_total", "_value").agg(F.count(F.lit(1)).alias("_n"))
-    group = [*keys, "_part", "_below", "_total"]
+    left = join_null_safe(rows, wanted, [*keys, "_part"]).groupBy(*keys, "_part", "_below", "_all", "_value").agg(F.sum("_rows").alias("_n"))
+    group = [*keys, "_part", "_below", "_all"]
     if (wanted.agg(F.max("_here")).first()[0] or 0) <= SORTED:
         inside = Window.partitionBy(*group).orderBy("_value").rowsBetween(Window.unboundedPreceding, -1)
         ranked = left.withColumn("before", F.coalesce(F.sum("_n").over(inside), F.lit(0)))

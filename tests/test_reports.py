@@ -105,6 +105,22 @@ def test_exact_quantiles(values, pieces, monkeypatch):
     assert total["mid"] == pdf["v"].median()
 
 
+@pytest.mark.parametrize("parts, most", [(1, 10), (7, 10), (4096, 10), (4096, 200_000)])
+def test_quantiles_of_rows_by_parts(spark, values, parts, most, monkeypatch):
+    """Few and many parts, sorted whole or ranked by ranges; outliers, one value, and scales of their own."""
+    monkeypatch.setattr(ranks, "PARTS", parts)
+    monkeypatch.setattr(ranks, "SORTED", most)
+    rng = np.random.default_rng(3)
+    own = {"skew": np.concatenate([rng.exponential(1, 3000), [1e300, -1e300]]), "one": np.full(700, 4.5), "two": np.array([1.0, 2.0]), "tiny": rng.normal(0, 1e-9, 501)}
+    df = spark.createDataFrame([(g, float(x)) for g, v in own.items() for x in v] + [("none", None)], "g string, v double")
+    for scale in ([], ["g"]):
+        found = ranks.exact_quantiles(df, ["g"], "v", {"low": 0.1, "mid": 0.5, "top": 1.0}, scale).collect()
+        assert {r["g"] for r in found} == set(own)
+        for r in found:
+            assert (r["low"], r["mid"], r["top"]) == pytest.approx(tuple(np.quantile(own[r["g"]], [0.1, 0.5, 1.0])), rel=1e-12)
+    assert ranks.exact_quantiles(df.limit(0), ["g"], "v", {"mid": 0.5}).collect() == []
+
+
 def test_ranks_of_skewed_and_constant_groups(spark):
     rng = np.random.default_rng(3)
     skewed = np.concatenate([rng.exponential(1, 3000), [1e9] * 5, rng.normal(1e-9, 1e-12, 500)])
