@@ -7,7 +7,7 @@ several documents the lines of the first document stay and all others go.
 Passages repeat within lines and across them too. A further net, for exact repeats, are windows of PARAGRAPH words that begin
 where the text itself says: at the least 5-gram hash of any SPREAD neighbouring ones. A passage of SPREAD - 1 + PARAGRAPH = 50
 words or more has the same windows wherever it stands. Windows that an earlier document has go too, and with them the words
-beside them as far as they agree with an earlier document.
+beside them as far as they agree with the first document that has the next word too.
 
 A text is read three times: for its paragraphs, for the 5-grams of lines that met and the words beside windows, and to cut it.
 A row is known by a hash of its id and text, so rows of one id may differ and equal rows are treated alike.
@@ -38,6 +38,8 @@ ROWS = 3
 REACH = SPREAD + PARAGRAPH - 2
 #: Where a row without an id stands: after all others, with all of its kind as one document.
 LAST = 2**63 - 1
+#: A content of more than one in HOT paragraphs is hot.
+HOT = 1000
 #: Words whose positions are handled at a time.
 STRETCH = 1 << 22
 #: Lines whose signature one task has sent and does not send again.
@@ -183,13 +185,23 @@ def _families(lines: DataFrame, bands: int) -> DataFrame:
     return rows.join(keys.select("key", "family"), "key").select("family", F.col("content").alias("node")).distinct()
 
 
+def _occurrences(every: DataFrame, several: DataFrame, total: int) -> DataFrame:
+    """The paragraphs among ``several``, with ``kept``. Contents of more than 1 / HOT of all paragraphs, fewer than HOT, are joined as a
+    broadcast table, so that none of them fills a partition."""
+    hot = several.where(F.col("rows") * HOT > total).select("line", "content", F.col("kept").alias("hot_kept"))
+    met = every.join(F.broadcast(hot), ["line", "content"], "left")
+    columns = ["line", "row", "doc_id", "content", "at", "size"]
+    rest = met.where("hot_kept IS NULL").select(*columns).join(several.where(F.col("rows") * HOT <= total).drop("rows"), ["line", "content"])
+    return met.where("hot_kept IS NOT NULL").select(*columns, F.col("hot_kept").alias("kept")).unionByName(rest.select(*columns, "kept"))
+
+
 def _looked_up(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``node, n, shingles`` of wanted lines and ``row, doc_id, content, side, place, near`` of wanted window ends.
+    """``node, n, shingles`` of wanted lines and ``row, doc_id, content, side, place, own, near`` of wanted window ends.
 
-    ``wanted`` has ``row, content, at, size, side``: side -1 asks for the 5-grams of the line, 0 and 1 for the up to REACH words
-    before or after the window. Only texts with something wanted are taken apart.
+    ``wanted`` has ``row, content, at, size, side, own``: side -1 asks for the 5-grams of the line, 0 and 1 for the up to REACH words
+    before or after the window; ``own`` is handed on. Only texts with something wanted are taken apart.
     """
-    asked = wanted.groupBy("row").agg(F.collect_list(F.struct("content", "at", "size", "side")).alias("asked"))
+    asked = wanted.groupBy("row").agg(F.collect_list(F.struct("content", "at", "size", "side", "own")).alias("asked"))
     joined = rows.join(asked, "row")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,17 +219,17 @@ def _looked_up(rows: DataFrame, wanted: DataFrame) -> DataFrame:
                     low, high = x["at"], x["at"] + x["size"]
                     if x["side"] < 0:
                         gram = np.unique(grams(word[low:high], GRAM))
-                        values = x["content"], len(gram), gram.tobytes(), None, None, None, None, None, None
+                        values = x["content"], len(gram), gram.tobytes(), None, None, None, None, None, None, None
                     else:
                         beside = word[high : high + REACH] if x["side"] else word[max(0, low - REACH) : low][::-1]
-                        values = None, None, None, row, doc_id, x["content"], x["side"], high if x["side"] else low, beside.view(np.int64)
+                        values = None, None, None, row, doc_id, x["content"], x["side"], high if x["side"] else low, x["own"], beside.astype(np.uint32).view(np.int32)
                     for column, value in zip(out, values):
                         column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, types)], names)
 
-    schema = "node long, n long, shingles binary, row long, doc_id long, content long, side int, place int, near array<long>"
+    schema = "node long, n long, shingles binary, row long, doc_id long, content long, side int, place int, own boolean, near array<int>"
     names = [x.split()[0] for x in schema.split(", ")]
-    types = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64())]
+    types = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.list_(pa.int32())]
     return arrow_map(joined, run, schema)
 
 
@@ -234,37 +246,18 @@ def _line_links(families: DataFrame, gram: DataFrame, percent: int) -> DataFrame
     return label
 
 
-def _further(ends: DataFrame, beside: DataFrame) -> DataFrame:
-    """``row, side, place, more``: how many words beside an end agree with an earlier document that has the end's window.
+def _further(beside: DataFrame) -> DataFrame:
+    """``row, side, place, more``: how many words beside an ``own`` end agree with an earlier document that has the end's window.
 
-    ``ends`` has ``row, doc_id, content, side, place``, ``beside`` the words beside all windows of these contents. A round looks for
-    the first document that agrees with one word more than found so far, and takes all that agrees with it. It is repeated
-    for the ends that have grown, as another document may agree further.
+    ``beside`` has the words beside all windows of these contents. The document is the first that has the next word too.
     """
-    prefix = lambda length: F.xxhash64("content", "side", length, F.slice("near", 1, length))
-    own = ends.join(beside, ["row", "doc_id", "content", "side", "place"]).select("row", "doc_id", "content", "side", "place", "near", F.lit(0).alias("more"))
-    done, tables = [], []
-    while True:
-        lengths = own.select("content", "side", (F.col("more") + 1).alias("length")).distinct()
-        longer = beside.join(lengths, ["content", "side"]).where(F.size("near") >= F.col("length")).select("doc_id", prefix(F.col("length")).alias("h"), "near")
-        first = longer.groupBy("h").agg(F.min("doc_id").alias("first"), F.min_by("near", F.struct("doc_id", F.xxhash64("near"))).alias("other"))
-        asking = own.where(F.size("near") > F.col("more")).withColumn("h", prefix(F.col("more") + 1))
-        equal = F.zip_with(F.slice("near", 1, F.size("other")), F.slice("other", 1, F.size("near")), lambda x, y: x == y)
-        upto = F.array_position(equal, F.lit(False)).cast("int")
-        agreed = F.when(upto > 0, upto - 1).otherwise(F.size(equal))
-        grown = asking.join(first, "h").where("first < doc_id").withColumn("more", agreed).drop("h", "first", "other")
-        grown = staged(grown, "grown")
-        tables.append(grown)
-        if grown.isEmpty():
-            break
-        done.append(grown.select("row", "side", "place", "more"))
-        own = grown
-    if not done:
-        return tables[-1].select("row", "side", "place", "more")
-    found = done[0]
-    for more in done[1:]:
-        found = found.union(more)
-    return found.groupBy("row", "side", "place").agg(F.max("more").alias("more"))
+    rows = beside.where(F.size("near") > 0).withColumn("h", F.xxhash64("content", "side", F.get("near", 0)))
+    first = rows.groupBy("h").agg(F.min("doc_id").alias("first"), F.min_by("near", F.struct("doc_id", F.xxhash64("near"))).alias("other"))
+    met = rows.where("own").select("row", "doc_id", "side", "place", "near", "h").join(first, "h").where("first < doc_id")
+    equal = F.zip_with(F.slice("near", 1, F.size("other")), F.slice("other", 1, F.size("near")), lambda x, y: x == y)
+    upto = F.array_position(equal, F.lit(False)).cast("int")
+    agreed = F.when(upto > 0, upto - 1).otherwise(F.size(equal))
+    return met.groupBy("row", "side", "place").agg(F.max(agreed).alias("more"))
 
 
 def _stretches(runs: DataFrame) -> DataFrame:
@@ -280,23 +273,29 @@ def stretches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p
     """``row, doc_id, at, end, component, kept, removed``: the repeats of ``repeats``, by the row's hash; written to the shared folder."""
     rows, bands = _rows(docs, id_col, text_col), tune_bands(percent, recall, ROWS)
     every = staged(_paragraphs(rows, bands), "paragraphs")
-    window, line = every.where("NOT line"), every.where("line")
-
-    # windows that stand in several documents, and the ends of the stretches they make
-    several = window.groupBy("content").agg(F.min("doc_id").alias("kept"), F.max("doc_id").alias("most")).where("kept < most").select("content", "kept")
-    found = window.join(several, "content").select("row", "doc_id", "content", "at", (F.col("at") + F.col("size")).alias("end"), "kept", (F.col("kept") < F.col("doc_id")).alias("removed"))
-    found = staged(_stretches(found.distinct()), "windows")
-    sides = F.explode(F.array(F.when(F.col("at") == F.col("first"), 0), F.when(F.col("end") == F.col("last"), 1))).alias("side")
-    ends = found.where("removed").select("row", "doc_id", "content", "at", "end", sides).where("side IS NOT NULL")
-    ends = ends.select("row", "doc_id", "content", "side", F.when(F.col("side") == 0, F.col("at")).otherwise(F.col("end")).alias("place"))
-    ends = staged(ends, "ends")
-    beside = found.join(ends.select("content", "side").distinct(), "content").select("row", "content", "at", (F.col("end") - F.col("at")).alias("size"), "side")
+    line = every.where("line")
+
+    # windows and lines that stand in several documents as they are; where a window ends a stretch of them, the words beside it count
+    total = every.count()
+    several = every.groupBy("line", "content").agg(F.min("doc_id").alias("kept"), F.max("doc_id").alias("most"), F.count(F.lit(1)).alias("rows"))
+    several = staged(several.where("kept < most").select("line", "content", "kept", "rows"), "several")
+    found = _occurrences(every, several, total).select(
+        "line", "row", "doc_id", "content", "at", (F.col("at") + F.col("size")).alias("end"), "kept", (F.col("kept") < F.col("doc_id")).alias("removed")
+    )
+    exact = found = staged(_stretches(found.distinct()), "exact")
+    found = found.where("NOT line").withColumns(
+        {"own0": F.col("removed") & (F.col("at") == F.col("first")), "own1": F.col("removed") & (F.col("end") == F.col("last"))}
+    )
+    own = found.select("content", F.explode(F.array(F.when(F.col("own0"), 0), F.when(F.col("own1"), 1))).alias("side")).where("side IS NOT NULL").distinct()
+    beside = found.join(own, "content").select(
+        "row", "content", "at", (F.col("end") - F.col("at")).alias("size"), "side", F.when(F.col("side") == 0, F.col("own0")).otherwise(F.col("own1")).alias("own")
+    )
 
     # lines that share a band key, one place of each
     families = staged(_families(line, bands), "families")
     nodes = families.select(F.col("node").alias("content")).distinct()
     one = F.min(F.struct("row", "at", "size"))
-    place = line.join(nodes, "content").groupBy("content").agg(one.alias("p")).select("p.row", "content", "p.at", "p.size", F.lit(-1).alias("side"))
+    place = line.join(nodes, "content").groupBy("content").agg(one.alias("p")).select("p.row", "content", "p.at", "p.size", F.lit(-1).alias("side"), F.lit(False).alias("own"))
     looked_up = staged(_looked_up(rows, beside.unionByName(place)), "looked-up")
     label = _line_links(families, looked_up.where("node IS NOT NULL").select("node", "n", "shingles").dropDuplicates(["node"]), percent)
 
@@ -309,8 +308,7 @@ def stretches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p
         "row", "doc_id", (F.col("kept") < F.col("doc_id")).alias("removed"), "at", (F.col("at") + F.col("size")).alias("end"), "component", "kept"
     )
 
-    near = looked_up.where("node IS NULL").select("row", "doc_id", "content", "side", "place", "near").dropDuplicates(["row", "side", "place"])
-    more = _further(ends, near)
+    more = _further(looked_up.where("node IS NULL"))
     grown = found.select("row", "doc_id", "removed", "at", "end", F.col("content").alias("component"), "kept")
     for side, at in enumerate(("at", "end")):
         step = more.where(F.col("side") == side).select("row", F.lit(True).alias("removed"), F.col("place").alias(at), F.col("more").alias(f"more{side}"))
@@ -321,7 +319,7 @@ def stretches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p
         F.min("doc_id").alias("doc_id"), F.min("component").alias("component"), F.min("kept").alias("kept")
     )
     result = staged(result, "stretches")
-    discard(every, found, ends, families, looked_up, label, own)
+    discard(every, several, exact, families, looked_up, label, own)
     return result
 
 
@@ -331,7 +329,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per
     One row per stretch of words (from 0, end exclusive) of a row of ``docs``. ``removed`` are all but those in ``kept_doc_id``: of a
     component of similar lines the document of smallest id, also where they are like it only through others between; of a
     window of words the first document that has it. Stretches of one decision that overlap or touch are one. A
-    removed window goes on as far as the words beside it agree with an earlier document, so no word goes but those of lines that
+    removed window goes on as far as the words beside it agree with the first document that has the window and the next word, so no word goes but those of lines that
     are similar and of runs that an earlier document has. ``component_id`` is one of the stretch's components. Equal rows count once; rows of
     one id are one document, and so are, after all others, the rows without an id. Null, empty and texts below GRAM words have no
     paragraph. A row without a repeated passage is not listed.

@@ -420,7 +420,7 @@ def test_families_under_one_phrase(spark, monkeypatch):
     rows = substring_dedup._rows(table(spark, [(i, t, None, None) for i, t in enumerate(texts)]), "doc_id", "text")
     lines = substring_dedup._paragraphs(rows, bands).where("line")
     families = substring_dedup._families(lines, bands)
-    asked = lines.selectExpr("row", "content", "at", "size", "-1 AS side")
+    asked = lines.selectExpr("row", "content", "at", "size", "-1 AS side", "false AS own")
     gram = substring_dedup._looked_up(rows, asked).where("node IS NOT NULL").select("node", "n", "shingles").dropDuplicates(["node"])
     label = {r["node"]: r["component"] for r in substring_dedup._line_links(families, gram, 80).collect()}
     assert len(links) > 20
