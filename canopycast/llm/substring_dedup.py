@@ -148,7 +148,9 @@ def _paragraphs(rows: DataFrame, bands: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[int] = set()
         for batch in batches:
-            parts: list[list[np.ndarray]] = [[] for _ in range(7 + bands)]
+            parts: list[list[np.ndarray]] = [[] for _ in range(7)]
+            signed: list[list[np.ndarray]] = [[], [], []]  # 5-grams of texts with a new line, and where these lines begin and end
+            start = 0
             for row, doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("row", "doc_id", "text"))):
                 gram, at, size, content, n = units(text)
                 if not len(at):
@@ -160,16 +162,20 @@ def _paragraphs(rows: DataFrame, bands: int) -> DataFrame:
                     if c not in sent:
                         sent.add(c)
                         new[k] = True
-                keys = np.zeros((bands, len(at)), np.uint64)
                 if new.any():
-                    keys[:, new] = signatures(gram, at[new], at[new] + size[new] - GRAM + 1, bands)
+                    for column, value in zip(signed, (gram, start + at[new], start + at[new] + size[new] - GRAM + 1)):
+                        column.append(value)
+                    start += len(gram)
                 whole = np.full(len(at), row, np.int64), np.full(len(at), doc_id, np.int64), np.arange(len(at)) < n
-                for column, value in zip(parts, (*whole, content.view(np.int64), at, size, new, *keys.view(np.int64))):
+                for column, value in zip(parts, (*whole, content.view(np.int64), at, size, new)):
                     column.append(value)
             if parts[0]:
-                row, doc_id, line, content, at, size, new, *keys = map(np.concatenate, parts)
+                row, doc_id, line, content, at, size, new = map(np.concatenate, parts)
+                keys = np.zeros((bands, len(at)), np.uint64)
+                if new.any():  # once a batch, as texts are short
+                    keys[:, new] = signatures(*map(np.concatenate, signed), bands)
                 columns = [pa.array(row), pa.array(doc_id), pa.array(line), pa.array(content), pa.array(at, pa.int32()), pa.array(size, pa.int32())]
-                yield pa.RecordBatch.from_arrays([*columns, *(pa.array(k, mask=~new) for k in keys)], names)
+                yield pa.RecordBatch.from_arrays([*columns, *(pa.array(k.view(np.int64), mask=~new) for k in keys)], names)
 
     schema = "row long, doc_id long, line boolean, content long, at int, size int, " + ", ".join(f"b{k} long" for k in range(bands))
     names = [x.split()[0] for x in schema.split(", ")]
@@ -207,25 +213,37 @@ def _looked_up(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[int] = set()  # equal rows are looked up once by a task
         for batch in batches:
-            out: list[list] = [[] for _ in names]
-            for row, doc_id, text, asked in zip(*(batch.column(c).to_pylist() for c in ("row", "doc_id", "text", "asked"))):
+            lines: list[list] = [[], [], []]
+            ends: list[list] = [[] for _ in names[3:]]
+            asked = batch.column("asked")
+            offset, fields = asked.offsets.to_pylist(), asked.flatten()
+            first = offset[0]
+            content, at, size, side, own = (fields.field(k).to_pylist() for k in range(5))
+            for k, (row, doc_id, text) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("row", "doc_id", "text")))):
                 if row in done:
                     continue
                 if len(done) > SENT:
                     done.clear()
                 done.add(row)
                 word = hashes(words_of(text))
-                for x in asked:
-                    low, high = x["at"], x["at"] + x["size"]
-                    if x["side"] < 0:
+                ahead = word.astype(np.uint32).view(np.int32)
+                back, n = ahead[::-1], len(word)
+                for j in range(offset[k] - first, offset[k + 1] - first):
+                    low, high = at[j], at[j] + size[j]
+                    if side[j] < 0:
                         gram = np.unique(grams(word[low:high], GRAM))
-                        values = x["content"], len(gram), gram.tobytes(), None, None, None, None, None, None, None
+                        values, out = (content[j], len(gram), gram.tobytes()), lines
                     else:
-                        beside = word[high : high + REACH] if x["side"] else word[max(0, low - REACH) : low][::-1]
-                        values = None, None, None, row, doc_id, x["content"], x["side"], high if x["side"] else low, x["own"], beside.astype(np.uint32).view(np.int32)
+                        place = high if side[j] else low
+                        near = ahead[high : high + REACH] if side[j] else back[n - low : n - low + REACH]
+                        values, out = (row, doc_id, content[j], side[j], place, own[j], near), ends
                     for column, value in zip(out, values):
                         column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, types)], names)
+            for found, low in ((lines, 0), (ends, 3)):
+                count = len(found[0])
+                columns = [pa.nulls(count, t) for t in types]
+                columns[low : low + len(found)] = [pa.array(v, t) for v, t in zip(found, types[low:])]
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     schema = "node long, n long, shingles binary, row long, doc_id long, content long, side int, place int, own boolean, near array<int>"
     names = [x.split()[0] for x in schema.split(", ")]
