@@ -91,5 +91,5 @@ def test_registered():
     from __spark_entry__ import oracle_sql, queries
 
     names = [n for n in queries() if n.startswith("op") and n[2].isdigit()]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in queries()
     assert set(oracle_sql()) <= set(queries())
