@@ -78,12 +78,12 @@ class DensitySampler:
     """Draws parameters where finished trials were good.
 
     The first ``startup`` sets are drawn evenly. Then the best ``share`` of the finished trials and the others each give a density
-    per parameter: a normal curve around every value, as wide as the values are spread, and an even part as one more value. Of
-    ``draws`` values from the density of the good ones that with the highest ratio of both is taken. The same seed and the same
-    finished trials give the same sets.
+    per parameter: a normal curve around every value, as wide as the values are spread, and an even part as one more value. A
+    value is drawn from the density of the good ones; of several ``draws`` that with the highest ratio of both densities is
+    taken, which finds a narrow best sooner and may stay at the edge of a range. The same seed and the same finished trials give the same sets.
     """
 
-    def __init__(self, space: Mapping[str, tuple], seed: int = SEED, startup: int = 10, share: float = 0.25, draws: int = 24):
+    def __init__(self, space: Mapping[str, tuple], seed: int = SEED, startup: int = 10, share: float = 0.15, draws: int = 1):
         self.space, self.seed, self.startup, self.share, self.draws = dict(space), seed, startup, share, draws
 
     def _to_unit(self, name: str, value: float) -> float:
