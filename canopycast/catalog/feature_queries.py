@@ -240,7 +240,8 @@ def _(v):
     encoded = enc.one_hot(v.feature_matrix.select(KEY, *ENCODED), enc.vocab_lists(vocab(v)), ENCODED)
     made = [c for c in encoded.columns if c != KEY]
     tall = encoded.unpivot([KEY], made, "name", "value").where("value = 1")
-    zeros = encoded.select(KEY, F.lit("zeros").alias("name"), sum(1 - F.col(c) for c in made).cast("int").alias("value"))
+    # one array, as a sum of hundreds of columns nests too deep for the driver's stack
+    zeros = encoded.select(KEY, F.lit("zeros").alias("name"), F.size(F.filter(F.array(*made), lambda x: x == 0)).alias("value"))
     return tall.unionByName(zeros)
 
 

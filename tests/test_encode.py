@@ -30,6 +30,22 @@ def test_one_hot_always_has_the_markers(rows):
     assert sorted(tuple(r)[1:] for r in df.collect()) == [(0, 0, 1)] + [(0, 1, 0)] * 3 + [(1, 0, 0)] * 2
 
 
+def test_one_hot_query_with_hundreds_of_columns(spark, monkeypatch):
+    """Four columns of 150 values each: 0/1 columns by the hundred, of which four are 1 in each row."""
+    from canopycast.catalog import feature_queries as q
+    from canopycast.catalog.registry import QUERIES, Views
+
+    text = [F.concat(F.lit("v"), (F.col("id") % 150).cast("string")).alias(c) for c in q.ENCODED]
+    rows = spark.range(4500).select(F.col("id").cast("string").alias("cod_cg_zafra"), F.lit("train").alias("split"), *text)
+    monkeypatch.setattr(Views, "feature_matrix", rows, raising=False)
+    counts = QUERIES["one_hot"](spark, "").groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+    found = {r["name"]: (r["n"], r["low"], r["high"]) for r in counts.collect()}
+    # prod_variedad and prod_codigo_zae keep values of at least 30 rows, and so do all here
+    width = 4 * (150 + 2)
+    assert found.pop("zeros") == (4500, width - 4, width - 4)
+    assert len(found) == 600 and set(found.values()) == {(30, 1, 1)}
+
+
 def test_top_n_or_min_count(spark):
     values = ["a"] * 5 + ["b"] * 4 + ["d"] * 4 + ["e"]
     df = spark.createDataFrame([(v,) for v in values], "c string")
