@@ -43,9 +43,8 @@ def by_key(v: Views) -> plan.Tables:
     return plan.Tables(v.productividad, v.stac_indices, v.clima_lots, v.enso)
 
 
-def optical_days(v: Views, eligible=None, gaps=OPTICAL_INDEXES):
-    eligible = spine(v) if eligible is None else eligible
-    return asof.join_daily(eligible, asof.optical_daily(v.stac_indices, gaps), "stac_lote_matched")
+def optical_days(v: Views, s: Settings = S):
+    return asof.join_daily(spine(v, s), asof.optical_daily(v.stac_indices), "stac_lote_matched")
 
 
 def climate(v: Views, eligible, raw=None, s: Settings = S):
@@ -287,7 +286,7 @@ def _(v):
 
 @query("optical_core", "SELECT * FROM optical_wide", optical_output())
 def _(v):
-    return asof.optical_core(optical_days(v, gaps=["ndvi"]), S)
+    return asof.optical_core(optical_days(v), S)
 
 
 _CLIMATE = [c for c in CLIMATE_OUTPUT if "per_day" not in c]
@@ -408,8 +407,7 @@ def _(v):
 
 @query("series_features_open", o.varied(f"SELECT cycle_uid, index_name, {', '.join(_STATS)} FROM optical_series", "_young"), _STATS)
 def _(v):
-    days = asof.join_daily(spine(v, YOUNG), asof.optical_daily(v.stac_indices, OPTICAL_INDEXES), "stac_lote_matched")
-    return asof.series_features(days, YOUNG).select("cycle_uid", "index_name", *_STATS)
+    return asof.series_features(optical_days(v, YOUNG), YOUNG).select("cycle_uid", "index_name", *_STATS)
 
 
 @query("climate_core_open", o.varied("SELECT * FROM climate_wide", "_young"), _CLIMATE)

@@ -81,20 +81,41 @@ def unpivot_indexes(rows: DataFrame, keep: Iterable[str], suffix: str = "_promed
 # ---------------------------------------------------------------- daily series
 
 
-def optical_daily(raw: DataFrame, gaps_for: Iterable[str] = OPTICAL_INDEXES) -> DataFrame:
-    """Per source key and day: count, sum, minimum and maximum of each index, and for ``gaps_for``
-    the previous day with a value."""
+#: Days of a time bucket, half of the shorter age span.
+DAY_BUCKET = 64
+
+
+def day_bucket(day: str) -> Column:
+    return F.floor(F.unix_date(F.col(day)) / DAY_BUCKET)
+
+
+def optical_daily(raw: DataFrame) -> DataFrame:
+    """Per source key and day: count, sum, minimum and maximum of each index.
+
+    Rows are dealt by key and time bucket, as :func:`join_daily` wants them, so that one shuffle of the raw rows serves the
+    fold and the join, and the rows of one hot key spread over its buckets. Of a day with one row, sums, minima and maxima
+    are the same; side by side as blocks they shrink well when they are shuffled.
+    """
     values = raw.select(
         F.col("lote").cast("string").alias("source_lote"),
         F.col("fecha").cast("date").alias("day"),
         *[nan_to_null(F.col(f"{i}_promedio")).alias(i) for i in OPTICAL_INDEXES],
     ).where(F.col("source_lote").isNotNull() & F.col("day").isNotNull())
     folds = (("n", F.count), ("sum", F.sum), ("min", F.min), ("max", F.max))
-    daily = values.groupBy("source_lote", "day").agg(
-        *[fold(i).alias(f"{i}_{name}") for i in OPTICAL_INDEXES for name, fold in folds]
+    dealt = values.withColumn("_bucket", day_bucket("day")).repartition("source_lote", "_bucket")
+    return dealt.groupBy("source_lote", "_bucket", "day").agg(
+        *[fold(i).alias(f"{i}_{name}") for name, fold in folds for i in OPTICAL_INDEXES]
     )
-    before = Window.partitionBy("source_lote").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    return daily.select(
+
+
+def with_previous(joined: DataFrame, gaps_for: Iterable[str] = OPTICAL_INDEXES) -> DataFrame:
+    """Add to the daily rows of each cycle the previous day of the cycle with a value, for each index of ``gaps_for``.
+
+    The days of a cycle are bounded by the calendar. The features are grouped by cycle too, so they need no further shuffle.
+    """
+    days = F.unix_date("day")
+    before = Window.partitionBy(UID).orderBy(days).rangeBetween(Window.unboundedPreceding, -1)
+    return joined.select(
         "*",
         *[
             F.last(F.when(F.col(f"{i}_n") > 0, F.col("day")), ignorenulls=True).over(before).alias(f"{i}_previous")
@@ -153,20 +174,15 @@ def dated_between(raw: DataFrame, date: str, cycles: DataFrame) -> DataFrame:
     return raw.where(F.col(date).cast("date").between(first, last))
 
 
-#: Days of a time bucket, half of the shorter age span.
-DAY_BUCKET = 64
-
-
 def join_daily(cycles: DataFrame, daily: DataFrame, matched: str) -> DataFrame:
     """Daily rows inside each cycle, with their age.
 
     Key and time bucket are the equi-join key, so the cycles of a key with a long history, such as a shared station,
     spread over its buckets, and each meets the days near it only.
     """
-    first, last = (F.floor(F.unix_date(F.col(c)) / DAY_BUCKET) for c in (START, AS_OF))
     wanted = cycles.where(F.col(matched).isNotNull()).select(UID, START, AS_OF, "as_of_age_days", matched)
-    wanted = wanted.withColumn("_cycle_bucket", F.explode(F.sequence(first, last)))
-    rows = daily.withColumn("_bucket", F.floor(F.unix_date("day") / DAY_BUCKET))
+    wanted = wanted.withColumn("_cycle_bucket", F.explode(F.sequence(day_bucket(START), day_bucket(AS_OF))))
+    rows = daily if "_bucket" in daily.columns else daily.withColumn("_bucket", day_bucket("day"))
     return (
         wanted.join(
             rows,
@@ -245,7 +261,7 @@ def series_stats(index: str | None = None, s: Settings = DEFAULTS) -> dict[str,
 def series_features(joined: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
     """All statistics of every index: one row per cycle and index with at least one value."""
     parts = ("n", "sum", "min", "max", "previous")
-    rows = joined.select(
+    rows = with_previous(joined).select(
         UID, START, "as_of_age_days", "age_days", "day",
         F.inline(
             F.array(
@@ -291,7 +307,8 @@ def optical_core(joined: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
     for name in COVERAGE_OUTPUT:
         if "count" in name:
             stats["ndvi"][name] = f"CASE WHEN sum(ndvi_n) > 0 THEN {stats['ndvi'][name]} END"
-    return joined.groupBy(UID).agg(*optical_columns(stats, s))
+    # only ndvi has a gap output
+    return with_previous(joined, ["ndvi"]).groupBy(UID).agg(*optical_columns(stats, s))
 
 
 # ---------------------------------------------------------------- climate features

@@ -71,8 +71,7 @@ def assemble(spine: DataFrame, optical: DataFrame, climate: DataFrame, ocean: Da
 def dataset(t: Tables, s: Settings = DEFAULTS, valid_only: bool = False) -> DataFrame:
     """The whole build. Extra columns at the end: ``cycle_uid`` and ``duplicate_key``."""
     spine = eligible_spine(t, s)
-    # only ndvi has a gap output
-    optical_days = asof.optical_daily(asof.dated_between(t.optical, "fecha", spine), ["ndvi"])
+    optical_days = asof.optical_daily(asof.dated_between(t.optical, "fecha", spine))
     climate_days = asof.climate_daily(asof.dated_between(t.climate, "fecha_inicio", spine), s)
     optical = asof.join_daily(spine, optical_days, "stac_lote_matched")
     rows = assemble(

@@ -64,6 +64,38 @@ def test_long_and_wide_optical_features_agree(spark):
     assert [r.asDict() for r in wide] == [r.asDict() for r in long]
 
 
+def test_daily_rows_are_shuffled_once_before_they_meet_cycles(spark):
+    """One shuffle of the raw rows serves the fold and the join; days before the cycle are no previous days."""
+    rows = optical(spark, [(-5, 1.0), (10, 1.0), (90, 2.0), (90, 3.0), (300, 1.0)])
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = asof.join_daily(cycle(spark), asof.optical_daily(rows), "stac_lote_matched")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert plan.count("Exchange hashpartitioning") == 2, plan  # raw rows and cycles
+    days = {str(r["day"]): r["ndvi_previous"] for r in asof.with_previous(joined, ["ndvi"]).collect()}
+    assert list(days) == sorted(days) and len(days) == 3
+    first, second, third = sorted(days)
+    assert (days[first], str(days[second]), str(days[third])) == (None, first, second)
+    assert "evi2_previous" not in asof.with_previous(joined, ["ndvi"]).columns
+
+
+def test_lineitem_is_shuffled_by_its_order_only(spark, tmp_path):
+    """Orders meet their customers before the larger lineitem meets either."""
+    from canopycast.catalog import bridge
+
+    spark.sql("SELECT 1L AS l_orderkey, 1 AS l_linenumber, timestamp '2020-01-01' AS l_shipdate, 1D AS l_quantity, 1D AS l_discount, 1D AS l_tax, 1D AS l_extendedprice").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.sql("SELECT 1L AS o_orderkey, 3L AS o_custkey").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.sql("SELECT 3L AS c_custkey, 'A' AS c_mktsegment").write.parquet(f"{tmp_path}/customer.parquet")
+    for name in ("stac_indices", "clima_lots"):
+        df = bridge.view(spark, str(tmp_path), name)
+        assert [r[0] for r in df.collect()] == ["A-000003"]
+        last = df._jdf.queryExecution().optimizedPlan().toString().split("Join Inner")
+        assert len(last) == 3 and "l_orderkey" in last[1].splitlines()[0] and "o_custkey" in last[2].splitlines()[0]
+
+
 @pytest.mark.parametrize("how, rows", [("inner", 2), ("left", 3)])
 def test_interval_join(spark, how, rows):
     spine = cycle(spark).unionByName(cycle(spark).withColumns({"cycle_uid": F.lit("d"), "stac_lote_matched": F.lit("M")}))
