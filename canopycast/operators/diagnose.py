@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.weighted import correlation
 from ..sources.staging import staged
-from .ranks import exact_quantiles, running_counts
+from .ranks import exact_quantiles, running_counts, running_totals
 from .splits import MAIN_SPLITS
 
 # Thresholds of the reports.
@@ -147,6 +147,35 @@ def rank_target(rows: DataFrame, keys: list[str], y: str) -> DataFrame:
     return rows.join(ranked.join(totals, keys), [*keys, y])
 
 
+def target_ranks(df: DataFrame, numeric: Sequence[str], y: str) -> DataFrame:
+    """Rows of each feature with both values present: (feature, x, n, ry, rows_y), as :func:`rank_target` makes them.
+
+    Rows stay wide until they have their ranks. The distinct target values are counted once, with the rows that each feature has
+    there, and all features share one order of them, so neither shuffle has a row per feature.
+    """
+    parts = []
+    for start in range(0, len(numeric), COLUMNS_PER_AGG):
+        batch = numeric[start : start + COLUMNS_PER_AGG]
+        rows = df.where(F.col(quoted(y)).isNotNull()).select(
+            F.col(quoted(y)).cast("double").alias("y"), *[F.col(quoted(c)).cast("double").alias(f"x{i}") for i, c in enumerate(batch)]
+        )
+        names = [f"n{i}" for i in range(len(batch))]
+        counts = staged(rows.groupBy("y").agg(*[F.count(f"x{i}").alias(n) for i, n in enumerate(names)]), "target-values")
+        totals = counts.agg(*[F.sum(n).alias(n) for n in names]).first()  # one number per column
+        ranks = running_totals(counts, "y", names).select(
+            "y", *[(F.col(f"before_{n}") + (F.col(n) + 1) / 2).alias(f"r{i}") for i, n in enumerate(names)]
+        )
+        structs = [
+            F.struct(
+                F.lit(c).alias("feature"), F.col(f"x{i}").alias("x"), F.lit(1).alias("n"), F.col(f"r{i}").alias("ry"),
+                F.lit(totals[i] or 0).cast("long").alias("rows_y"),
+            )
+            for i, c in enumerate(batch)
+        ]
+        parts.append(rows.join(ranks, "y").select(F.inline(F.array(*structs))).where(F.col("x").isNotNull()))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def ranked_values(rows: DataFrame, keys: list[str], x: str, bins: int = 0) -> DataFrame:
     """Sums over each group that Spearman's correlation of ``x`` with a target of rank ``ry`` needs, by rank bin of ``x``.
 
@@ -158,6 +187,8 @@ def ranked_values(rows: DataFrame, keys: list[str], x: str, bins: int = 0) -> Da
     cells = [F.sum(F.when(target == b, n).otherwise(0)).alias(f"_b{b}") for b in range(bins)]
     own = [*keys, "rows_y"] if bins else list(keys)
     by_value = rows.groupBy(*own, x).agg(F.sum(n).alias("n"), F.sum(n * ry).alias("_y"), F.sum(n * ry * ry).alias("_yy"), *cells)
+    # written once, as the limits of the ranges and the ranges themselves read it
+    by_value = staged(by_value, "by-value")
     rx = F.col("before") + (F.col("n") + 1) / 2
     ranked = running_counts(by_value, own, x).withColumn("rx", rx)
     at = [rank_bin(F.col("rx"), F.col("rows_y"), bins).alias("bx")] if bins else []
@@ -217,7 +248,7 @@ def target_association(df: DataFrame, numeric: Sequence[str], y: str, bins: int
         },
     ).withColumn("pearson", F.try_divide("_cov", F.col("_sx") * F.col("_sy")))
     # target and feature are ranked once each; what is left are rows by feature and rank bin
-    ranked = staged(ranked_values(rank_target(value_pairs(train, numeric, y), ["feature"], "y"), ["feature"], "x", bins), "ranked")
+    ranked = staged(ranked_values(target_ranks(train, numeric, y), ["feature"], "x", bins), "ranked")
     spearman = rank_correlation(ranked, ["feature"]).drop("n")
     joined = pearson.join(spearman, "feature", "left").join(binned_mutual_info(ranked, bins), "feature", "left")
     enough = (F.col("valid_count") >= 3) & (F.col("unique_count") > 1)
@@ -370,6 +401,7 @@ def _ranked_pairs(rows: DataFrame, names: Sequence[str], pairs: DataFrame) -> Da
     values = rows.select(F.array(*[F.col(quoted(c)) for c in names]).alias("v"))
     each = values.select("v", F.explode(wanted).alias("p")).select("p", F.get("v", F.col("p.a")).alias("y"), F.get("v", F.col("p.b")).alias("x"))
     joint = each.where("x IS NOT NULL AND y IS NOT NULL").groupBy(F.col("p.a").alias("a"), F.col("p.b").alias("b"), "x", "y").agg(F.count(F.lit(1)).alias("n"))
+    joint = staged(joint, "joint-values")
     found = rank_correlation(ranked_values(rank_target(joint, ["a", "b"], "y"), ["a", "b"], "x"), ["a", "b"])
     name = F.array(*[F.lit(c) for c in names])
     return found.select(F.get(name, F.col("a")).alias("feature_a"), F.get(name, F.col("b")).alias("feature_b"), F.col("spearman").alias("corr"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
@@ -42,6 +43,26 @@ def running_counts(counts: DataFrame, keys: list[str], value: str, n: str = "n")
     return joined.select(*counts.columns, (F.col("_inside") + F.col("_shift")).alias("before"))
 
 
+def running_totals(counts: DataFrame, value: str, columns: Sequence[str]) -> DataFrame:
+    """Add ``before_<column>`` for each of the columns: its sum over the rows of smaller value.
+
+    ``counts`` has one row per distinct numeric value and should be staged. All columns share one order, cut into value ranges as
+    in :func:`running_counts`.
+    """
+    cuts = [i / RANGES for i in range(1, RANGES)]
+    limits = staged(counts.agg(F.percentile_approx(value, cuts).alias("_limits")), "limits")
+    rows = counts.withColumn("_limits", limits.scalar())
+    rows = rows.withColumn("_range", F.size(F.filter("_limits", lambda x: x < F.col(value)))).drop("_limits")
+    totals = rows.groupBy("_range").agg(*[F.sum(c).alias(c) for c in columns])
+    lower = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # at most RANGES rows
+    totals = totals.select("_range", *[F.coalesce(F.sum(c).over(lower), F.lit(0)).alias(f"_shift_{c}") for c in columns])
+    inside = Window.partitionBy("_range").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumns({f"_inside_{c}": F.coalesce(F.sum(c).over(inside), F.lit(0)) for c in columns})
+    return rows.join(totals, "_range").select(
+        *counts.columns, *[(F.col(f"_inside_{c}") + F.col(f"_shift_{c}")).alias(f"before_{c}") for c in columns]
+    )
+
+
 def average_ranks(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Average rank of each distinct value in its group, with the number of rows that have it."""
     counts = rows.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))

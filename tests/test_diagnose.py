@@ -94,3 +94,24 @@ def test_recommendations(data):
     advice = {r["feature"]: r["recommendation"] for r in found.reports["feature_pruning_recommendations"].collect()}
     assert advice["gone"] == "drop_high_missing" and advice["flat"] == "drop_near_zero_variance"
     assert "drop_correlated_redundant" in advice.values()
+
+
+def test_target_ranks_of_wide_rows_equal_those_of_tall_ones(spark):
+    """Gaps in different rows, equal targets, missing and non-finite values: one shared order of the target gives the ranks of each feature."""
+    y = [3.0, 1.0, 1.0, None, 2.0, float("nan"), 5.0, 1.0, -0.0, 0.0]
+    a = [1.0, None, 2.0, 4.0, 2.0, 7.0, None, 2.0, float("nan"), 1.0]
+    b = [None, 1.0, 1.0, 1.0, 3.0, 3.0, 2.0, None, 2.0, 2.0]
+    df = spark.createDataFrame(list(zip(y, a, b, [None] * 10)), "y double, a double, b double, empty double")
+    numeric = ["a", "b", "empty"]
+    tall = dg.rank_target(dg.value_pairs(df, numeric, "y"), ["feature"], "y")
+    want = sorted((r["feature"], str(r["x"]), r["ry"], r["rows_y"]) for r in tall.collect() for _ in range(r["n"]))
+    assert sorted((r["feature"], str(r["x"]), r["ry"], r["rows_y"]) for r in dg.target_ranks(df, numeric, "y").collect()) == want
+
+
+def test_rows_stay_wide_until_they_are_ranked(spark):
+    """The shuffles of the target's ranks have a row per row, not one per feature."""
+    df = spark.range(100).selectExpr("id % 10D AS y", *[f"cast(id % {i + 2} AS double) AS f{i}" for i in range(9)])
+    ranked = dg.target_ranks(df, [f"f{i}" for i in range(9)], "y")
+    plan = ranked._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate inline") < plan.index("Join ")
+    assert ranked.count() == 900
