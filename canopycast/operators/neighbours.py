@@ -2,8 +2,8 @@
 
 Distances are the larger of the two coordinates' differences, after each column is divided by its deviation. The plane of each
 feature is cut into cells of about even numbers of points. A cell finds the nearest neighbours within; points whose
-distance reaches beyond the cell ask the cells that it reaches. How many points lie nearer on one axis alone is told by running
-counts of the axis' values. Equal points are one point with a number of rows.
+distance reaches beyond the cell ask the cells that it reaches. How many points lie nearer on one axis alone is counted among the
+points of a range of that axis. Equal points are one point with a number of rows.
 """
 
 from __future__ import annotations
@@ -17,10 +17,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..sources.staging import staged
 from .boosting import ordered, unordered
-from .ranks import running_counts
 
-#: Neighbours, points of a cell, and points that are compared at a time.
-NEIGHBOURS, CELL, LEAF = 3, 4000, 512
+#: Neighbours, points of a cell, points of a leaf, which are compared with each of the points that ask at a time, and cells' worth of a range.
+NEIGHBOURS, CELL, LEAF, ASKING, RANGE = 3, 4000, 32, 1024, 16
+#: Points that reach beyond their cell, as many as ask at a time.
+SLICE = 256
+#: What a row of a range is there for: it is counted and asks, it only asks, it is only counted, or it is an end of a longer interval.
+BOTH, ASKED, COUNTED, LOWER, UPPER = range(5)
 
 
 def leaves(points: np.ndarray, size: int) -> list[np.ndarray]:
@@ -38,22 +41,42 @@ def leaves(points: np.ndarray, size: int) -> list[np.ndarray]:
     return found
 
 
-def nearest(points: np.ndarray, asking: np.ndarray, k: int) -> np.ndarray:
-    """The ``k`` least distances of every asking point to the points, ascending; infinite where there are fewer."""
+def nearest(points: np.ndarray, asking: np.ndarray, k: int, reach: np.ndarray | None = None) -> np.ndarray:
+    """The ``k`` least distances of every asking point to the points, ascending; infinite where there are fewer.
+
+    With ``reach``, only distances below that of the asking point are wanted; others may be infinite.
+    """
     out = np.full((len(asking), k), np.inf)
-    boxes = [(part, points[part].min(0), points[part].max(0)) for part in leaves(points, LEAF)]
-    for part in leaves(asking, LEAF):
+    parts = leaves(points, LEAF)
+    if not parts or not len(asking):
+        return out
+    width = max(map(len, parts))
+    there = np.full((len(parts), width, 2), np.inf)
+    for i, part in enumerate(parts):
+        there[i, : len(part)] = points[part]
+    lows, highs = there.min(1), np.array([points[part].max(0) for part in parts])
+    for part in leaves(asking, ASKING):
         own = asking[part]
-        low, high = own.min(0), own.max(0)
-        gaps = [float(np.maximum(np.maximum(b_low - high, low - b_high), 0).max()) for _, b_low, b_high in boxes]
-        best = out[part]
-        for at in np.argsort(gaps, kind="stable"):
-            if gaps[at] > best[:, -1].max():
-                break
-            there = points[boxes[at][0]]
-            distance = np.maximum(np.abs(own[:, None, 0] - there[None, :, 0]), np.abs(own[:, None, 1] - there[None, :, 1]))
-            both = np.concatenate([best, distance], 1)
-            best = np.partition(both, k - 1, axis=1)[:, :k]
+        limit = np.full(len(part), np.inf) if reach is None else reach[part]
+        near = np.maximum(np.maximum(lows - own.max(0), own.min(0) - highs), 0).max(1) < limit.max()
+        boxes = np.flatnonzero(near)
+        if not len(boxes):
+            continue
+        gaps = np.zeros((len(part), len(boxes)))
+        for axis in (0, 1):
+            x = own[:, axis, None]
+            np.maximum(gaps, np.maximum(lows[boxes, axis] - x, x - highs[boxes, axis]), out=gaps)
+        best = np.full((len(part), k), np.inf)
+        rows, columns = np.arange(len(part)), gaps.argmin(1)
+        # the nearest leaf first, then one more a round for the points that it may still serve
+        while len(rows):
+            block = np.abs(there[boxes[columns], :, 0] - own[rows, 0, None])
+            np.maximum(block, np.abs(there[boxes[columns], :, 1] - own[rows, 1, None]), out=block)
+            best[rows] = np.partition(np.concatenate([best[rows], block], 1), k - 1, axis=1)[:, :k]
+            gaps[rows, columns] = np.inf
+            columns = gaps[rows].argmin(1)
+            ask = gaps[rows, columns] < np.minimum(best[rows].max(1), limit[rows])
+            rows, columns = rows[ask], columns[ask]
         out[part] = np.sort(best, axis=1)
     return out
 
@@ -92,54 +115,228 @@ def digamma(m: Column) -> Column:
     return F.when(m <= 16, F.get(F.array(*[F.lit(float(h)) for h in harmonic]), (m - 1).cast("int"))).otherwise(series)
 
 
-def _placed(points: DataFrame, side: int) -> DataFrame:
-    """Points with the limits of their feature's strips and of their strip's cells, and the numbers of both."""
-    shares = [i / side for i in range(1, side)] or [1.0]
-    below = lambda limits, value: F.size(F.filter(limits, lambda x: x < F.col(value)))
-    strips = staged(points.groupBy("feature").agg(F.array_distinct(F.percentile_approx("x", shares)).alias("strips")), "strips")
-    rows = points.join(strips, "feature").withColumn("strip", below("strips", "x")).drop("strips")
-    cells = rows.groupBy("feature", "strip").agg(F.array_distinct(F.percentile_approx("y", shares)).alias("cells"))
-    cells = staged(cells.join(strips, "feature"), "cells")
-    rows = rows.join(cells.drop("strips"), ["feature", "strip"]).withColumn("cell", below("cells", "y")).drop("cells")
-    return rows, cells
+def inside(values: np.ndarray, x: np.ndarray, r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in ascending values of the first whose difference from ``x``, as doubles differ, is below ``r`` and behind the last.
+
+    Where ``r`` is 0, of ``x`` itself.
+    """
+    low, high = np.searchsorted(values, x - r), np.searchsorted(values, x + r, "right")
+    ends, apart = np.append(values, np.inf), r > 0
+    # sums are rounded, differences too: steps back or on until both ends are right
+    for place, near, step in (
+        (low, lambda: (low > 0) & (x - ends[low - 1] < r), -1),
+        (low, lambda: (low < len(values)) & (x - ends[low] >= r), 1),
+        (high, lambda: (high < len(values)) & (ends[high] - x < r), 1),
+        (high, lambda: (high > 0) & (ends[high - 1] - x >= r), -1),
+    ):
+        while (move := apart & near()).any():
+            place += step * move
+    return low, high
+
+
+class Cuts:
+    """Limits of each feature: of strips, of the cells of each strip, and of the ranges of both axes.
+
+    There is about one number per cell. A range whose upper limit came out several times holds a frequent value; its
+    rows are dealt to as many parts.
+    """
+
+    def __init__(self, points: DataFrame, side: int, ranges: int):
+        shares = [[i / many for i in range(1, many)] or [1.0] for many in (side, ranges)]
+        found = points.groupBy("f").agg(F.percentile_approx("x", shares[0] + shares[1]).alias("x"), F.percentile_approx("y", shares[1]).alias("y"))
+        self.strips, self.axes, self.cells, self.first, cells, parts = {}, {}, {}, {}, 0, 0
+        for row in sorted(found.collect()):
+            self.strips[row.f] = np.unique(row.x[: len(shares[0])])
+            for axis, limits in ((0, row.x[len(shares[0]) :]), (1, row.y)):
+                limits, times = np.unique(limits, return_counts=True)
+                times = np.append(times, 1)
+                self.axes[row.f, axis] = limits, times, parts + np.concatenate([[0], times.cumsum()[:-1]])
+                parts += int(times.sum())
+            self.first[row.f], cells = cells, cells + (len(self.strips[row.f]) + 1) * (side + 1)
+        self.side = side
+        limits = points.mapInArrow(self._strips, "f int, strip int, y double").groupBy("f", "strip").agg(F.percentile_approx("y", shares[0]).alias("y"))
+        for f, strips in self.strips.items():
+            self.cells[f] = np.full((len(strips) + 1, side), np.inf)
+        for row in limits.toLocalIterator():
+            own = np.unique(row.y)
+            self.cells[row.f][row.strip, : len(own)] = own
+
+    def _strips(self, batches):  # noqa: ANN001, ANN202
+        for f, x, y, _ in by_feature(batches, "x", "y"):
+            strip = np.searchsorted(self.strips[f], x)
+            yield pa.RecordBatch.from_pydict({"f": pa.array(np.full(len(x), f, np.int32)), "strip": pa.array(strip.astype(np.int32)), "y": y})
+
+    def cell(self, f: int, strip: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """How many cells of the strip end below ``y``."""
+        return (self.cells[f][strip] < y[:, None]).sum(1)
+
+    def number(self, f: int, strip: np.ndarray, cell: np.ndarray) -> np.ndarray:
+        return self.first[f] + strip * (self.side + 1) + cell
+
+
+def by_feature(batches, *columns: str):  # noqa: ANN001, ANN201
+    """The rows of each feature of every batch: its number, the wanted columns as arrays, and the rows themselves."""
+    for batch in batches:
+        features = batch.column("f").to_numpy()
+        for f in np.unique(features):
+            rows = batch.take(pa.array(np.flatnonzero(features == f)))
+            yield int(f), *(rows.column(c).to_numpy() for c in columns), rows
+
 
+def _within(points: DataFrame, cuts: Cuts, k: int) -> DataFrame:
+    """Points with the number ``at`` of their cell, the distance ``r`` to the ``k``-th of the other rows there, and ``near``, all
+    ``k`` distances, where that reaches beyond the cell."""
 
-def _within(points: DataFrame, k: int) -> DataFrame:
-    """``near``: the ``k`` least distances of each point to the other rows of its cell."""
+    def place(batches):  # noqa: ANN001, ANN202
+        for f, x, y, rows in by_feature(batches, "x", "y"):
+            strip = np.searchsorted(cuts.strips[f], x)
+            at = cuts.number(f, strip, cuts.cell(f, strip, y))
+            yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in ("f", "x", "y", "n")), pa.array(at)], ["f", "x", "y", "n", "at"])
 
     def run(table: pa.Table) -> pa.Table:
         own = np.column_stack([table.column(c).to_numpy() for c in ("x", "y")])
         times = np.minimum(table.column("n").to_numpy(), k + 1)
         near = nearest(np.repeat(own, times, axis=0), own, k + 1)[:, 1:]  # the first is the row itself
-        return table.append_column("near", _list(near))
+        f, (x, y), r = table.column("f")[0].as_py(), own.T, near[:, -1]
+        strip = np.searchsorted(cuts.strips[f], x[:1])
+        cell = cuts.cell(f, strip, y[:1])
+        beyond = (np.searchsorted(cuts.strips[f], x - r) < strip) | (np.searchsorted(cuts.strips[f], x + r) > strip)
+        limits = cuts.cells[f][strip[0]]
+        beyond |= (np.searchsorted(limits, y - r) < cell) | (np.searchsorted(limits, y + r) > cell)
+        lists = _list(near).take(pa.array(np.arange(len(r)), mask=~beyond))
+        return table.append_column("r", pa.array(r)).append_column("near", lists)
 
-    schema = points.schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ") + ", near array<double>"
-    return points.groupBy("feature", "strip", "cell").applyInArrow(run, schema)
+    placed = points.mapInArrow(place, "f int, x double, y double, n long, at long")
+    return placed.groupBy("at").applyInArrow(run, "f int, x double, y double, n long, at long, r double, near array<double>")
 
 
-def _beyond(points: DataFrame, cells: DataFrame, k: int) -> DataFrame:
-    """``feature, x, y, near``: distances to rows of other cells that a point's own distance reaches."""
-    far = F.col("near")[k - 1]
-    between = lambda limits, low, high: F.sequence(
-        F.size(F.filter(limits, lambda v: v < low)), F.size(F.filter(limits, lambda v: v < high))
-    )
-    strips = cells.select("feature", "strips").distinct()
-    asking = points.select("feature", "x", "y", F.col("strip").alias("own_strip"), F.col("cell").alias("own_cell"), far.alias("r"))
-    asking = asking.join(strips, "feature").withColumn("strip", F.explode(between("strips", F.col("x") - F.col("r"), F.col("x") + F.col("r"))))
-    asking = asking.drop("strips").join(cells.select("feature", "strip", "cells"), ["feature", "strip"])
-    asking = asking.withColumn("cell", F.explode(between("cells", F.col("y") - F.col("r"), F.col("y") + F.col("r"))))
-    asking = asking.where("strip <> own_strip OR cell <> own_cell").select("feature", "strip", "cell", "x", "y", F.lit(0).cast("long").alias("n"))
-    rows = points.select("feature", "strip", "cell", "x", "y", "n").union(asking)
+def _beyond(points: DataFrame, cuts: Cuts, k: int) -> DataFrame:
+    """``f, x, y, near``: distances to rows of other cells that a point's own distance reaches."""
+
+    def spread(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which pair each place between its ends belongs to, and the places."""
+        many = last - first + 1
+        row = np.repeat(np.arange(len(first)), many)
+        return row, np.arange(len(row)) - np.repeat(many.cumsum() - many, many) + first[row]
+
+    def ask(batches):  # noqa: ANN001, ANN202
+        for f, x, y, r, at, _ in by_feature(batches, "x", "y", "r", "at"):
+            for i in range(0, len(x), SLICE):
+                px, py, pr, home = (c[i : i + SLICE] for c in (x, y, r, at))
+                row, strip = spread(np.searchsorted(cuts.strips[f], px - pr), np.searchsorted(cuts.strips[f], px + pr))
+                one, cell = spread(cuts.cell(f, strip, (py - pr)[row]), cuts.cell(f, strip, (py + pr)[row]))
+                there, row = cuts.number(f, strip[one], cell), row[one]
+                other = there != home[row]
+                there, row = there[other], row[other]
+                yield pa.RecordBatch.from_pydict({
+                    "at": there, "f": np.full(len(row), f, np.int32), "x": px[row], "y": py[row], "n": np.zeros(len(row), np.int64), "r": pr[row],
+                })
+
+    schema = "at long, f int, x double, y double, n long, r double"
+    asking = points.where("near IS NOT NULL").select("f", "x", "y", "r", "at").mapInArrow(ask, schema)
+    rows = points.select("at", "f", "x", "y", "n", "r").union(asking)
 
     def run(table: pa.Table) -> pa.Table:
         own = np.column_stack([table.column(c).to_numpy() for c in ("x", "y")])
         n = table.column("n").to_numpy()
         here, asked = n > 0, np.flatnonzero(n == 0)
-        near = nearest(np.repeat(own[here], np.minimum(n[here], k), axis=0), own[asked], k)
         found = table.take(pa.array(asked))
-        return pa.table({"feature": found.column("feature"), "x": found.column("x"), "y": found.column("y"), "near": _list(near)})
+        near = nearest(np.repeat(own[here], np.minimum(n[here], k), axis=0), own[asked], k, found.column("r").to_numpy())
+        return pa.table({"f": found.column("f"), "x": found.column("x"), "y": found.column("y"), "near": _list(near)})
+
+    return rows.groupBy("at").applyInArrow(run, "f int, x double, y double, near array<double>")
+
+
+def _axis_counts(points: DataFrame, cuts: Cuts) -> DataFrame:
+    """``f, c, n``: of ``n`` rows, the number of rows ``c`` nearer on one axis than the row's distance ``r``, both axes together.
+
+    The rows of a range of an axis are counted together. Only a row whose distance leaves the range asks elsewhere, for how
+    many rows lie below its two ends.
+    """
+    points = staged(points, "radius")
+
+    def weigh(batches):  # noqa: ANN001, ANN202
+        # rows by value where a range has several parts, else by range alone
+        for f, x, y, n, _ in by_feature(batches, "x", "y", "n"):
+            for axis, v in ((0, x), (1, y)):
+                limits, times, starts = cuts.axes[f, axis]
+                at = np.searchsorted(limits, v)
+                many = times[at] > 1
+                for rows, value in ((many, v), (~many, np.zeros(len(v)))):
+                    if rows.any():
+                        pairs, where = np.unique(np.column_stack([at[rows], value[rows]]), axis=0, return_inverse=True)
+                        total = np.zeros(len(pairs), np.int64)
+                        np.add.at(total, where.ravel(), n[rows])
+                        own = pairs[:, 0].astype(np.int64)
+                        yield pa.RecordBatch.from_pydict({
+                            "at": starts[own], "times": times[own], "v": pairs[:, 1], "n": total,
+                        })
+
+    weights = points.mapInArrow(weigh, "at long, times long, v double, n long")
+    weights = staged(weights.groupBy("at", "times", "v").agg(F.sum("n").alias("n")), "range-counts")
+    totals = dict(weights.groupBy("at").agg(F.sum("n")).collect())
+    below, owner = {}, {}
+    for (f, axis), (_, _, starts) in cuts.axes.items():
+        total = 0
+        for at in starts.tolist():
+            below[at], owner[at], total = total, (f, axis), total + totals.get(at, 0)
+
+    def deal(batches):  # noqa: ANN001, ANN202
+        for f, x, y, r, n, _ in by_feature(batches, "x", "y", "r", "n"):
+            for axis, v in ((0, x), (1, y)):
+                limits, times, starts = cuts.axes[f, axis]
+                at, one = np.searchsorted(limits, v), np.flatnonzero
+                out = (np.searchsorted(limits, v - r) < at) | (np.searchsorted(limits, v + r) > at)
+                alone = times[at] == 1
+                bits = (x + y).view(np.uint64)
+                part = starts[at] + ((bits ^ (bits >> np.uint64(29))) % times[at].astype(np.uint64)).astype(np.int64)
+                kind = np.where(out, COUNTED, np.where(alone, BOTH, ASKED))
+                rows = one(~out | alone)
+                low, high = thresholds(v[out], r[out])
+                ends = [starts[np.searchsorted(limits, e)] for e in (low, high)]
+                yield pa.RecordBatch.from_pydict({
+                    "part": np.concatenate([part[rows], *ends]),
+                    "at": np.concatenate([starts[at[rows]], *ends]),
+                    "kind": np.concatenate([kind[rows], np.full(len(low), LOWER), np.full(len(high), UPPER)]).astype(np.int32),
+                    "v": np.concatenate([v[rows], low, high]), "r": np.concatenate([r[rows], r[out], r[out]]),
+                    "n": np.concatenate([n[rows], n[out], n[out]]),
+                    "x": np.concatenate([x[rows], x[out], x[out]]), "y": np.concatenate([y[rows], y[out], y[out]]),
+                })
+
+    shared = weights.where("times > 1").select(
+        F.explode(F.expr("sequence(at, at + times - 1)")).alias("part"), "at", F.lit(COUNTED).alias("kind"), "v",
+        F.lit(0.0).alias("r"), "n", F.lit(0.0).alias("x"), F.lit(0.0).alias("y"),
+    )
+    rows = points.mapInArrow(deal, "part long, at long, kind int, v double, r double, n long, x double, y double").union(shared)
+
+    def run(table: pa.Table) -> pa.Table:
+        kind, v, r, n, x, y = (table.column(c).to_numpy() for c in ("kind", "v", "r", "n", "x", "y"))
+        at = table.column("at")[0].as_py()
+        f, axis = owner[at]
+        counted = (kind == BOTH) | (kind == COUNTED)
+        order = np.argsort(v[counted], kind="stable")
+        values, first = np.unique(v[counted][order], return_index=True)
+        upto = np.concatenate([[0], n[counted][order].cumsum()])[np.append(first, counted.sum())]
+        own = (kind == BOTH) | (kind == ASKED)
+        low, high = inside(values, v[own], r[own])
+        c, where = np.unique(upto[high] - upto[low], return_inverse=True)
+        many = np.zeros(len(c), np.int64)
+        np.add.at(many, where, n[own])
+        lower, upper = np.flatnonzero(kind == LOWER), np.flatnonzero(kind == UPPER)
+        ends = np.concatenate([lower, upper])
+        places = np.concatenate([
+            -(below[at] + upto[np.searchsorted(values, v[lower])]), below[at] + upto[np.searchsorted(values, v[upper], "right")],
+        ])
+        empty, rows = np.zeros(len(c)), len(c) + len(ends)
+        return pa.table({
+            "f": np.full(rows, f, np.int32), "axis": np.full(rows, axis, np.int32),
+            "x": pa.array(np.concatenate([empty, x[ends]]), mask=np.arange(rows) < len(c)), "y": np.concatenate([empty, y[ends]]),
+            "n": np.concatenate([many, n[ends]]), "c": np.concatenate([c, places]),
+        })
 
-    return rows.groupBy("feature", "strip", "cell").applyInArrow(run, "feature string, x double, y double, near array<double>")
+    counted = staged(rows.groupBy("part").applyInArrow(run, "f int, axis int, x double, y double, n long, c long"), "axis-counts")
+    ends = counted.where("x IS NOT NULL").groupBy("f", "axis", "x", "y", "n").agg(F.sum("c").alias("c"))
+    return counted.where("x IS NULL").select("f", "c", "n").union(ends.select("f", "c", "n"))
 
 
 def neighbour_mutual_info(df: DataFrame, numeric: Sequence[str], y: str, k: int = NEIGHBOURS, cell: int = CELL) -> DataFrame:
@@ -153,35 +350,17 @@ def neighbour_mutual_info(df: DataFrame, numeric: Sequence[str], y: str, k: int
     rows = df.select(F.col(y).cast("double").alias("y"), *[F.col(f"`{c}`").cast("double").alias(c) for c in numeric])
     tall = rows.unpivot(["y"], list(numeric), "feature", "x").where("x IS NOT NULL AND y IS NOT NULL AND NOT isnan(x) AND NOT isnan(y)")
     size = staged(tall.groupBy("feature").agg(F.count(F.lit(1)).alias("rows"), F.stddev_pop("x").alias("sx"), F.stddev_pop("y").alias("sy")), "deviations")
+    numbers = F.array_position(F.array(*[F.lit(c) for c in numeric]), F.col("feature")).cast("int").alias("f")
+    size = size.select("*", numbers)
     used = size.where((F.col("rows") > k) & (F.col("sx") > 0) & (F.col("sy") > 0))
-    points = tall.join(used, "feature").groupBy("feature", (F.col("x") / F.col("sx")).alias("x"), (F.col("y") / F.col("sy")).alias("y"))
+    points = tall.join(used, "feature").groupBy("f", (F.col("x") / F.col("sx")).alias("x"), (F.col("y") / F.col("sy")).alias("y"))
     points = staged(points.agg(F.count(F.lit(1)).alias("n")), "points")
-    most = points.groupBy("feature").agg(F.count(F.lit(1)).alias("m")).agg(F.max("m")).first()[0] or 0
-    placed, cells = _placed(points, max(1, math.ceil(math.sqrt(most / cell))))
-    own = staged(_within(placed, k), "within-cells")
-    every = own.select("feature", "x", "y", "near").union(_beyond(own, cells, k))
-    radius = every.groupBy("feature", "x", "y").agg(F.sort_array(F.flatten(F.collect_list("near")))[k - 1].alias("r"))
-
-    def ends(batches):  # noqa: ANN001, ANN202
-        for batch in batches:
-            r, columns = batch.column("r").to_numpy(), []
-            for c in ("x", "y"):
-                columns += map(pa.array, thresholds(batch.column(c).to_numpy(), r))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("feature", "x", "y", "n")), *columns], names)
-
-    names = ["feature", "x", "y", "n", "x0", "x1", "y0", "y1"]
-    bounded = points.join(radius, ["feature", "x", "y"]).mapInArrow(ends, "feature string, x double, y double, n long, x0 double, x1 double, y0 double, y1 double")
-    bounded = staged(bounded, "thresholds")
-    # values of each axis with their rows, and thresholds without rows, in one order
-    sides = F.explode(F.array(*[F.struct(F.lit(c[0]).alias("axis"), F.col(c).alias("v"), (F.col("n") if len(c) == 1 else F.lit(0)).alias("m")) for c in ("x", "y", "x0", "x1", "y0", "y1")]))
-    values = bounded.select("feature", sides.alias("s")).select("feature", "s.*").groupBy("feature", "axis", "v").agg(F.sum("m").alias("m"))
-    counted = staged(running_counts(values, ["feature", "axis"], "v", "m"), "axis-counts")
-    asked = F.explode(F.array(*[F.struct(F.lit(c[0]).alias("axis"), F.lit(c[1]).alias("end"), F.col(c).alias("v")) for c in ("x0", "x1", "y0", "y1")]))
-    found = bounded.select("feature", "x", "y", "n", asked.alias("s")).select("feature", "x", "y", "n", "s.*").join(counted, ["feature", "axis", "v"])
-    # values up to the upper end less those below the lower one
-    reach = F.sum(F.when(F.col("end") == "1", F.col("before") + F.col("m")).otherwise(-F.col("before")))
-    inside = found.groupBy("feature", "x", "y", "n", "axis").agg(reach.alias("c"))
-    mean = inside.groupBy("feature").agg((F.sum(F.col("n") * digamma(F.col("c"))) / (F.sum("n") / 2)).alias("both"))
+    most = points.groupBy("f").agg(F.count(F.lit(1)).alias("m")).agg(F.max("m")).first()[0] or 0
+    cuts = Cuts(points, max(1, math.ceil(math.sqrt(most / cell))), max(1, math.ceil(most / (cell * RANGE))))
+    own = staged(_within(points, cuts, k), "within-cells")
+    every = own.where("near IS NOT NULL").select("f", "x", "y", "n", "near").union(_beyond(own, cuts, k).select("f", "x", "y", F.lit(0).cast("long"), "near"))
+    reached = every.groupBy("f", "x", "y").agg(F.max("n").alias("n"), F.sort_array(F.flatten(F.collect_list("near")))[k - 1].alias("r"))
+    counts = _axis_counts(own.where("near IS NULL").select("f", "x", "y", "n", "r").union(reached), cuts)
+    mean = counts.groupBy("f").agg((F.sum(F.col("n") * digamma(F.col("c"))) / (F.sum("n") / 2)).alias("both"))
     info = digamma(F.col("rows")) + digamma(F.lit(k)) - F.col("both")
-    joined = size.join(mean, "feature", "left").select("feature", F.greatest(F.coalesce(info, F.lit(0.0)), F.lit(0.0)).alias("mutual_info"))
-    return joined
+    return size.join(mean, "f", "left").select("feature", F.greatest(F.coalesce(info, F.lit(0.0)), F.lit(0.0)).alias("mutual_info"))

@@ -64,6 +64,48 @@ def test_the_nearest_of_many_leaves(monkeypatch):
     assert np.isinf(neighbours.nearest(points[:2], asking, 4)[:, 2:]).all()
 
 
+def test_a_point_is_compared_with_few_others(monkeypatch):
+    rng = np.random.default_rng(3)
+    points, seen, partition = rng.normal(0, 1, (6000, 2)), [], np.partition
+    monkeypatch.setattr(np, "partition", lambda a, *args, **more: seen.append(a.size) or partition(a, *args, **more))
+    found = neighbours.nearest(points, points, 4)
+    assert sum(seen) < 200 * len(points)
+    some = slice(0, 200)
+    assert np.array_equal(found[some], np.sort(np.abs(points[some, None] - points).max(2), 1)[:, :4])
+
+
+def test_only_distances_within_reach_are_wanted():
+    rng = np.random.default_rng(4)
+    points, asking = np.round(rng.normal(0, 1, (400, 2)), 1), rng.normal(0, 3, (150, 2))
+    reach = rng.uniform(0, 1, 150)
+    got, want = neighbours.nearest(points, asking, 3, reach), neighbours.nearest(points, asking, 3)
+    near = want < reach[:, None]
+    assert near.any() and np.array_equal(got[near], want[near])
+
+
+def test_places_inside_are_told_as_differences_tell():
+    rng = np.random.default_rng(5)
+    values = np.unique(np.round(rng.normal(0, 1, 900), 2) / 3)
+    x = rng.choice(values, 3000)
+    r = np.where(rng.random(3000) < 0.2, 0.0, np.abs(x - rng.choice(values, 3000)))  # as a neighbour is: often right at an end
+    low, high = neighbours.inside(values, x, r)
+    here = np.abs(values - x[:, None]) < r[:, None]
+    here[r == 0] = values == x[r == 0, None]
+    assert np.array_equal(high - low, here.sum(1)) and np.array_equal(low, here.argmax(1))
+
+
+def test_a_frequent_value_is_dealt_to_many_parts(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "RANGE", 1)
+    rng = np.random.default_rng(6)
+    x, y = np.where(rng.random(900) < 0.5, 2.0, rng.normal(0, 1, 900)), rng.normal(0, 1, 900)
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(x, y)], "x double, y double")
+    cuts, made = [], neighbours.Cuts
+    monkeypatch.setattr(neighbours, "Cuts", lambda *args: cuts.append(made(*args)) or cuts[0])
+    got = neighbours.neighbour_mutual_info(df, ["x"], "y", cell=40).first().mutual_info
+    assert got == pytest.approx(slow(x, y, 3), abs=1e-9)
+    assert cuts[0].axes[1, 0][1].max() > 5
+
+
 def test_thresholds_are_the_last_doubles_inside():
     rng = np.random.default_rng(2)
     x, r = rng.normal(0, 100, 2000), 10.0 ** rng.uniform(-8, 6, 2000)
