@@ -307,7 +307,7 @@ def _(v):
 
 @query("quality_flags", "SELECT * FROM flags")
 def _(v):
-    return plan.dataset(tables(v), S).select("cycle_uid", *FLAG_OUTPUT)
+    return plan.dataset(tables(v), S, columns=["cycle_uid", *FLAG_OUTPUT])
 
 
 @query("prev_closing", "SELECT cod_cg_zafra_original, cod_cg, fecha_cierre_real, previous_fecha_cierre FROM dated")

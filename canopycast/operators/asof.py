@@ -89,6 +89,19 @@ def day_bucket(day: str) -> Column:
     return F.floor(F.unix_date(F.col(day)) / DAY_BUCKET)
 
 
+def dealt_by(key: str, bucket: str) -> Column:
+    """Number that stands before key and bucket when rows are sorted for a join.
+
+    Keys that begin alike are compared letter by letter; numbers settle nearly all comparisons at once.
+    """
+    return F.hash(F.col(key), F.col(bucket))
+
+
+def with_bucket(daily: DataFrame) -> DataFrame:
+    """Add what :func:`join_daily` joins by besides the key."""
+    return daily.withColumn("_bucket", day_bucket("day")).withColumn("_deal", dealt_by("source_lote", "_bucket"))
+
+
 def optical_daily(raw: DataFrame) -> DataFrame:
     """Per source key and day: count, sum, minimum and maximum of each index.
 
@@ -102,8 +115,8 @@ def optical_daily(raw: DataFrame) -> DataFrame:
         *[nan_to_null(F.col(f"{i}_promedio")).alias(i) for i in OPTICAL_INDEXES],
     ).where(F.col("source_lote").isNotNull() & F.col("day").isNotNull())
     folds = (("n", F.count), ("sum", F.sum), ("min", F.min), ("max", F.max))
-    dealt = values.withColumn("_bucket", day_bucket("day")).repartition("source_lote", "_bucket")
-    return dealt.groupBy("source_lote", "_bucket", "day").agg(
+    dealt = with_bucket(values).repartition("_deal", "source_lote", "_bucket")
+    return dealt.groupBy("_deal", "source_lote", "_bucket", "day").agg(
         *[fold(i).alias(f"{i}_{name}") for name, fold in folds for i in OPTICAL_INDEXES]
     )
 
@@ -151,12 +164,16 @@ def climate_rows(raw: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
 
 
 def climate_daily(raw: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
-    """Per station and day: number of rows, and sum and count of each measure."""
+    """Per station and day: number of rows, and sum and count of each measure.
+
+    Rows are dealt like those of :func:`optical_daily`, and shuffled once.
+    """
     names = [*CLIMATE_SOURCE, "water_balance", "gdd_10c"]
+    values = climate_rows(raw, s).where(F.col("source_lote").isNotNull() & F.col("day").isNotNull())
     return (
-        climate_rows(raw, s)
-        .where(F.col("source_lote").isNotNull() & F.col("day").isNotNull())
-        .groupBy("source_lote", "day")
+        with_bucket(values)
+        .repartition("_deal", "source_lote", "_bucket")
+        .groupBy("_deal", "source_lote", "_bucket", "day")
         .agg(
             F.count(F.lit(1)).alias("n"),
             *[F.sum(name).alias(f"{name}_sum") for name in names],
@@ -182,16 +199,18 @@ def join_daily(cycles: DataFrame, daily: DataFrame, matched: str) -> DataFrame:
     """
     wanted = cycles.where(F.col(matched).isNotNull()).select(UID, START, AS_OF, "as_of_age_days", matched)
     wanted = wanted.withColumn("_cycle_bucket", F.explode(F.sequence(day_bucket(START), day_bucket(AS_OF))))
-    rows = daily if "_bucket" in daily.columns else daily.withColumn("_bucket", day_bucket("day"))
+    wanted = wanted.withColumn("_cycle_deal", dealt_by(matched, "_cycle_bucket"))
+    rows = daily if "_bucket" in daily.columns else with_bucket(daily)
     return (
         wanted.join(
             rows,
-            (F.col(matched) == F.col("source_lote"))
+            (F.col("_cycle_deal") == F.col("_deal"))
+            & (F.col(matched) == F.col("source_lote"))
             & (F.col("_cycle_bucket") == F.col("_bucket"))
             & F.col("day").between(F.col(START), F.col(AS_OF)),
         )
         .withColumn("age_days", F.datediff("day", START).cast("double"))
-        .drop(matched, "source_lote", "_bucket", "_cycle_bucket")
+        .drop(matched, "source_lote", "_bucket", "_cycle_bucket", "_deal", "_cycle_deal")
     )
 
 

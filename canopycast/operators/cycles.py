@@ -17,6 +17,8 @@ from ..functions.scalars import (
 DEFAULTS = Settings()
 CLOSING = "fecha_cierre_real"
 START = "fecha_inicio_ciclo"
+#: Columns of a closed cycle that the features of cycles depend on; the others describe it.
+DATED = (LOT, SEASON, "cod_cg_zafra_original", START, CLOSING, "fecha_fin_ciclo")
 
 
 def production_rows(raw: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
@@ -44,24 +46,28 @@ def previous_closing(rows: DataFrame, tiebreak: str = "cod_cg_zafra_original") -
     """Add the closing date before this one in the same lot.
 
     Rows closing on the same day follow the tiebreak: the first looks back to an earlier day, the
-    others to the shared day. The window runs over the distinct days of a lot, whose number is
-    bounded by the calendar, never over its rows.
+    others to the shared day. The first rows of a lot's days are its distinct days, so a window over
+    the rows of one place looks back from each; it has one row a day, whose number is bounded by
+    the calendar, and the rows are read once.
+
+    Rows without lot or closing date are left out, at the end: a test of the closing date before the
+    windows would move to the scan, where Spark would parse the text of every date once more.
     """
-    place = F.row_number().over(Window.partitionBy(LOT, CLOSING).orderBy(tiebreak, F.xxhash64(*rows.columns)))
-    days = rows.select(LOT, CLOSING).distinct()
-    days = days.withColumn("_earlier", F.lag(CLOSING).over(Window.partitionBy(LOT).orderBy(CLOSING)))
+    tied = rows.withColumn("_tie", F.xxhash64(*rows.columns))
+    place = F.row_number().over(Window.partitionBy(LOT, CLOSING).orderBy(tiebreak, "_tie"))
+    earlier = F.lag(CLOSING).over(Window.partitionBy(LOT, "_place").orderBy(CLOSING))
     return (
-        rows.withColumn("_place", place)
-        .join(days, [LOT, CLOSING])
+        tied.withColumn("_place", place)
+        .withColumn("_earlier", earlier)
         .withColumn("previous_fecha_cierre", F.when(F.col("_place") == 1, F.col("_earlier")).otherwise(F.col(CLOSING)))
-        .drop("_place", "_earlier")
+        .where(F.col(LOT).isNotNull() & F.col(CLOSING).isNotNull())
+        .drop("_tie", "_place", "_earlier")
     )
 
 
 def closed_cycles(production: DataFrame, s: Settings = DEFAULTS, drop_copies: bool = False) -> DataFrame:
     """One row per production record with a closing date; with ``drop_copies`` exact copies count once."""
-    rows = production.where(F.col(CLOSING).isNotNull())
-    rows = previous_closing(rows.dropDuplicates() if drop_copies else rows)
+    rows = previous_closing(production.dropDuplicates() if drop_copies else production)
     rows = rows.withColumn(
         "fecha_inicio_baseline", baseline_start(F.col(CLOSING), F.col("prod_edad_meses"), s.days_per_month)
     ).withColumn(
@@ -92,15 +98,19 @@ def closed_cycles(production: DataFrame, s: Settings = DEFAULTS, drop_copies: bo
 
 
 def latest_closed(closed: DataFrame) -> DataFrame:
-    """The last closed cycle of each lot; the larger original key wins a tie."""
-    carried = [
-        F.col(SEASON).alias("previous_zafra_norm"),
-        F.col(START).alias("previous_fecha_inicio_ciclo"),
-        F.col("tch").alias("previous_tch"),
-        F.col("tc").alias("previous_tc"),
-        F.col("area"),
-        *[F.col(c) for c in PROD_COLUMNS],
-    ]
+    """The last closed cycle of each lot; the larger original key wins a tie.
+
+    ``closed`` may have its ``DATED`` columns alone: they order before the others, so they come out the same.
+    """
+    names = {
+        SEASON: "previous_zafra_norm",
+        START: "previous_fecha_inicio_ciclo",
+        "tch": "previous_tch",
+        "tc": "previous_tc",
+        "area": "area",
+        **{c: c for c in PROD_COLUMNS},
+    }
+    carried = [F.col(c).alias(name) for c, name in names.items() if c in closed.columns]
     # one aggregation buffer; the ordering fields lead the struct
     last = F.max(F.struct(F.col(CLOSING).alias("previous_fecha_cierre"), "cod_cg_zafra_original", *carried))
     return closed.groupBy(LOT).agg(last.alias("_last")).select(LOT, "_last.*").drop("cod_cg_zafra_original")
@@ -135,10 +145,14 @@ def open_starts(latest: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
 def open_cycles(
     closed: DataFrame, sources: list[tuple[DataFrame, DataFrame, str]], s: Settings = DEFAULTS
 ) -> DataFrame:
-    """Cycles observed since the last closing, in a season after every closed one."""
+    """Cycles observed since the last closing, in a season after every closed one.
+
+    Like :func:`latest_closed` it takes ``DATED`` columns alone, and leaves out what describes a cycle.
+    """
     last_season = closed.agg(F.max(SEASON))
     rows = latest_observation(open_starts(latest_closed(closed), s), sources)
     rows = rows.withColumn(SEASON, season_of_date(F.col("fecha_cierre_estimada"), s.season_start_month))
+    described = [c for c in ("area", *PROD_COLUMNS, "previous_tch", "previous_tc") if c in rows.columns]
     return rows.where(
         (F.col("latest_observation_date") >= F.col(START)) & (F.col(SEASON) > last_season.scalar())
     ).select(
@@ -147,18 +161,17 @@ def open_cycles(
         F.lit("scoring").alias("dataset_role"),
         F.lit("open").alias("cycle_status"),
         F.lit(False).alias("has_target_tch"),
-        "area",
+        *[c for c in described if c == "area"],
         START,
         "fecha_cierre_estimada",
         F.col("fecha_cierre_estimada").alias("fecha_fin_ciclo"),
         "previous_fecha_cierre",
         F.lit("open_previous_cierre_plus_1d").alias("start_rule"),
         F.lit("estimated_cierre_productiva").alias("zafra_assignment_method"),
-        *PROD_COLUMNS,
+        *[c for c in described if c in PROD_COLUMNS],
         "previous_zafra_norm",
         "previous_fecha_inicio_ciclo",
-        "previous_tch",
-        "previous_tc",
+        *[c for c in described if c.startswith("previous_")],
         "latest_observation_date",
     )
 

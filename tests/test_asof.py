@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from canopycast.config import OPTICAL_INDEXES, dataset_output
+from canopycast.config import FLAG_OUTPUT, OPTICAL_INDEXES, dataset_output
 from canopycast.operators import asof
 from canopycast.plans import dataset as plan
 from test_cycles import production, tables
@@ -118,6 +118,33 @@ def values(df):
     return sorted((str(r.asDict()) for r in df.collect()))
 
 
+def test_chosen_columns_are_those_of_the_whole_build(spark):
+    raw = production(spark, [("L-1", "k1", "2022-01-10", 12.0, 80.0), ("L-2", "k2", "2022-12-12", 11.0, 90.0)])
+    t = tables(spark, raw, [str(START - dt.timedelta(d)) for d in (50, 90, 200)])
+    whole = plan.dataset(t)
+    for columns in (["cycle_uid", *FLAG_OUTPUT], ["cycle_uid", "duplicate_key", "optical_ndvi_peak_0_180"], ["cycle_uid", "prod_variedad", "asof_valid"]):
+        chosen = plan.dataset(t, columns=columns)
+        assert chosen.columns == columns
+        assert values(chosen) == values(whole.select(*columns))
+
+
+def test_climate_rows_are_shuffled_once_before_they_meet_cycles(spark):
+    day = START + dt.timedelta(31)
+    names = "precipitacion_sum", "eto_sum", "radiacion_sum", "temperatura_mean", "temperatura_max", "temperatura_min", "humedad_relativa"
+    measures = ", ".join(f"{name} double" for name in names)
+    raw = spark.createDataFrame([("L", day, 1.5, 0.5, 2.0, 20.0, 25.0, 15.0, 60.0)] * 3, f"cod_cg string, fecha_inicio date, {measures}")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = asof.join_daily(cycle(spark), asof.climate_daily(raw), "stac_lote_matched")
+        text = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert text.count("Exchange hashpartitioning") == 2, text  # raw rows and cycles
+    row = asof.climate_core(joined).first()
+    assert row["climate_pentad_count_0_asof"] == 3.0 and row["climate_precip_acc_0_180"] == 4.5
+
+
 def test_cycle_without_series(spark):
     row = build(spark, [50]).where("cod_cg = 'L-2'").first()
     assert row["climate_pentad_count_0_asof"] == 0.0 and row["climate_precip_acc_0_asof"] is None

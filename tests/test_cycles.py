@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from canopycast.config import Settings
 from canopycast.operators import cycles, keys
-from canopycast.plans.dataset import Tables, build_spine, eligible_spine
+from canopycast.plans.dataset import DATED, Tables, build_spine, eligible_spine
 
 COLUMNS = (
     "lote string, cod_cg_zafra string, zafra string, tch double, tc double, area double, edad double, cierre string, "
@@ -50,6 +50,17 @@ def test_previous_closing_with_ties_and_copies(spark):
     }
 
 
+def test_previous_closing_reads_the_rows_once(spark):
+    """One scan of the rows, and no date is parsed once more to filter them."""
+    raw = production(spark, [("L-1", "k1", "2022-01-10", 12.0, 80.0), ("L-1", "k2", "soon", 12.0, 80.0), ("L-1", "k3", "2023-01-10", 12.0, 80.0)])
+    closed = cycles.closed_cycles(cycles.production_rows(raw))
+    found = {r["cod_cg_zafra_original"]: r["previous_fecha_cierre"] for r in closed.collect()}
+    assert found == {"k1": None, "k3": dt.date(2022, 1, 10)}
+    text = closed._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in text and text.count("LogicalRDD") == 1, text
+    assert all("yyyy-MM-dd" not in line for line in text.splitlines() if "Filter" in line), text
+
+
 def test_start_is_moved_behind_the_previous_closing(spark):
     raw = production(spark, [("L-1", "k1", "2022-01-10", 12.0, 80.0), ("L-1", "k2", "2022-12-01", 12.0, 80.0)])
     row = cycles.closed_cycles(cycles.production_rows(raw)).where("cod_cg_zafra_original = 'k2'").first()
@@ -77,6 +88,24 @@ def test_open_cycle_follows_the_last_closing(spark):
     assert row[0]["previous_tch"] == 80.0 and row[0]["tch"] is None
 
 
+def test_cycles_without_what_describes_them(spark):
+    """The columns that features depend on come out the same, and no others are staged."""
+    raw = production(
+        spark,
+        [
+            ("L-1", "k1", "2022-01-10", 12.0, 80.0), ("L-1", "k2", "2024-01-10", 12.0, 80.0), ("L-1", "k2", "2024-01-10", 13.0, 70.0),
+            ("L-2", "k3", "2024-01-12", 12.0, 80.0),
+        ],
+    )
+    t = tables(spark, raw)
+    whole, dated = eligible_spine(t), eligible_spine(t, described=False)
+    assert set(dated.columns) == set(DATED) < set(whole.columns)
+    assert sorted(map(str, dated.collect())) == sorted(map(str, whole.select(*DATED).collect()))
+    whole, dated = build_spine(t), build_spine(t, described=False)
+    assert sorted(map(str, dated.collect())) == sorted(map(str, whole.select(*dated.columns).collect()))
+    assert not {"tch", "area", "previous_tch", "prod_variedad"} & set(dated.columns)
+
+
 def test_open_cycle_needs_an_observation_after_its_start(spark):
     raw = production(spark, [("L-1", "k1", "2024-01-10", 12.0, 80.0)])
     assert build_spine(tables(spark, raw, ["2023-08-01"])).where("cycle_status = 'open'").isEmpty()
