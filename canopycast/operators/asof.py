@@ -81,25 +81,32 @@ def unpivot_indexes(rows: DataFrame, keep: Iterable[str], suffix: str = "_promed
 # ---------------------------------------------------------------- daily series
 
 
-#: Days of a time bucket, half of the shorter age span.
-DAY_BUCKET = 64
+#: Days of a time bucket. A cycle is seen for 340 days at most, so it meets two buckets at most.
+DAY_BUCKET = 360
 
 
 def day_bucket(day: str) -> Column:
     return F.floor(F.unix_date(F.col(day)) / DAY_BUCKET)
 
 
-def dealt_by(key: str, bucket: str) -> Column:
+def dealt_by(key: str, bucket: Column) -> Column:
     """Number that stands before key and bucket when rows are sorted for a join.
 
     Keys that begin alike are compared letter by letter; numbers settle nearly all comparisons at once.
     """
-    return F.hash(F.col(key), F.col(bucket))
+    return F.hash(F.col(key), bucket)
 
 
 def with_bucket(daily: DataFrame) -> DataFrame:
     """Add what :func:`join_daily` joins by besides the key."""
-    return daily.withColumn("_bucket", day_bucket("day")).withColumn("_deal", dealt_by("source_lote", "_bucket"))
+    bucket = day_bucket("day")
+    return daily.select("*", bucket.alias("_bucket"), dealt_by("source_lote", bucket).alias("_deal"))
+
+
+def dealt(values: DataFrame) -> DataFrame:
+    """Rows dealt by number, key and time bucket. Number and bucket are worked out again behind the shuffle, not carried through it."""
+    bucket = day_bucket("day")
+    return with_bucket(values.repartition(dealt_by("source_lote", bucket), F.col("source_lote"), bucket))
 
 
 def optical_daily(raw: DataFrame) -> DataFrame:
@@ -115,8 +122,7 @@ def optical_daily(raw: DataFrame) -> DataFrame:
         *[nan_to_null(F.col(f"{i}_promedio")).alias(i) for i in OPTICAL_INDEXES],
     ).where(F.col("source_lote").isNotNull() & F.col("day").isNotNull())
     folds = (("n", F.count), ("sum", F.sum), ("min", F.min), ("max", F.max))
-    dealt = with_bucket(values).repartition("_deal", "source_lote", "_bucket")
-    return dealt.groupBy("_deal", "source_lote", "_bucket", "day").agg(
+    return dealt(values).groupBy("_deal", "source_lote", "_bucket", "day").agg(
         *[fold(i).alias(f"{i}_{name}") for name, fold in folds for i in OPTICAL_INDEXES]
     )
 
@@ -149,13 +155,17 @@ CLIMATE_SOURCE = {
 }
 
 
-def climate_rows(raw: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
-    """Climate rows with clean values, water balance and degree days."""
-    rows = raw.select(
+def climate_values(raw: DataFrame) -> DataFrame:
+    """Climate rows with clean values."""
+    return raw.select(
         F.col("cod_cg").cast("string").alias("source_lote"),
         F.col("fecha_inicio").cast("date").alias("day"),
         *[nan_to_null(F.col(column)).alias(name) for name, column in CLIMATE_SOURCE.items()],
     )
+
+
+def with_derived(rows: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
+    """Add water balance and degree days."""
     return rows.select(
         "*",
         water_balance(F.col("precip"), F.col("eto")).alias("water_balance"),
@@ -163,16 +173,20 @@ def climate_rows(raw: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
     )
 
 
+def climate_rows(raw: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
+    """Climate rows with clean values, water balance and degree days."""
+    return with_derived(climate_values(raw), s)
+
+
 def climate_daily(raw: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
     """Per station and day: number of rows, and sum and count of each measure.
 
-    Rows are dealt like those of :func:`optical_daily`, and shuffled once.
+    Rows are dealt like those of :func:`optical_daily`, and shuffled once, without what is derived from their values.
     """
     names = [*CLIMATE_SOURCE, "water_balance", "gdd_10c"]
-    values = climate_rows(raw, s).where(F.col("source_lote").isNotNull() & F.col("day").isNotNull())
+    values = climate_values(raw).where(F.col("source_lote").isNotNull() & F.col("day").isNotNull())
     return (
-        with_bucket(values)
-        .repartition("_deal", "source_lote", "_bucket")
+        with_derived(dealt(values), s)
         .groupBy("_deal", "source_lote", "_bucket", "day")
         .agg(
             F.count(F.lit(1)).alias("n"),
@@ -199,7 +213,7 @@ def join_daily(cycles: DataFrame, daily: DataFrame, matched: str) -> DataFrame:
     """
     wanted = cycles.where(F.col(matched).isNotNull()).select(UID, START, AS_OF, "as_of_age_days", matched)
     wanted = wanted.withColumn("_cycle_bucket", F.explode(F.sequence(day_bucket(START), day_bucket(AS_OF))))
-    wanted = wanted.withColumn("_cycle_deal", dealt_by(matched, "_cycle_bucket"))
+    wanted = wanted.withColumn("_cycle_deal", dealt_by(matched, F.col("_cycle_bucket")))
     rows = daily if "_bucket" in daily.columns else with_bucket(daily)
     return (
         wanted.join(
@@ -420,6 +434,22 @@ def ocean_core(cycles: DataFrame, ocean: DataFrame, s: Settings = DEFAULTS) -> D
     )
 
 
+def per_cycle(cycles: DataFrame, ocean: DataFrame) -> DataFrame:
+    """Ocean features of each cycle, dealt by cycle: only its id and dates meet the date pairs.
+
+    A cycle id that has several rows may have several dates, one row each.
+    """
+    wanted = cycles.select(UID, START, AS_OF).join(ocean, [START, AS_OF])
+    return wanted.repartition(UID).dropDuplicates([UID, START, AS_OF])
+
+
+def with_ocean(rows: DataFrame, ocean: DataFrame) -> DataFrame:
+    """Add the ocean features of the same cycle and dates. Dates are compared after the join on the id, as rows are dealt by it."""
+    own = ocean.withColumnsRenamed({UID: "_ocean_uid", START: "_ocean_start", AS_OF: "_ocean_as_of"})
+    same = (F.datediff(START, "_ocean_start") == 0) & (F.datediff(AS_OF, "_ocean_as_of") == 0)
+    return rows.join(own, (F.col(UID) == F.col("_ocean_uid")) & same, "left").drop("_ocean_uid", "_ocean_start", "_ocean_as_of")
+
+
 # ---------------------------------------------------------------- flags
 
 

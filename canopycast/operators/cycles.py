@@ -46,22 +46,18 @@ def previous_closing(rows: DataFrame, tiebreak: str = "cod_cg_zafra_original") -
     """Add the closing date before this one in the same lot.
 
     Rows closing on the same day follow the tiebreak: the first looks back to an earlier day, the
-    others to the shared day. The first rows of a lot's days are its distinct days, so a window over
-    the rows of one place looks back from each; it has one row a day, whose number is bounded by
-    the calendar, and the rows are read once.
+    others to the shared day. Either is the day of the row before, so the rows are dealt by lot and
+    sorted once; a lot's records are few, one for each harvest.
 
     Rows without lot or closing date are left out, at the end: a test of the closing date before the
-    windows would move to the scan, where Spark would parse the text of every date once more.
+    window would move to the scan, where Spark would parse the text of every date once more.
     """
     tied = rows.withColumn("_tie", F.xxhash64(*rows.columns))
-    place = F.row_number().over(Window.partitionBy(LOT, CLOSING).orderBy(tiebreak, "_tie"))
-    earlier = F.lag(CLOSING).over(Window.partitionBy(LOT, "_place").orderBy(CLOSING))
+    before = F.lag(CLOSING).over(Window.partitionBy(LOT).orderBy(CLOSING, tiebreak, "_tie"))
     return (
-        tied.withColumn("_place", place)
-        .withColumn("_earlier", earlier)
-        .withColumn("previous_fecha_cierre", F.when(F.col("_place") == 1, F.col("_earlier")).otherwise(F.col(CLOSING)))
+        tied.withColumn("previous_fecha_cierre", before)
         .where(F.col(LOT).isNotNull() & F.col(CLOSING).isNotNull())
-        .drop("_tie", "_place", "_earlier")
+        .drop("_tie")
     )
 
 
@@ -219,5 +215,8 @@ def eligible_cycles(spine: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
 
 
 def flag_duplicate_keys(cycles: DataFrame) -> DataFrame:
-    """Mark public ids shared by several cycles; their number is bounded by the season's length."""
-    return cycles.withColumn("duplicate_key", F.count(F.lit(1)).over(Window.partitionBy(KEY)) > 1)
+    """Mark public ids shared by several cycles; their number is bounded by the season's length.
+
+    An id belongs to one lot, so rows already dealt by lot are not shuffled again.
+    """
+    return cycles.withColumn("duplicate_key", F.count(F.lit(1)).over(Window.partitionBy(LOT, KEY)) > 1)

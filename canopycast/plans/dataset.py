@@ -57,19 +57,22 @@ def build_spine(t: Tables, s: Settings = DEFAULTS, described: bool = True) -> Da
     return spine if described else spine.select(KEY, *cycles.DATED, "natural_asof_limit_date", *MATCH_OUTPUT)
 
 
-def eligible_spine(t: Tables, s: Settings = DEFAULTS, described: bool = True) -> DataFrame:
+def eligible_spine(t: Tables, s: Settings = DEFAULTS, described: bool = True, flagged: bool = False) -> DataFrame:
     """Eligible cycles, staged: four consumers read them, each only the columns it needs.
 
-    Without ``described`` they have the ``DATED`` columns alone.
+    Without ``described`` they have the ``DATED`` columns alone; with ``flagged`` also ``duplicate_key``, counted while the
+    rows are still dealt by lot.
     """
     eligible = cycles.eligible_cycles(build_spine(t, s, described), s)
-    return staged(eligible if described else eligible.select(*DATED), "cycles")
+    if flagged:
+        eligible = cycles.flag_duplicate_keys(eligible)
+    return staged(eligible if described else eligible.select(*DATED, *["duplicate_key"] * flagged), "cycles")
 
 
 def assemble(spine: DataFrame, optical: DataFrame, climate: DataFrame, ocean: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
     """Join the aggregated features to the cycles and add rates and flags."""
     rows = spine.join(optical, asof.UID, "left").join(climate, asof.UID, "left")
-    rows = rows.join(ocean, [asof.START, asof.AS_OF], "left").fillna(0.0, ["enso_month_count_asof"])
+    rows = asof.with_ocean(rows, asof.per_cycle(spine, ocean)).fillna(0.0, ["enso_month_count_asof"])
     rows = asof.fill_no_climate(rows)
     rates = {
         f"climate_{name}_per_day_0_asof": per_day(F.col(f"climate_{name}_acc_0_asof"), F.col("as_of_age_days"))
@@ -85,12 +88,12 @@ def dataset(t: Tables, s: Settings = DEFAULTS, valid_only: bool = False, columns
     """
     columns = columns or [*dataset_output(), asof.UID, "duplicate_key"]
     features = {*DATED, "duplicate_key", *FLAG_OUTPUT, *optical_output(), *CLIMATE_OUTPUT, *OCEAN_OUTPUT}
-    spine = eligible_spine(t, s, described=not features.issuperset(columns))
+    spine = eligible_spine(t, s, described=not features.issuperset(columns), flagged="duplicate_key" in columns)
     optical_days = asof.optical_daily(asof.dated_between(t.optical, "fecha", spine))
     climate_days = asof.climate_daily(asof.dated_between(t.climate, "fecha_inicio", spine), s)
     optical = asof.join_daily(spine, optical_days, "stac_lote_matched")
     rows = assemble(
-        cycles.flag_duplicate_keys(spine),
+        spine,
         asof.optical_core(optical, s),
         asof.climate_features(spine, climate_days, s),
         asof.ocean_core(spine, t.ocean, s),

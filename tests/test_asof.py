@@ -3,8 +3,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from canopycast.config import FLAG_OUTPUT, OPTICAL_INDEXES, dataset_output
-from canopycast.operators import asof
+from canopycast.config import FLAG_OUTPUT, OPTICAL_INDEXES, Settings, dataset_output
+from canopycast.operators import asof, cycles
 from canopycast.plans import dataset as plan
 from test_cycles import production, tables
 
@@ -200,3 +200,53 @@ def test_one_station_for_most_cycles(spark):
     want = asof.climate_core(asof.join_daily(cycles, daily, "climate_lote_matched")).toPandas().set_index("cycle_uid").sort_index()
     assert len(got) == cycles.where("climate_lote_matched IS NOT NULL").count()
     assert ((got[want.columns] - want).abs().fillna(0) < 1e-9).all().all()
+
+
+def shuffles(spark, df):
+    """What each shuffle deals rows by and the columns that it carries, when no table is small."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    blocks = [b.splitlines() for b in text.split("\n\n") if b.strip().startswith("(") and ") Exchange\n" in b + "\n"]
+    return [(b[-1].split("Arguments: ")[1], b[1]) for b in blocks if len(b) > 2 and "hashpartitioning" in b[-1]]
+
+
+def test_shuffles_carry_no_more_than_they_need(spark):
+    """Finished rows stay where their cycle is, and raw rows travel without what can be worked out again."""
+    raw = production(spark, [("L-1", "k1", "2022-12-10", 12.0, 80.0)])
+    days = asof.join_daily(cycle(spark), asof.optical_daily(optical(spark, [(10, 1.0)])), "stac_lote_matched")
+    climate = asof.climate_daily(tables(spark, raw).climate)
+    spine = cycle(spark).withColumns({"climate_lote_matched": F.lit("S"), "cycle_duration_days": F.lit(300.0)})
+    ocean = asof.ocean_core(spine, tables(spark, raw).ocean)
+    found = shuffles(spark, plan.assemble(spine, asof.optical_core(days), asof.climate_features(spine, climate), ocean))
+    assert found and not [keys for keys, carried in found if "fecha_inicio_ciclo" in keys and "optical_" in carried]
+    rows = [carried for keys, carried in found if "source_lote" in keys]
+    assert len(rows) == 2 and not any("_deal" in c or "water_balance" in c for c in rows), rows
+
+
+def test_previous_closing_and_shared_ids_take_one_shuffle(spark):
+    raw = production(spark, [("L-1", "k1", "2022-12-10", 12.0, 80.0)])
+    closed = cycles.closed_cycles(cycles.production_rows(raw))
+    found = shuffles(spark, closed)
+    assert len(found) == 1 and found[0][0].startswith("hashpartitioning(cod_cg")
+    shared = cycles.flag_duplicate_keys(cycles.eligible_cycles(cycles.closed_spine(closed)))
+    assert len(shuffles(spark, shared)) == 1
+
+
+def test_each_row_of_an_id_has_the_ocean_of_its_dates(spark):
+    schema = "cycle_uid string, fecha_inicio_ciclo date, as_of_date date"
+    day = lambda n: START + dt.timedelta(n)
+    rows = spark.createDataFrame([("a", day(0), day(200)), ("a", day(0), day(200)), ("a", day(0), day(230)), ("b", day(5), day(900))], schema)
+    values = spark.createDataFrame([(day(0), day(200), 1.0), (day(0), day(230), 2.0)], "fecha_inicio_ciclo date, as_of_date date, v double")
+    got = asof.with_ocean(rows, asof.per_cycle(rows, values))
+    assert got.columns == [*rows.columns, "v"]
+    assert sorted((r.cycle_uid, r.as_of_date, r.v) for r in got.collect()) == [("a", day(200), 1.0), ("a", day(200), 1.0), ("a", day(230), 2.0), ("b", day(900), None)]
+
+
+def test_a_cycle_meets_two_time_buckets_at_most(spark):
+    starts = spark.range(800).select(F.expr("date_add(date '2020-01-01', cast(id AS int))").alias("s"))
+    ends = starts.withColumn("e", F.date_add("s", Settings().max_age_days))
+    assert ends.agg(F.max(asof.day_bucket("e") - asof.day_bucket("s"))).first()[0] == 1
