@@ -3,7 +3,7 @@
 Distances are the larger of the two coordinates' differences, after each column is divided by its deviation. The plane of each
 feature is cut into cells of about even numbers of points. A cell finds the nearest neighbours within; points whose
 distance reaches beyond the cell ask the cells that it reaches. How many points lie nearer on one axis alone is counted among the
-points of a range of that axis. Equal points are one point with a number of rows.
+points of a range of that axis, or looked up in a list of its values if they are few. Equal points are one point with a number of rows.
 """
 
 from __future__ import annotations
@@ -20,8 +20,14 @@ from .boosting import ordered, unordered
 
 #: Neighbours, points of a cell, points of a leaf, which are compared with each of the points that ask at a time, and cells' worth of a range.
 NEIGHBOURS, CELL, LEAF, ASKING, RANGE = 3, 4000, 32, 1024, 16
+#: Pairs of points that are compared without leaves.
+FEW = 1 << 18
 #: Points that reach beyond their cell, as many as ask at a time.
 SLICE = 256
+#: Values of an axis, and of all axes together, that are listed with their counts and go to all tasks.
+LISTED, LISTED_IN_ALL = 1 << 20, 1 << 22
+#: Rows that a task splits by feature at a time, and values of a strip that one stands for where limits of cells are sought.
+BATCH, THIN = 200_000, 16
 #: What a row of a range is there for: it is counted and asks, it only asks, it is only counted, or it is an end of a longer interval.
 BOTH, ASKED, COUNTED, LOWER, UPPER = range(5)
 
@@ -47,6 +53,14 @@ def nearest(points: np.ndarray, asking: np.ndarray, k: int, reach: np.ndarray |
     With ``reach``, only distances below that of the asking point are wanted; others may be infinite.
     """
     out = np.full((len(asking), k), np.inf)
+    if len(asking) * len(points) <= FEW:
+        # all pairs: cheaper than leaves of the points
+        block = np.abs(points[:, 0] - asking[:, 0, None])
+        np.maximum(block, np.abs(points[:, 1] - asking[:, 1, None]), out=block)
+        many = min(k, len(points))
+        if many:
+            out[:, :many] = np.sort(np.partition(block, many - 1, axis=1)[:, :many], axis=1)
+        return out
     parts = leaves(points, LEAF)
     if not parts or not len(asking):
         return out
@@ -135,7 +149,7 @@ def inside(values: np.ndarray, x: np.ndarray, r: np.ndarray) -> tuple[np.ndarray
 
 
 class Cuts:
-    """Limits of each feature: of strips, of the cells of each strip, and of the ranges of both axes.
+    """Limits of each feature: of strips, with the least number of each, of the cells of each strip, and of the ranges of both axes.
 
     There is about one number per cell. A range whose upper limit came out several times holds a frequent value; its
     rows are dealt to as many parts.
@@ -144,7 +158,7 @@ class Cuts:
     def __init__(self, points: DataFrame, side: int, ranges: int):
         shares = [[i / many for i in range(1, many)] or [1.0] for many in (side, ranges)]
         found = points.groupBy("f").agg(F.percentile_approx("x", shares[0] + shares[1]).alias("x"), F.percentile_approx("y", shares[1]).alias("y"))
-        self.strips, self.axes, self.cells, self.first, cells, parts = {}, {}, {}, {}, 0, 0
+        self.strips, self.lows, self.axes, self.cells, self.first, cells, parts = {}, {}, {}, {}, {}, 0, 0
         for row in sorted(found.collect()):
             self.strips[row.f] = np.unique(row.x[: len(shares[0])])
             for axis, limits in ((0, row.x[len(shares[0]) :]), (1, row.y)):
@@ -154,17 +168,35 @@ class Cuts:
                 parts += int(times.sum())
             self.first[row.f], cells = cells, cells + (len(self.strips[row.f]) + 1) * (side + 1)
         self.side = side
-        limits = points.mapInArrow(self._strips, "f int, strip int, y double").groupBy("f", "strip").agg(F.percentile_approx("y", shares[0]).alias("y"))
+        limits = points.mapInArrow(self._strips, "f int, strip int, x double, y double").groupBy("f", "strip")
+        limits = limits.agg(F.min("x").alias("x"), F.percentile_approx("y", shares[0]).alias("y"))
         for f, strips in self.strips.items():
-            self.cells[f] = np.full((len(strips) + 1, side), np.inf)
-        for row in limits.toLocalIterator():
+            self.cells[f], self.lows[f] = np.full((len(strips) + 1, side), np.inf), np.full(len(strips) + 1, np.inf)
+        for row in limits.collect():
             own = np.unique(row.y)
             self.cells[row.f][row.strip, : len(own)] = own
+            self.lows[row.f][row.strip] = row.x
 
     def _strips(self, batches):  # noqa: ANN001, ANN202
+        """Of the ascending values of each strip among the rows at hand, every sixteenth: enough for limits, which results do not depend on.
+
+        With them goes the least ``x`` of the strip, of all rows at hand.
+        """
         for f, x, y, _ in by_feature(batches, "x", "y"):
             strip = np.searchsorted(self.strips[f], x)
-            yield pa.RecordBatch.from_pydict({"f": pa.array(np.full(len(x), f, np.int32)), "strip": pa.array(strip.astype(np.int32)), "y": y})
+            order = np.lexsort((y, strip))
+            strip, x, y = strip[order], x[order], y[order]
+            first = np.flatnonzero(np.append(True, strip[1:] != strip[:-1]))
+            size = np.diff(np.append(first, len(y)))
+            kept = (np.arange(len(y)) - np.repeat(first, size)) % THIN == np.repeat(np.minimum(THIN, size) // 2, size)
+            yield pa.RecordBatch.from_pydict({
+                "f": np.full(kept.sum(), f, np.int32), "strip": strip[kept].astype(np.int32),
+                "x": np.repeat(np.minimum.reduceat(x, first), size)[kept], "y": y[kept],
+            })
+
+    def reached(self, f: int, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First and last strip with a point of ``x`` from ``low`` to ``high``; between two strips there is often room, as between whole numbers."""
+        return np.searchsorted(self.strips[f], low), np.searchsorted(self.lows[f], high, "right") - 1
 
     def cell(self, f: int, strip: np.ndarray, y: np.ndarray) -> np.ndarray:
         """How many cells of the strip end below ``y``."""
@@ -175,12 +207,27 @@ class Cuts:
 
 
 def by_feature(batches, *columns: str):  # noqa: ANN001, ANN201
-    """The rows of each feature of every batch: its number, the wanted columns as arrays, and the rows themselves."""
+    """The rows of each feature, many batches at a time: its number, the wanted columns as arrays, and the rows themselves."""
+
+    def split(waiting: list[pa.RecordBatch]):  # noqa: ANN202
+        rows = pa.Table.from_batches(waiting).combine_chunks().to_batches()[0]
+        features = rows.column("f").to_numpy()
+        order = np.argsort(features, kind="stable")
+        rows, (found, first) = rows.take(pa.array(order)), np.unique(features[order], return_index=True)
+        for f, start, end in zip(found, first, [*first[1:], len(order)]):
+            own = rows.slice(start, end - start)
+            yield int(f), *(own.column(c).to_numpy() for c in columns), own
+
+    waiting, many = [], 0
     for batch in batches:
-        features = batch.column("f").to_numpy()
-        for f in np.unique(features):
-            rows = batch.take(pa.array(np.flatnonzero(features == f)))
-            yield int(f), *(rows.column(c).to_numpy() for c in columns), rows
+        if batch.num_rows:
+            waiting.append(batch)
+            many += batch.num_rows
+        if many >= BATCH:
+            yield from split(waiting)
+            waiting, many = [], 0
+    if waiting:
+        yield from split(waiting)
 
 
 def _within(points: DataFrame, cuts: Cuts, k: int) -> DataFrame:
@@ -200,7 +247,8 @@ def _within(points: DataFrame, cuts: Cuts, k: int) -> DataFrame:
         f, (x, y), r = table.column("f")[0].as_py(), own.T, near[:, -1]
         strip = np.searchsorted(cuts.strips[f], x[:1])
         cell = cuts.cell(f, strip, y[:1])
-        beyond = (np.searchsorted(cuts.strips[f], x - r) < strip) | (np.searchsorted(cuts.strips[f], x + r) > strip)
+        left, right = cuts.reached(f, x - r, x + r)
+        beyond = (left < strip) | (right > strip)
         limits = cuts.cells[f][strip[0]]
         beyond |= (np.searchsorted(limits, y - r) < cell) | (np.searchsorted(limits, y + r) > cell)
         lists = _list(near).take(pa.array(np.arange(len(r)), mask=~beyond))
@@ -223,7 +271,7 @@ def _beyond(points: DataFrame, cuts: Cuts, k: int) -> DataFrame:
         for f, x, y, r, at, _ in by_feature(batches, "x", "y", "r", "at"):
             for i in range(0, len(x), SLICE):
                 px, py, pr, home = (c[i : i + SLICE] for c in (x, y, r, at))
-                row, strip = spread(np.searchsorted(cuts.strips[f], px - pr), np.searchsorted(cuts.strips[f], px + pr))
+                row, strip = spread(*cuts.reached(f, px - pr, px + pr))
                 one, cell = spread(cuts.cell(f, strip, (py - pr)[row]), cuts.cell(f, strip, (py + pr)[row]))
                 there, row = cuts.number(f, strip[one], cell), row[one]
                 other = there != home[row]
@@ -247,18 +295,73 @@ def _beyond(points: DataFrame, cuts: Cuts, k: int) -> DataFrame:
     return rows.groupBy("at").applyInArrow(run, "f int, x double, y double, near array<double>")
 
 
-def _axis_counts(points: DataFrame, cuts: Cuts) -> DataFrame:
+def short_axes(sizes: dict[tuple[int, int], int]) -> list[tuple[int, int]]:
+    """Axes whose values may be listed, given about how many each has: those of fewest values first."""
+    found, total = [], 0
+    for axis, many in sorted(sizes.items(), key=lambda size: size[1]):
+        total += many
+        if many <= LISTED and total <= LISTED_IN_ALL:
+            found.append(axis)
+    return found
+
+
+def _value_lists(points: DataFrame, axes: Sequence[tuple[int, int]]) -> dict[tuple[int, int], tuple[np.ndarray, np.ndarray]]:
+    """For each of the axes its ascending values, and how many rows lie below each, with all of them at the end."""
+    if not axes:
+        return {}
+    counts = [
+        points.where(F.col("f").isin([f for f, own in axes if own == axis])).groupBy("f", F.lit(axis).alias("axis"), F.col(c).alias("v")).agg(F.sum("n").alias("n"))
+        for axis, c in enumerate("xy")
+    ]
+    found = counts[0].union(counts[1]).toArrow()
+    f, axis, v, n = (found.column(c).to_numpy() for c in ("f", "axis", "v", "n"))
+    lists = {}
+    for one in axes:
+        own = (f == one[0]) & (axis == one[1])
+        order = np.argsort(v[own])
+        lists[one] = v[own][order], np.concatenate([[0], n[own][order].cumsum()])
+    return lists
+
+
+def _axis_counts(points: DataFrame, cuts: Cuts, short: Sequence[tuple[int, int]] = ()) -> DataFrame:
     """``f, c, n``: of ``n`` rows, the number of rows ``c`` nearer on one axis than the row's distance ``r``, both axes together.
 
+    Where an axis is ``short``, its values with their counts go to all tasks and every row is counted where it is.
+    """
+    points = staged(points, "radius")
+    lists = _value_lists(points, short)
+
+    def look_up(batches):  # noqa: ANN001, ANN202
+        for f, x, y, r, n, _ in by_feature(batches, "x", "y", "r", "n"):
+            for axis, v in ((0, x), (1, y)):
+                if (f, axis) in lists:
+                    values, upto = lists[f, axis]
+                    low, high = inside(values, v, r)
+                    c, where = np.unique(upto[high] - upto[low], return_inverse=True)
+                    many = np.zeros(len(c), np.int64)
+                    np.add.at(many, where, n)
+                    yield pa.RecordBatch.from_pydict({"f": np.full(len(c), f, np.int32), "c": c, "n": many})
+
+    found = [points.mapInArrow(look_up, "f int, c long, n long")] if lists else []
+    long = {axis for axis in cuts.axes if axis not in lists}
+    if long or not lists:
+        found.append(_range_counts(points, cuts, long))
+    return found[0] if len(found) == 1 else found[0].unionByName(found[1])
+
+
+def _range_counts(points: DataFrame, cuts: Cuts, axes: set[tuple[int, int]]) -> DataFrame:
+    """What :func:`_axis_counts` gives, for axes of any number of values.
+
     The rows of a range of an axis are counted together. Only a row whose distance leaves the range asks elsewhere, for how
     many rows lie below its two ends.
     """
-    points = staged(points, "radius")
 
     def weigh(batches):  # noqa: ANN001, ANN202
         # rows by value where a range has several parts, else by range alone
         for f, x, y, n, _ in by_feature(batches, "x", "y", "n"):
             for axis, v in ((0, x), (1, y)):
+                if (f, axis) not in axes:
+                    continue
                 limits, times, starts = cuts.axes[f, axis]
                 at = np.searchsorted(limits, v)
                 many = times[at] > 1
@@ -277,6 +380,8 @@ def _axis_counts(points: DataFrame, cuts: Cuts) -> DataFrame:
     totals = dict(weights.groupBy("at").agg(F.sum("n")).collect())
     below, owner = {}, {}
     for (f, axis), (_, _, starts) in cuts.axes.items():
+        if (f, axis) not in axes:
+            continue
         total = 0
         for at in starts.tolist():
             below[at], owner[at], total = total, (f, axis), total + totals.get(at, 0)
@@ -284,6 +389,8 @@ def _axis_counts(points: DataFrame, cuts: Cuts) -> DataFrame:
     def deal(batches):  # noqa: ANN001, ANN202
         for f, x, y, r, n, _ in by_feature(batches, "x", "y", "r", "n"):
             for axis, v in ((0, x), (1, y)):
+                if (f, axis) not in axes:
+                    continue
                 limits, times, starts = cuts.axes[f, axis]
                 at, one = np.searchsorted(limits, v), np.flatnonzero
                 out = (np.searchsorted(limits, v - r) < at) | (np.searchsorted(limits, v + r) > at)
@@ -355,12 +462,14 @@ def neighbour_mutual_info(df: DataFrame, numeric: Sequence[str], y: str, k: int
     used = size.where((F.col("rows") > k) & (F.col("sx") > 0) & (F.col("sy") > 0))
     points = tall.join(used, "feature").groupBy("f", (F.col("x") / F.col("sx")).alias("x"), (F.col("y") / F.col("sy")).alias("y"))
     points = staged(points.agg(F.count(F.lit(1)).alias("n")), "points")
-    most = points.groupBy("f").agg(F.count(F.lit(1)).alias("m")).agg(F.max("m")).first()[0] or 0
+    many = points.groupBy("f").agg(F.count(F.lit(1)).alias("m"), F.approx_count_distinct("x").alias("x"), F.approx_count_distinct("y").alias("y")).collect()
+    most = max((row.m for row in many), default=0)
+    short = short_axes({(row.f, axis): row[c] for row in many for axis, c in enumerate("xy")})
     cuts = Cuts(points, max(1, math.ceil(math.sqrt(most / cell))), max(1, math.ceil(most / (cell * RANGE))))
     own = staged(_within(points, cuts, k), "within-cells")
     every = own.where("near IS NOT NULL").select("f", "x", "y", "n", "near").union(_beyond(own, cuts, k).select("f", "x", "y", F.lit(0).cast("long"), "near"))
     reached = every.groupBy("f", "x", "y").agg(F.max("n").alias("n"), F.sort_array(F.flatten(F.collect_list("near")))[k - 1].alias("r"))
-    counts = _axis_counts(own.where("near IS NULL").select("f", "x", "y", "n", "r").union(reached), cuts)
+    counts = _axis_counts(own.where("near IS NULL").select("f", "x", "y", "n", "r").union(reached), cuts, short)
     mean = counts.groupBy("f").agg((F.sum(F.col("n") * digamma(F.col("c"))) / (F.sum("n") / 2)).alias("both"))
     info = digamma(F.col("rows")) + digamma(F.lit(k)) - F.col("both")
     return size.join(mean, "f", "left").select("feature", F.greatest(F.coalesce(info, F.lit(0.0)), F.lit(0.0)).alias("mutual_info"))

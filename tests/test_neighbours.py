@@ -118,3 +118,66 @@ def test_thresholds_are_the_last_doubles_inside():
 def test_digamma(spark):
     got = [r[0] for r in spark.range(1, 200).select(neighbours.digamma(F.col("id"))).collect()]
     assert np.allclose(got, [psi(m) for m in range(1, 200)], atol=1e-12)
+
+
+def frame(spark, data):
+    x, y = data
+    rows = [tuple([float(y[i])] + [None if math.isnan(v[i]) else float(v[i]) for v in x.values()]) for i in range(len(y))]
+    return spark.createDataFrame(rows, "y double, " + ", ".join(f"{c} double" for c in x)).repartition(5)
+
+
+@pytest.mark.parametrize("listed", [0, 60, 1 << 20])
+def test_lists_of_values_and_ranges_count_alike(spark, data, monkeypatch, listed):
+    """No axis is listed, those of few values are, or all."""
+    x, y = data
+    monkeypatch.setattr(neighbours, "LISTED", listed)
+    monkeypatch.setattr(neighbours, "RANGE", 1)
+    ranges, count = [], neighbours._range_counts
+    monkeypatch.setattr(neighbours, "_range_counts", lambda points, cuts, axes: ranges.append(axes) or count(points, cuts, axes))
+    got = {r.feature: r.mutual_info for r in neighbours.neighbour_mutual_info(frame(spark, data), list(x), "y", cell=60).collect()}
+    assert got == pytest.approx({c: slow(v, y, 3) for c, v in x.items()}, abs=1e-9)
+    assert len(ranges) == (listed < 1000) and (listed or len(ranges[0]) == 14)
+    assert listed != 60 or len(ranges[0]) == 13  # the rounded column alone has few
+
+
+def test_axes_of_fewest_values_are_listed(monkeypatch):
+    monkeypatch.setattr(neighbours, "LISTED", 100)
+    monkeypatch.setattr(neighbours, "LISTED_IN_ALL", 150)
+    assert neighbours.short_axes({(1, 0): 90, (1, 1): 101, (2, 0): 20, (2, 1): 60}) == [(2, 0), (2, 1)]
+    assert neighbours.short_axes({}) == []
+
+
+def test_no_feature_that_varies(spark):
+    df = spark.createDataFrame([(1.0, 2.0)] * 9, "x double, y double")
+    assert neighbours.neighbour_mutual_info(df, ["x"], "y").first().mutual_info == 0.0
+
+
+def test_a_point_beside_room_asks_no_other_strip(spark):
+    """Whole numbers end their strips, yet nothing is near on the other side."""
+    rng = np.random.default_rng(8)
+    rows = [(1, float(i % 8), float(v), 1) for i, v in enumerate(rng.permutation(8000) / 2000)]
+    points = spark.createDataFrame(rows, "f int, x double, y double, n long")
+    cuts = neighbours.Cuts(points, 3, 1)
+    assert cuts.lows[1].tolist() == [0.0, *[v + 1 for v in cuts.strips[1]]]
+    own = neighbours._within(points, cuts, 3)
+    assert own.where("near IS NOT NULL").count() < 400
+    wide = neighbours._within(points.withColumn("y", F.col("y") * 4000), cuts, 3)
+    assert wide.where("near IS NOT NULL").count() > 4000
+
+
+def test_few_pairs_need_no_leaves(monkeypatch):
+    rng = np.random.default_rng(9)
+    points, asking = np.round(rng.normal(0, 1, (300, 2)), 1), rng.normal(0, 2, (90, 2))
+    want = neighbours.nearest(points, asking, 4), neighbours.nearest(points[:2], asking, 4), neighbours.nearest(points[:0], asking, 4)
+    monkeypatch.setattr(neighbours, "FEW", 0)
+    got = neighbours.nearest(points, asking, 4), neighbours.nearest(points[:2], asking, 4), neighbours.nearest(points[:0], asking, 4)
+    assert all(np.array_equal(a, b) for a, b in zip(got, want))
+    assert np.isinf(got[1][:, 2:]).all() and np.isinf(got[2]).all()
+
+
+def test_rows_of_each_feature_come_together(monkeypatch):
+    monkeypatch.setattr(neighbours, "BATCH", 25)
+    rows = neighbours.pa.RecordBatch.from_pydict({"f": np.array([2, 1, 2, 3] * 10, np.int32), "x": np.arange(40.0)})
+    found = [(f, x.tolist()) for f, x, _ in neighbours.by_feature([rows.slice(i, 4) for i in range(0, 40, 4)], "x")]
+    assert [f for f, _ in found] == [1, 2, 3, 1, 2, 3] and sorted(v for _, x in found for v in x) == list(range(40))
+    assert found[0][1] == [1.0 + 4 * i for i in range(7)]
